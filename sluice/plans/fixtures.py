@@ -103,3 +103,73 @@ def link_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     orders = table(spark, sf_dir, "orders").where((F.col("o_orderkey") % 10) != 0).select("o_orderkey")
     parts = table(spark, sf_dir, "part").where((F.col("p_partkey") % 7) != 0).select("p_partkey")
     return mapping, orders, parts
+
+
+# ------------------------------------------------------------ headers ----
+
+# Contracts the unit tests of the reference use: a strict one that rejects
+# unexpected columns and a lenient one that allows them.
+_TEST_COLUMNS = (
+    ColumnSpec("project_id", "string", True),
+    ColumnSpec("project_name", "string", True),
+    ColumnSpec("project_status", "string", True),
+    ColumnSpec("start_date", "date"),
+    ColumnSpec("end_date", "date"),
+)
+TEST_CONTRACTS = {
+    "strict": Contract(("project_id",), _TEST_COLUMNS, reject_unexpected=True),
+    "lenient": Contract(("project_id",), _TEST_COLUMNS, reject_unexpected=False),
+}
+
+
+def validation_contracts() -> dict[str, Contract]:
+    from sluice.contracts import PRODUCTION_CONTRACTS
+
+    return {**PRODUCTION_CONTRACTS, **TEST_CONTRACTS}
+
+
+def drift_contracts() -> dict[str, Contract]:
+    """Contracts after an edit: 'contracts' and 'strict' gained a required
+    ``reviewed_by`` column that no uploaded file carries yet."""
+    out = dict(validation_contracts())
+    for name in ("contracts", "strict"):
+        c = out[name]
+        out[name] = Contract(c.key_columns, c.columns + (ColumnSpec("reviewed_by", "string", True),),
+                             c.reject_unexpected)
+    return out
+
+
+HEADER_DATASETS = ("projects", "contracts", "applications", "application_project_map", "strict", "lenient")
+
+
+def header_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One upload per customer, with a header derived from its dataset's
+    contract and mutated by c_custkey: drop the 2nd name (k % 5), repeat the
+    1st (k % 7), add ``extra_<k % 4>`` (k % 3), add a blank name (k % 13);
+    then style it like a spreadsheet export: upper case with spaces (k even)
+    or dots with padding (k % 9). ``header`` is the normalised form."""
+    from sluice.functions.columns import normalise_name
+
+    contracts = validation_contracts()
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    k = F.col("c_custkey")
+    idx = (k % len(HEADER_DATASETS)).cast("int") + 1
+    names = F.array(*[F.lit(n) for n in HEADER_DATASETS])
+    bases = F.array(*[F.array(*[F.lit(s.name) for s in contracts[n].columns]) for n in HEADER_DATASETS])
+    h = F.element_at(bases, idx)
+    h = F.when(_mod(k, 5), F.concat(F.slice(h, 1, 1), F.slice(h, 3, 1000))).otherwise(h)
+    h = F.when(_mod(k, 7), F.concat(h, F.slice(h, 1, 1))).otherwise(h)
+    h = F.when(_mod(k, 3), F.concat(h, F.array(F.concat(F.lit("extra_"), (k % 4).cast("string"))))).otherwise(h)
+    h = F.when(_mod(k, 13), F.concat(h, F.array(F.lit("  ")))).otherwise(h)
+    raw = (
+        F.when(_mod(k, 2), F.transform(h, lambda x: F.upper(F.replace(x, F.lit("_"), F.lit(" ")))))
+        .when(_mod(k, 9), F.transform(h, lambda x: F.concat(F.lit(" "), F.replace(x, F.lit("_"), F.lit(".")), F.lit(" "))))
+        .otherwise(h)
+    )
+    return c.select(
+        k.alias("upload_id"),
+        F.element_at(names, idx).alias("dataset_name"),
+        raw.alias("raw_header"),
+        F.transform(raw, normalise_name).alias("header"),
+        (F.col("c_nationkey") + 1).cast("long").alias("row_count"),
+    )

@@ -201,3 +201,139 @@ SELECT count(*) AS entities, count(DISTINCT l.part_key) AS mapped,
        round(CAST(100.0 AS DOUBLE) * count(DISTINCT l.part_key) / count(*), 1) AS pct
 FROM (SELECT p_partkey FROM part WHERE p_partkey % 7 <> 0) e
 LEFT JOIN links l ON e.p_partkey = l.part_key AND l.link_status = 'VALID'"""
+
+# ------------------------------------------------------- header checks ----
+
+NORM = (
+    "regexp_replace(regexp_replace(translate(lower(regexp_replace({x}, '^\\s+|\\s+$', '', 'g')), "
+    "' -./', '____'), '_+', '_', 'g'), '^_+|_+$', '', 'g')"
+)
+
+
+def _list(items) -> str:
+    return "[" + ", ".join("'" + s + "'" for s in items) + "]::VARCHAR[]"
+
+
+def _rules_values(contracts, with_base: bool) -> str:
+    from sluice.plans.fixtures import HEADER_DATASETS
+
+    rows = []
+    for i, name in enumerate(HEADER_DATASETS):
+        c = contracts[name]
+        parts = [f"'{name}'", str(i)]
+        if with_base:
+            parts.append(_list([s.name for s in c.columns]))
+        parts += [_list(sorted(c.required)), _list(sorted(c.allowed)), "TRUE" if c.reject_unexpected else "FALSE"]
+        rows.append("(" + ", ".join(parts) + ")")
+    return ",\n        ".join(rows)
+
+
+def _header_ctes() -> str:
+    from sluice.plans.fixtures import validation_contracts
+
+    values = _rules_values(validation_contracts(), with_base=True)
+    return f"""
+rules(dataset_name, ds_idx, base, required_columns, allowed_columns, reject_unexpected) AS (
+    VALUES {values}
+),
+h0 AS (
+    SELECT c.c_custkey AS k, c.c_nationkey, r.*,
+           CASE WHEN c.c_custkey % 5 = 0 THEN list_concat(r.base[1:1], r.base[3:]) ELSE r.base END AS h
+    FROM customer c JOIN rules r ON r.ds_idx = c.c_custkey % 6
+),
+h1 AS (SELECT * REPLACE (CASE WHEN k % 7 = 0 THEN list_concat(h, h[1:1]) ELSE h END AS h) FROM h0),
+h2 AS (SELECT * REPLACE (CASE WHEN k % 3 = 0 THEN list_concat(h, ['extra_' || CAST(k % 4 AS VARCHAR)])
+                              ELSE h END AS h) FROM h1),
+h3 AS (SELECT * REPLACE (CASE WHEN k % 13 = 0 THEN list_concat(h, ['  ']) ELSE h END AS h) FROM h2),
+h4 AS (
+    SELECT *, CASE WHEN k % 2 = 0 THEN [upper(replace(x, '_', ' ')) for x in h]
+                   WHEN k % 9 = 0 THEN [' ' || replace(x, '_', '.') || ' ' for x in h]
+                   ELSE h END AS raw_header
+    FROM h3
+),
+hdr AS (SELECT *, [{NORM.format(x='x')} for x in raw_header] AS header FROM h4),
+chk AS (
+    SELECT *,
+        list_sort([x for x in required_columns if NOT list_contains(header, x)]) AS missing,
+        list_sort(list_distinct([x for x in header if NOT list_contains(allowed_columns, x)])) AS unexpected,
+        list_sort(list_distinct([x for x in header if len([y for y in header if y = x]) > 1])) AS duplicate,
+        CASE WHEN list_contains(header, '') THEN 'The CSV header contains a blank column name.' END AS violation
+    FROM hdr
+),
+chk2 AS (
+    SELECT *, (len(missing) = 0 AND len(duplicate) = 0
+               AND NOT (len(unexpected) > 0 AND reject_unexpected)) AS is_valid
+    FROM chk
+),
+outcome AS (
+    SELECT k AS upload_id, dataset_name, header,
+        CASE WHEN violation IS NOT NULL THEN 'REJECTED' WHEN is_valid THEN 'VALIDATED' ELSE 'REJECTED' END
+            AS status,
+        coalesce(violation, CASE WHEN is_valid THEN concat_ws('; ',
+                'File passed structural contract validation.',
+                CASE WHEN len(unexpected) > 0
+                     THEN 'Extra columns present but allowed: ' || array_to_string(unexpected, ', ') END)
+            ELSE concat_ws('; ',
+                CASE WHEN len(missing) > 0 THEN 'Missing required columns: ' || array_to_string(missing, ', ') END,
+                CASE WHEN len(duplicate) > 0 THEN 'Duplicate columns: ' || array_to_string(duplicate, ', ') END,
+                CASE WHEN reject_unexpected AND len(unexpected) > 0
+                     THEN 'Unexpected columns: ' || array_to_string(unexpected, ', ') END)
+            END) AS msg,
+        CASE WHEN violation IS NOT NULL THEN 0 ELSE c_nationkey + 1 END AS source_row_count,
+        CASE WHEN violation IS NOT NULL THEN []::VARCHAR[] ELSE missing END AS missing_columns,
+        CASE WHEN violation IS NOT NULL THEN []::VARCHAR[] ELSE unexpected END AS unexpected_columns,
+        CASE WHEN violation IS NOT NULL THEN []::VARCHAR[] ELSE duplicate END AS duplicate_columns
+    FROM chk2
+)"""
+
+
+ORACLE["normalise_header"] = f"""
+WITH names AS (
+    SELECT 'part' AS src, p_partkey AS id, p_name AS raw_name FROM part
+    UNION ALL SELECT 'orders', o_orderkey, o_orderpriority FROM orders
+    UNION ALL SELECT 'customer', c_custkey, c_name FROM customer
+    UNION ALL SELECT 'pages', page_id, url FROM pages
+)
+SELECT src, id, raw_name, {NORM.format(x='raw_name')} AS column_name FROM names"""
+
+ORACLE["validate_contract"] = "WITH " + _header_ctes() + """
+SELECT upload_id, dataset_name, array_to_string(header, ',') AS header, status,
+       CASE WHEN length(msg) > 1000 THEN left(msg, 997) || '...' ELSE msg END AS validation_message,
+       source_row_count,
+       array_to_string(missing_columns, ',') AS missing_columns,
+       array_to_string(unexpected_columns, ',') AS unexpected_columns,
+       array_to_string(duplicate_columns, ',') AS duplicate_columns
+FROM outcome"""
+
+ORACLE["unexpected_columns_report"] = "WITH " + _header_ctes() + """
+SELECT dataset_name, array_to_string(unexpected_columns, ',') AS unexpected_columns, count(*) AS n
+FROM outcome WHERE len(unexpected_columns) > 0 GROUP BY 1, 2"""
+
+
+def _drift_sql() -> str:
+    from sluice.plans.fixtures import drift_contracts
+
+    values = _rules_values(drift_contracts(), with_base=False)
+    return "WITH " + _header_ctes() + f""",
+drift_rules(dataset_name, ds_idx, required_columns, allowed_columns, reject_unexpected) AS (
+    VALUES {values}
+),
+avail AS (
+    SELECT dataset_name, list_sort(list(DISTINCT col)) AS available_columns
+    FROM (SELECT dataset_name, unnest(header) AS col FROM outcome WHERE status = 'VALIDATED')
+    GROUP BY 1
+),
+d AS (
+    SELECT r.dataset_name, coalesce(a.available_columns, []::VARCHAR[]) AS av, r.required_columns
+    FROM drift_rules r LEFT JOIN avail a ON a.dataset_name = r.dataset_name
+),
+d2 AS (SELECT *, list_sort([x for x in required_columns if NOT list_contains(av, x)]) AS miss FROM d)
+SELECT dataset_name, array_to_string(miss, ',') AS required_missing,
+       array_to_string(av, ',') AS available_columns,
+       CASE WHEN len(miss) > 0 THEN 'The contract for ''' || dataset_name
+            || ''' requires columns that do not exist in bronze: ' || array_to_string(miss, ', ')
+            || '. Bronze currently has: ' || array_to_string(av, ', ') END AS drift_message
+FROM d2"""
+
+
+ORACLE["contract_drift_guard"] = _drift_sql()

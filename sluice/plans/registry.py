@@ -150,3 +150,65 @@ def mapping_coverage(spark, sf_dir):
 def mapping_coverage_raw(spark, sf_dir):
     _, _, parts = FX.link_inputs(spark, sf_dir)
     return L.mapping_coverage_raw(parts, "p_partkey", _links(spark, sf_dir), "part_key")
+
+
+# ------------------------------------------------------- header checks ----
+
+from sluice.contracts import contracts_frame  # noqa: E402
+from sluice.functions import messages as M  # noqa: E402
+from sluice.functions.columns import normalise_name  # noqa: E402
+from sluice.operators import validate as V  # noqa: E402
+
+
+def _joined(c: str):
+    return F.array_join(F.col(c), ",").alias(c)
+
+
+@register("normalise_header")
+def normalise_header(spark, sf_dir):
+    part = FX.table(spark, sf_dir, "part").select(
+        F.lit("part").alias("src"), F.col("p_partkey").alias("id"), F.col("p_name").alias("raw_name"))
+    orders = FX.table(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("src"), F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("raw_name"))
+    cust = FX.table(spark, sf_dir, "customer").select(
+        F.lit("customer").alias("src"), F.col("c_custkey").alias("id"), F.col("c_name").alias("raw_name"))
+    pages = FX.table(spark, sf_dir, "pages").select(
+        F.lit("pages").alias("src"), F.col("page_id").alias("id"), F.col("url").alias("raw_name"))
+    names = part.unionByName(orders).unionByName(cust).unionByName(pages)
+    return names.select("src", "id", "raw_name", normalise_name("raw_name").alias("column_name"))
+
+
+def _checked_headers(spark, sf_dir):
+    uploads = FX.header_uploads(spark, sf_dir)
+    rules = contracts_frame(spark, FX.validation_contracts())
+    checked = V.check_columns(uploads, rules)
+    return checked.withColumn(
+        "violation", F.when(F.array_contains("header", ""), F.lit(M.BLANK_COLUMN_NAME))
+    )
+
+
+@register("validate_contract")
+def validate_contract(spark, sf_dir):
+    out = V.validation_outcome(_checked_headers(spark, sf_dir))
+    return out.select(
+        "upload_id", "dataset_name", _joined("header"), "status", "validation_message",
+        "source_row_count", _joined("missing_columns"), _joined("unexpected_columns"),
+        _joined("duplicate_columns"),
+    )
+
+
+@register("unexpected_columns_report")
+def unexpected_columns_report(spark, sf_dir):
+    manifest = V.validation_outcome(_checked_headers(spark, sf_dir))
+    return Q.unexpected_columns_report(manifest).select(
+        "dataset_name", _joined("unexpected_columns"), "n")
+
+
+@register("contract_drift_guard")
+def contract_drift_guard(spark, sf_dir):
+    manifest = V.validation_outcome(_checked_headers(spark, sf_dir))
+    loaded = manifest.where(F.col("status") == "VALIDATED").select(
+        "dataset_name", F.explode("header").alias("column_name"))
+    rules = contracts_frame(spark, FX.drift_contracts())
+    out = V.drift_guard(loaded, rules)
+    return out.select("dataset_name", _joined("required_missing"), _joined("available_columns"), "drift_message")
