@@ -84,3 +84,34 @@ def unexpected_columns_exploded(manifest: DataFrame) -> DataFrame:
         .groupBy("dataset_name", "column_name")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def run_summary(run_events: DataFrame, run_col: str = "run_id") -> DataFrame:
+    """Counters per run from the events that run appended: files seen,
+    registered, validated, rejected (either stage), loaded, errors."""
+    st = F.col("status")
+    return run_events.groupBy(run_col).agg(
+        F.count_distinct("upload_id").alias("files_seen"),
+        F.count_if(st == S.RECEIVED).alias("registered"),
+        F.count_if(st == S.VALIDATED).alias("validated"),
+        F.count_if(st.isin(S.REJECTED, S.BRONZE_REJECTED)).alias("rejected"),
+        F.count_if(st == S.PROCESSED).alias("loaded"),
+        F.count_if(st.isin(S.FAILED, S.BRONZE_FAILED)).alias("errors"),
+    )
+
+
+def needs_rebuild(processed: DataFrame, seen_by_build: DataFrame) -> DataFrame:
+    """Per dataset: PROCESSED uploads the last silver build has not seen.
+
+    Set difference on upload ids rather than comparing clocks, so rows
+    committed while a build ran are never skipped. One left join against the
+    distinct seen ids and one aggregation.
+    """
+    seen = seen_by_build.select("upload_id").distinct().withColumn("_seen", F.lit(True))
+    marked = processed.join(seen, "upload_id", "left")
+    return marked.groupBy("dataset_name").agg(
+        F.count(F.lit(1)).alias("processed_uploads"),
+        F.count_if(F.col("_seen").isNull()).alias("new_uploads"),
+        (F.count_if(F.col("_seen").isNull()) > 0).alias("needs_rebuild"),
+        F.max("updated_at").alias("latest_processed_at"),
+    )

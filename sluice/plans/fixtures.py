@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.contracts import ColumnSpec, Contract
 
@@ -173,3 +174,70 @@ def header_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(raw, normalise_name).alias("header"),
         (F.col("c_nationkey") + 1).cast("long").alias("row_count"),
     )
+
+
+# ----------------------------------------------------------- manifest ----
+
+# "now" of the manifest queries: just after the last event of the month.
+MANIFEST_NOW = "2024-01-31 00:00:00"
+# When the last silver build ran (it saw uploads PROCESSED before then).
+LAST_BUILD_AT = "2024-01-20 00:00:00"
+
+
+def manifest_now() -> Column:
+    return F.lit(MANIFEST_NOW).cast("timestamp_ntz")
+PRODUCTION_DATASETS = ("projects", "contracts", "applications", "application_project_map")
+
+
+def manifest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` read as manifest status events: user = upload, event_id =
+    sequence, ts = event time; event_type (and value) pick the status and the
+    sparse columns that event sets."""
+    from sluice.functions import status as S
+    from sluice.operators.manifest import as_events
+
+    e = table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    v = F.col("value")
+    eid = F.col("event_id")
+    uid = F.col("user_id")
+    status = (
+        F.when(t == "signup", F.lit(S.RECEIVED))
+        .when(t == "view", F.lit(S.VALIDATING))
+        .when(t == "click", F.when(v < 100, F.lit(S.VALIDATED)).otherwise(F.lit(S.PROCESSING)))
+        .when(t == "purchase", F.when(v < 100, F.lit(S.PROCESSED)).otherwise(F.lit(S.BRONZE_FAILED)))
+        .when(t == "error", F.when(v < 50, F.lit(S.FAILED)).when(v < 100, F.lit(S.REJECTED))
+              .when(v < 150, F.lit(S.BRONZE_REJECTED)).otherwise(F.lit(S.DUPLICATE)))
+    )
+    rows = F.floor(v).cast("long")
+    empty = F.array().cast("array<string>")
+    ds = F.element_at(F.array(*[F.lit(d) for d in PRODUCTION_DATASETS]), (uid % 4).cast("int") + 1)
+    shaped = e.select(
+        eid.alias("event_id"),
+        F.col("ts"),
+        F.concat(F.lit("U"), uid.cast("string")).alias("upload_id"),
+        status.alias("status"),
+        F.when(t == "signup", ds).alias("dataset_name"),
+        F.when(t == "signup", F.concat(F.lit("file_"), uid.cast("string"), F.lit(".csv"))).alias("original_file_name"),
+        F.when(t == "signup", F.concat(F.lit("user"), (uid % 7).cast("string"))).alias("uploaded_by"),
+        F.when(t == "signup", F.col("ts")).alias("created_at"),
+        F.when(t == "error", F.concat(F.lit("Failed: "), F.col("props")))
+        .when(t == "purchase", F.concat(F.lit("Loaded "), rows.cast("string"), F.lit(" rows.")))
+        .alias("validation_message"),
+        F.when(t == "click", rows).alias("source_row_count"),
+        F.when(t == "purchase", rows - eid % 2).alias("bronze_row_count"),
+        F.when(t == "purchase", eid % 3).alias("bronze_corrupt_row_count"),
+        F.when(t == "view", empty)
+        .when(t == "click", F.array(F.concat(F.lit("col_"), (eid % 3).cast("string"))))
+        .alias("missing_columns"),
+        F.when((t == "click") & ((eid % 4) == 0), F.array(F.concat(F.lit("extra_"), (eid % 2).cast("string"))))
+        .when(t == "click", empty)
+        .alias("unexpected_columns"),
+    )
+    return as_events(shaped, F.col("event_id"), F.col("ts"), ts_type=T.TimestampNTZType())
+
+
+def manifest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.operators.manifest import fold
+
+    return fold(manifest_events(spark, sf_dir))

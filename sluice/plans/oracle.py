@@ -337,3 +337,129 @@ FROM d2"""
 
 
 ORACLE["contract_drift_guard"] = _drift_sql()
+
+# -------------------------------------------------------------- manifest ----
+
+MANIFEST_CTES = r"""
+ev AS (
+    SELECT event_id AS seq, ts AS event_at, 'U' || CAST(user_id AS VARCHAR) AS upload_id,
+        CASE WHEN event_type = 'signup' THEN 'RECEIVED'
+             WHEN event_type = 'view' THEN 'VALIDATING'
+             WHEN event_type = 'click' THEN CASE WHEN value < 100 THEN 'VALIDATED' ELSE 'PROCESSING' END
+             WHEN event_type = 'purchase' THEN CASE WHEN value < 100 THEN 'PROCESSED' ELSE 'BRONZE_FAILED' END
+             WHEN event_type = 'error' THEN CASE WHEN value < 50 THEN 'FAILED' WHEN value < 100 THEN 'REJECTED'
+                                                 WHEN value < 150 THEN 'BRONZE_REJECTED' ELSE 'DUPLICATE' END
+        END AS status,
+        CASE WHEN event_type = 'signup'
+             THEN ['projects', 'contracts', 'applications', 'application_project_map'][user_id % 4 + 1] END
+            AS dataset_name,
+        CASE WHEN event_type = 'signup' THEN 'file_' || CAST(user_id AS VARCHAR) || '.csv' END AS original_file_name,
+        CASE WHEN event_type = 'signup' THEN 'user' || CAST(user_id % 7 AS VARCHAR) END AS uploaded_by,
+        CASE WHEN event_type = 'signup' THEN ts END AS created_at,
+        CASE WHEN event_type = 'error' THEN 'Failed: ' || props
+             WHEN event_type = 'purchase' THEN 'Loaded ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' rows.'
+        END AS validation_message,
+        CASE WHEN event_type = 'click' THEN CAST(floor(value) AS BIGINT) END AS source_row_count,
+        CASE WHEN event_type = 'purchase' THEN CAST(floor(value) AS BIGINT) - event_id % 2 END AS bronze_row_count,
+        CASE WHEN event_type = 'purchase' THEN event_id % 3 END AS bronze_corrupt_row_count,
+        CASE WHEN event_type = 'view' THEN []::VARCHAR[]
+             WHEN event_type = 'click' THEN ['col_' || CAST(event_id % 3 AS VARCHAR)] END AS missing_columns,
+        CASE WHEN event_type = 'click' AND event_id % 4 = 0 THEN ['extra_' || CAST(event_id % 2 AS VARCHAR)]
+             WHEN event_type = 'click' THEN []::VARCHAR[] END AS unexpected_columns
+    FROM events
+),
+m AS (
+    SELECT upload_id,
+        arg_max(status, seq) FILTER (WHERE status IS NOT NULL) AS status,
+        arg_max(dataset_name, seq) FILTER (WHERE dataset_name IS NOT NULL) AS dataset_name,
+        arg_max(original_file_name, seq) FILTER (WHERE original_file_name IS NOT NULL) AS original_file_name,
+        arg_max(uploaded_by, seq) FILTER (WHERE uploaded_by IS NOT NULL) AS uploaded_by,
+        arg_max(validation_message, seq) FILTER (WHERE validation_message IS NOT NULL) AS validation_message,
+        arg_max(source_row_count, seq) FILTER (WHERE source_row_count IS NOT NULL) AS source_row_count,
+        arg_max(bronze_row_count, seq) FILTER (WHERE bronze_row_count IS NOT NULL) AS bronze_row_count,
+        arg_max(bronze_corrupt_row_count, seq) FILTER (WHERE bronze_corrupt_row_count IS NOT NULL)
+            AS bronze_corrupt_row_count,
+        arg_max(missing_columns, seq) FILTER (WHERE missing_columns IS NOT NULL) AS missing_columns,
+        arg_max(unexpected_columns, seq) FILTER (WHERE unexpected_columns IS NOT NULL) AS unexpected_columns,
+        coalesce(min(created_at), min(event_at)) AS created_at,
+        max(event_at) AS updated_at,
+        count(*) AS n_events
+    FROM ev GROUP BY upload_id
+)"""
+NOW = "TIMESTAMP '2024-01-31 00:00:00'"
+LAST_BUILD = "TIMESTAMP '2024-01-20 00:00:00'"
+
+ORACLE["manifest_fold"] = "WITH " + MANIFEST_CTES + """
+SELECT upload_id, status, dataset_name, original_file_name, uploaded_by, validation_message,
+       source_row_count, bronze_row_count, bronze_corrupt_row_count,
+       array_to_string(missing_columns, ',') AS missing_columns,
+       array_to_string(unexpected_columns, ',') AS unexpected_columns,
+       CAST(created_at AS VARCHAR) AS created_at, CAST(updated_at AS VARCHAR) AS updated_at, n_events
+FROM m"""
+
+ORACLE["manifest_lookup"] = "WITH " + MANIFEST_CTES + """
+, req AS (SELECT DISTINCT 'U' || CAST(c_custkey AS VARCHAR) AS upload_id FROM customer)
+SELECT r.upload_id, m.upload_id IS NOT NULL AS known, m.status,
+       CASE WHEN m.upload_id IS NULL THEN 'Upload ID was not found: ' || r.upload_id END AS message
+FROM req r LEFT JOIN m ON r.upload_id = m.upload_id"""
+
+ORACLE["work_queue"] = "WITH " + MANIFEST_CTES + """
+SELECT 'validate' AS stage, upload_id, status, CAST(created_at AS VARCHAR) AS created_at
+FROM m WHERE status IN ('RECEIVED', 'FAILED')
+UNION ALL
+SELECT 'bronze', upload_id, status, CAST(created_at AS VARCHAR) FROM m WHERE status IN ('VALIDATED', 'BRONZE_FAILED')"""
+
+
+def _claim_sql(stage: str, froms: tuple[str, ...], to: str, label: str) -> str:
+    inlist = ", ".join(f"'{s}'" for s in froms)
+    eligible = (f"coalesce(status IN ({inlist}) OR (status = '{to}' AND updated_at < {NOW} - INTERVAL 30 MINUTES), "
+                "FALSE)")
+    return f"""
+SELECT '{stage}' AS stage, upload_id, status AS current_status, {eligible} AS claimed,
+       CASE WHEN {eligible} THEN '{to}' ELSE status END AS new_status,
+       CASE WHEN NOT {eligible} THEN 'Upload ' || upload_id || ' has status ''' || coalesce(status, 'None')
+            || ''' and cannot be {label}. Eligible statuses: {', '.join(froms)}.' END AS message
+FROM m"""
+
+
+ORACLE["claim_transition"] = "WITH " + MANIFEST_CTES + _claim_sql(
+    "validate", ("RECEIVED", "FAILED"), "VALIDATING", "validated") + "\nUNION ALL" + _claim_sql(
+    "bronze", ("VALIDATED", "BRONZE_FAILED"), "PROCESSING", "loaded to bronze")
+
+ORACLE["release_stale"] = "WITH " + MANIFEST_CTES + f"""
+SELECT upload_id, status AS old_status,
+       CASE status WHEN 'VALIDATING' THEN 'FAILED' WHEN 'PROCESSING' THEN 'BRONZE_FAILED' END AS new_status,
+       'Interrupted before completion.' AS validation_message
+FROM m WHERE status IN ('VALIDATING', 'PROCESSING') AND updated_at < {NOW} - INTERVAL 30 MINUTES"""
+
+ORACLE["status_health"] = "WITH " + MANIFEST_CTES + """
+SELECT status, count(*) AS n, CAST(max(updated_at) AS VARCHAR) AS latest FROM m GROUP BY status"""
+
+ORACLE["unfinished_uploads"] = "WITH " + MANIFEST_CTES + """
+SELECT upload_id, original_file_name, status, validation_message, uploaded_by,
+       CAST(updated_at AS VARCHAR) AS updated_at
+FROM m WHERE status NOT IN ('PROCESSED', 'DUPLICATE') ORDER BY m.updated_at DESC"""
+
+ORACLE["row_reconciliation"] = "WITH " + MANIFEST_CTES + """
+SELECT upload_id, original_file_name, source_row_count, bronze_row_count, bronze_corrupt_row_count
+FROM m WHERE status = 'PROCESSED' AND source_row_count <> bronze_row_count"""
+
+ORACLE["run_summary"] = "WITH " + MANIFEST_CTES + """
+SELECT CAST(CAST(event_at AS DATE) AS VARCHAR) AS run_id,
+       count(DISTINCT upload_id) AS files_seen,
+       count(*) FILTER (WHERE status = 'RECEIVED') AS registered,
+       count(*) FILTER (WHERE status = 'VALIDATED') AS validated,
+       count(*) FILTER (WHERE status IN ('REJECTED', 'BRONZE_REJECTED')) AS rejected,
+       count(*) FILTER (WHERE status = 'PROCESSED') AS loaded,
+       count(*) FILTER (WHERE status IN ('FAILED', 'BRONZE_FAILED')) AS errors
+FROM ev GROUP BY 1"""
+
+ORACLE["incremental_check"] = "WITH " + MANIFEST_CTES + f"""
+, seen AS (SELECT DISTINCT upload_id FROM ev WHERE status = 'PROCESSED' AND event_at < {LAST_BUILD}),
+p AS (SELECT m.*, s.upload_id IS NOT NULL AS was_seen FROM m LEFT JOIN seen s ON m.upload_id = s.upload_id
+      WHERE m.status = 'PROCESSED')
+SELECT dataset_name, count(*) AS processed_uploads,
+       count(*) FILTER (WHERE NOT was_seen) AS new_uploads,
+       count(*) FILTER (WHERE NOT was_seen) > 0 AS needs_rebuild,
+       max(updated_at) > {LAST_BUILD} AS newer_by_clock
+FROM p GROUP BY dataset_name"""

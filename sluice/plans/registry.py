@@ -212,3 +212,92 @@ def contract_drift_guard(spark, sf_dir):
     rules = contracts_frame(spark, FX.drift_contracts())
     out = V.drift_guard(loaded, rules)
     return out.select("dataset_name", _joined("required_missing"), _joined("available_columns"), "drift_message")
+
+
+# ------------------------------------------------------------- manifest ----
+
+from sluice.functions import status as S  # noqa: E402
+from sluice.operators import manifest as MF  # noqa: E402
+
+
+def _ts_text(c: str):
+    return F.col(c).cast("string").alias(c)
+
+
+@register("manifest_fold")
+def manifest_fold(spark, sf_dir):
+    m = FX.manifest_state(spark, sf_dir)
+    return m.select(
+        "upload_id", "status", "dataset_name", "original_file_name", "uploaded_by", "validation_message",
+        "source_row_count", "bronze_row_count", "bronze_corrupt_row_count",
+        _joined("missing_columns"), _joined("unexpected_columns"),
+        _ts_text("created_at"), _ts_text("updated_at"), "n_events",
+    )
+
+
+@register("manifest_lookup")
+def manifest_lookup(spark, sf_dir):
+    requests = FX.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("upload_id"))
+    return MF.lookup(FX.manifest_state(spark, sf_dir), requests)
+
+
+@register("work_queue")
+def work_queue(spark, sf_dir):
+    m = FX.manifest_state(spark, sf_dir)
+    v = MF.work_queue(m, S.CLAIMABLE_FOR_VALIDATION).select(F.lit("validate").alias("stage"), "*")
+    b = MF.work_queue(m, S.CLAIMABLE_FOR_BRONZE).select(F.lit("bronze").alias("stage"), "*")
+    return v.unionByName(b).select("stage", "upload_id", "status", _ts_text("created_at"))
+
+
+@register("claim_transition")
+def claim_transition(spark, sf_dir):
+    m = FX.manifest_state(spark, sf_dir)
+    now = FX.manifest_now()
+    v = MF.claim(m, S.CLAIMABLE_FOR_VALIDATION, S.VALIDATING, "validated", now)
+    b = MF.claim(m, S.CLAIMABLE_FOR_BRONZE, S.PROCESSING, "loaded to bronze", now)
+    return v.select(F.lit("validate").alias("stage"), "*").unionByName(
+        b.select(F.lit("bronze").alias("stage"), "*"))
+
+
+@register("release_stale")
+def release_stale(spark, sf_dir):
+    return MF.release_stale(FX.manifest_state(spark, sf_dir), FX.manifest_now())
+
+
+@register("status_health")
+def status_health(spark, sf_dir):
+    return Q.status_health(FX.manifest_state(spark, sf_dir)).select("status", "n", _ts_text("latest"))
+
+
+@register("unfinished_uploads")
+def unfinished_uploads(spark, sf_dir):
+    out = Q.unfinished_uploads(FX.manifest_state(spark, sf_dir))
+    return out.orderBy(F.col("updated_at").desc()).select(
+        "upload_id", "original_file_name", "status", "validation_message", "uploaded_by", _ts_text("updated_at"))
+
+
+@register("row_reconciliation")
+def row_reconciliation(spark, sf_dir):
+    return Q.row_reconciliation(FX.manifest_state(spark, sf_dir))
+
+
+@register("run_summary")
+def run_summary(spark, sf_dir):
+    ev = FX.manifest_events(spark, sf_dir).select(
+        F.to_date("event_at").cast("string").alias("run_id"), "upload_id", "status")
+    return Q.run_summary(ev)
+
+
+@register("incremental_check")
+def incremental_check(spark, sf_dir):
+    m = FX.manifest_state(spark, sf_dir)
+    processed = m.where(F.col("status") == S.PROCESSED).select("dataset_name", "upload_id", "updated_at")
+    seen = FX.manifest_events(spark, sf_dir).where(
+        (F.col("status") == S.PROCESSED) & (F.col("event_at") < F.lit(FX.LAST_BUILD_AT).cast("timestamp_ntz"))
+    ).select("upload_id")
+    out = Q.needs_rebuild(processed, seen)
+    return out.select(
+        "dataset_name", "processed_uploads", "new_uploads", "needs_rebuild",
+        (F.col("latest_processed_at") > F.lit(FX.LAST_BUILD_AT).cast("timestamp_ntz")).alias("newer_by_clock"),
+    )
