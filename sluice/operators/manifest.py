@@ -222,15 +222,17 @@ def register_decisions(
         known_path.where(F.col("_p").isNull()), ["dataset_name", "file_hash"], list(order_cols)
     )
     joined = known_path.join(batch_first, ["dataset_name", "file_hash"], "left")
+    meta_err = F.col("metadata_error") if "metadata_error" in inventory.columns else F.lit(None).cast("string")
     action = (
         F.when(~F.col("dataset_name").isin(*datasets), F.lit("UNKNOWN_DATASET"))
+        .when(meta_err.isNotNull(), F.lit("INVALID_METADATA"))
         .when(F.col("_p").isNotNull() & (F.col("_p.file_hash") == F.col("file_hash")), F.lit("KNOWN"))
         .when(F.col("_p").isNotNull(), F.lit("CHANGED"))
         .when(F.col("registered_upload_id").isNotNull(), F.lit("DUPLICATE"))
         .when(F.col("first_upload_id") != F.col("upload_id"), F.lit("DUPLICATE"))
         .otherwise(F.lit("NEW"))
     )
-    keep = [c for c in inventory.columns if c not in ("dataset_name",)]
+    keep = [c for c in inventory.columns if c not in ("dataset_name", "metadata_error")]
     return joined.select(
         "dataset_name",
         *keep,
@@ -242,6 +244,7 @@ def register_decisions(
         .alias("duplicate_of_upload_id"),
         F.when(action == "UNKNOWN_DATASET",
                F.concat(F.lit("Unknown dataset '"), F.col("dataset_name"), F.lit("'.")))
+        .when(action == "INVALID_METADATA", meta_err)
         .when(action == "CHANGED",
               F.concat(F.lit("This path is already registered but the contents have changed: "),
                        F.col("stored_file_path"),

@@ -241,3 +241,69 @@ def manifest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.operators.manifest import fold
 
     return fold(manifest_events(spark, sf_dir))
+
+
+# ------------------------------------------------------ landing files ----
+
+# Datasets with a contract in the document-upload scenario (lang = dataset).
+DOC_DATASETS = ("en", "de", "fr")
+# Allow-list of source systems in the document-upload scenario.
+DOC_SOURCES = tuple(f"SRC{i}" for i in range(15))
+REGISTERED_BASE = "2024-01-01 00:00:00"
+
+
+def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` read as landing files: one file per document, dataset =
+    language (sometimes typed 'EN '), path under the dataset folder, content
+    hash and byte size of the whole text, raw registration metadata."""
+    from sluice.functions.columns import clean_upper, metadata_error, strip_whitespace
+
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    year = (F.lit(2000) + F.col("n_chars") % 30).cast("string")
+    q = (k % 6).cast("string")
+    m = F.lpad((k % 14).cast("string"), 2, "0")
+    period_raw = (
+        F.when(_mod(k, 4), F.concat(F.lit(" "), year, F.lit("-q"), q))
+        .when((k % 4) == 1, F.concat(year, F.lit("-"), m))
+        .when((k % 4) == 2, F.concat(year, F.lit("Q"), q))
+    )
+    source_raw = F.when(_mod(k, 2), F.concat(F.lit(" "), F.col("source"), F.lit(" "))).otherwise(F.col("source"))
+    dataset_raw = F.when(_mod(k, 11), F.concat(F.upper("lang"), F.lit(" "))).otherwise(F.col("lang"))
+    path = F.concat(F.lit("/landing/"), F.col("lang"), F.lit("/doc_"), F.lpad(k.cast("string"), 6, "0"), F.lit(".csv"))
+    files = d.select(
+        k.alias("doc_id"),
+        F.lower(strip_whitespace(dataset_raw)).alias("dataset_name"),
+        path.alias("stored_file_path"),
+        F.sha2(F.col("text"), 256).alias("file_hash"),
+        F.octet_length("text").cast("long").alias("file_size_bytes"),
+        F.col("text"),
+        source_raw.alias("source_system_raw"),
+        period_raw.alias("reporting_period_raw"),
+    )
+    files = files.select(
+        "*",
+        clean_upper("source_system_raw").alias("source_system"),
+        clean_upper("reporting_period_raw").alias("reporting_period"),
+    )
+    return files.select(
+        "*",
+        F.substring(F.sha2(F.concat_ws(":", "stored_file_path", "file_hash"), 256), 1, 32).alias("upload_id"),
+        metadata_error(F.col("reporting_period"), F.col("source_system"), DOC_SOURCES).alias("metadata_error"),
+    )
+
+
+def registered_manifest(files: DataFrame) -> DataFrame:
+    """What an earlier run registered: documents with doc_id % 3 = 0 as they
+    are now; doc_id % 5 = 0 (others) with older contents under the same path."""
+    k = F.col("doc_id")
+    prev = files.where(_mod(k, 3) | _mod(k, 5))
+    return prev.select(
+        F.concat(F.lit("R"), k.cast("string")).alias("upload_id"),
+        "dataset_name",
+        "stored_file_path",
+        F.when(_mod(k, 3), F.col("file_hash"))
+        .otherwise(F.sha2(F.concat(F.col("text"), F.lit("#v0")), 256)).alias("file_hash"),
+        (F.lit(REGISTERED_BASE).cast("timestamp_ntz") + F.make_dt_interval(secs=k.cast("decimal(18,6)")))
+        .alias("created_at"),
+    )

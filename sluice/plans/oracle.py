@@ -463,3 +463,123 @@ SELECT dataset_name, count(*) AS processed_uploads,
        count(*) FILTER (WHERE NOT was_seen) > 0 AS needs_rebuild,
        max(updated_at) > {LAST_BUILD} AS newer_by_clock
 FROM p GROUP BY dataset_name"""
+
+# ---------------------------------------------------------- registration ----
+
+
+def _files_cte() -> str:
+    from sluice.plans.fixtures import DOC_SOURCES
+
+    listed = "[" + ", ".join(f"''{s}''" for s in sorted(DOC_SOURCES)) + "]"
+    inlist = ", ".join(f"'{s}'" for s in DOC_SOURCES)
+    return rf"""
+f0 AS (
+    SELECT doc_id, text,
+        lower(trim(CASE WHEN doc_id % 11 = 0 THEN upper(lang) || ' ' ELSE lang END)) AS dataset_name,
+        '/landing/' || lang || '/doc_' || lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.csv' AS stored_file_path,
+        sha256(text) AS file_hash,
+        CAST(strlen(text) AS BIGINT) AS file_size_bytes,
+        upper(trim(CASE WHEN doc_id % 2 = 0 THEN ' ' || source || ' ' ELSE source END)) AS source_system,
+        upper(trim(CASE WHEN doc_id % 4 = 0
+                        THEN ' ' || CAST(2000 + n_chars % 30 AS VARCHAR) || '-q' || CAST(doc_id % 6 AS VARCHAR)
+                        WHEN doc_id % 4 = 1
+                        THEN CAST(2000 + n_chars % 30 AS VARCHAR) || '-' || lpad(CAST(doc_id % 14 AS VARCHAR), 2, '0')
+                        WHEN doc_id % 4 = 2
+                        THEN CAST(2000 + n_chars % 30 AS VARCHAR) || 'Q' || CAST(doc_id % 6 AS VARCHAR) END))
+            AS reporting_period
+    FROM documents
+),
+files AS (
+    SELECT *,
+        left(sha256(stored_file_path || ':' || file_hash), 32) AS upload_id,
+        CASE WHEN reporting_period IS NOT NULL AND NOT regexp_full_match(reporting_period, '\d{{4}}-(Q[1-4]|0[1-9]|1[0-2])')
+             THEN 'reporting_period must look like ''2024-Q3'' or ''2024-10''. Got: ' || reporting_period
+             WHEN source_system IS NOT NULL AND source_system NOT IN ({inlist})
+             THEN 'Unknown source_system ''' || source_system || '''. Expected one of: {listed}' END
+            AS metadata_error
+    FROM f0
+)"""
+
+
+def _decisions_ctes() -> str:
+    return _files_cte() + """,
+man AS (
+    SELECT 'R' || CAST(doc_id AS VARCHAR) AS upload_id, dataset_name, stored_file_path,
+           CASE WHEN doc_id % 3 = 0 THEN file_hash ELSE sha256(text || '#v0') END AS file_hash,
+           TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id) AS created_at
+    FROM files WHERE doc_id % 3 = 0 OR doc_id % 5 = 0
+),
+by_path AS (
+    SELECT stored_file_path, arg_min(upload_id, created_at) AS p_upload_id, arg_min(file_hash, created_at) AS p_hash
+    FROM man GROUP BY 1
+),
+registered AS (
+    SELECT dataset_name, file_hash, arg_min(upload_id, created_at) AS registered_upload_id FROM man GROUP BY 1, 2
+),
+j AS (
+    SELECT f.*, bp.p_upload_id, bp.p_hash, r.registered_upload_id
+    FROM files f
+    LEFT JOIN by_path bp ON bp.stored_file_path = f.stored_file_path
+    LEFT JOIN registered r ON r.dataset_name = f.dataset_name AND r.file_hash = f.file_hash
+),
+bf AS (
+    SELECT dataset_name, file_hash, arg_min(upload_id, stored_file_path) AS first_upload_id
+    FROM j WHERE p_upload_id IS NULL GROUP BY 1, 2
+),
+d0 AS (
+    SELECT j.*, bf.first_upload_id FROM j
+    LEFT JOIN bf ON bf.dataset_name = j.dataset_name AND bf.file_hash = j.file_hash
+),
+d AS (
+    SELECT *,
+        CASE WHEN dataset_name NOT IN ('en', 'de', 'fr') THEN 'UNKNOWN_DATASET'
+             WHEN metadata_error IS NOT NULL THEN 'INVALID_METADATA'
+             WHEN p_upload_id IS NOT NULL AND p_hash = file_hash THEN 'KNOWN'
+             WHEN p_upload_id IS NOT NULL THEN 'CHANGED'
+             WHEN registered_upload_id IS NOT NULL THEN 'DUPLICATE'
+             WHEN first_upload_id <> upload_id THEN 'DUPLICATE'
+             ELSE 'NEW' END AS action
+    FROM d0
+)"""
+
+
+ORACLE["content_hash"] = "WITH " + _files_cte() + "\nSELECT doc_id, file_hash, file_size_bytes FROM files"
+
+ORACLE["metadata_clean"] = "WITH " + _files_cte() + (
+    "\nSELECT doc_id, source_system, reporting_period, metadata_error FROM files")
+
+ORACLE["duplicate_detect"] = "WITH " + _files_cte() + """,
+first AS (SELECT dataset_name, file_hash, arg_min(upload_id, stored_file_path) AS first_upload_id
+          FROM files GROUP BY 1, 2)
+SELECT doc_id, f.dataset_name, f.file_hash,
+       CASE WHEN first_upload_id <> upload_id THEN 'DUPLICATE' ELSE 'RECEIVED' END AS status,
+       CASE WHEN first_upload_id <> upload_id THEN first_upload_id END AS duplicate_of_upload_id
+FROM files f JOIN first ON first.dataset_name = f.dataset_name AND first.file_hash = f.file_hash"""
+
+ORACLE["register_action"] = "WITH " + _decisions_ctes() + """
+SELECT dataset_name, stored_file_path, file_hash, action,
+       CASE WHEN action = 'KNOWN' THEN p_upload_id WHEN action IN ('NEW', 'DUPLICATE') THEN upload_id END
+           AS result_upload_id,
+       CASE WHEN action = 'DUPLICATE' THEN coalesce(registered_upload_id, first_upload_id) END
+           AS duplicate_of_upload_id,
+       CASE WHEN action = 'UNKNOWN_DATASET' THEN 'Unknown dataset ''' || dataset_name || '''.'
+            WHEN action = 'INVALID_METADATA' THEN metadata_error
+            WHEN action = 'CHANGED' THEN 'This path is already registered but the contents have changed: '
+                 || stored_file_path
+                 || '. The file was overwritten after registration. Investigate before registering again.'
+       END AS message
+FROM d"""
+
+ORACLE["manifest_register"] = "WITH " + _decisions_ctes() + """
+SELECT upload_id, dataset_name, string_split(stored_file_path, '/')[-1] AS original_file_name,
+       stored_file_path, file_size_bytes, file_hash, source_system, reporting_period,
+       CASE WHEN action = 'DUPLICATE' THEN 'DUPLICATE' ELSE 'RECEIVED' END AS status,
+       CASE WHEN action = 'DUPLICATE' THEN coalesce(registered_upload_id, first_upload_id) END
+           AS duplicate_of_upload_id
+FROM d WHERE action IN ('NEW', 'DUPLICATE')"""
+
+ORACLE["message_cap"] = """
+SELECT doc_id, CAST(length(text) AS BIGINT) AS original_length,
+       CASE WHEN length(text) > 1000 THEN left(text, 997) || '...' ELSE text END AS validation_message,
+       left(text, 500) AS build_error
+FROM documents"""

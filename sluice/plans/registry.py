@@ -301,3 +301,65 @@ def incremental_check(spark, sf_dir):
         "dataset_name", "processed_uploads", "new_uploads", "needs_rebuild",
         (F.col("latest_processed_at") > F.lit(FX.LAST_BUILD_AT).cast("timestamp_ntz")).alias("newer_by_clock"),
     )
+
+
+# -------------------------------------------------------- registration ----
+
+from sluice.functions.columns import cap_message, cut_message  # noqa: E402
+
+
+def _decisions(spark, sf_dir):
+    files = FX.document_files(spark, sf_dir)
+    inv = files.select("dataset_name", "stored_file_path", "file_hash", "file_size_bytes", "upload_id",
+                       "source_system", "reporting_period", "metadata_error")
+    return MF.register_decisions(inv, FX.registered_manifest(files), FX.DOC_DATASETS)
+
+
+@register("content_hash")
+def content_hash(spark, sf_dir):
+    return FX.document_files(spark, sf_dir).select("doc_id", "file_hash", "file_size_bytes")
+
+
+@register("duplicate_detect")
+def duplicate_detect(spark, sf_dir):
+    files = FX.document_files(spark, sf_dir)
+    first = MF.first_per_content(files, ["dataset_name", "file_hash"], ["stored_file_path"])
+    j = files.join(first, ["dataset_name", "file_hash"], "left")
+    dup = F.col("first_upload_id") != F.col("upload_id")
+    return j.select(
+        "doc_id", "dataset_name", "file_hash",
+        F.when(dup, F.lit(S.DUPLICATE)).otherwise(F.lit(S.RECEIVED)).alias("status"),
+        F.when(dup, F.col("first_upload_id")).alias("duplicate_of_upload_id"),
+    )
+
+
+@register("register_action")
+def register_action(spark, sf_dir):
+    return _decisions(spark, sf_dir).select(
+        "dataset_name", "stored_file_path", "file_hash", "action", "result_upload_id",
+        "duplicate_of_upload_id", "message")
+
+
+@register("manifest_register")
+def manifest_register(spark, sf_dir):
+    ev = MF.registration_events(_decisions(spark, sf_dir), F.lit(FX.MANIFEST_NOW).cast("timestamp_ntz"))
+    return ev.select(
+        "upload_id", "dataset_name", "original_file_name", "stored_file_path", "file_size_bytes", "file_hash",
+        "source_system", "reporting_period", "status", "duplicate_of_upload_id")
+
+
+@register("metadata_clean")
+def metadata_clean(spark, sf_dir):
+    return FX.document_files(spark, sf_dir).select(
+        "doc_id", "source_system", "reporting_period", "metadata_error")
+
+
+@register("message_cap")
+def message_cap(spark, sf_dir):
+    d = FX.table(spark, sf_dir, "documents")
+    return d.select(
+        "doc_id",
+        F.length("text").cast("long").alias("original_length"),
+        cap_message("text").alias("validation_message"),
+        cut_message("text").alias("build_error"),
+    )
