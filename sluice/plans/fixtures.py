@@ -307,3 +307,34 @@ def registered_manifest(files: DataFrame) -> DataFrame:
         (F.lit(REGISTERED_BASE).cast("timestamp_ntz") + F.make_dt_interval(secs=k.cast("decimal(18,6)")))
         .alias("created_at"),
     )
+
+
+# ----------------------------------------------------------- csv lines ----
+
+LINE_HEADER = ("order_code", "order_status", "amount", "priority")
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as CSV records of 8 uploads (L0..L7 by k % 8). Blank line
+    when k % 71 = 0; an extra field when k % 8 = 4 (the whole upload is bad),
+    k % 53 = 0, or k % 64 = 2 (L2 gets ~14 % bad); a missing field when
+    k % 61 = 0."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    fields = [
+        F.concat(F.lit("O"), k.cast("string")),
+        F.col("o_orderstatus"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string"),
+        F.col("o_orderpriority"),
+    ]
+    line = (
+        F.when(_mod(k, 71), F.lit(""))
+        .when(((k % 8) == 4) | _mod(k, 53) | ((k % 64) == 2), F.concat_ws(",", *fields, F.lit("extra")))
+        .when(_mod(k, 61), F.concat_ws(",", *fields[:3]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    return o.select(
+        F.concat(F.lit("L"), (k % 8).cast("string")).alias("upload_id"),
+        k.alias("line_no"),
+        line.alias("line"),
+    )

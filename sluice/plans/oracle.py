@@ -583,3 +583,64 @@ SELECT doc_id, CAST(length(text) AS BIGINT) AS original_length,
        CASE WHEN length(text) > 1000 THEN left(text, 997) || '...' ELSE text END AS validation_message,
        left(text, 500) AS build_error
 FROM documents"""
+
+# ------------------------------------------------------------- csv lines ----
+
+LINES_CTES = """
+lines AS (
+    SELECT 'L' || CAST(o_orderkey % 8 AS VARCHAR) AS upload_id, o_orderkey AS line_no,
+        CASE WHEN o_orderkey % 71 = 0 THEN 'blank'
+             WHEN o_orderkey % 8 = 4 OR o_orderkey % 53 = 0 OR o_orderkey % 64 = 2 THEN 'extra'
+             WHEN o_orderkey % 61 = 0 THEN 'short'
+             ELSE 'ok' END AS kind,
+        'O' || CAST(o_orderkey AS VARCHAR) AS f1, o_orderstatus AS f2,
+        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS f3, o_orderpriority AS f4
+    FROM orders
+),
+parsed AS (
+    SELECT upload_id, line_no, f1 AS order_code, f2 AS order_status, f3 AS amount,
+        CASE WHEN kind = 'short' THEN NULL ELSE f4 END AS priority,
+        CASE WHEN kind = 'extra' THEN concat_ws(',', f1, f2, f3, f4, 'extra')
+             WHEN kind = 'short' THEN concat_ws(',', f1, f2, f3) END AS _corrupt_record
+    FROM lines WHERE kind <> 'blank'
+),
+counts AS (
+    SELECT upload_id, count(*) AS row_count, count(_corrupt_record) AS corrupt_row_count
+    FROM parsed GROUP BY 1
+),
+uploads AS (SELECT DISTINCT upload_id FROM lines),
+gated AS (
+    SELECT u.upload_id, coalesce(c.row_count, 0) AS row_count, coalesce(c.corrupt_row_count, 0) AS corrupt_row_count
+    FROM uploads u LEFT JOIN counts c ON c.upload_id = u.upload_id
+),
+gated2 AS (
+    SELECT *,
+        CASE WHEN row_count = 0 THEN 'The file produced no rows when read.'
+             WHEN corrupt_row_count / row_count > 0.05
+             THEN CAST(corrupt_row_count AS VARCHAR) || ' of ' || CAST(row_count AS VARCHAR) || ' rows ('
+                  || printf('%.1f', round_even(corrupt_row_count / row_count * 100, 1)) || '%) could not be parsed, '
+                  || 'which exceeds the 5% limit. Check the file''s delimiter and encoding.' END AS message
+    FROM gated
+)"""
+
+ORACLE["csv_permissive_scan"] = "WITH " + LINES_CTES + """
+SELECT upload_id, line_no, order_code, order_status, amount, priority, _corrupt_record FROM parsed"""
+
+ORACLE["corrupt_ratio_gate"] = "WITH " + LINES_CTES + """
+SELECT upload_id, row_count, corrupt_row_count, message IS NULL AS accepted, message FROM gated2"""
+
+ORACLE["bronze_outcome"] = "WITH " + LINES_CTES + """
+, src AS (SELECT upload_id, count(*) AS source_row_count FROM lines GROUP BY 1)
+SELECT g.upload_id,
+    CASE WHEN message IS NULL THEN 'PROCESSED' ELSE 'BRONZE_REJECTED' END AS status,
+    CASE WHEN message IS NULL THEN concat_ws(' ',
+            'Loaded ' || CAST(row_count AS VARCHAR) || ' rows into bronze.orders.',
+            CASE WHEN corrupt_row_count > 0 THEN CAST(corrupt_row_count AS VARCHAR) || ' rows could not be parsed.' END,
+            CASE WHEN source_row_count <> row_count THEN 'Note: validation counted '
+                 || CAST(source_row_count AS VARCHAR) || ' rows but bronze wrote ' || CAST(row_count AS VARCHAR) || '.' END)
+         ELSE message END AS validation_message,
+    CASE WHEN message IS NULL THEN row_count ELSE 0 END AS bronze_row_count,
+    CASE WHEN message IS NULL THEN corrupt_row_count ELSE 0 END AS bronze_corrupt_row_count,
+    source_row_count,
+    message IS NULL AS processed
+FROM gated2 g LEFT JOIN src s ON s.upload_id = g.upload_id"""

@@ -363,3 +363,45 @@ def message_cap(spark, sf_dir):
         cap_message("text").alias("validation_message"),
         cut_message("text").alias("build_error"),
     )
+
+
+# ------------------------------------------------------------ csv / bronze ----
+
+from sluice.operators import bronze as BR  # noqa: E402
+from sluice.sources import csv_files as CSV  # noqa: E402
+
+
+def _parsed_lines(spark, sf_dir):
+    return CSV.parse_lines(FX.order_lines(spark, sf_dir), "line", FX.LINE_HEADER)
+
+
+def _gated(spark, sf_dir):
+    lines = FX.order_lines(spark, sf_dir)
+    counts = CSV.count_rows(_parsed_lines(spark, sf_dir), ["upload_id"], "order_code")
+    return BR.gate(counts, lines)
+
+
+@register("csv_permissive_scan")
+def csv_permissive_scan(spark, sf_dir):
+    return _parsed_lines(spark, sf_dir).select("upload_id", "line_no", *FX.LINE_HEADER, "_corrupt_record")
+
+
+@register("corrupt_ratio_gate")
+def corrupt_ratio_gate(spark, sf_dir):
+    return _gated(spark, sf_dir)
+
+
+@register("bronze_outcome")
+def bronze_outcome(spark, sf_dir):
+    src = FX.order_lines(spark, sf_dir).groupBy("upload_id").agg(F.count(F.lit(1)).alias("source_row_count"))
+    out = BR.outcome(_gated(spark, sf_dir), "bronze.orders", F.lit(FX.MANIFEST_NOW).cast("timestamp_ntz"), src)
+    return out.select(
+        "upload_id", "status", "validation_message", "bronze_row_count", "bronze_corrupt_row_count",
+        "source_row_count", F.col("bronze_processed_at").isNotNull().alias("processed"))
+
+
+@register("csv_structure_probe")
+def csv_structure_probe(spark, sf_dir):
+    docs = FX.table(spark, sf_dir, "documents").select("doc_id", CSV.encode_utf8(F.col("text")).alias("content"))
+    probed = CSV.probe_structure(docs, keep=("doc_id",))
+    return probed.select("doc_id", _joined("header"), "row_count", "violation")
