@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import status as S
@@ -133,3 +133,50 @@ def union_shapes(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def scan_uploads(spark: SparkSession, files: DataFrame, ingested_at: Column) -> DataFrame:
+    """Bronze rows of many uploads: one permissive CSV scan per distinct
+    header shape (positional names must match the file), lineage attached,
+    shapes unioned by name.
+
+    ``files``: upload_id, stored_file_path (to read), file_path (reader's
+    encoded form, to join), source_file_name, header. Only the distinct
+    headers and each shape's paths reach the driver - metadata bounded by the
+    number of uploads, never their rows.
+    """
+    from sluice.sources import csv_files as CSV
+
+    shapes = [list(r["header"]) for r in files.select("header").distinct().collect()]
+    frames = []
+    for header in shapes:
+        shape_files = files.where(F.col("header") == F.array(*[F.lit(h) for h in header]))
+        paths = [r[0] for r in shape_files.select("stored_file_path").collect()]
+        scanned = CSV.read_permissive(spark, paths, header)
+        frames.append(attach_lineage(scanned, shape_files.select("file_path", "upload_id", "source_file_name"),
+                                     ingested_at))
+    if not frames:
+        return spark.createDataFrame([], "upload_id string, source_file_name string, ingested_at timestamp")
+    return union_shapes(frames)
+
+
+def load_uploads(spark: SparkSession, files: DataFrame, target: str, staging: str,
+                 ingested_at: Column, limit: float = MAX_CORRUPT_ROW_RATIO) -> DataFrame:
+    """Scan -> stage -> gate -> publish for a batch of uploads of one dataset.
+
+    The CSV is parsed exactly once, into a staging table partitioned by
+    upload (shared storage). Counts come from the staged Parquet (two
+    columns), the gate decides per upload, and only accepted uploads are
+    published to ``target`` by dynamic partition overwrite, so re-running a
+    load replaces its partitions instead of appending twice. Returns the
+    gate result (upload_id, row_count, corrupt_row_count, accepted, message).
+    """
+    scan_uploads(spark, files, ingested_at).write.mode("overwrite").partitionBy("upload_id").parquet(staging)
+    staged = spark.read.option("mergeSchema", "true").parquet(staging)
+    counts = staged.groupBy("upload_id").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("_corrupt_record").alias("corrupt_row_count"))
+    gated = gate(counts, files.select("upload_id"), limit)
+    accepted = gated.where("accepted").select("upload_id")
+    rows = staged.join(F.broadcast(accepted), "upload_id", "left_semi")
+    publish(rows.select(*[c for c in staged.columns if c != "upload_id"], "upload_id"), target)
+    return gated

@@ -168,8 +168,8 @@ def run_uploads(
                      "source_row_count"),
         files, " has changed since it was validated. Register the new version as a new upload.")
     probed = CSV.probe_structure(
-        checked, keep=("upload_id", "dataset_name", "file_path", "original_file_name", "source_row_count",
-                       "file_violation"))
+        checked, keep=("upload_id", "dataset_name", "stored_file_path", "file_path", "original_file_name",
+                       "source_row_count", "file_violation"))
     probed = probed.withColumn("violation", F.coalesce(F.col("file_violation"), F.col("violation")))
     probed.write.mode("overwrite").parquet(f"{run_dir}/bronze_queue")
     probed = spark.read.parquet(f"{run_dir}/bronze_queue")
@@ -179,31 +179,18 @@ def run_uploads(
     outcomes = [bad.select("upload_id", F.lit(0).alias("row_count"), F.lit(0).alias("corrupt_row_count"),
                            F.lit(False).alias("accepted"), F.col("violation").alias("message"),
                            "source_row_count", F.lit("").alias("_table"))]
-    shapes = ok.select("dataset_name", "header").distinct().collect()  # bounded: distinct headers
-    by_dataset: dict[str, list] = {}
-    for r in shapes:
-        by_dataset.setdefault(r["dataset_name"], []).append(list(r["header"]))
-    for dataset, headers in by_dataset.items():
+    datasets = [r[0] for r in ok.select("dataset_name").distinct().collect()]  # bounded: datasets
+    for dataset in datasets:
         ds_files = ok.where(F.col("dataset_name") == dataset)
-        frames = []
-        for header in headers:
-            shape_files = ds_files.where(F.col("header") == F.array(*[F.lit(h) for h in header]))
-            paths = [r[0] for r in shape_files.select("file_path").collect()]
-            scanned = CSV.read_permissive(spark, paths, header)
-            frames.append(BR.attach_lineage(
-                scanned, shape_files.select("file_path", "upload_id",
-                                            F.col("original_file_name").alias("source_file_name")), now_c))
-        staged_path = f"{run_dir}/staging/{dataset}"
-        BR.union_shapes(frames).write.mode("overwrite").partitionBy("upload_id").parquet(staged_path)
-        staged = spark.read.option("mergeSchema", "true").parquet(staged_path)
-        counts = staged.groupBy("upload_id").agg(
-            F.count(F.lit(1)).alias("row_count"), F.count(CSV.CORRUPT_COLUMN).alias("corrupt_row_count"))
-        gated = BR.gate(counts, ds_files.select("upload_id"))
-        gated = gated.join(ds_files.select("upload_id", "source_row_count"), "upload_id", "left")
-        accepted = gated.where("accepted").select("upload_id")
-        publish = staged.join(F.broadcast(accepted), "upload_id", "left_semi")
-        BR.publish(publish.select(*[c for c in staged.columns if c != "upload_id"], "upload_id"),
-                   store.bronze(dataset))
+        gated = BR.load_uploads(
+            spark,
+            ds_files.select("upload_id", "stored_file_path", "file_path",
+                            F.col("original_file_name").alias("source_file_name"), "header"),
+            store.bronze(dataset), f"{run_dir}/staging/{dataset}", now_c,
+        )
+        gated.write.mode("overwrite").parquet(f"{run_dir}/gate/{dataset}")
+        gated = spark.read.parquet(f"{run_dir}/gate/{dataset}").join(
+            ds_files.select("upload_id", "source_row_count"), "upload_id", "left")
         outcomes.append(gated.select("*", F.lit(store.bronze(dataset)).alias("_table")))
     all_gated = BR.union_shapes(outcomes)
     results = BR.outcome(all_gated.drop("source_row_count"), F.col("_table"), now_c,

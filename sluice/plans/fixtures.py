@@ -338,3 +338,64 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("line_no"),
         line.alias("line"),
     )
+
+
+# ----------------------------------------------------- landing on disk ----
+
+WIDE_UPLOADS = ("L1", "L3")
+_LANDING_CACHE: dict[tuple[int, str], str] = {}
+
+
+def order_landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Write the ``order_lines`` uploads as real CSV files, one per upload,
+    into a fresh folder under the shared checkpoint root, and return the
+    dataset -> folder map. L1 and L3 carry a fifth column ``channel`` (their
+    header differs), so a load sees two header shapes.
+
+    Spark writes the files (one task per upload, lines in key order); the
+    driver only renames the eight part files to ``<upload>.csv``. Written
+    once per session and table folder.
+    """
+    from sluice.plans.session import scratch_path
+    from sluice.sources.landing import _fs_path
+
+    key = (id(spark), sf_dir)
+    if key in _LANDING_CACHE:
+        fs, hp = _fs_path(spark, _LANDING_CACHE[key])
+        if fs.exists(hp):
+            return {"orders": _LANDING_CACHE[key]}
+    root = scratch_path(spark, "landing")
+    tmp, final = f"{root}/_write", f"{root}/orders"
+    lines = order_lines(spark, sf_dir)
+    wide = F.col("upload_id").isin(*WIDE_UPLOADS)
+    body = lines.select(
+        "upload_id", "line_no",
+        F.when(wide & (F.length("line") > 0), F.concat(F.col("line"), F.lit(",web"))).otherwise(F.col("line"))
+        .alias("line"),
+    )
+    base = ",".join(LINE_HEADER)
+    headers = lines.select("upload_id").distinct().select(
+        "upload_id", F.lit(-1).cast("long").alias("line_no"),
+        F.when(wide, F.lit(base + ",channel")).otherwise(F.lit(base)).alias("line"),
+    )
+    (
+        body.unionByName(headers)
+        .repartition("upload_id")
+        .sortWithinPartitions("upload_id", "line_no")
+        .select("upload_id", "line")
+        .write.mode("overwrite").partitionBy("upload_id").text(tmp)
+    )
+    fs, tmp_path = _fs_path(spark, tmp)
+    _, final_path = _fs_path(spark, final)
+    fs.mkdirs(final_path)
+    jvm = spark.sparkContext._jvm
+    for st in fs.listStatus(tmp_path):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith("upload_id=")):
+            continue
+        upload = name.split("=", 1)[1]
+        parts = [p for p in fs.listStatus(st.getPath()) if p.getPath().getName().startswith("part-")]
+        for p in parts:
+            fs.rename(p.getPath(), jvm.org.apache.hadoop.fs.Path(final_path, f"{upload}.csv"))
+    _LANDING_CACHE[key] = final
+    return {"orders": final}

@@ -644,3 +644,56 @@ SELECT g.upload_id,
     source_row_count,
     message IS NULL AS processed
 FROM gated2 g LEFT JOIN src s ON s.upload_id = g.upload_id"""
+
+# ------------------------------------------------------- files on disk ----
+
+FILES_CTES = LINES_CTES + """,
+ltext AS (
+    SELECT upload_id, line_no, kind,
+        CASE kind WHEN 'blank' THEN ''
+                  WHEN 'extra' THEN concat_ws(',', f1, f2, f3, f4, 'extra')
+                  WHEN 'short' THEN concat_ws(',', f1, f2, f3)
+                  ELSE concat_ws(',', f1, f2, f3, f4) END AS line
+    FROM lines
+),
+body AS (
+    SELECT upload_id, line_no, kind,
+        CASE WHEN upload_id IN ('L1', 'L3') AND line <> '' THEN line || ',web' ELSE line END AS line
+    FROM ltext
+),
+hdr AS (
+    SELECT DISTINCT upload_id, CAST(-1 AS BIGINT) AS line_no, 'header' AS kind,
+        CASE WHEN upload_id IN ('L1', 'L3') THEN 'order_code,order_status,amount,priority,channel'
+             ELSE 'order_code,order_status,amount,priority' END AS line
+    FROM body
+),
+content AS (
+    SELECT upload_id, string_agg(line || chr(10), '' ORDER BY line_no) AS content
+    FROM (SELECT * FROM body UNION ALL SELECT * FROM hdr) GROUP BY 1
+),
+file_rows AS (SELECT * FROM body WHERE kind <> 'blank')"""
+
+ORACLE["landing_inventory"] = "WITH " + FILES_CTES + """
+SELECT 'orders' AS dataset_name, upload_id || '.csv' AS original_file_name,
+       CAST(strlen(content) AS BIGINT) AS file_size_bytes, sha256(content) AS file_hash
+FROM content"""
+
+ORACLE["change_detection"] = "WITH " + FILES_CTES + """
+SELECT upload_id, CASE upload_id WHEN 'L6' THEN 'MISSING' WHEN 'L5' THEN 'CHANGED' ELSE 'UNCHANGED' END AS file_state
+FROM content"""
+
+ORACLE["bronze_lineage"] = "WITH " + FILES_CTES + """
+SELECT upload_id, upload_id || '.csv' AS source_file_name, count(*) AS n_rows,
+       count(*) FILTER (WHERE kind IN ('extra', 'short')) AS n_corrupt, count(*) AS n_keyed
+FROM file_rows GROUP BY upload_id"""
+
+ORACLE["bronze_schema_merge"] = "WITH " + FILES_CTES + """
+SELECT upload_id, count(*) AS n_rows,
+       CASE WHEN upload_id IN ('L1', 'L3') THEN count(*) FILTER (WHERE kind IN ('ok', 'extra')) ELSE 0 END
+           AS n_channel,
+       CASE WHEN upload_id IN ('L1', 'L3') THEN count(*) ELSE count(*) FILTER (WHERE kind <> 'short') END
+           AS n_priority
+FROM file_rows GROUP BY upload_id"""
+
+ORACLE["bronze_idempotent_load"] = "WITH " + FILES_CTES + """
+SELECT upload_id, row_count AS n_rows FROM gated2 WHERE message IS NULL"""

@@ -405,3 +405,76 @@ def csv_structure_probe(spark, sf_dir):
     docs = FX.table(spark, sf_dir, "documents").select("doc_id", CSV.encode_utf8(F.col("text")).alias("content"))
     probed = CSV.probe_structure(docs, keep=("doc_id",))
     return probed.select("doc_id", _joined("header"), "row_count", "violation")
+
+
+# ----------------------------------------------------- files on disk ----
+
+from sluice.sources import landing as LD  # noqa: E402
+
+
+def _landing_files(spark, sf_dir):
+    dirs = FX.order_landing(spark, sf_dir)
+    inv = LD.inventory(spark, dirs, min_age_seconds=0, with_content=True)
+    probed = CSV.probe_structure(
+        inv, keep=("dataset_name", "stored_file_path", "file_path", "original_file_name", "file_hash"))
+    return probed.select(
+        F.regexp_extract("original_file_name", r"^(.*)\.csv$", 1).alias("upload_id"),
+        "stored_file_path", "file_path", F.col("original_file_name").alias("source_file_name"), "header",
+        "row_count", "file_hash",
+    )
+
+
+def _landing_bronze(spark, sf_dir):
+    files = _landing_files(spark, sf_dir)
+    return BR.scan_uploads(spark, files, F.lit(FX.MANIFEST_NOW).cast("timestamp_ntz"))
+
+
+@register("landing_inventory")
+def landing_inventory(spark, sf_dir):
+    inv = LD.inventory(spark, FX.order_landing(spark, sf_dir), min_age_seconds=0)
+    return inv.select("dataset_name", "original_file_name", "file_size_bytes", "file_hash")
+
+
+@register("change_detection")
+def change_detection(spark, sf_dir):
+    dirs = FX.order_landing(spark, sf_dir)
+    files = LD.inventory(spark, dirs, min_age_seconds=0)
+    up = F.regexp_extract("original_file_name", r"^(.*)\.csv$", 1)
+    # What registration recorded: L5 with older contents, L6 at a path that is gone.
+    registered = files.select(
+        up.alias("upload_id"),
+        F.when(up == "L6", F.regexp_replace("stored_file_path", r"\.csv$", "_old.csv"))
+        .otherwise(F.col("stored_file_path")).alias("stored_file_path"),
+        F.when(up == "L5", F.sha2(F.lit("older contents"), 256)).otherwise(F.col("file_hash")).alias("file_hash"),
+    )
+    checked = LD.change_check(registered, files, " has changed since it was registered.")
+    return checked.select("upload_id", "file_state")
+
+
+@register("bronze_lineage")
+def bronze_lineage(spark, sf_dir):
+    b = _landing_bronze(spark, sf_dir)
+    return b.groupBy("upload_id", "source_file_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("_corrupt_record").alias("n_corrupt"),
+        F.count("order_code").alias("n_keyed"))
+
+
+@register("bronze_schema_merge")
+def bronze_schema_merge(spark, sf_dir):
+    b = _landing_bronze(spark, sf_dir)
+    return b.groupBy("upload_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("channel").alias("n_channel"),
+        F.count("priority").alias("n_priority"))
+
+
+@register("bronze_idempotent_load")
+def bronze_idempotent_load(spark, sf_dir):
+    from sluice.plans.session import scratch_path
+
+    files = _landing_files(spark, sf_dir)
+    target = scratch_path(spark, "bronze")
+    for attempt in range(2):  # the second load replaces the first, it never appends
+        BR.load_uploads(spark, files, target, scratch_path(spark, f"staging{attempt}"),
+                        F.lit(FX.MANIFEST_NOW).cast("timestamp_ntz")).collect()
+    loaded = spark.read.option("mergeSchema", "true").parquet(target)
+    return loaded.groupBy("upload_id").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -154,5 +154,10 @@ def change_check(manifest: DataFrame, files: DataFrame, changed_text: str) -> Da
         .when(F.col("_disk_hash") != F.col("file_hash"),
               F.concat(F.lit("The file at "), path, F.lit(changed_text)))
     )
+    state = (
+        F.when(F.col("_p").isNull(), F.lit("MISSING"))
+        .when(F.col("_disk_hash") != F.col("file_hash"), F.lit("CHANGED"))
+        .otherwise(F.lit("UNCHANGED"))
+    )
     return joined.select(*manifest.columns, *[c for c in ("content", "file_path") if c in files.columns],
-                         violation.alias("file_violation"))
+                         violation.alias("file_violation"), state.alias("file_state"))

@@ -35,7 +35,7 @@ def landing(tmp_path):
     le, st = root / "lenient", root / "strict"
     _write(str(le / "clean.csv"), HEADER + "P1,Alpha,Active\nP2,Beta,Closed\nP3,Gamma,Active\n")
     _write(str(le / "copy of clean.csv"), HEADER + "P1,Alpha,Active\nP2,Beta,Closed\nP3,Gamma,Active\n")
-    _write(str(le / "excel.CSV"), "Project ID,Project Name,Project Status\nP4,Delta,Active\nP5,Eps,Closed\n")
+    _write(str(le / "excel export.CSV"), "Project ID,Project Name,Project Status\nP4,Delta,Active\nP5,Eps,Closed\n")
     _write(str(le / "extra.csv"), HEADER.strip() + ",project_region\nP6,Zeta,Active,North\nP7,Eta,Active,South\n")
     good = "".join(f"G{i},Name {i},Active\n" for i in range(98))
     _write(str(le / "mostly_good.csv"), HEADER + good + "B1,x,y,z\nB2,x,y,z\n")
@@ -68,7 +68,7 @@ def test_upload_run_end_to_end(spark, landing, tmp_path):
     assert st["clean.csv"]["status"] == S.PROCESSED
     assert st["clean.csv"]["bronze_row_count"] == 3 and st["clean.csv"]["bronze_corrupt_row_count"] == 0
     assert st["copy of clean.csv"]["status"] == S.DUPLICATE
-    assert st["excel.CSV"]["status"] == S.PROCESSED
+    assert st["excel export.CSV"]["status"] == S.PROCESSED
     assert st["extra.csv"]["status"] in (S.PROCESSED, S.REJECTED)  # two files share the name
     assert st["mostly_good.csv"]["status"] == S.PROCESSED
     assert st["mostly_good.csv"]["bronze_corrupt_row_count"] == 2
