@@ -117,8 +117,12 @@ def run_uploads(
     dataset_dirs: Mapping[str, str],
     now: _dt.datetime,
     min_age_seconds: int = LD.MIN_FILE_AGE_SECONDS,
+    inventory: DataFrame | None = None,
 ) -> dict:
-    """One upload run: release stale claims, register, validate, load bronze."""
+    """One upload run: release stale claims, register, validate, load bronze.
+
+    ``inventory`` (optional) replaces the landing scan, e.g. with the files a
+    streaming micro-batch discovered."""
     now_c = F.lit(now)
     run_seq = int(now.timestamp())
     seq = lambda step: run_seq * 100 + step
@@ -130,7 +134,7 @@ def run_uploads(
                   store, seq(0), now_c)
 
     # 1. Register every landing file in one plan.
-    inv = LD.inventory(spark, dataset_dirs, now_c, min_age_seconds)
+    inv = inventory if inventory is not None else LD.inventory(spark, dataset_dirs, now_c, min_age_seconds)
     inv = inv.withColumn("upload_id", upload_id_for(F.col("stored_file_path"), F.col("file_hash")))
     m = current_manifest(spark, store).select("upload_id", "dataset_name", "stored_file_path", "file_hash", "created_at")
     decisions = MF.register_decisions(

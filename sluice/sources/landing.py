@@ -115,6 +115,15 @@ def inventory(
     if not dirs:
         return spark.createDataFrame([], schema)
     raw = read_files(spark, list(dirs.values()))
+    return inventory_from(raw, dirs, now, min_age_seconds, with_content)
+
+
+def inventory_from(raw: DataFrame, dirs: Mapping[str, str], now: Column | None = None,
+                   min_age_seconds: int = MIN_FILE_AGE_SECONDS, with_content: bool = False) -> DataFrame:
+    """Inventory columns from binaryFile-shaped rows (batch or stream batch);
+    ``dirs`` maps dataset -> qualified folder."""
+    if "file_path" not in raw.columns:
+        raw = raw.withColumn("file_path", F.col("_metadata.file_path"))
     parent = F.regexp_extract(F.col("path"), r"^(.*)/[^/]+$", 1)
     folder_map = F.create_map(*[x for name, d in dirs.items() for x in (F.lit(d), F.lit(name))])
     cols = [
