@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import status as S
 from sluice.functions.columns import cap_message
+from sluice.functions.sizing import bounded_broadcast
 
 # Fixed value: strictly more than this share of unparseable rows rejects.
 MAX_CORRUPT_ROW_RATIO = 0.05
@@ -102,11 +103,11 @@ def attach_lineage(scanned: DataFrame, files: DataFrame, ingested_at: Column,
 
     ``files`` maps the reader's ``_metadata.file_path`` (percent-encoded, taken
     from the same reader on both sides) to the upload. It holds one row per
-    file of the run, so it is broadcast: bounded by the number of uploads,
-    never by their size.
+    file of the run (bounded by the number of uploads, never by their size),
+    so it is broadcast after a size check.
     """
     lineage = files.select(F.col("file_path").alias(path_col), "upload_id", "source_file_name")
-    joined = scanned.join(F.broadcast(lineage), path_col, "inner")
+    joined = scanned.join(bounded_broadcast(lineage), path_col, "inner")
     return joined.select(
         *[c for c in scanned.columns if c != path_col],
         "upload_id",
@@ -147,12 +148,19 @@ def scan_uploads(spark: SparkSession, files: DataFrame, ingested_at: Column) ->
     """
     from sluice.sources import csv_files as CSV
 
-    shapes = [list(r["header"]) for r in files.select("header").distinct().collect()]
+    if "multiline" not in files.columns:
+        files = files.withColumn("multiline", F.lit(True))
+    files = files.withColumn("multiline", F.coalesce(F.col("multiline"), F.lit(True)))
+    shapes = [(list(r["header"]), r["multiline"])
+              for r in files.select("header", "multiline").distinct().collect()]
     frames = []
-    for header in shapes:
-        shape_files = files.where(F.col("header") == F.array(*[F.lit(h) for h in header]))
+    for header, multiline in shapes:
+        shape_files = files.where(
+            (F.col("header") == F.array(*[F.lit(h) for h in header])) & (F.col("multiline") == F.lit(multiline)))
         paths = [r[0] for r in shape_files.select("stored_file_path").collect()]
-        scanned = CSV.read_permissive(spark, paths, header)
+        # Files with no quoted line break are read splittably (a huge upload
+        # becomes many tasks); only files that need it use whole-file parsing.
+        scanned = CSV.read_permissive(spark, paths, header, multi_line=multiline)
         frames.append(attach_lineage(scanned, shape_files.select("file_path", "upload_id", "source_file_name"),
                                      ingested_at))
     if not frames:
@@ -171,12 +179,24 @@ def load_uploads(spark: SparkSession, files: DataFrame, target: str, staging: st
     load replaces its partitions instead of appending twice. Returns the
     gate result (upload_id, row_count, corrupt_row_count, accepted, message).
     """
-    scan_uploads(spark, files, ingested_at).write.mode("overwrite").partitionBy("upload_id").parquet(staging)
-    staged = spark.read.option("mergeSchema", "true").parquet(staging)
+    staged = stage_uploads(spark, files, staging, ingested_at)
     counts = staged.groupBy("upload_id").agg(
         F.count(F.lit(1)).alias("row_count"), F.count("_corrupt_record").alias("corrupt_row_count"))
     gated = gate(counts, files.select("upload_id"), limit)
     accepted = gated.where("accepted").select("upload_id")
-    rows = staged.join(F.broadcast(accepted), "upload_id", "left_semi")
+    rows = staged.join(bounded_broadcast(accepted), "upload_id", "left_semi")
     publish(rows.select(*[c for c in staged.columns if c != "upload_id"], "upload_id"), target)
     return gated
+
+
+def stage_uploads(spark: SparkSession, files: DataFrame, staging: str, ingested_at: Column) -> DataFrame:
+    """Parse the uploads once into a staging table (partitioned by upload,
+    in shared storage) and return it read back.
+
+    Counting straight off a CSV scan is unsafe: when a query needs only a
+    few columns, Spark prunes the parse and a line with too many fields is
+    no longer seen as malformed. Writing every column forces the full parse,
+    and the staged Parquet is what all counts and the publish read.
+    """
+    scan_uploads(spark, files, ingested_at).write.mode("overwrite").partitionBy("upload_id").parquet(staging)
+    return spark.read.option("mergeSchema", "true").parquet(staging)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +44,6 @@ def link_status(labels: Sequence[str]) -> Column:
     if n == 0:
         return F.lit(VALID)
     # Enumerate missing-sets from largest to smallest so the most specific wins.
-    from itertools import combinations
-
     expr = None
     for size in range(n, 0, -1):
         for combo in combinations(range(n), size):
@@ -130,11 +129,26 @@ def mapping_coverage(entities: DataFrame, entity_key: str, links: DataFrame, lin
 
 
 def mapping_coverage_raw(entities: DataFrame, entity_key: str, links: DataFrame, link_key: str) -> DataFrame:
-    """The documented form, kept literally: ``count(*)`` after a one-to-many
-    left join, so an entity with several links counts several times."""
-    valid = links.where(F.col("link_status") == VALID).select(F.col(link_key).alias("_m"))
-    joined = entities.select(F.col(entity_key).alias("_k")).join(valid, F.col("_k") == F.col("_m"), "left")
-    agg = joined.agg(F.count(F.lit(1)).alias("entities"), F.count_distinct("_m").alias("mapped"))
+    """The documented form's numbers: ``count(*)`` after a one-to-many left
+    join (an entity with several VALID links counts several times),
+    ``count(DISTINCT mapped)``.
+
+    Computed without materialising the fan-out: VALID links are first
+    counted per key (partial aggregation absorbs a hot key), the entity side
+    joins that one-row-per-key table, and each entity contributes
+    ``max(1, links)`` rows - the same totals as the literal join.
+    """
+    per_key = (
+        links.where(F.col("link_status") == VALID)
+        .where(F.col(link_key).isNotNull())
+        .groupBy(F.col(link_key).alias("_m"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    joined = entities.select(F.col(entity_key).alias("_k")).join(per_key, F.col("_k") == F.col("_m"), "left")
+    agg = joined.agg(
+        F.coalesce(F.sum(F.coalesce(F.col("_n"), F.lit(1))), F.lit(0)).cast("long").alias("entities"),
+        F.count_distinct("_m").alias("mapped"),
+    )
     return agg.select(
         "entities",
         "mapped",

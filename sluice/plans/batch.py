@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sluice.contracts import Contract, contracts_frame
 from sluice.functions import status as S
+from sluice.functions.sizing import bounded_broadcast
 from sluice.operators import bronze as BR
 from sluice.operators import links as L
 from sluice.operators import manifest as MF
@@ -189,7 +190,7 @@ def run_uploads(
         gated = BR.load_uploads(
             spark,
             ds_files.select("upload_id", "stored_file_path", "file_path",
-                            F.col("original_file_name").alias("source_file_name"), "header"),
+                            F.col("original_file_name").alias("source_file_name"), "header", "multiline"),
             store.bronze(dataset), f"{run_dir}/staging/{dataset}", now_c,
         )
         gated.write.mode("overwrite").parquet(f"{run_dir}/gate/{dataset}")
@@ -230,7 +231,7 @@ def read_bronze(spark: SparkSession, store: Store, dataset: str) -> DataFrame:
     rejected attempt are never visible); the id list is bounded by uploads."""
     bronze = spark.read.option("mergeSchema", "true").parquet(store.bronze(dataset))
     done = processed_uploads(spark, store).where(F.col("dataset_name") == dataset).select("upload_id")
-    return bronze.join(F.broadcast(done), "upload_id", "left_semi")
+    return bronze.join(bounded_broadcast(done), "upload_id", "left_semi")
 
 
 def run_silver(

@@ -377,7 +377,7 @@ def _parsed_lines(spark, sf_dir):
 
 def _gated(spark, sf_dir):
     lines = FX.order_lines(spark, sf_dir)
-    counts = CSV.count_rows(_parsed_lines(spark, sf_dir), ["upload_id"], "order_code")
+    counts = CSV.count_rows(_parsed_lines(spark, sf_dir), ["upload_id"])
     return BR.gate(counts, lines)
 
 
@@ -420,13 +420,16 @@ def _landing_files(spark, sf_dir):
     return probed.select(
         F.regexp_extract("original_file_name", r"^(.*)\.csv$", 1).alias("upload_id"),
         "stored_file_path", "file_path", F.col("original_file_name").alias("source_file_name"), "header",
-        "row_count", "file_hash",
+        "row_count", "file_hash", "multiline",
     )
 
 
 def _landing_bronze(spark, sf_dir):
+    from sluice.plans.session import scratch_path
+
     files = _landing_files(spark, sf_dir)
-    return BR.scan_uploads(spark, files, F.lit(FX.MANIFEST_NOW).cast("timestamp_ntz"))
+    return BR.stage_uploads(spark, files, scratch_path(spark, "staging"),
+                            F.lit(FX.MANIFEST_NOW).cast("timestamp_ntz"))
 
 
 @register("landing_inventory")
