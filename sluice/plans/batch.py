@@ -302,3 +302,15 @@ def run(spark: SparkSession, store: Store, contracts: Mapping[str, Contract],
     if summary["uploads"]["errors"] or failed:
         raise RuntimeError(f"Pipeline run finished with errors: {summary}")
     return summary
+
+
+def create_silver_tables(spark: SparkSession, store: Store, contracts: Mapping[str, Contract]) -> list[str]:
+    """Set-up step: an empty silver table per dataset, typed by its contract
+    (existing tables are left alone)."""
+    made = []
+    for dataset, contract in contracts.items():
+        path = store.silver(dataset)
+        if not _exists(spark, path):
+            spark.createDataFrame([], contract.silver_schema()).write.parquet(path)
+            made.append(dataset)
+    return made

@@ -157,21 +157,30 @@ def header_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = (k % len(HEADER_DATASETS)).cast("int") + 1
     names = F.array(*[F.lit(n) for n in HEADER_DATASETS])
     bases = F.array(*[F.array(*[F.lit(s.name) for s in contracts[n].columns]) for n in HEADER_DATASETS])
-    h = F.element_at(bases, idx)
-    h = F.when(_mod(k, 5), F.concat(F.slice(h, 1, 1), F.slice(h, 3, 1000))).otherwise(h)
-    h = F.when(_mod(k, 7), F.concat(h, F.slice(h, 1, 1))).otherwise(h)
-    h = F.when(_mod(k, 3), F.concat(h, F.array(F.concat(F.lit("extra_"), (k % 4).cast("string"))))).otherwise(h)
-    h = F.when(_mod(k, 13), F.concat(h, F.array(F.lit("  ")))).otherwise(h)
+    # One projection per step, so each step references a column instead of
+    # repeating the previous step's expression tree.
+    h = F.col("h")
+    steps = [
+        F.when(_mod(k, 5), F.concat(F.slice(h, 1, 1), F.slice(h, 3, 1000))).otherwise(h),
+        F.when(_mod(k, 7), F.concat(h, F.slice(h, 1, 1))).otherwise(h),
+        F.when(_mod(k, 3), F.concat(h, F.array(F.concat(F.lit("extra_"), (k % 4).cast("string"))))).otherwise(h),
+        F.when(_mod(k, 13), F.concat(h, F.array(F.lit("  ")))).otherwise(h),
+    ]
+    df = c.select("c_custkey", "c_nationkey", F.element_at(bases, idx).alias("h"), F.element_at(names, idx)
+                  .alias("dataset_name"))
+    for step in steps:
+        df = df.select("c_custkey", "c_nationkey", "dataset_name", step.alias("h"))
     raw = (
         F.when(_mod(k, 2), F.transform(h, lambda x: F.upper(F.replace(x, F.lit("_"), F.lit(" ")))))
         .when(_mod(k, 9), F.transform(h, lambda x: F.concat(F.lit(" "), F.replace(x, F.lit("_"), F.lit(".")), F.lit(" "))))
         .otherwise(h)
     )
-    return c.select(
+    df = df.select("c_custkey", "c_nationkey", "dataset_name", raw.alias("raw_header"))
+    return df.select(
         k.alias("upload_id"),
-        F.element_at(names, idx).alias("dataset_name"),
-        raw.alias("raw_header"),
-        F.transform(raw, normalise_name).alias("header"),
+        "dataset_name",
+        "raw_header",
+        F.transform("raw_header", normalise_name).alias("header"),
         (F.col("c_nationkey") + 1).cast("long").alias("row_count"),
     )
 
