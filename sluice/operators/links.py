@@ -124,7 +124,7 @@ def mapping_coverage(entities: DataFrame, entity_key: str, links: DataFrame, lin
     return agg.select(
         "entities",
         "mapped",
-        F.round(F.lit(100.0) * F.col("mapped") / F.col("entities"), 1).alias("pct"),
+        F.round(F.try_divide(F.lit(100.0) * F.col("mapped"), F.col("entities")), 1).alias("pct"),
     )
 
 
@@ -152,7 +152,7 @@ def mapping_coverage_raw(entities: DataFrame, entity_key: str, links: DataFrame,
     return agg.select(
         "entities",
         "mapped",
-        F.round(F.lit(100.0) * F.col("mapped") / F.col("entities"), 1).alias("pct"),
+        F.round(F.try_divide(F.lit(100.0) * F.col("mapped"), F.col("entities")), 1).alias("pct"),
     )
 
 

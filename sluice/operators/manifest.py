@@ -173,7 +173,7 @@ def release_stale(manifest: DataFrame, now, minutes: int = S.STALE_CLAIM_MINUTES
     ).select(
         "upload_id",
         F.col("status").alias("old_status"),
-        F.element_at(mapping, F.col("status")).alias("new_status"),
+        F.try_element_at(mapping, F.col("status")).alias("new_status"),
         F.lit(S.STALE_MESSAGE).alias("validation_message"),
     )
 

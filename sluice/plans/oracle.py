@@ -279,7 +279,7 @@ outcome AS (
                 CASE WHEN reject_unexpected AND len(unexpected) > 0
                      THEN 'Unexpected columns: ' || array_to_string(unexpected, ', ') END)
             END) AS msg,
-        CASE WHEN violation IS NOT NULL THEN 0 ELSE c_nationkey + 1 END AS source_row_count,
+        CAST(CASE WHEN violation IS NOT NULL THEN 0 ELSE c_nationkey + 1 END AS BIGINT) AS source_row_count,
         CASE WHEN violation IS NOT NULL THEN []::VARCHAR[] ELSE missing END AS missing_columns,
         CASE WHEN violation IS NOT NULL THEN []::VARCHAR[] ELSE unexpected END AS unexpected_columns,
         CASE WHEN violation IS NOT NULL THEN []::VARCHAR[] ELSE duplicate END AS duplicate_columns

@@ -127,7 +127,7 @@ def inventory_from(raw: DataFrame, dirs: Mapping[str, str], now: Column | None =
     parent = F.regexp_extract(F.col("path"), r"^(.*)/[^/]+$", 1)
     folder_map = F.create_map(*[x for name, d in dirs.items() for x in (F.lit(d), F.lit(name))])
     cols = [
-        F.element_at(folder_map, parent).alias("dataset_name"),
+        F.try_element_at(folder_map, parent).alias("dataset_name"),
         F.col("path").alias("stored_file_path"),
         F.col("file_path"),
         F.element_at(F.split(F.col("path"), "/"), -1).alias("original_file_name"),
