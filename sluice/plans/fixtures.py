@@ -323,12 +323,25 @@ def registered_manifest(files: DataFrame) -> DataFrame:
 LINE_HEADER = ("order_code", "order_status", "amount", "priority")
 
 
+# One upload per this many orders (at least 8 uploads), so the number of
+# upload files - and the tasks that write and read them - grows with the data.
+ORDERS_PER_UPLOAD = 1_000_000
+MIN_UPLOADS = 8
+
+
+def upload_count(orders: DataFrame) -> int:
+    """Uploads the orders are split into (a metadata-sized count job)."""
+    n = orders.count()
+    return max(MIN_UPLOADS, -(-n // ORDERS_PER_UPLOAD))
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders`` as CSV records of 8 uploads (L0..L7 by k % 8). Blank line
-    when k % 71 = 0; an extra field when k % 8 = 4 (the whole upload is bad),
-    k % 53 = 0, or k % 64 = 2 (L2 gets ~14 % bad); a missing field when
-    k % 61 = 0."""
+    """``orders`` as CSV records of N uploads (L0..L<N-1> by k % N, N from
+    ``upload_count``; 8 up to 8M orders). Blank line when k % 71 = 0; an
+    extra field when k % N = 4 (that whole upload is bad), k % 53 = 0, or
+    k % 64 = 2 (~14 % of L2 at N = 8); a missing field when k % 61 = 0."""
     o = table(spark, sf_dir, "orders")
+    n_up = upload_count(o)
     k = F.col("o_orderkey")
     fields = [
         F.concat(F.lit("O"), k.cast("string")),
@@ -338,12 +351,12 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     line = (
         F.when(_mod(k, 71), F.lit(""))
-        .when(((k % 8) == 4) | _mod(k, 53) | ((k % 64) == 2), F.concat_ws(",", *fields, F.lit("extra")))
+        .when(((k % n_up) == 4) | _mod(k, 53) | ((k % 64) == 2), F.concat_ws(",", *fields, F.lit("extra")))
         .when(_mod(k, 61), F.concat_ws(",", *fields[:3]))
         .otherwise(F.concat_ws(",", *fields))
     )
     return o.select(
-        F.concat(F.lit("L"), (k % 8).cast("string")).alias("upload_id"),
+        F.concat(F.lit("L"), (k % n_up).cast("string")).alias("upload_id"),
         k.alias("line_no"),
         line.alias("line"),
     )
@@ -361,9 +374,9 @@ def order_landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     dataset -> folder map. L1 and L3 carry a fifth column ``channel`` (their
     header differs), so a load sees two header shapes.
 
-    Spark writes the files (one task per upload, lines in key order); the
-    driver only renames the eight part files to ``<upload>.csv``. Written
-    once per session and table folder.
+    Spark writes the files (each upload's lines in key order, uploads spread
+    over the shuffle partitions); the driver only renames one part file per
+    upload to ``<upload>.csv``. Written once per session and table folder.
     """
     from sluice.plans.session import scratch_path
     from sluice.sources.landing import _fs_path

@@ -481,3 +481,9 @@ def bronze_idempotent_load(spark, sf_dir):
                         F.lit(FX.MANIFEST_NOW).cast("timestamp_ntz")).collect()
     loaded = spark.read.option("mergeSchema", "true").parquet(target)
     return loaded.groupBy("upload_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("unexpected_columns_by_name")
+def unexpected_columns_by_name(spark, sf_dir):
+    manifest = V.validation_outcome(_checked_headers(spark, sf_dir))
+    return Q.unexpected_columns_exploded(manifest)
