@@ -281,5 +281,22 @@ def status_event(df: DataFrame, status: Column | str, message: Column | None = N
     return df.select(*cols)
 
 
+def to_column(value) -> Column:
+    """A Python value as a typed manifest column: lists become
+    ``array<string>``, text is capped, anything else a literal."""
+    if isinstance(value, (list, tuple)):
+        return F.array(*[F.lit(str(v)) for v in value]).cast("array<string>")
+    if isinstance(value, str):
+        return cap_message(F.lit(value))
+    return F.lit(value)
+
+
+def manual_update(spark: SparkSession, upload_ids: Iterable[str], values: dict) -> DataFrame:
+    """Sparse events for a hand-made change (e.g. send uploads back to
+    RECEIVED): only the given columns are set; append them with a new seq."""
+    ids = spark.createDataFrame([(u,) for u in upload_ids], "upload_id string")
+    return ids.select("upload_id", *[to_column(v).alias(k) for k, v in values.items()])
+
+
 def empty_events(spark: SparkSession, ts_type: T.DataType = T.TimestampType()) -> DataFrame:
     return spark.createDataFrame([], event_schema(ts_type))

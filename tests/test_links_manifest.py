@@ -91,3 +91,13 @@ def test_register_decisions(spark):
     assert got["/l/projects/d.csv"].action == "NEW"
     assert got["/l/projects/e.csv"].action == "DUPLICATE" and got["/l/projects/e.csv"].duplicate_of_upload_id == "id_d"
     assert got["/l/other/x.csv"].action == "UNKNOWN_DATASET"
+
+
+def test_manual_update_sets_only_given_columns(spark):
+    base = _events(spark, [("u", 1, "REJECTED", "bad header", ["x"])])
+    fix = MF.manual_update(spark, ["u"], {"status": "RECEIVED", "missing_columns": [],
+                                          "validation_message": "y" * 1500})
+    ev = base.unionByName(MF.as_events(fix, F.lit(2), F.lit(dt.datetime(2026, 1, 2))))
+    r = MF.fold(ev).first()
+    assert r.status == "RECEIVED" and r.missing_columns == []
+    assert len(r.validation_message) == 1000 and r.validation_message.endswith("...")
