@@ -126,10 +126,14 @@ def drift_guard(bronze_columns: DataFrame, rules: DataFrame) -> DataFrame:
     headers of every loaded upload. The column union is an aggregate per
     dataset (bounded by the width of the files, not their length).
     """
-    available = bronze_columns.groupBy("dataset_name").agg(
-        F.array_sort(F.collect_set("column_name")).alias("available_columns")
+    names = rules.select("dataset_name")
+    available = (
+        bronze_columns.join(F.broadcast(names), "dataset_name", "left_semi")
+        .groupBy("dataset_name")
+        .agg(F.array_sort(F.collect_set("column_name")).alias("available_columns"))
     )
-    joined = F.broadcast(rules).join(available, "dataset_name", "left")
+    # One row per configured dataset on both sides: broadcast is config-bounded.
+    joined = rules.join(F.broadcast(available), "dataset_name", "left")
     avail = F.coalesce(F.col("available_columns"), F.array().cast("array<string>"))
     missing = F.array_sort(F.array_except(F.col("required_columns"), avail))
     return joined.select(
