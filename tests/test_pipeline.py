@@ -137,3 +137,40 @@ def test_silver_and_links_from_files(spark, tmp_path):
     # unchanged bronze: the next silver run skips
     again = {s["dataset"]: s for s in batch.run_silver(spark, store, PRODUCTION_CONTRACTS, NOW)}
     assert again["applications"].get("skipped") is True
+
+
+def test_crashed_load_is_released_and_reloaded_without_duplicates(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from sluice.operators import manifest as MF
+
+    c = {"lenient": CONTRACTS["lenient"]}
+    land = tmp_path / "landing"
+    _write(str(land / "p.csv"), HEADER + "P1,A,Active\nP2,B,Active\nP3,C,Active\n")
+    store = batch.Store(str(tmp_path / "store"))
+    batch.run_uploads(spark, store, c, {"lenient": str(land)}, NOW)
+    uid = batch.current_manifest(spark, store).first().upload_id
+
+    # A later run died mid-load: the upload sits in PROCESSING and bronze
+    # holds a partial, unrecorded write for it.
+    crash = NOW + dt.timedelta(hours=1)
+    batch.append_events(MF.manual_update(spark, [uid], {"status": S.PROCESSING}), store,
+                        int(crash.timestamp()) * 100 + 50, F.lit(crash))
+    junk = spark.createDataFrame([("JUNK", None, None, None, "x", NOW, uid)],
+                                 "project_id string, project_name string, project_status string, "
+                                 "_corrupt_record string, source_file_name string, ingested_at timestamp, "
+                                 "upload_id string")
+    junk.write.mode("append").partitionBy("upload_id").parquet(store.bronze("lenient"))
+
+    # Ten minutes later the claim is still fresh: nothing may touch it.
+    early = batch.run_uploads(spark, store, c, {"lenient": str(land)}, crash + dt.timedelta(minutes=10))
+    assert early["released"] == 0 and early["loaded"] == 0
+    assert batch.current_manifest(spark, store).first().status == S.PROCESSING
+
+    # Past the stale limit it is released to BRONZE_FAILED and reloaded.
+    late = batch.run_uploads(spark, store, c, {"lenient": str(land)}, crash + dt.timedelta(minutes=45))
+    assert late["released"] == 1 and late["loaded"] == 1
+    assert batch.current_manifest(spark, store).first().status == S.PROCESSED
+    ids = sorted(r.project_id for r in spark.read.option("mergeSchema", "true").parquet(store.bronze("lenient"))
+                 .where(F.col("upload_id") == uid).collect())
+    assert ids == ["P1", "P2", "P3"]  # the partial write was replaced, not appended to
