@@ -74,6 +74,17 @@ def append_events(df: DataFrame, store: Store, seq: int, now: Column) -> None:
     MF.as_events(df, F.lit(seq), now).write.mode("append").parquet(store.manifest_events)
 
 
+def event_seq(now: _dt.datetime, step: int = 0) -> int:
+    """Ordering key of the events a run (or a single-upload call) appends:
+    its clock in microseconds, then the step within the run."""
+    return int(now.timestamp() * 1_000_000) * 100 + step
+
+
+def _run(store: Store, now: _dt.datetime) -> tuple[Column, int, str]:
+    run_seq = event_seq(now) // 100
+    return F.lit(now), run_seq, store.run_dir(run_seq)
+
+
 def upload_id_for(path: Column, file_hash: Column) -> Column:
     """Deterministic upload id: a retried registration yields the same id."""
     return F.substring(F.sha2(F.concat_ws(":", path, file_hash), 256), 1, 32)
@@ -102,53 +113,47 @@ def _files_with_content(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def _claim(spark, store, contracts, froms, to, label, now, seq) -> DataFrame:
+def _claim(spark, store, contracts, froms, to, label, now, seq, run_dir, only=None) -> tuple[DataFrame, DataFrame]:
+    """Claim every eligible upload (or only the ids in ``only``) for a stage.
+    Returns (claimed manifest rows, refusals with their messages)."""
     m = current_manifest(spark, store)
-    decided = MF.claim(m.where(F.col("dataset_name").isin(*contracts.keys())), froms, to, label, now)
+    candidates = m.where(F.col("dataset_name").isin(*contracts.keys()))
+    if only is not None:
+        candidates = candidates.where(F.col("upload_id").isin(*only))
+    decided = MF.claim(candidates, froms, to, label, now)
+    decided.write.mode("overwrite").parquet(f"{run_dir}/claim_{to.lower()}")
+    decided = spark.read.parquet(f"{run_dir}/claim_{to.lower()}")
     claimed = decided.where("claimed").select("upload_id")
     run_claims = m.join(claimed, "upload_id", "left_semi")
     append_events(claimed.select("upload_id", F.lit(to).alias("status")), store, seq, now)
-    return run_claims
+    return run_claims, decided.where(~F.col("claimed"))
 
 
-def run_uploads(
-    spark: SparkSession,
-    store: Store,
-    contracts: Mapping[str, Contract],
-    dataset_dirs: Mapping[str, str],
-    now: _dt.datetime,
-    min_age_seconds: int = LD.MIN_FILE_AGE_SECONDS,
-    inventory: DataFrame | None = None,
-) -> dict:
-    """One upload run: release stale claims, register, validate, load bronze.
-
-    ``inventory`` (optional) replaces the landing scan, e.g. with the files a
-    streaming micro-batch discovered."""
-    now_c = F.lit(now)
-    run_seq = int(now.timestamp())
-    seq = lambda step: run_seq * 100 + step
-    run_dir = store.run_dir(run_seq)
-
-    # 0. Stale claims back to their failed status.
-    released = MF.release_stale(current_manifest(spark, store), now_c)
-    append_events(released.select("upload_id", F.col("new_status").alias("status"), "validation_message"),
-                  store, seq(0), now_c)
-
-    # 1. Register every landing file in one plan.
-    inv = inventory if inventory is not None else LD.inventory(spark, dataset_dirs, now_c, min_age_seconds)
+def register_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Contract], inv: DataFrame,
+                   now_c: Column, run_dir: str, seq: int) -> DataFrame:
+    """Registration decisions for every inventoried file; NEW and DUPLICATE
+    files become manifest rows (events). Returns the decisions."""
     inv = inv.withColumn("upload_id", upload_id_for(F.col("stored_file_path"), F.col("file_hash")))
-    m = current_manifest(spark, store).select("upload_id", "dataset_name", "stored_file_path", "file_hash", "created_at")
+    m = current_manifest(spark, store).select("upload_id", "dataset_name", "stored_file_path", "file_hash",
+                                              "created_at")
+    meta = [c for c in ("source_system", "reporting_period", "metadata_error") if c in inv.columns]
     decisions = MF.register_decisions(
         inv.select("dataset_name", "stored_file_path", "file_hash", "file_size_bytes", "upload_id",
-                   "modification_time"),
+                   "modification_time", *meta),
         m, contracts.keys(),
     )
     decisions.write.mode("overwrite").parquet(f"{run_dir}/register")
     decisions = spark.read.parquet(f"{run_dir}/register")
-    append_events(MF.registration_events(decisions, now_c), store, seq(1), now_c)
+    append_events(MF.registration_events(decisions, now_c), store, seq, now_c)
+    return decisions
+
 
-    # 2. Validate everything claimable.
-    queue = _claim(spark, store, contracts, S.CLAIMABLE_FOR_VALIDATION, S.VALIDATING, "validated", now_c, seq(2))
+def validate_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Contract], now_c: Column,
+                   run_dir: str, seq: int, only: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Claim, re-check, probe and judge every claimable upload (or ``only``).
+    Returns (validation outcomes, claim refusals)."""
+    queue, refused = _claim(spark, store, contracts, S.CLAIMABLE_FOR_VALIDATION, S.VALIDATING, "validated",
+                            now_c, seq, run_dir, only)
     files = _files_with_content(spark, _paths(spark, queue))
     checked = LD.change_check(queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash"),
                               files, " has changed since it was registered. Register the new version as a new upload.")
@@ -163,10 +168,16 @@ def run_uploads(
     validated.write.mode("overwrite").parquet(f"{run_dir}/validate")
     validated = spark.read.parquet(f"{run_dir}/validate")
     append_events(validated.drop("dataset_name", "header", "known_dataset", "reject_unexpected"),
-                  store, seq(3), now_c)
+                  store, seq + 1, now_c)
+    return validated, refused
 
-    # 3. Load everything validated into bronze.
-    queue = _claim(spark, store, contracts, S.CLAIMABLE_FOR_BRONZE, S.PROCESSING, "loaded to bronze", now_c, seq(4))
+
+def bronze_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Contract], now_c: Column,
+                 run_dir: str, seq: int, only: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Claim, re-check, scan, gate and publish every loadable upload (or
+    ``only``). Returns (bronze outcomes, claim refusals)."""
+    queue, refused = _claim(spark, store, contracts, S.CLAIMABLE_FOR_BRONZE, S.PROCESSING, "loaded to bronze",
+                            now_c, seq, run_dir, only)
     files = _files_with_content(spark, _paths(spark, queue))
     checked = LD.change_check(
         queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash", "original_file_name",
@@ -178,7 +189,7 @@ def run_uploads(
     probed = probed.withColumn("violation", F.coalesce(F.col("file_violation"), F.col("violation")))
     probed.write.mode("overwrite").parquet(f"{run_dir}/bronze_queue")
     probed = spark.read.parquet(f"{run_dir}/bronze_queue")
-    # The probe reports its own violation; the file check's takes precedence.
+    # A file-level problem (gone, changed, unreadable) rejects with its own message.
     bad = probed.where(F.col("violation").isNotNull())
     ok = probed.where(F.col("violation").isNull())
     outcomes = [bad.select("upload_id", F.lit(0).alias("row_count"), F.lit(0).alias("corrupt_row_count"),
@@ -200,14 +211,42 @@ def run_uploads(
     all_gated = BR.union_shapes(outcomes)
     results = BR.outcome(all_gated.drop("source_row_count"), F.col("_table"), now_c,
                          all_gated.select("upload_id", "source_row_count"))
-    # A file-level violation is a rejection (terminal): keep its own message.
     results.write.mode("overwrite").parquet(f"{run_dir}/bronze")
     results = spark.read.parquet(f"{run_dir}/bronze")
-    append_events(results.drop("source_row_count"), store, seq(5), now_c)
+    append_events(results.drop("source_row_count"), store, seq + 1, now_c)
+    return results, refused
+
+
+def run_uploads(
+    spark: SparkSession,
+    store: Store,
+    contracts: Mapping[str, Contract],
+    dataset_dirs: Mapping[str, str],
+    now: _dt.datetime,
+    min_age_seconds: int = LD.MIN_FILE_AGE_SECONDS,
+    inventory: DataFrame | None = None,
+) -> dict:
+    """One upload run: release stale claims, register, validate, load bronze.
+
+    ``inventory`` (optional) replaces the landing scan, e.g. with the files a
+    streaming micro-batch discovered."""
+    now_c, run_seq, run_dir = _run(store, now)
+
+    # 0. Stale claims back to their failed status.
+    released = MF.release_stale(current_manifest(spark, store), now_c)
+    released.write.mode("overwrite").parquet(f"{run_dir}/released")
+    released = spark.read.parquet(f"{run_dir}/released")
+    append_events(released.select("upload_id", F.col("new_status").alias("status"), "validation_message"),
+                  store, run_seq * 100, now_c)
+
+    # 1-3. Register every landing file, validate and load everything claimable.
+    inv = inventory if inventory is not None else LD.inventory(spark, dataset_dirs, now_c, min_age_seconds)
+    decisions = register_stage(spark, store, contracts, inv, now_c, run_dir, run_seq * 100 + 1)
+    validated, _ = validate_stage(spark, store, contracts, now_c, run_dir, run_seq * 100 + 2)
+    results, _ = bronze_stage(spark, store, contracts, now_c, run_dir, run_seq * 100 + 4)
 
     # Summary from what this run wrote (small aggregates).
-    d = decisions.groupBy("action").count().collect()
-    acts = {r["action"]: r["count"] for r in d}
+    acts = {r["action"]: r["count"] for r in decisions.groupBy("action").count().collect()}
     v = {r["status"]: r["count"] for r in validated.groupBy("status").count().collect()}
     b = {r["status"]: r["count"] for r in results.groupBy("status").count().collect()}
     return {
@@ -222,6 +261,85 @@ def run_uploads(
     }
 
 
+# ---------------------------------------------------------- one upload ----
+# The same stages restricted to one file / upload id, for callers that work
+# upload by upload. Refusals raise, as a single-item API should.
+
+
+def get_status(spark: SparkSession, store: Store, upload_id: str) -> str | None:
+    rows = MF.lookup(current_manifest(spark, store),
+                     spark.createDataFrame([(upload_id,)], "upload_id string")).collect()
+    return rows[0]["status"] if rows else None
+
+
+def _known_or_raise(spark: SparkSession, store: Store, upload_id: str) -> None:
+    r = MF.lookup(current_manifest(spark, store), spark.createDataFrame([(upload_id,)], "upload_id string")).first()
+    if not r["known"]:
+        raise ValueError(r["message"])
+
+
+def register_uploaded_file(
+    spark: SparkSession, store: Store, contracts: Mapping[str, Contract], dataset_dirs: Mapping[str, str],
+    file_path: str, dataset_name: str, now: _dt.datetime,
+    source_system: str | None = None, reporting_period: str | None = None,
+    known_source_systems: tuple[str, ...] = (),
+) -> str:
+    """Register one landing file; returns its upload id (the existing one
+    for an identical re-registration). Raises for an unknown dataset, a file
+    outside its dataset folder, invalid metadata or changed contents."""
+    from sluice.functions.columns import clean_upper, metadata_error
+
+    dataset = dataset_name.strip().lower()
+    if dataset not in dataset_dirs or dataset not in contracts:
+        raise ValueError(f"Unknown dataset '{dataset}'. Expected one of: {list(dataset_dirs)}")
+    folder = LD.qualify(spark, dataset_dirs[dataset])
+    path = LD.qualify(spark, file_path)
+    if not path.startswith(folder + "/"):
+        raise ValueError(f"The file for dataset '{dataset}' must be inside '{dataset_dirs[dataset]}'. Got: {path}")
+    fs, hpath = LD._fs_path(spark, path)
+    if not fs.exists(hpath):
+        raise FileNotFoundError(f"File does not exist: {path}")
+    if not fs.getFileStatus(hpath).isFile():
+        raise ValueError(f"The supplied path is not a file: {path}")
+    now_c, run_seq, run_dir = _run(store, now)
+    raw = LD.read_files(spark, [path], glob=None)
+    inv = LD.inventory_from(raw, {dataset: path.rsplit("/", 1)[0]}, now_c, min_age_seconds=0)
+    inv = inv.select(
+        "*",
+        clean_upper(F.lit(source_system).cast("string")).alias("source_system"),
+        clean_upper(F.lit(reporting_period).cast("string")).alias("reporting_period"),
+    )
+    inv = inv.withColumn("metadata_error", metadata_error(F.col("reporting_period"), F.col("source_system"),
+                                                          tuple(known_source_systems)))
+    d = register_stage(spark, store, {dataset: contracts[dataset]}, inv, now_c, run_dir, run_seq * 100 + 1).first()
+    if d["action"] in ("KNOWN", "NEW", "DUPLICATE"):
+        return d["result_upload_id"]
+    raise ValueError(d["message"])
+
+
+def _single_stage(stage, spark, store, contracts, upload_id, now) -> dict:
+    _known_or_raise(spark, store, upload_id)
+    now_c, run_seq, run_dir = _run(store, now)
+    out, refused = stage(spark, store, contracts, now_c, run_dir, run_seq * 100 + 2, only=[upload_id])
+    r = refused.first()
+    if r is not None:
+        raise ValueError(r["message"])
+    row = out.where(F.col("upload_id") == upload_id).first()
+    return row.asDict() if row is not None else {}
+
+
+def validate_registered_upload(spark: SparkSession, store: Store, contracts: Mapping[str, Contract],
+                               upload_id: str, now: _dt.datetime) -> dict:
+    """Validate one upload; raises if it is unknown or not claimable."""
+    return _single_stage(validate_stage, spark, store, contracts, upload_id, now)
+
+
+def load_upload_to_bronze(spark: SparkSession, store: Store, contracts: Mapping[str, Contract],
+                          upload_id: str, now: _dt.datetime) -> dict:
+    """Load one validated upload; raises if it is unknown or not claimable."""
+    return _single_stage(bronze_stage, spark, store, contracts, upload_id, now)
+
+
 def processed_uploads(spark: SparkSession, store: Store) -> DataFrame:
     return current_manifest(spark, store).where(F.col("status") == S.PROCESSED).select("upload_id", "dataset_name")
 

@@ -155,7 +155,7 @@ def test_crashed_load_is_released_and_reloaded_without_duplicates(spark, tmp_pat
     # holds a partial, unrecorded write for it.
     crash = NOW + dt.timedelta(hours=1)
     batch.append_events(MF.manual_update(spark, [uid], {"status": S.PROCESSING}), store,
-                        int(crash.timestamp()) * 100 + 50, F.lit(crash))
+                        batch.event_seq(crash, 50), F.lit(crash))
     junk = spark.createDataFrame([("JUNK", None, None, None, "x", NOW, uid)],
                                  "project_id string, project_name string, project_status string, "
                                  "_corrupt_record string, source_file_name string, ingested_at timestamp, "
@@ -174,3 +174,40 @@ def test_crashed_load_is_released_and_reloaded_without_duplicates(spark, tmp_pat
     ids = sorted(r.project_id for r in spark.read.option("mergeSchema", "true").parquet(store.bronze("lenient"))
                  .where(F.col("upload_id") == uid).collect())
     assert ids == ["P1", "P2", "P3"]  # the partial write was replaced, not appended to
+
+
+def test_single_upload_api(spark, tmp_path):
+    c = {"lenient": CONTRACTS["lenient"]}
+    land = tmp_path / "landing" / "lenient"
+    _write(str(land / "one.csv"), HEADER + "P1,A,Active\n")
+    _write(str(tmp_path / "landing" / "elsewhere.csv"), HEADER + "P1,A,Active\n")
+    store = batch.Store(str(tmp_path / "store"))
+    dirs = {"lenient": str(land)}
+    t = NOW
+    uid = batch.register_uploaded_file(spark, store, c, dirs, str(land / "one.csv"), " Lenient ", t,
+                                       source_system=" crm ", reporting_period="2026-q3")
+    assert batch.register_uploaded_file(spark, store, c, dirs, str(land / "one.csv"), "lenient",
+                                        t + dt.timedelta(seconds=1)) == uid  # identical re-registration
+    with pytest.raises(ValueError, match="must be inside"):
+        batch.register_uploaded_file(spark, store, c, dirs, str(tmp_path / "landing" / "elsewhere.csv"),
+                                     "lenient", t)
+    with pytest.raises(ValueError, match="reporting_period"):
+        _write(str(land / "two.csv"), HEADER + "P2,B,Active\n")
+        batch.register_uploaded_file(spark, store, c, dirs, str(land / "two.csv"), "lenient", t,
+                                     reporting_period="Q3 2026")
+    with pytest.raises(ValueError, match="Unknown dataset"):
+        batch.register_uploaded_file(spark, store, c, dirs, str(land / "one.csv"), "nope", t)
+    m = batch.current_manifest(spark, store).first()
+    assert (m.source_system, m.reporting_period, m.status) == ("CRM", "2026-Q3", S.RECEIVED)
+
+    with pytest.raises(ValueError, match="cannot be loaded to bronze"):
+        batch.load_upload_to_bronze(spark, store, c, uid, t + dt.timedelta(seconds=2))
+    out = batch.validate_registered_upload(spark, store, c, uid, t + dt.timedelta(seconds=3))
+    assert out["status"] == S.VALIDATED and out["source_row_count"] == 1
+    with pytest.raises(ValueError, match="has status 'VALIDATED' and cannot be validated"):
+        batch.validate_registered_upload(spark, store, c, uid, t + dt.timedelta(seconds=4))
+    res = batch.load_upload_to_bronze(spark, store, c, uid, t + dt.timedelta(seconds=5))
+    assert res["status"] == S.PROCESSED and res["bronze_row_count"] == 1
+    assert batch.get_status(spark, store, uid) == S.PROCESSED
+    with pytest.raises(ValueError, match="Upload ID was not found"):
+        batch.validate_registered_upload(spark, store, c, "nope", t + dt.timedelta(seconds=6))
