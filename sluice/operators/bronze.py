@@ -142,9 +142,10 @@ def scan_uploads(spark: SparkSession, files: DataFrame, ingested_at: Column) ->
     shapes unioned by name.
 
     ``files``: upload_id, stored_file_path (to read), file_path (reader's
-    encoded form, to join), source_file_name, header. Only the distinct
-    headers and each shape's paths reach the driver - metadata bounded by the
-    number of uploads, never their rows.
+    encoded form, to join), source_file_name, header, optional multiline -
+    a materialised (written) frame, since it is read once per shape. Only
+    the distinct headers and each shape's paths reach the driver: metadata
+    bounded by the number of uploads, never their rows.
     """
     from sluice.sources import csv_files as CSV
 

@@ -413,15 +413,22 @@ from sluice.sources import landing as LD  # noqa: E402
 
 
 def _landing_files(spark, sf_dir):
+    """Inventory + structure probe of the landing files, written once to a
+    scratch table: the scan that follows reads this metadata several times
+    (shapes, paths, lineage) and must not re-run the probe each time."""
+    from sluice.plans.session import scratch_path
+
     dirs = FX.order_landing(spark, sf_dir)
     inv = LD.inventory(spark, dirs, min_age_seconds=0, with_content=True)
     probed = CSV.probe_structure(
         inv, keep=("dataset_name", "stored_file_path", "file_path", "original_file_name", "file_hash"))
-    return probed.select(
+    out = scratch_path(spark, "probe")
+    probed.select(
         F.regexp_extract("original_file_name", r"^(.*)\.csv$", 1).alias("upload_id"),
         "stored_file_path", "file_path", F.col("original_file_name").alias("source_file_name"), "header",
         "row_count", "file_hash", "multiline",
-    )
+    ).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
 
 
 def _landing_bronze(spark, sf_dir):
