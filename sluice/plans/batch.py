@@ -71,6 +71,10 @@ def current_manifest(spark: SparkSession, store: Store) -> DataFrame:
 
 
 def append_events(df: DataFrame, store: Store, seq: int, now: Column) -> None:
+    """Append sparse manifest events; ``pipeline_run_id`` records the run
+    (the clock part of ``seq``) unless the events set it themselves."""
+    if "pipeline_run_id" not in df.columns:
+        df = df.withColumn("pipeline_run_id", F.lit(str(seq // 100)))
     MF.as_events(df, F.lit(seq), now).write.mode("append").parquet(store.manifest_events)
 
 
@@ -368,9 +372,13 @@ def run_silver(
                 raise ValueError(f"Bronze table for '{dataset}' does not exist: {store.bronze(dataset)}")
             bronze = read_bronze(spark, store, dataset)
             if not force and _exists(spark, store.silver_seen(dataset)):
+                # Rebuild when the set of PROCESSED uploads changed either way
+                # (new ones, or ones reset since the last build).
                 seen = spark.read.parquet(store.silver_seen(dataset))
-                new = bronze.select("upload_id").distinct().join(seen, "upload_id", "left_anti")
-                if new.limit(1).count() == 0:
+                current = bronze.select("upload_id").distinct()
+                new = current.join(seen, "upload_id", "left_anti")
+                gone = seen.join(current, "upload_id", "left_anti")
+                if new.limit(1).count() == 0 and gone.limit(1).count() == 0:
                     out.append({"dataset": dataset, "skipped": True})
                     continue
             err = SV.drift_error(dataset, bronze.columns, contract)
