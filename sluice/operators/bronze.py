@@ -118,9 +118,14 @@ def attach_lineage(scanned: DataFrame, files: DataFrame, ingested_at: Column,
 
 def publish(df: DataFrame, path: str, partition_col: str = "upload_id") -> None:
     """Idempotent append: dynamic partition overwrite of exactly the uploads
-    present in ``df`` (a re-run replaces, never duplicates)."""
+    present in ``df`` (a re-run replaces, never duplicates).
+
+    ``rebalance`` on the partition column lets AQE write few files per
+    upload (small uploads are packed, a hot upload is split across tasks)
+    instead of one file per task and upload."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", partition_col)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(path)
@@ -199,5 +204,6 @@ def stage_uploads(spark: SparkSession, files: DataFrame, staging: str, ingested_
     no longer seen as malformed. Writing every column forces the full parse,
     and the staged Parquet is what all counts and the publish read.
     """
-    scan_uploads(spark, files, ingested_at).write.mode("overwrite").partitionBy("upload_id").parquet(staging)
+    (scan_uploads(spark, files, ingested_at).hint("rebalance", "upload_id")
+     .write.mode("overwrite").partitionBy("upload_id").parquet(staging))
     return spark.read.option("mergeSchema", "true").parquet(staging)

@@ -75,7 +75,9 @@ def append_events(df: DataFrame, store: Store, seq: int, now: Column) -> None:
     (the clock part of ``seq``) unless the events set it themselves."""
     if "pipeline_run_id" not in df.columns:
         df = df.withColumn("pipeline_run_id", F.lit(str(seq // 100)))
-    MF.as_events(df, F.lit(seq), now).write.mode("append").parquet(store.manifest_events)
+    # rebalance: AQE sizes the output (one small file for a typical run,
+    # several for a big one) instead of one file per upstream task.
+    MF.as_events(df, F.lit(seq), now).hint("rebalance").write.mode("append").parquet(store.manifest_events)
 
 
 def event_seq(now: _dt.datetime, step: int = 0) -> int:

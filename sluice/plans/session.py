@@ -3,7 +3,6 @@ scratch folder the cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,7 +56,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
-    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
