@@ -11,6 +11,7 @@ also cuts lineage; nothing uses machine-local temp space.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -29,6 +30,9 @@ from sluice.sources import csv_files as CSV
 from sluice.sources import landing as LD
 
 
+logger = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class Store:
     """Where every table of the engine lives (Parquet folders)."""
@@ -255,7 +259,7 @@ def run_uploads(
     acts = {r["action"]: r["count"] for r in decisions.groupBy("action").count().collect()}
     v = {r["status"]: r["count"] for r in validated.groupBy("status").count().collect()}
     b = {r["status"]: r["count"] for r in results.groupBy("status").count().collect()}
-    return {
+    summary = {
         "files_seen": sum(acts.values()),
         "registered": acts.get("NEW", 0) + acts.get("DUPLICATE", 0),
         "duplicates": acts.get("DUPLICATE", 0),
@@ -265,6 +269,8 @@ def run_uploads(
         "released": released.count(),
         "errors": acts.get("CHANGED", 0) + acts.get("UNKNOWN_DATASET", 0) + acts.get("INVALID_METADATA", 0),
     }
+    logger.info("Upload run %s complete: %s", run_seq, summary)
+    return summary
 
 
 # ---------------------------------------------------------- one upload ----
@@ -400,6 +406,7 @@ def run_silver(
                 "silver_rows": silver_rows,
             })
         except Exception as error:  # isolate datasets from each other
+            logger.exception("Silver build failed for %s", dataset)
             out.append({"dataset": dataset, "error": str(error)[:500]})
     return out
 

@@ -7,12 +7,15 @@ column), so the driver only ever sees the folder list.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+logger = logging.getLogger(__name__)
+
 # Fixed value: files touched more recently than this may still be uploading.
 MIN_FILE_AGE_SECONDS = 60
 CSV_GLOB = "*.[cC][sS][vV]"
@@ -43,6 +46,8 @@ def existing_dirs(spark: SparkSession, dataset_dirs: Mapping[str, str]) -> dict[
         fs, hpath = _fs_path(spark, d)
         if fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory():
             out[name] = qualify(spark, d)
+        else:
+            logger.warning("Landing directory missing: %s", d)
     return out
 
 
