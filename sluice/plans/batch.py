@@ -144,6 +144,10 @@ def register_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Co
     """Registration decisions for every inventoried file; NEW and DUPLICATE
     files become manifest rows (events). Returns the decisions."""
     inv = inv.withColumn("upload_id", upload_id_for(F.col("stored_file_path"), F.col("file_hash")))
+    # The decision plan reads the inventory on several branches; writing it
+    # once (one row per file) keeps the landing bytes read and hashed once.
+    inv.write.mode("overwrite").parquet(f"{run_dir}/inventory")
+    inv = spark.read.parquet(f"{run_dir}/inventory")
     m = current_manifest(spark, store).select("upload_id", "dataset_name", "stored_file_path", "file_hash",
                                               "created_at")
     meta = [c for c in ("source_system", "reporting_period", "metadata_error") if c in inv.columns]
