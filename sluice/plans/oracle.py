@@ -703,3 +703,28 @@ ORACLE["unexpected_columns_by_name"] = "WITH " + _header_ctes() + """
 SELECT dataset_name, column_name, count(*) AS n
 FROM (SELECT dataset_name, unnest(unexpected_columns) AS column_name FROM outcome WHERE len(unexpected_columns) > 0)
 GROUP BY 1, 2"""
+
+
+def _contract_schema_sql() -> str:
+    from sluice.plans.fixtures import HEADER_DATASETS, validation_contracts
+
+    contracts = validation_contracts()
+    rows = []
+    for name in HEADER_DATASETS:
+        for i, f in enumerate(contracts[name].silver_schema().fields):
+            rows.append(f"('{name}', {i}, '{f.name}', '{f.dataType.simpleString()}')")
+    values = ",\n        ".join(rows)
+    names = ", ".join(f"'{n}'" for n in HEADER_DATASETS)
+    return f"""
+WITH cols(dataset_name, ordinal, column_name, data_type) AS (
+    VALUES {values}
+),
+uploads AS (
+    SELECT ([{names}])[c_custkey % {len(HEADER_DATASETS)} + 1] AS dataset_name, count(*) AS n_uploads
+    FROM customer GROUP BY 1
+)
+SELECT c.dataset_name, CAST(c.ordinal AS INTEGER) AS ordinal, c.column_name, c.data_type, u.n_uploads
+FROM cols c JOIN uploads u ON u.dataset_name = c.dataset_name"""
+
+
+ORACLE["contract_schema"] = _contract_schema_sql()

@@ -494,3 +494,16 @@ def bronze_idempotent_load(spark, sf_dir):
 def unexpected_columns_by_name(spark, sf_dir):
     manifest = V.validation_outcome(_checked_headers(spark, sf_dir))
     return Q.unexpected_columns_exploded(manifest)
+
+
+@register("contract_schema")
+def contract_schema(spark, sf_dir):
+    """Silver table definition of every dataset that has uploads, with the
+    number of uploads that will feed it."""
+    from sluice.contracts import silver_columns_frame
+
+    uploads = FX.header_uploads(spark, sf_dir).groupBy("dataset_name").agg(F.count(F.lit(1)).alias("n_uploads"))
+    cols = silver_columns_frame(spark, FX.validation_contracts())
+    # both sides are one row per configured dataset (x columns): config-bounded
+    return cols.join(F.broadcast(uploads), "dataset_name", "inner").select(
+        "dataset_name", "ordinal", "column_name", "data_type", "n_uploads")
