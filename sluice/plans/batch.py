@@ -102,12 +102,19 @@ def upload_id_for(path: Column, file_hash: Column) -> Column:
 
 def _paths(spark: SparkSession, df: DataFrame, col: str = "stored_file_path") -> list[str]:
     """Paths of queued uploads that still exist (bounded by the queue: file
-    names, never contents); a vanished file is reported by the change check."""
+    names, never contents); a vanished file is reported by the change check.
+    Existence comes from one listing per parent folder, not one call per file."""
+    wanted = [r[0] for r in df.select(col).distinct().collect()]
+    by_parent: dict[str, list[str]] = {}
+    for p in wanted:
+        by_parent.setdefault(p.rsplit("/", 1)[0], []).append(p)
     out = []
-    for r in df.select(col).distinct().collect():
-        fs, hpath = LD._fs_path(spark, r[0])
-        if fs.exists(hpath):
-            out.append(r[0])
+    for parent, paths in by_parent.items():
+        fs, hparent = LD._fs_path(spark, parent)
+        if not fs.exists(hparent):
+            continue
+        present = {fs.makeQualified(st.getPath()).toString() for st in fs.listStatus(hparent) if st.isFile()}
+        out += [p for p in paths if LD.qualify(spark, p) in present]
     return out
 
 

@@ -211,3 +211,21 @@ def test_single_upload_api(spark, tmp_path):
     assert batch.get_status(spark, store, uid) == S.PROCESSED
     with pytest.raises(ValueError, match="Upload ID was not found"):
         batch.validate_registered_upload(spark, store, c, "nope", t + dt.timedelta(seconds=6))
+
+
+def test_vanished_and_replaced_files_are_rejected(spark, tmp_path):
+    c = {"lenient": CONTRACTS["lenient"]}
+    land = tmp_path / "landing" / "lenient"
+    _write(str(land / "gone.csv"), HEADER + "P1,A,Active\n")
+    _write(str(land / "swapped.csv"), HEADER + "P2,B,Active\n")
+    store = batch.Store(str(tmp_path / "store"))
+    dirs = {"lenient": str(land)}
+    gone = batch.register_uploaded_file(spark, store, c, dirs, str(land / "gone.csv"), "lenient", NOW)
+    swapped = batch.register_uploaded_file(spark, store, c, dirs, str(land / "swapped.csv"), "lenient",
+                                           NOW + dt.timedelta(seconds=1))
+    os.remove(land / "gone.csv")
+    _write(str(land / "swapped.csv"), HEADER + "P2,B,Closed\n")
+    a = batch.validate_registered_upload(spark, store, c, gone, NOW + dt.timedelta(seconds=2))
+    assert a["status"] == S.REJECTED and "no longer exists" in a["validation_message"]
+    b = batch.validate_registered_upload(spark, store, c, swapped, NOW + dt.timedelta(seconds=3))
+    assert b["status"] == S.REJECTED and "has changed since it was registered" in b["validation_message"]
