@@ -60,3 +60,35 @@ def test_documented_coverage_does_not_fan_out(spark):
     assert r.entities == N and r.mapped == 1000
     joins = [m for n, m in nodes(out) if n.endswith("Join")]
     assert all(m.get("numOutputRows", 0) <= 1000 for m in joins)
+
+
+def test_link_join_splits_a_hot_mapping_key(spark):
+    """With the entity side too big to broadcast, AQE's skew handling splits
+    the mapping partition of a code that holds a third of the rows."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        mapping = spark.range(N).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).alias("a"),
+            (F.col("id") % 7).alias("p"))
+        apps = spark.range(5000).select(F.col("id").alias("a"))
+        projects = spark.range(5).select(F.col("id").alias("p"))
+        out = L.resolve_links(mapping, [L.Reference("app", apps, "a", "a"), L.Reference("prj", projects, "p", "p")])
+        rows = out.collect()
+        assert len(rows) == N
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
