@@ -16,8 +16,21 @@ from pyspark.sql import types as T
 from sluice.contracts import ColumnSpec, Contract
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Its schema is inferred once per path and passed on
+    later reads, which skips the footer-reading job of schema inference (a
+    fresh relation is still created per call; nothing is cached but the
+    schema)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 # Contract of the "orders" dataset that bronze_orders feeds.
