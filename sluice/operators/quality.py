@@ -45,8 +45,8 @@ def cast_failures(silver: DataFrame, contract: Contract, key_columns: Sequence[s
     keys = list(key_columns or contract.key_columns)
     typed = [spec.name for spec in contract.columns if not spec.is_string]
     if not typed:
-        return silver.select(*keys, F.lit(None).cast("string").alias("column_name"),
-                             F.lit(None).cast("string").alias("raw_value")).limit(0)
+        return silver.where(F.lit(False)).select(*keys, F.lit(None).cast("string").alias("column_name"),
+                                                 F.lit(None).cast("string").alias("raw_value"))
     cells = F.array(*[
         F.struct(
             F.lit(name).alias("column_name"),
