@@ -87,3 +87,19 @@ def test_spark_and_python_normalisers_agree(spark, names):
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [r[0] for r in df.select(normalise_name("n")).collect()]
     assert got == [normalise_name_py(n) for n in names]
+
+
+def test_run_finishes_every_stage_then_raises(spark, tmp_path):
+    import pytest
+
+    c = {
+        "items": Contract(("item_id",), (ColumnSpec("item_id", "string", True),)),
+        "other": Contract(("other_id",), (ColumnSpec("other_id", "string", True),)),
+    }
+    _w(str(tmp_path / "landing" / "items" / "a.csv"), "item_id\nI1\nI2\n")
+    store = batch.Store(str(tmp_path / "store"))
+    dirs = {"items": str(tmp_path / "landing" / "items"), "other": str(tmp_path / "landing" / "other")}
+    with pytest.raises(RuntimeError, match="finished with errors"):
+        batch.run(spark, store, c, dirs, dt.datetime(2030, 1, 1))
+    # the failing dataset (no bronze yet) did not stop the others
+    assert spark.read.parquet(store.silver("items")).count() == 2
