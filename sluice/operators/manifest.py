@@ -217,12 +217,15 @@ def register_decisions(
     known_path = inv.join(by_path, "stored_file_path", "left").join(
         registered, ["dataset_name", "file_hash"], "left"
     )
-    # Earliest file of this batch per (dataset, hash), for same-batch copies.
+    meta_err = F.col("metadata_error") if "metadata_error" in inventory.columns else F.lit(None).cast("string")
+    # Earliest registrable file of this batch per (dataset, hash), for
+    # same-batch copies (a file that will not be registered cannot be the
+    # original of another).
+    registrable = F.col("_p").isNull() & F.col("dataset_name").isin(*datasets) & meta_err.isNull()
     batch_first = first_per_content(
-        known_path.where(F.col("_p").isNull()), ["dataset_name", "file_hash"], list(order_cols)
+        known_path.where(registrable), ["dataset_name", "file_hash"], list(order_cols)
     )
     joined = known_path.join(batch_first, ["dataset_name", "file_hash"], "left")
-    meta_err = F.col("metadata_error") if "metadata_error" in inventory.columns else F.lit(None).cast("string")
     action = (
         F.when(~F.col("dataset_name").isin(*datasets), F.lit("UNKNOWN_DATASET"))
         .when(meta_err.isNotNull(), F.lit("INVALID_METADATA"))

@@ -524,7 +524,8 @@ j AS (
 ),
 bf AS (
     SELECT dataset_name, file_hash, arg_min(upload_id, stored_file_path) AS first_upload_id
-    FROM j WHERE p_upload_id IS NULL GROUP BY 1, 2
+    FROM j WHERE p_upload_id IS NULL AND dataset_name IN ('en', 'de', 'fr') AND metadata_error IS NULL
+    GROUP BY 1, 2
 ),
 d0 AS (
     SELECT j.*, bf.first_upload_id FROM j
