@@ -434,3 +434,16 @@ def order_landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             fs.rename(p.getPath(), jvm.org.apache.hadoop.fs.Path(final_path, f"{upload}.csv"))
     _LANDING_CACHE[key] = final
     return {"orders": final}
+
+
+# Contract of the "orders" landing dataset written by ``order_landing``.
+LANDING_CONTRACT = Contract(
+    key_columns=("order_code",),
+    columns=(
+        ColumnSpec("order_code", "string", True),
+        ColumnSpec("order_status", "string", True),
+        ColumnSpec("amount", "decimal(18,2)", True),
+        ColumnSpec("priority", "string", True),
+        ColumnSpec("channel", "string"),
+    ),
+)

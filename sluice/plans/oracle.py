@@ -729,3 +729,14 @@ FROM cols c JOIN uploads u ON u.dataset_name = c.dataset_name"""
 
 
 ORACLE["contract_schema"] = _contract_schema_sql()
+
+ORACLE["upload_run_status"] = "WITH " + FILES_CTES + """
+, src AS (SELECT upload_id, count(*) AS source_row_count FROM body GROUP BY 1),
+sil AS (SELECT upload_id, count(*) AS silver_rows FROM file_rows WHERE kind = 'ok' GROUP BY 1)
+SELECT g.upload_id,
+       CASE WHEN message IS NULL THEN 'PROCESSED' ELSE 'BRONZE_REJECTED' END AS status,
+       s.source_row_count,
+       CASE WHEN message IS NULL THEN row_count ELSE 0 END AS bronze_row_count,
+       CASE WHEN message IS NULL THEN corrupt_row_count ELSE 0 END AS bronze_corrupt_row_count,
+       CASE WHEN message IS NULL THEN coalesce(v.silver_rows, 0) ELSE 0 END AS silver_rows
+FROM gated2 g JOIN src s ON s.upload_id = g.upload_id LEFT JOIN sil v ON v.upload_id = g.upload_id"""

@@ -507,3 +507,29 @@ def contract_schema(spark, sf_dir):
     # both sides are one row per configured dataset (x columns): config-bounded
     return cols.join(F.broadcast(uploads), "dataset_name", "inner").select(
         "dataset_name", "ordinal", "column_name", "data_type", "n_uploads")
+
+
+@register("upload_run_status")
+def upload_run_status(spark, sf_dir):
+    """The whole upload path on the landing files: one scheduled run
+    (register, validate, bronze) and a silver build into a fresh store; per
+    upload the manifest outcome and the rows it contributed to silver."""
+    import datetime as dt
+
+    from sluice.plans import batch
+    from sluice.plans.session import scratch_path
+
+    dirs = FX.order_landing(spark, sf_dir)
+    store = batch.Store(scratch_path(spark, "store"))
+    contracts = {"orders": FX.LANDING_CONTRACT}
+    now = dt.datetime(2030, 1, 1)
+    batch.run_uploads(spark, store, contracts, dirs, now, min_age_seconds=0)
+    batch.run_silver(spark, store, contracts, now)
+    manifest = batch.current_manifest(spark, store)
+    silver = spark.read.parquet(store.silver("orders"))
+    per_upload = silver.groupBy("upload_id").agg(F.count(F.lit(1)).alias("silver_rows"))
+    return manifest.join(per_upload, "upload_id", "left").select(
+        F.regexp_extract("original_file_name", r"^(.*)\.csv$", 1).alias("upload_id"),
+        "status", "source_row_count", "bronze_row_count", "bronze_corrupt_row_count",
+        F.coalesce(F.col("silver_rows"), F.lit(0)).alias("silver_rows"),
+    )
