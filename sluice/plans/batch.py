@@ -59,6 +59,14 @@ class Store:
         return f"{self.root}/_runs/{run_seq}"
 
 
+def persist(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write an intermediate result to shared storage and continue from the
+    written copy (cuts lineage; later actions never recompute the plan).
+    The schema is passed to the read, so no inference job runs."""
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, hpath = LD._fs_path(spark, path)
     return fs.exists(hpath)
@@ -133,13 +141,13 @@ def _files_with_content(spark: SparkSession, paths: list[str]) -> DataFrame:
 def _claim(spark, store, contracts, froms, to, label, now, seq, run_dir, only=None) -> tuple[DataFrame, DataFrame]:
     """Claim every eligible upload (or only the ids in ``only``) for a stage.
     Returns (claimed manifest rows, refusals with their messages)."""
-    m = current_manifest(spark, store)
+    # The fold feeds the claim, the queue and the file check: fold once.
+    m = persist(spark, current_manifest(spark, store), f"{run_dir}/manifest_{to.lower()}")
     candidates = m.where(F.col("dataset_name").isin(*contracts.keys()))
     if only is not None:
         candidates = candidates.where(F.col("upload_id").isin(*only))
     decided = MF.claim(candidates, froms, to, label, now)
-    decided.write.mode("overwrite").parquet(f"{run_dir}/claim_{to.lower()}")
-    decided = spark.read.parquet(f"{run_dir}/claim_{to.lower()}")
+    decided = persist(spark, decided, f"{run_dir}/claim_{to.lower()}")
     claimed = decided.where("claimed").select("upload_id")
     run_claims = m.join(claimed, "upload_id", "left_semi")
     append_events(claimed.select("upload_id", F.lit(to).alias("status")), store, seq, now)
@@ -153,8 +161,7 @@ def register_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Co
     inv = inv.withColumn("upload_id", upload_id_for(F.col("stored_file_path"), F.col("file_hash")))
     # The decision plan reads the inventory on several branches; writing it
     # once (one row per file) keeps the landing bytes read and hashed once.
-    inv.write.mode("overwrite").parquet(f"{run_dir}/inventory")
-    inv = spark.read.parquet(f"{run_dir}/inventory")
+    inv = persist(spark, inv, f"{run_dir}/inventory")
     m = current_manifest(spark, store).select("upload_id", "dataset_name", "stored_file_path", "file_hash",
                                               "created_at")
     meta = [c for c in ("source_system", "reporting_period", "metadata_error") if c in inv.columns]
@@ -163,8 +170,7 @@ def register_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Co
                    "modification_time", *meta),
         m, contracts.keys(),
     )
-    decisions.write.mode("overwrite").parquet(f"{run_dir}/register")
-    decisions = spark.read.parquet(f"{run_dir}/register")
+    decisions = persist(spark, decisions, f"{run_dir}/register")
     append_events(MF.registration_events(decisions, now_c), store, seq, now_c)
     return decisions
 
@@ -186,8 +192,7 @@ def validate_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Co
         F.coalesce(F.col("file_violation"), F.col("violation")).alias("violation"),
     )
     validated = V.validation_outcome(V.check_columns(probed, contracts_frame(spark, contracts)))
-    validated.write.mode("overwrite").parquet(f"{run_dir}/validate")
-    validated = spark.read.parquet(f"{run_dir}/validate")
+    validated = persist(spark, validated, f"{run_dir}/validate")
     append_events(validated.drop("dataset_name", "header", "known_dataset", "reject_unexpected"),
                   store, seq + 1, now_c)
     return validated, refused
@@ -208,8 +213,7 @@ def bronze_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Cont
         checked, keep=("upload_id", "dataset_name", "stored_file_path", "file_path", "original_file_name",
                        "source_row_count", "file_violation"))
     probed = probed.withColumn("violation", F.coalesce(F.col("file_violation"), F.col("violation")))
-    probed.write.mode("overwrite").parquet(f"{run_dir}/bronze_queue")
-    probed = spark.read.parquet(f"{run_dir}/bronze_queue")
+    probed = persist(spark, probed, f"{run_dir}/bronze_queue")
     # A file-level problem (gone, changed, unreadable) rejects with its own message.
     bad = probed.where(F.col("violation").isNotNull())
     ok = probed.where(F.col("violation").isNull())
@@ -225,15 +229,13 @@ def bronze_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Cont
                             F.col("original_file_name").alias("source_file_name"), "header", "multiline"),
             store.bronze(dataset), f"{run_dir}/staging/{dataset}", now_c,
         )
-        gated.write.mode("overwrite").parquet(f"{run_dir}/gate/{dataset}")
-        gated = spark.read.parquet(f"{run_dir}/gate/{dataset}").join(
+        gated = persist(spark, gated, f"{run_dir}/gate/{dataset}").join(
             ds_files.select("upload_id", "source_row_count"), "upload_id", "left")
         outcomes.append(gated.select("*", F.lit(store.bronze(dataset)).alias("_table")))
     all_gated = BR.union_shapes(outcomes)
     results = BR.outcome(all_gated.drop("source_row_count"), F.col("_table"), now_c,
                          all_gated.select("upload_id", "source_row_count"))
-    results.write.mode("overwrite").parquet(f"{run_dir}/bronze")
-    results = spark.read.parquet(f"{run_dir}/bronze")
+    results = persist(spark, results, f"{run_dir}/bronze")
     append_events(results.drop("source_row_count"), store, seq + 1, now_c)
     return results, refused
 
@@ -255,8 +257,7 @@ def run_uploads(
 
     # 0. Stale claims back to their failed status.
     released = MF.release_stale(current_manifest(spark, store), now_c)
-    released.write.mode("overwrite").parquet(f"{run_dir}/released")
-    released = spark.read.parquet(f"{run_dir}/released")
+    released = persist(spark, released, f"{run_dir}/released")
     append_events(released.select("upload_id", F.col("new_status").alias("status"), "validation_message"),
                   store, run_seq * 100, now_c)
 
