@@ -103,3 +103,19 @@ def test_run_finishes_every_stage_then_raises(spark, tmp_path):
         batch.run(spark, store, c, dirs, dt.datetime(2030, 1, 1))
     # the failing dataset (no bronze yet) did not stop the others
     assert spark.read.parquet(store.silver("items")).count() == 2
+
+
+def test_uploads_of_a_dropped_contract_are_reported_not_touched(spark, tmp_path):
+    c = {"items": Contract(("item_id",), (ColumnSpec("item_id", "string", True),))}
+    _w(str(tmp_path / "landing" / "items" / "a.csv"), "item_id\nI1\n")
+    store = batch.Store(str(tmp_path / "store"))
+    dirs = {"items": str(tmp_path / "landing" / "items")}
+    now = dt.datetime(2030, 1, 1)
+    # register only (no contract known to the later stages yet is simulated
+    # by registering with the contract, then running without it)
+    uid = batch.register_uploaded_file(spark, store, c, dirs, str(tmp_path / "landing" / "items" / "a.csv"),
+                                       "items", now)
+    other = {"other": Contract(("k",), (ColumnSpec("k", "string", True),))}
+    summary = batch.run_uploads(spark, store, other, {}, now + dt.timedelta(hours=1))
+    assert summary["unknown_dataset"] == 1 and summary["errors"] == 1
+    assert batch.get_status(spark, store, uid) == "RECEIVED"
