@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.contracts import Contract, contracts_frame
 from sluice.functions import status as S
@@ -43,6 +44,10 @@ class Store:
     def manifest_events(self) -> str:
         return f"{self.root}/manifest_events"
 
+    @property
+    def manifest_snapshots(self) -> str:
+        return f"{self.root}/manifest_snapshots"
+
     def bronze(self, dataset: str) -> str:
         return f"{self.root}/bronze/{dataset}"
 
@@ -72,10 +77,55 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def _latest_snapshot(spark: SparkSession, store: Store) -> tuple[int, str] | None:
+    """(seq, path) of the newest complete manifest snapshot, if any."""
+    fs, root = LD._fs_path(spark, store.manifest_snapshots)
+    if not fs.exists(root):
+        return None
+    best = None
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("seq=") and fs.exists(
+                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            seq = int(name[4:])
+            if best is None or seq > best[0]:
+                best = (seq, st.getPath().toString())
+    return best
+
+
 def read_events(spark: SparkSession, store: Store) -> DataFrame:
-    if _exists(spark, store.manifest_events):
-        return spark.read.parquet(store.manifest_events)
-    return MF.empty_events(spark)
+    """The manifest event log: the newest snapshot (if any) plus every event
+    appended after it. Events are partitioned by day, so the days before the
+    snapshot are pruned without being read."""
+    # Explicit schema: no inference job, and a log holding only empty appends
+    # (no data files yet) still reads as an empty table.
+    schema = T.StructType(MF.event_schema().fields + [T.StructField("event_day", T.DateType())])
+    events = (spark.read.schema(schema).parquet(store.manifest_events)
+              if _exists(spark, store.manifest_events) else None)
+    snap = _latest_snapshot(spark, store)
+    if snap is None:
+        return events.drop("event_day") if events is not None else MF.empty_events(spark)
+    seq, path = snap
+    base = spark.read.parquet(path)
+    if events is None:
+        return base
+    day = _dt.datetime.fromtimestamp(seq // 100 / 1_000_000).date()
+    newer = events.where((F.col("event_day") >= F.lit(day)) & (F.col("seq") > seq)).drop("event_day")
+    return base.unionByName(newer, allowMissingColumns=True)
+
+
+def snapshot_manifest(spark: SparkSession, store: Store) -> int | None:
+    """Maintenance: fold the log into a new snapshot (one row per upload) so
+    later reads skip the events before it. Returns the snapshot's seq. The
+    snapshot is written to a new folder and only used once complete."""
+    events = read_events(spark, store)
+    top = events.agg(F.max("seq")).first()[0]
+    if top is None:
+        return None
+    state = MF.fold(events)
+    MF.snapshot_events(state, top).hint("rebalance").write.mode("overwrite").parquet(
+        f"{store.manifest_snapshots}/seq={top}")
+    return top
 
 
 def current_manifest(spark: SparkSession, store: Store) -> DataFrame:
@@ -89,7 +139,9 @@ def append_events(df: DataFrame, store: Store, seq: int, now: Column) -> None:
         df = df.withColumn("pipeline_run_id", F.lit(str(seq // 100)))
     # rebalance: AQE sizes the output (one small file for a typical run,
     # several for a big one) instead of one file per upstream task.
-    MF.as_events(df, F.lit(seq), now).hint("rebalance").write.mode("append").parquet(store.manifest_events)
+    ev = MF.as_events(df, F.lit(seq), now)
+    (ev.withColumn("event_day", F.to_date("event_at")).hint("rebalance")
+     .write.mode("append").partitionBy("event_day").parquet(store.manifest_events))
 
 
 def event_seq(now: _dt.datetime, step: int = 0) -> int:
