@@ -109,7 +109,9 @@ def read_events(spark: SparkSession, store: Store) -> DataFrame:
     base = spark.read.parquet(path)
     if events is None:
         return base
-    day = _dt.datetime.fromtimestamp(seq // 100 / 1_000_000).date()
+    # Day of the snapshot, widened by a day either way of time-zone
+    # differences between this clock and the session's; ``seq`` is exact.
+    day = _dt.datetime.fromtimestamp(seq // 100 / 1_000_000).date() - _dt.timedelta(days=1)
     newer = events.where((F.col("event_day") >= F.lit(day)) & (F.col("seq") > seq)).drop("event_day")
     return base.unionByName(newer, allowMissingColumns=True)
 
