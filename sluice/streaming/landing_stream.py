@@ -59,6 +59,8 @@ def run_available(
 ) -> list[dict]:
     """Process every file available now, micro-batch by micro-batch, then stop.
     Returns the run summaries of the batches."""
+    if not LD.existing_dirs(spark, dataset_dirs):
+        return []  # nothing to watch yet
     stream, dirs = landing_stream(spark, dataset_dirs)
     summaries: list[dict] = []
     now_fn = clock or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
