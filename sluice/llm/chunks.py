@@ -25,38 +25,39 @@ def simple_pieces(text: str) -> list[str] | None:
 
 
 class PieceCodes:
-    """Codes of pieces seen so far, as bytes of little-endian 32-bit ids; bounded."""
+    """Codes of pieces seen lately, as bytes of little-endian 32-bit ids.
 
-    def __init__(self, encode, limit: int = 400_000, longest: int = 64):
+    Two generations of at most ``limit`` pieces: a full one becomes the old
+    one, from which pieces still in use are taken over.
+    """
+
+    def __init__(self, encode, limit: int = 250_000, longest: int = 64):
         self._encode = encode  # list of strings -> list of bytes
         self._limit, self._longest = limit, longest
         self._first: dict[str, bytes] = {}
         self._later: dict[str, bytes] = {}
+        self._old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
     def code(self, texts: list[list[str]]) -> list[bytes]:
         """The joined codes of each list of pieces."""
         if len(self._first) + len(self._later) > self._limit:
+            self._old = self._first, self._later
             self._first, self._later = {}, {}
-        first, later = self._first, self._later
-        new_first = {p[0] for p in texts if p and p[0] not in first}
-        new_later = {w for p in texts for w in p[1:] if w not in later}
-        new = [*new_first, *(" " + w for w in new_later)]
-        long_first, long_later = [], []
-        if new:
-            codes = self._encode(new)
-            for w, c in zip(new_first, codes):
-                first[w] = c
-                if len(w) > self._longest:
-                    long_first.append(w)
-            for w, c in zip(new_later, codes[len(new_first):]):
-                later[w] = c
-                if len(w) > self._longest:
-                    long_later.append(w)
+        first, later, old = self._first, self._later, self._old
+        unseen = [p[0] for p in texts if p and p[0] not in first], [w for p in texts for w in p[1:] if w not in later]
+        todo = []
+        for kept, before, pieces in zip((first, later), old, unseen):
+            pieces = set(pieces)
+            kept.update((w, before[w]) for w in pieces if w in before)
+            todo.append([w for w in pieces if w not in before])
+        codes = self._encode([*todo[0], *(" " + w for w in todo[1])]) if any(todo) else []
+        first.update(zip(todo[0], codes))
+        later.update(zip(todo[1], codes[len(todo[0]):]))
         out = [first[p[0]] + b"".join(map(later.__getitem__, p[1:])) if p else b"" for p in texts]
-        for w in long_first:
-            del first[w]
-        for w in long_later:
-            del later[w]
+        for kept, pieces in zip((first, later), todo):
+            for w in pieces:
+                if len(w) > self._longest:
+                    del kept[w]
         return out
 
 

@@ -107,11 +107,28 @@ def _tokenizer(content: bytes):
         tok = Tokenizer.from_buffer(content)
         tok.encode_special_tokens = True
 
-        def encode(texts: list[str]) -> list[bytes]:
+        lengths = np.zeros(tok.get_vocab_size(), np.int64)  # bytes of each token: its characters stand for one byte each
+        for token, i in tok.get_vocab().items():
+            lengths[i] = len(token)
+
+        def whole(texts: list[str]) -> list[bytes]:
             return [np.array(e.ids, "<i4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+        def pieces(texts: list[str]) -> list[bytes]:
+            # Pieces with a space before them are coded alone wherever they stand, so they are
+            # encoded as one text and cut apart again by the bytes of their tokens.
+            n = next((i for i, t in enumerate(texts) if t[:1] == " "), len(texts))
+            out = whole(texts[:n])
+            if n < len(texts):
+                ids = np.array(tok.encode_batch_fast(["".join(texts[n:])], add_special_tokens=False)[0].ids, "<i4")
+                ends = np.cumsum([len(t) if t.isascii() else len(t.encode()) for t in texts[n:]])
+                cuts = (4 * np.searchsorted(np.cumsum(lengths[ids]), ends, side="left") + 4).tolist()
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+            return out
+
         _LOADED.clear()
-        _LOADED[key] = encode, PieceCodes(encode)
+        _LOADED[key] = whole, PieceCodes(pieces)
     return _LOADED[key]
 
 
