@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, simhash, token_codes
+from sluice.llm import bpe, simhash, substring_dedup, token_codes
 from sluice.plans.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op2_substring_dedup", r"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM w WHERE len(words) >= 35),
+k AS (SELECT r, i, md5(array_to_string(words[i:i + 34], ' ')) AS h FROM s),
+d AS (SELECT r, i FROM k WHERE h IN (SELECT h FROM k GROUP BY h HAVING count(*) > 1)),
+c AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM d),
+p AS (SELECT r, list(p) AS gone FROM c GROUP BY r),
+o AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
+    CASE WHEN gone IS NULL THEN words ELSE list_transform(list_filter(range(1, len(words) + 1), lambda x: NOT list_contains(gone, x)), lambda x: words[x]) END AS kept
+  FROM w LEFT JOIN p USING (r))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM o
+""")
+def op2_substring_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = substring_dedup.remove_repeats(docs, window=35)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @register("op3_token_codes")
 def op3_token_codes(spark, sf_dir):
     path = scratch_path(spark, "token-codes")
