@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, simhash, substring_dedup, token_codes
+from sluice.llm import bpe, mixing, simhash, substring_dedup, token_codes
 from sluice.plans.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,38 @@ def op4_byte_bpe(spark, sf_dir):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op5_source_mix", r"""
+WITH d AS (
+  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS k, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight, 3 * source_size AS lim FROM s),
+x AS (
+  SELECT *, sum(lim) OVER (ORDER BY lim / weight, source ROWS UNBOUNDED PRECEDING) - lim AS full_,
+    sum(weight) OVER () - sum(weight) OVER (ORDER BY lim / weight, source ROWS UNBOUNDED PRECEDING) + weight AS open_, sum(source_size) OVER () AS total FROM w),
+l AS (SELECT full_ AS lf, open_ AS lo FROM x WHERE lim * open_ >= (total - full_) * weight ORDER BY full_, open_ LIMIT 1),
+t AS (
+  SELECT source, source_size,
+    CASE WHEN full_ < lf THEN CAST(lim AS DOUBLE) ELSE CAST(weight * (total - lf) AS DOUBLE) / CAST(lo AS DOUBLE) END AS target FROM x, l),
+q AS (
+  SELECT d.*, source_size, target, sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size AS start_
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (
+  SELECT *, least(size, floor(target) - (start_ + n * source_size)) AS words, CAST(start_ + n * source_size + size AS DOUBLE) / target AS finish
+  FROM q, (SELECT unnest([0, 1, 2]) AS n)),
+p AS (
+  SELECT *, sum(words) OVER (ORDER BY least(floor(finish * 1024), 1024), finish, k, n ROWS UNBOUNDED PRECEDING) - words AS position
+  FROM c WHERE words > 0)
+SELECT q.doc_id, CAST(q.size AS BIGINT) AS size, q.source_size, q.target,
+  CAST(coalesce(sum(words), 0) AS BIGINT) AS taken, CAST(min(position) AS BIGINT) AS first_position
+FROM q LEFT JOIN p ON q.doc_id = p.doc_id GROUP BY ALL
+""")
+def op5_source_mix(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    copies = mixing.mix(docs, keep_untaken=True)
+    return copies.groupBy("row", "doc_id", "size", "source_size", "target").agg(
+        F.sum("taken").alias("taken"), F.min("position").alias("first_position")).drop("row")
+
+
 @register("op6_simhash")
 def op6_simhash(spark, sf_dir):
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
