@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, mixing, simhash, substring_dedup, token_codes
+from sluice.llm import bpe, language_id, mixing, simhash, substring_dedup, token_codes
+from sluice.llm.common import crc32_of
 from sluice.plans.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +106,12 @@ def op5_source_mix(spark, sf_dir):
 def op6_simhash(spark, sf_dir):
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    held_out = crc32_of("doc_id") % 4 == 2
+    model = language_id.fit(docs.where(~held_out))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
