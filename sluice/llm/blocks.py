@@ -20,8 +20,8 @@ from sluice.llm.common import prepare
 #: Bytes of text in a block; also bounds what one task holds.
 BLOCK_BYTES = 4_000_000
 
-ASKED = "__bucket int, __block long, __high binary, __low binary, __count binary, __keep binary"
-ANSWER = "__block long, __bucket int, __bits binary, __keep binary"
+ASKED = "__bucket int, __block long, __high binary, __low binary, __count binary, __order binary, __keep binary"
+ANSWER = "__block long, __bucket int, __bits binary, __first binary, __keep binary"
 
 
 def count_blocks(docs: DataFrame, text_col: str = "text") -> int:
@@ -38,57 +38,62 @@ def dealt(docs: DataFrame, blocks: int, id_col: str, text_col: str = "text") ->
     return docs.withColumn("__block", block).repartition("__block")
 
 
-def ask(block: int, buckets: int, high: np.ndarray, low: np.ndarray | None, count: np.ndarray, keep: bytes | None = None) -> pa.Table:
+def ask(block: int, buckets: int, high: np.ndarray, low: np.ndarray | None, count: np.ndarray, order: np.ndarray | None = None, keep: bytes | None = None) -> pa.Table:
     """The rows that send a block's distinct hashes (sorted by ``high``, then
-    ``low``) with their counts; ``keep`` comes back with the answers as it is."""
+    ``low``) with their counts and, if given, the least ``order`` of their
+    documents; ``keep`` comes back with the answers as it is."""
     bucket = ((high >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     names, first = np.unique(bucket, return_index=True)
     cuts = np.append(first, len(high))
     rows = [{
         "__bucket": int(names[i]), "__block": block, "__high": high[a:b].tobytes(), "__low": None if low is None else low[a:b].tobytes(),
-        "__count": np.minimum(count[a:b], 2**31 - 1).astype(np.int32).tobytes(), "__keep": None,
+        "__count": np.minimum(count[a:b], 2**31 - 1).astype(np.int32).tobytes(), "__order": None if order is None else order[a:b].astype(np.int64).tobytes(), "__keep": None,
     } for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
     if keep is not None:
-        rows.append({"__bucket": block % buckets, "__block": block, "__high": b"", "__low": None, "__count": b"", "__keep": keep})
+        rows.append({"__bucket": block % buckets, "__block": block, "__high": b"", "__low": None, "__count": b"", "__order": None, "__keep": keep})
     return pa.Table.from_pylist(rows, schema=pa.schema([
-        ("__bucket", pa.int32()), ("__block", pa.int64()), ("__high", pa.binary()), ("__low", pa.binary()), ("__count", pa.binary()), ("__keep", pa.binary())]))
+        ("__bucket", pa.int32()), ("__block", pa.int64()), ("__high", pa.binary()), ("__low", pa.binary()), ("__count", pa.binary()), ("__order", pa.binary()), ("__keep", pa.binary())]))
 
 
 def answers(asked: DataFrame, least: int) -> DataFrame:
-    """For each row asked, a bit per hash: its counts over all blocks reach ``least``."""
+    """For each row asked, a bit per hash: its counts over all blocks reach
+    ``least``; and a second one: this block has the least order of all (the
+    lowest block among equals)."""
 
     def bucket(table):
-        high = [np.frombuffer(x, np.uint64) for x in table.column("__high").to_pylist()]
-        sizes = [len(x) for x in high]
-        a = np.concatenate(high)
-        lows = table.column("__low").to_pylist()
-        b = np.concatenate([np.frombuffer(x, np.uint64) for x in lows if x is not None] or [np.zeros(0, np.uint64)])
-        count = np.concatenate([np.frombuffer(x, np.int32) for x in table.column("__count").to_pylist()]).astype(np.int64)
-        bits = np.zeros(len(a), bool)
+        def joined(name, kind):
+            return np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist() if x is not None] or [np.zeros(0, kind)])
+
+        sizes = [len(x) // 8 for x in table.column("__high").to_pylist()]
+        a, b, order = joined("__high", np.uint64), joined("__low", np.uint64), joined("__order", np.int64)
+        count = joined("__count", np.int32).astype(np.int64)
+        bits, first = np.zeros(len(a), bool), np.zeros(len(a), bool)
         if len(a):
-            order = np.lexsort((b, a)) if len(b) else np.argsort(a, kind="stable")
+            keys = (b, a) if len(b) else (a,)
+            if len(order):
+                keys = (np.repeat(table.column("__block").to_numpy(), sizes), order, *keys)
+            at = np.lexsort(keys)
             new = np.ones(len(a), bool)
-            new[1:] = a[order][1:] != a[order][:-1]
+            new[1:] = a[at][1:] != a[at][:-1]
             if len(b):
-                new[1:] |= b[order][1:] != b[order][:-1]
-            group = np.cumsum(new) - 1
-            total = np.add.reduceat(count[order], np.flatnonzero(new))
-            bits[order] = total[group] >= least
+                new[1:] |= b[at][1:] != b[at][:-1]
+            total = np.add.reduceat(count[at], np.flatnonzero(new))
+            bits[at] = total[np.cumsum(new) - 1] >= least
+            first[at] = new
         ends = np.cumsum(sizes)
+        packed = [pa.array([np.packbits(x[e - n:e]).tobytes() for n, e in zip(sizes, ends)], pa.binary()) for x in (bits, first)]
         return pa.table({
             "__block": table.column("__block"), "__bucket": table.column("__bucket"),
-            "__bits": pa.array([np.packbits(bits[e - n:e]).tobytes() for n, e in zip(sizes, ends)], pa.binary()),
-            "__keep": table.column("__keep"),
-        })
+            "__bits": packed[0], "__first": packed[1], "__keep": table.column("__keep")})
 
     return asked.groupBy("__bucket").applyInArrow(bucket, ANSWER)
 
 
-def answered(table: pa.Table, buckets: int, high: np.ndarray) -> np.ndarray:
+def answered(table: pa.Table, buckets: int, high: np.ndarray, column: str = "__bits") -> np.ndarray:
     """The bits of a block's hashes, in their order, from its answers."""
     bucket = ((high >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     names, sizes = np.unique(bucket, return_counts=True)
-    got = {k: x for k, x, keep in zip(table.column("__bucket").to_pylist(), table.column("__bits").to_pylist(), table.column("__keep").to_pylist()) if keep is None}
+    got = {k: x for k, x, keep in zip(table.column("__bucket").to_pylist(), table.column(column).to_pylist(), table.column("__keep").to_pylist()) if keep is None}
     parts = [np.unpackbits(np.frombuffer(got[int(k)], np.uint8), count=int(n)) for k, n in zip(names, sizes)]
     return np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, language_id, mixing, simhash, substring_dedup, token_codes
+from sluice.llm import bpe, language_id, line_templates, mixing, simhash, substring_dedup, token_codes
 from sluice.llm.common import crc32_of
 from sluice.plans.session import scratch_path
 
@@ -108,6 +108,13 @@ def op6_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op8_line_templates")
+def op8_line_templates(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = line_templates.drop_recurring_lines(docs)
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @register("op10_language_id")
 def op10_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
