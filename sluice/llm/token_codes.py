@@ -33,6 +33,7 @@ _LEVEL = T.StructType([T.StructField(n, T.BinaryType()) for n in ("chunks", "mor
 SHARD_SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType()),
     T.StructField("seq", T.IntegerType()),
+    T.StructField("before", T.LongType()),
     T.StructField("doc_ids", T.ArrayType(T.LongType())),
     T.StructField("doc_ends", T.ArrayType(T.LongType())),
     T.StructField("n_tokens", T.LongType()),
@@ -157,17 +158,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
         content = spark.sparkContext.broadcast(f.read())
 
     def run(batches):
-        part, seq = TaskContext.get().partitionId(), 0
+        part, seq, before = TaskContext.get().partitionId(), 0, 0
         names, ids, held = [], [], 0
 
         def shard():
-            nonlocal names, ids, held, seq
+            nonlocal names, ids, held, seq, before
             flat = np.concatenate(ids).astype(np.uint32)
             row = {
-                "part": part, "seq": seq, "doc_ids": names, "doc_ends": np.cumsum([len(x) for x in ids]).tolist(),
+                "part": part, "seq": seq, "before": before, "doc_ids": names, "doc_ends": np.cumsum([len(x) for x in ids]).tolist(),
                 "n_tokens": len(flat), "levels": pack(flat),
             }
-            names, ids, held, seq = [], [], 0, seq + 1
+            names, ids, held, seq, before = [], [], 0, seq + 1, before + len(flat)
             return pa.RecordBatch.from_pylist([row], schema=arrow)
 
         for batch in rows_in_batches(batches, 1000):
@@ -182,7 +183,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
             yield shard()
 
     level = pa.struct([(n, pa.binary()) for n in ("chunks", "more", "ranks")])
-    arrow = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("doc_ends", pa.list_(pa.int64())), ("n_tokens", pa.int64()), ("levels", pa.list_(level))])
+    arrow = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_ends", pa.list_(pa.int64())), ("n_tokens", pa.int64()), ("levels", pa.list_(level))])
     (
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
         .repartitionByRange("id", F.xxhash64("text"))
@@ -195,15 +196,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
 # -------------------------------------------------------------------- reading --
 
 def _placed(spark: SparkSession, path: str) -> DataFrame:
-    """The shards with ``start``, the number of ids before them. The only
-    global order is over one sum per partition of the writer."""
+    """The shards with ``start``, the number of ids before them: what the
+    writer's partition had before them, and the sums of earlier partitions (one
+    row for each partition of the writer, so small enough to broadcast; the
+    shards themselves are not shuffled)."""
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
     sums = shards.groupBy("part").agg(F.sum("n_tokens").alias("_sum"))
-    before = sums.select("part", (F.sum("_sum").over(Window.orderBy("part")) - F.col("_sum")).alias("_before"))
-    within = Window.partitionBy("part").orderBy("seq")
-    starts = shards.select("part", "seq", (F.sum("n_tokens").over(within) - F.col("n_tokens")).alias("_inside"))
-    starts = starts.join(before, "part").select("part", "seq", (F.col("_before") + F.col("_inside")).alias("start"))
-    return shards.join(starts, ["part", "seq"])
+    earlier = sums.select("part", (F.sum("_sum").over(Window.orderBy("part")) - F.col("_sum")).alias("_earlier"))
+    return shards.join(F.broadcast(earlier), "part").withColumn("start", F.col("_earlier") + F.col("before"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
