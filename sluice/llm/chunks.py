@@ -28,7 +28,9 @@ class PieceCodes:
     """Codes of pieces seen lately, as bytes of little-endian 32-bit ids.
 
     Two generations of at most ``limit`` pieces: a full one becomes the old
-    one, from which pieces still in use are taken over.
+    one, from which pieces still in use are taken over. A comma or full stop
+    after a letter or number is coded alone, so such a piece is composed of
+    what comes before it and the mark.
     """
 
     def __init__(self, encode, limit: int = 400_000, longest: int = 64):
@@ -37,6 +39,7 @@ class PieceCodes:
         self._first: dict[str, bytes] = {}
         self._later: dict[str, bytes] = {}
         self._old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self._marks = dict(zip(",.", encode([",", "."])))
 
     def code(self, texts: list[list[str]]) -> list[bytes]:
         """The joined codes of each list of pieces."""
@@ -45,16 +48,23 @@ class PieceCodes:
             self._first, self._later = {}, {}
         first, later, old = self._first, self._later, self._old
         unseen = [p[0] for p in texts if p and p[0] not in first], [w for p in texts for w in p[1:] if w not in later]
-        todo = []
+        todo, composed = [], []
         for kept, before, pieces in zip((first, later), old, unseen):
             pieces = set(pieces)
             kept.update((w, before[w]) for w in pieces if w in before)
-            todo.append([w for w in pieces if w not in before])
+            pieces = {w for w in pieces if w not in before}
+            marked = [w for w in pieces if w[-1:] in self._marks and w[-2:-1].isalnum()]
+            composed.append(marked)
+            pieces.difference_update(marked)
+            pieces.update(w for w in (m[:-1] for m in marked) if w not in kept)
+            todo.append(list(pieces))
         codes = self._encode([*todo[0], *(" " + w for w in todo[1])]) if any(todo) else []
         first.update(zip(todo[0], codes))
         later.update(zip(todo[1], codes[len(todo[0]):]))
+        for kept, marked in zip((first, later), composed):
+            kept.update((w, kept[w[:-1]] + self._marks[w[-1]]) for w in marked)
         out = [first[p[0]] + b"".join(map(later.__getitem__, p[1:])) if p else b"" for p in texts]
-        for kept, pieces in zip((first, later), todo):
+        for kept, pieces in zip((first, later, first, later), (*todo, *composed)):
             for w in pieces:
                 if len(w) > self._longest:
                     del kept[w]
