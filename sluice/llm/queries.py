@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, language_id, line_templates, mixing, simhash, substring_dedup, token_codes
+from sluice.llm import bpe, embedding_dedup, language_id, line_templates, mixing, simhash, substring_dedup, token_codes
 from sluice.llm.common import crc32_of
 from sluice.plans.session import scratch_path
 
@@ -30,6 +30,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_embedding_dedup")
+def op1_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 @register("op2_substring_dedup", r"""
 WITH w AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
