@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, embedding_dedup, language_id, line_templates, mixing, simhash, substring_dedup, token_codes
+from sluice.llm import bpe, embedding_dedup, language_id, line_templates, mixing, simhash, substring_dedup, token_codes, toxicity
 from sluice.llm.common import crc32_of
 from sluice.plans.session import scratch_path
 
@@ -113,6 +113,16 @@ def op6_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc32_of("doc_id") % 5 == 0
+    labels = _table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
+    model = toxicity.fit(docs.join(labels, "doc_id"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 @register("op8_line_templates")
 def op8_line_templates(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
