@@ -160,29 +160,36 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.n
     return w
 
 
-def train(texts: list[str], toxic: list[int], landmarks: int = 200, rounds: int = 3, ridge: float = 0.05) -> Model:
-    """A model from a bounded list of labelled texts; the same lists give the same model."""
-    sentences = [[sorted({u for us in units(tokens(s)).values() for u in us}) for s in [*_SENTENCE.split(t), *_SINGLES.findall(t.lower())]] for t in texts]
-    have = [set().union(*s) if s else set() for s in sentences]
-    pos = [i for i, y in enumerate(toxic) if y == 1 and have[i]]
+def train(texts: list[str], toxic: list[int], landmarks: int = 160, rounds: int = 4, ridge: float = 0.05, working: int = 12_000) -> Model:
+    """A model from a bounded list of labelled texts; the same lists give the
+    same model. Of the clean texts' words the ``working`` most frequent train,
+    and in each round as many of those the machine has most wrong."""
+    place: dict[str, int] = {}
+    have = []
+    for text in texts:
+        found = {u for s in _SENTENCE.split(text) for us in units(s.lower().split()).values() for u in us}
+        found.update(u for us in units(_SINGLES.findall(text.lower())).values() for u in us)
+        have.append(np.array(sorted(place.setdefault(u, len(place)) for u in sorted(found)), np.int64))
+    pos = [i for i, y in enumerate(toxic) if y == 1 and len(have[i])]
     neg = [i for i, y in enumerate(toxic) if y == 0]
     if not pos or not neg:
         return Model(None, np.zeros((0, 1), np.float32), 0.0, 0.0, 3.0 if pos and not neg else -3.0)
-    in_pos, in_neg = Counter(u for i in pos for u in have[i]), Counter(u for i in neg for u in have[i])
-
-    def odds(u: str) -> float:
-        return np.log((in_pos[u] + 0.5) / (len(pos) + 1)) - np.log((in_neg[u] + 0.5) / (len(neg) + 1))
-
-    witness = {i: max(have[i], key=lambda u: (odds(u) if in_pos[u] > 2 else -9.0, u)) for i in pos}
-    # a label that no word shared with other toxic texts supports is left out for now
-    witness = {i: u for i, u in witness.items() if in_pos[u] > 2 and odds(u) > 1.5} or witness
+    words = list(place)
+    in_pos, in_neg = (np.bincount(np.concatenate([have[i] for i in side]), minlength=len(words)) for side in (pos, neg))
+    odds = np.log((in_pos + 0.5) / (len(pos) + 1)) - np.log((in_neg + 0.5) / (len(neg) + 1))
+
+    # witnesses; a label that no word shared with other toxic texts supports is left out for now
+    supported = np.where(in_pos > 2, odds, -9.0)
+    witness = {i: int(have[i][supported[have[i]].argmax()]) for i in pos}
+    witness = {i: u for i, u in witness.items() if supported[u] > 1.5} or witness
     # a text's other sentences count as well where their word is as telling in general
-    telling = {u: n for u, n in in_pos.items() if n >= max(5, len(pos) / 200) and odds(u) > 3}
-    named = Counter(witness.values())
-    named.update({u: n / 2 for u, n in telling.items()})
-    ranked = sorted(named, key=lambda u: (-named[u] * max(odds(u), 0.0), u))
-    common = [u for u, _ in sorted(in_neg.items(), key=lambda x: (-x[1], x[0]))[:landmarks // 3]]
-    chosen = list(dict.fromkeys([*ranked[:landmarks - len(common)], *common]))
+    telling = np.flatnonzero((in_pos >= max(5, len(pos) / 200)) & (odds > 3))
+    named = np.bincount(list(witness.values()), minlength=len(words)).astype(float)
+    named[telling] += in_pos[telling] / 2
+    ranked = np.flatnonzero(named)
+    ranked = ranked[np.lexsort((ranked, -named[ranked] * np.maximum(odds[ranked], 0)))]
+    common = np.lexsort((np.arange(len(words)), -in_neg))[:landmarks // 3]
+    chosen = [words[k] for k in dict.fromkeys([*ranked[:landmarks - len(common)].tolist(), *common.tolist()])]
     letters = _Letters(chosen)
     table = _triple_table(letters, chosen)
     gram = _sums(letters, table, chosen)
@@ -190,37 +197,45 @@ def train(texts: list[str], toxic: list[int], landmarks: int = 200, rounds: int
     ok = value > 1e-3 * value.max()
     root = (vector[:, ok] / np.sqrt(value[ok])).astype(np.float32)  # Nyström: kernel to landmarks -> features
 
-    seen = set(in_pos) | set(in_neg)
+    def features(numbers) -> np.ndarray:
+        return _sums(letters, table, [words[k] for k in numbers]) @ root
+
     rng = np.random.default_rng(5)
-    alphabet = sorted({c for u in seen for c in u})
-    inserted = {u[:i] + alphabet[rng.integers(len(alphabet))] + u[i:]: named[u] / (len(u) - 1) for u in chosen if odds(u) > 2 and len(u) < PIECE for i in range(1, len(u))}
-    inserted = {u: n for u, n in inserted.items() if u not in seen}
-    vocabulary = sorted(seen | set(inserted))
-    place = {u: k for k, u in enumerate(vocabulary)}
-    features = np.concatenate([_sums(letters, table, vocabulary[s:s + 50_000]) @ root for s in range(0, len(vocabulary), 50_000)])
-    clean = np.array(sorted(place[u] for u in in_neg))
-    best = {i: place[u] for i, u in witness.items()}
+    alphabet = sorted({c for u in chosen for c in u})
+    known = set(words)
+    inserted = {}
+    for u in chosen:
+        if odds[place[u]] > 2 and len(u) < PIECE:
+            for i in range(1, len(u)):
+                w = u[:i] + alphabet[rng.integers(len(alphabet))] + u[i:]
+                if w not in known:
+                    inserted[w] = named[place[u]] / (len(u) - 1)
+    extra = _sums(letters, table, list(inserted)) @ root if inserted else np.zeros((0, root.shape[1]), np.float32)
+
+    clean = np.flatnonzero(in_neg)
+    active = clean[np.lexsort((clean, -in_neg[clean]))][:working]
+    best = dict(witness)
     for _ in range(rounds):
-        rows = Counter(best.values())
-        rows.update({place[u]: n / 2 for u, n in telling.items()})
-        rows.update({place[u]: n for u, n in inserted.items()})
-        up = np.array(sorted(rows))
-        x = np.concatenate([features[up], features[clean]])
-        y = np.concatenate([np.ones(len(up)), -np.ones(len(clean))])
-        share = np.array([rows[k] for k in up], float)
-        weight = np.concatenate([share / share.sum() * len(clean) ** 0.5 * 10, np.ones(len(clean))])
-        w = _svm(x, y, weight, ridge)
-        margin = features @ w[:-1] + w[-1]
+        share = np.bincount(list(best.values()), minlength=len(words)).astype(float)
+        share[telling] += in_pos[telling] / 2
+        up = np.flatnonzero(share)
+        x = np.concatenate([features(up), extra, features(active)])
+        y = np.concatenate([np.ones(len(up) + len(extra)), -np.ones(len(active))])
+        share = np.concatenate([share[up], list(inserted.values())])
+        w = _svm(x, y, np.concatenate([share / share.sum() * len(clean) ** 0.5 * 10, np.ones(len(active))]), ridge)
+        fold = (table @ (root @ w[:-1].astype(np.float32)))[:, None]
+        margin = _sums(letters, fold, words)[:, 0] + w[-1]
+        worst = clean[np.lexsort((clean, -margin[clean]))][:working]
+        active = np.union1d(active, worst[margin[worst] > -1])
         # the witness sentence of each toxic text: the one with the strongest word
-        best = {i: max((place[u] for s in sentences[i] for u in s), key=lambda k: (margin[k], -k)) for i in pos}
+        best = {i: int(have[i][margin[have[i]].argmax()]) for i in pos}
         best = {i: k for i, k in best.items() if margin[k] > -0.5 or i in witness}
-    top = np.array([max((margin[place[u]] for u in have[i]), default=-1.0) for i in [*best, *neg]])
-    top = np.concatenate([top, margin[[place[u] for u in inserted]]])
+    top = [margin[have[i]].max(initial=-1.0) for i in [*best, *neg]]
+    top = np.concatenate([top, extra @ w[:-1] + w[-1]])
     y = np.array([1.0] * len(best) + [0.0] * len(neg) + [1.0] * len(inserted))
     weight = np.array([1.0] * (len(best) + len(neg)) + [0.03 * len(best) / max(1, len(inserted))] * len(inserted))
     slope, offset = _logistic(np.maximum(top, -1.0), y, weight)
-    weights = (table @ (root @ w[:-1].astype(np.float32)))[:, None]
-    return Model(letters, weights, float(w[-1]), slope, offset)
+    return Model(letters, fold, float(w[-1]), slope, offset)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -239,7 +254,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(b[0]), float(b[1])
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", sample: int = 1500, **options) -> Model:
+def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", sample: int = 1000, **options) -> Model:
     """A model from rows with a text and a label of 0 or 1 (others do not count).
 
     Bound: at most ``sample`` different texts per label, one for each hash slot.
