@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, embedding_dedup, language_id, line_templates, mixing, simhash, substring_dedup, token_codes, toxicity
+from sluice.llm import bpe, embedding_dedup, language_id, line_templates, mixing, search, simhash, substring_dedup, token_codes, toxicity
 from sluice.llm.common import crc32_of
 from sluice.plans.session import scratch_path
 
@@ -130,6 +130,24 @@ def op8_line_templates(spark, sf_dir):
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@register("op9_search", r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS term FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+l AS (SELECT doc_id, sum(tf) AS dl FROM f GROUP BY doc_id),
+n AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(dl) FROM l) / (SELECT count(*) FROM documents) AS avgdl),
+i AS (SELECT term, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM f, n GROUP BY term, n),
+s AS (
+  SELECT q.doc_id AS query_id, f.doc_id, round(sum(q.tf * idf * f.tf * 2.2 / (f.tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score
+  FROM f AS q JOIN f USING (term) JOIN i USING (term) JOIN l ON l.doc_id = f.doc_id, n WHERE q.doc_id % 100 = 0 GROUP BY ALL),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s)
+SELECT * FROM r WHERE rank <= 10
+""")
+def op9_search(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.top_k(docs, docs.where("doc_id % 100 = 0"), k=10)
+
+
 @register("op10_language_id")
 def op10_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
