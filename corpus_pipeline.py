@@ -1,27 +1,79 @@
-"""A corpus pipeline over ``documents``: each stage calls one operator of ``sluice.llm``."""
+"""A corpus pipeline over ``documents``: each stage calls one operator of ``sluice.llm``.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``;
+all but the last return the columns of documents. What a stage returns is
+written as a table in the shared folder and read by the next.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sluice.llm import bpe, language_id, line_templates, mixing, simhash
+from sluice.llm.common import crc32_of, materialise
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is determined; undetermined and narrowly decided ones go.
+
+    Fitted on the rows of ``docs`` whose crc32 of the id is not 2 modulo 4.
+    Without any labelled row nothing can be decided and all rows stay.
+    """
+    model = language_id.fit(docs.where(crc32_of("doc_id") % 4 != 2))
+    if not model.dictionaries:
+        return docs
+    return language_id.identify(docs, model).where(~F.col("rejected")).select(*docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines of recurring templates; n_chars follows the text. All rows stay."""
+    done = line_templates.drop_recurring_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return done.select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each group of near-duplicates. Rows that
+    repeat this id are near-duplicates of it too unless their texts are far
+    apart: of rows with one id and fingerprint one stays. Rows with a null id stay."""
+    kept = simhash.near_duplicates(docs, shingle=4, max_bits=4).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = kept.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
+    alone = docs.join(kept, F.col("doc_id") == F.col("_id"))
+    once = alone.where("_rows = 1").select(*docs.columns)
+    repeated = alone.where("_rows > 1").select(*docs.columns)
+    one = simhash.fingerprints(repeated).dropDuplicates(["doc_id", "fingerprint"]).select(*docs.columns)
+    return once.unionByName(one).unionByName(docs.where("doc_id IS NULL"))
+
 
-from sluice.llm import bpe
-from sluice.llm.common import materialise
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies that the mix takes, as rows; a copy taken in part has its text cut to the words taken."""
+    mixed = mixing.cut_text(mixing.mix(docs))
+    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every text as byte-level BPE ids."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    """doc_id, lang, source, ids of every text, and the bytes that the ids decode to."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
+    decoded = bpe.decode(coded.select("doc_id", "lang", "source", "ids"), ranks, public_tokenizers.PATTERN)
+    return decoded.select("doc_id", "lang", "source", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("byte_bpe", encode)]
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_lines),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("source_mix", mix_sources),
+    ("byte_bpe", encode),
+]
 
 #: SQL cannot express the models, clusterings and codes of the stages; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order; what each returns is written as a table in the shared folder and read by the next."""
+    """The stages in order on all of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

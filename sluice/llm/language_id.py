@@ -5,8 +5,8 @@ training text (lower case, letters only). A text is folded the same way, cut
 into short chunks so that the dictionary and not the text itself is what a
 chunk is matched against, and each chunk of the whole text is compressed
 with every language's dictionary; the language with the fewest bytes wins. A
-text of a single chunk is compressed with several dictionaries per language
-for a finer measure. A margin (bytes saved to the second best, as a share)
+text of a single chunk is compressed with several dictionaries per language,
+whole, in halves and in quarters, for a finer measure. A margin (bytes saved to the second best, as a share)
 below ``min_margin`` is a rejection.
 
 Fitting reads a bounded sample (``Model`` parameters): per language one
@@ -67,6 +67,8 @@ class Model:
             return {}
         chunks = [raw[i:i + self.chunk] for i in range(0, len(raw), self.chunk)]
         few = len(chunks) == 1
+        if few:
+            chunks += [raw[len(raw) * i // n:len(raw) * (i + 1) // n] for n in (2, 4) for i in range(n)]
         return {
             lang: sum(len(c.compress(x)) for c in (own if few else own[:1]) for x in chunks)
             for lang, own in self._ready().items()}
