@@ -118,7 +118,7 @@ def op7_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc32_of("doc_id") % 5 == 0
     labels = _table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
-    model = toxicity.fit(docs.join(labels, "doc_id"))
+    model = toxicity.fit(docs, labels)
     return toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 

@@ -254,17 +254,25 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(b[0]), float(b[1])
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", sample: int = 1000, **options) -> Model:
-    """A model from rows with a text and a label of 0 or 1 (others do not count).
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 1000, **options) -> Model:
+    """A model from texts and labels of 0 or 1 with the same id (others, null
+    texts and null ids do not count).
 
-    Bound: at most ``sample`` different texts per label, one for each hash slot.
+    Bound: at most ``sample`` documents per label, one for each hash slot;
+    equal texts fall into one slot. Only ids and hashes are shuffled to find
+    them; the texts of those chosen are fetched by a broadcast of their ids.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y")).where("text IS NOT NULL AND y IN (0, 1)")
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    picked = rows.groupBy("y", F.pmod("h", F.lit(sample)).alias("slot")).agg(F.min("h").alias("h")).select("y", "h")
-    taken = rows.join(F.broadcast(picked), ["y", "h"]).dropDuplicates(["y", "h"]).collect()  # picked: at most 2 * sample rows
-    taken.sort(key=lambda r: (r.y, r.h))
-    return train([r.text for r in taken], [r.y for r in taken], **options)
+    light = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
+    picked = light.join(known, "id").groupBy("y", F.pmod("h", F.lit(sample)).alias("slot")).agg(F.min(F.struct("h", "id")).alias("p"))
+    picked = picked.select("y", F.col("p.h").alias("h"), F.col("p.id").alias("id")).collect()  # at most 2 * sample rows
+    if not picked:
+        return Model(None, np.zeros((0, 1), np.float32), 0.0, 0.0, -3.0)
+    wanted = docs.sparkSession.createDataFrame([(r.id,) for r in picked], light.select("id").schema).distinct()
+    texts = docs.join(F.broadcast(wanted), F.col(id_col) == F.col("id")).select("id", F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    text = {(r.id, r.h): r.text for r in texts.dropDuplicates(["id", "h"]).collect()}
+    taken = sorted((r.y, r.h, text[r.id, r.h]) for r in picked)
+    return train([t for *_, t in taken], [y for y, *_ in taken], **options)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
