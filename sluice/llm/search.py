@@ -30,7 +30,7 @@ from sluice.llm.common import materialise, prepare, text_buffer, word_hashes, wo
 from sluice.llm.mixing import size_of
 from sluice.plans.session import scratch_path
 
-SHARD_BYTES, BLOCK_DOCS, QUERY_BYTES = 16_000_000, 32, 32_000_000
+SHARD_BYTES, BLOCK_DOCS, QUERY_BYTES = 8_000_000, 32, 32_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -42,8 +42,13 @@ def _terms(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends, first = word_spans(raw, offsets)
     term = word_hashes(raw, starts, ends)
     rows = len(offsets) - 1
+    counts = np.diff(first)
+    del raw, starts, ends, first
     names, inverse = np.unique(term, return_inverse=True)
-    key = inverse.astype(np.int64) * rows + np.repeat(np.arange(rows), np.diff(first))
+    del term
+    key = inverse.astype(np.int64, copy=False)
+    key *= rows
+    key += np.repeat(np.arange(rows), counts)
     key, count = np.unique(key, return_counts=True)
     return names[key // max(1, rows)], key % max(1, rows), count
 
@@ -144,8 +149,8 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
 
     def frequencies(batches):
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                ix = pickle.loads(raw)
+            for held_shard in batch.column(0):
+                ix = pickle.loads(held_shard.as_buffer())
                 for i in range(0, len(ix["terms"]), 100_000):
                     yield pa.RecordBatch.from_arrays([
                         pa.array(ix["terms"][i:i + 100_000].view(np.int64)), pa.array(ix["df"][i:i + 100_000].astype(np.int64))], ["term", "df"])
@@ -177,8 +182,8 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
             ids, hashes, ends, terms, weights = pickle.loads(held_queries.value)
             starts = np.concatenate([[0], ends[:-1]])
             for batch in batches:
-                for raw in batch.column(0).to_pylist():
-                    ix = pickle.loads(raw)
+                for held_shard in batch.column(0):
+                    ix = pickle.loads(held_shard.as_buffer())
                     null = np.isnan(ix["ids"]) if ix["ids"].dtype.kind == "f" else np.zeros(ix["n"], bool)
                     ix["ids"] = np.where(null, 0, ix["ids"]).astype(np.int64)
                     ix["part"] = np.where(null[ix["doc"]], 0.0, ix["part"])
