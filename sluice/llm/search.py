@@ -22,6 +22,7 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,21 +76,38 @@ def _index(table: pa.Table, average: float, k1: float, b: float) -> dict:
     row = place[row]
     by = np.lexsort((row, term))
     term, row, count = term[by], row[by], count[by]
-    part = count * (k1 + 1) / (count + k1 * (1 - b + b * length[order][row] / average))
+    damp = k1 * (1 - b + b * length[order] / average)
     names, first = np.unique(term, return_index=True)
     block = row // BLOCK_DOCS
     new = np.ones(len(term), bool)
     new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
     entry = np.flatnonzero(new)
+    most = np.maximum.reduceat(count * (k1 + 1) / (count + damp[row]), entry) if len(entry) else np.zeros(0)
     return {
-        "ids": table.column("doc_id").take(pa.array(order)).to_numpy(), "n": n,
+        "ids": table.column("doc_id").take(pa.array(order)).to_numpy(), "n": n, "k1": k1, "damp": damp,
         "terms": names, "term_entry": np.searchsorted(entry, np.append(first, len(term))).astype(np.int32),
         "entry_block": block[entry].astype(np.int32), "entry_post": np.append(entry, len(term)).astype(np.int32),
-        "entry_max": np.maximum.reduceat(part, entry) if len(entry) else part, "doc": row.astype(np.int32), "part": part,
-        "df": np.diff(np.append(first, len(term))),
+        "entry_max": np.nextafter(most.astype(np.float32), np.float32(np.inf)), "doc": row.astype(np.int32),
+        "count": count.astype(np.uint16 if count.max(initial=0) < 65536 else np.int64),
     }
 
 
+def _pack(ix: dict) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(ix))
+
+
+def _open(raw) -> dict:
+    """A shard's index ready for search: documents with a null id give nothing."""
+    ix = pickle.loads(zstandard.ZstdDecompressor().decompress(raw))
+    count, damp = ix["count"].astype(np.float64), ix["damp"][ix["doc"]]
+    ix["part"] = count * (ix["k1"] + 1) / (count + damp)
+    if ix["ids"].dtype.kind == "f":  # nulls among the ids
+        null = np.isnan(ix["ids"])
+        ix["ids"] = np.where(null, 0, ix["ids"]).astype(np.int64)
+        ix["part"] = np.where(null[ix["doc"]], 0.0, ix["part"])
+    return ix
+
+
 def _best(ix: dict, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Place and rounded score of a shard's k best documents for one query, whose terms are places in the index."""
     start, stop = ix["term_entry"][terms].astype(np.int64), ix["term_entry"][terms + 1].astype(np.int64)
@@ -143,17 +161,18 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     held = B.dealt(rows, max(1, -(-(size or 0) // SHARD_BYTES)), "doc_id")
 
     def build(table):
-        return pa.table({"shard": pa.array([pickle.dumps(_index(table, average, k1, b))], pa.binary())})
+        return pa.table({"shard": pa.array([_pack(_index(table, average, k1, b))], pa.binary())})
 
     shards = materialise(held.groupBy("__block").applyInArrow(build, "shard binary"), "search-shards")
 
     def frequencies(batches):
         for batch in batches:
             for held_shard in batch.column(0):
-                ix = pickle.loads(held_shard.as_buffer())
+                ix = pickle.loads(zstandard.ZstdDecompressor().decompress(held_shard.as_buffer()))
+                df = np.diff(ix["entry_post"][ix["term_entry"]])
                 for i in range(0, len(ix["terms"]), 100_000):
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(ix["terms"][i:i + 100_000].view(np.int64)), pa.array(ix["df"][i:i + 100_000].astype(np.int64))], ["term", "df"])
+                        pa.array(ix["terms"][i:i + 100_000].view(np.int64)), pa.array(df[i:i + 100_000].astype(np.int64))], ["term", "df"])
 
     def query_terms(batches):
         for batch in batches:
@@ -183,10 +202,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
             starts = np.concatenate([[0], ends[:-1]])
             for batch in batches:
                 for held_shard in batch.column(0):
-                    ix = pickle.loads(held_shard.as_buffer())
-                    null = np.isnan(ix["ids"]) if ix["ids"].dtype.kind == "f" else np.zeros(ix["n"], bool)
-                    ix["ids"] = np.where(null, 0, ix["ids"]).astype(np.int64)
-                    ix["part"] = np.where(null[ix["doc"]], 0.0, ix["part"])
+                    ix = _open(held_shard.as_buffer())
                     place = np.searchsorted(ix["terms"], terms)
                     hit = ix["terms"][np.minimum(place, len(ix["terms"]) - 1)] == terms if len(ix["terms"]) else np.zeros(len(terms), bool)
                     found = []
