@@ -31,7 +31,7 @@ from sluice.llm.common import materialise, prepare, text_buffer, word_hashes, wo
 from sluice.llm.mixing import size_of
 from sluice.plans.session import scratch_path
 
-SHARD_BYTES, BLOCK_DOCS, QUERY_BYTES = 8_000_000, 32, 32_000_000
+SHARD_BYTES, BLOCK_DOCS, QUERY_BYTES = 4_000_000, 32, 32_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -51,7 +51,7 @@ def _terms(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     key *= rows
     key += np.repeat(np.arange(rows), counts)
     key, count = np.unique(key, return_counts=True)
-    return names[key // max(1, rows)], key % max(1, rows), count
+    return names[key // max(1, rows)], (key % max(1, rows)).astype(np.int32), count.astype(np.int32)
 
 
 def _ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
