@@ -163,7 +163,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     def build(table):
         return pa.table({"shard": pa.array([_pack(_index(table, average, k1, b))], pa.binary())})
 
-    shards = materialise(held.groupBy("__block").applyInArrow(build, "shard binary"), "search-shards")
+    shards = materialise(held.groupBy("__block").applyInArrow(build, "shard binary"), "search-shards", compression="none")
 
     def frequencies(batches):
         for batch in batches:
@@ -190,7 +190,8 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     weight = F.col("n") * F.log(1 + (F.lit(count) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = asked.join(df, "term").select("query_id", "h", F.struct("term", weight.alias("weight")).alias("t"))
     # one row per query; a query has at most as many terms as its text
-    weighed = materialise(weighed.groupBy("query_id", "h").agg(F.sort_array(F.collect_list("t")).alias("t")), "queries")
+    weighed = weighed.groupBy("query_id", "h").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    weighed = materialise(weighed.select("query_id", "h", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights")), "queries")
 
     path = scratch_path(spark, "search-results")
 
@@ -219,18 +220,15 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     chunk, held_bytes = [], 0
 
     def packed() -> bytes:
-        terms = [np.array([t.term for t in r.t], np.int64).view(np.uint64) for r in chunk]
-        weights = [np.array([t.weight for t in r.t], np.float64) for r in chunk]
-        return pickle.dumps((
-            np.array([r.query_id for r in chunk], np.int64), np.array([r.h for r in chunk], np.int64),
-            np.cumsum([len(t) for t in terms]), np.concatenate(terms), np.concatenate(weights)))
+        ids, hashes, terms, weights = zip(*chunk)
+        return pickle.dumps((np.array(ids, np.int64), np.array(hashes, np.int64), np.cumsum([len(t) for t in terms]), np.concatenate(terms), np.concatenate(weights)))
 
     for row in weighed.toLocalIterator():
-        if chunk and held_bytes + 16 * len(row.t) > QUERY_BYTES:
+        if chunk and held_bytes + 16 * len(row.terms) > QUERY_BYTES:
             search(packed())
             chunk, held_bytes = [], 0
-        chunk.append(row)
-        held_bytes += 16 * len(row.t)
+        chunk.append((row.query_id, row.h, np.array(row.terms, np.int64).view(np.uint64), np.array(row.weights, np.float64)))
+        held_bytes += 16 * len(row.terms)
     if not chunk:
         return spark.createDataFrame([], out)
     search(packed())
