@@ -84,7 +84,7 @@ class ByteBPE:
         left, right, merged = (np.array(x, np.int32) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int32),) * 3
         self._pairs = PairTable(left, right, merged)
         self._matches: dict[str, bytes] = {}
-        self._pieces = PieceCodes(self._encode_pieces)
+        self._pieces = PieceCodes(self._encode_pieces, limit=80_000)
         size = max(ranks.values()) + 1
         lengths = np.zeros(size, np.int64)
         for t, r in ranks.items():
@@ -121,7 +121,7 @@ class ByteBPE:
 
     def _codes_of(self, matches: list[str]) -> list[bytes]:
         known = self._matches
-        if len(known) > 150_000:
+        if len(known) > 50_000:
             known = self._matches = {}
         new = list({m for m in matches if m not in known})
         codes = dict(zip(new, self._merge([m.encode() for m in new])))
