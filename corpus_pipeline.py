@@ -53,11 +53,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, ids of every text, and the bytes that the ids decode to."""
+    """doc_id, lang, source, ids of every text, and the digest of the bytes that the ids decode to."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(coded.select("doc_id", "lang", "source", "ids"), ranks, public_tokenizers.PATTERN)
-    return decoded.select("doc_id", "lang", "source", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN, decoded=True)
+    return coded.select("doc_id", "lang", "source", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -230,31 +230,41 @@ def _rank_file(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` array<int>, the codes of the whole text.
+def _bytes_of(bpe: ByteBPE, flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The decoded bytes of consecutive lists of ids, as a binary column."""
+    raw, ends = bpe.decode(flat.astype(np.int64))
+    offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes())])
 
-    Null and empty texts have no ids. Repeated rows stay rows. A column named
-    ``ids`` in the input is replaced.
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """``docs`` with ``ids`` array<int>, the codes of the whole text; with
+    ``decoded`` also the bytes that these ids decode to, in the same pass.
+
+    Null and empty texts have no ids. Repeated rows stay rows. Columns of
+    these names in the input are replaced.
     """
     prepare(docs.sparkSession)
-    docs = docs.drop("ids")
+    docs = docs.drop("ids", *["decoded"] * decoded)
     ranks = _rank_file(docs.sparkSession, ranks_path)
     names = docs.columns
 
     def run(batches):
         bpe = _bpe(ranks.value, pattern)
         for big in batches:
-            for i in range(0, big.num_rows, 1000):
+            for i in range(0, big.num_rows, 500):
                 batch = big.slice(i, 1000)
                 texts = [t or "" for t in batch.column(names.index(text_col)).to_pylist()]
                 ids = bpe.encode(texts)
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))], [*names, "ids"])
+                columns = [*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))]
+                if decoded:
+                    columns.append(_bytes_of(bpe, flat, np.diff(ends)))
+                yield pa.RecordBatch.from_arrays(columns, [*names, "ids", *["decoded"] * decoded])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(run, schema)
+    fields = [*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), *[T.StructField("decoded", T.BinaryType())] * decoded]
+    return docs.mapInArrow(run, T.StructType(fields))
 
 
 def decode(coded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
@@ -274,9 +284,7 @@ def decode(coded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids"
                 batch = big.slice(i, 500)
                 lists = batch.column(names.index(ids_col))
                 counts = np.array([n or 0 for n in pa.compute.list_value_length(lists).to_pylist()], np.int64)
-                raw, ends = bpe.decode(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
-                offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
-                column = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes())])
+                column = _bytes_of(bpe, lists.flatten().to_numpy(zero_copy_only=False), counts)
                 yield pa.RecordBatch.from_arrays([*batch.columns, column], [*names, "decoded"])
 
     import pyarrow.compute  # noqa: F401  (pa.compute in the tasks)
