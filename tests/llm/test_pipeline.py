@@ -1,0 +1,36 @@
+"""The corpus pipeline: its stages in order, and the entry's queries."""
+
+import pytest
+
+import __spark_entry__ as E
+import corpus_pipeline as C
+
+COLUMNS = {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def test_run(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    kept = docs
+    for name, stage in C.STAGES[:-1]:
+        kept = C.materialise(stage(spark, kept, ""), name)
+        assert set(kept.columns) == COLUMNS
+        now = {r.doc_id for r in kept.select("doc_id").collect()}
+        assert now <= ids
+        ids = now
+    out = C.run(spark, "/root/testdata/sf0.001")
+    assert {"doc_id", "ids"} <= set(out.columns) and out.count() == kept.count()
+
+
+def test_empty_and_odd_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", None, None, 0), (1, "", None, None, 0), (2, "x " * 5000, "en", "s", 1)], docs.schema)
+    for data in (docs.limit(0), odd):
+        for _, stage in C.STAGES:
+            data = C.materialise(stage(spark, data, ""), "odd")
+        data.count()
+
+
+@pytest.mark.parametrize("n", range(1, 11))
+def test_registered(n):
+    assert sum(k.startswith(f"op{n}_") for k in E.queries()) == 1
