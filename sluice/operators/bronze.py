@@ -104,14 +104,17 @@ def attach_lineage(scanned: DataFrame, files: DataFrame, ingested_at: Column,
     ``files`` maps the reader's ``_metadata.file_path`` (percent-encoded, taken
     from the same reader on both sides) to the upload. It holds one row per
     file of the run (bounded by the number of uploads, never by their size),
-    so it is broadcast after a size check.
+    so it is broadcast after a size check. Lineage wins over columns of the
+    file with the same names (in any case).
     """
-    lineage = files.select(F.col("file_path").alias(path_col), "upload_id", "source_file_name")
-    joined = scanned.join(bounded_broadcast(lineage), path_col, "inner")
+    lineage = files.select(
+        F.col("file_path").alias("__lineage_path"), F.col("upload_id").alias("__lineage_upload"), F.col("source_file_name").alias("__lineage_file"))
+    joined = scanned.join(bounded_broadcast(lineage), F.col(path_col) == F.col("__lineage_path"), "inner")
+    taken = {path_col.lower(), "upload_id", "source_file_name", "ingested_at"}
     return joined.select(
-        *[c for c in scanned.columns if c != path_col],
-        "upload_id",
-        "source_file_name",
+        *[c for c in scanned.columns if c.lower() not in taken],
+        F.col("__lineage_upload").alias("upload_id"),
+        F.col("__lineage_file").alias("source_file_name"),
         ingested_at.alias("ingested_at"),
     )
 

@@ -16,10 +16,10 @@ from sluice.functions import status as S
 
 
 def status_health(manifest: DataFrame) -> DataFrame:
-    """Uploads and latest update per status."""
+    """Uploads and latest update per status, most frequent first."""
     return manifest.groupBy("status").agg(
         F.count(F.lit(1)).alias("n"), F.max("updated_at").alias("latest")
-    )
+    ).orderBy(F.desc("n"), "status")
 
 
 def unfinished_uploads(manifest: DataFrame) -> DataFrame:

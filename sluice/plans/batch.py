@@ -408,7 +408,8 @@ def register_uploaded_file(
 def _single_stage(stage, spark, store, contracts, upload_id, now) -> dict:
     _known_or_raise(spark, store, upload_id)
     now_c, run_seq, run_dir = _run(store, now)
-    out, refused = stage(spark, store, contracts, now_c, run_dir, run_seq * 100 + 2, only=[upload_id])
+    step = 4 if stage is bronze_stage else 2  # as in a run: later stages have later steps
+    out, refused = stage(spark, store, contracts, now_c, run_dir, run_seq * 100 + step, only=[upload_id])
     r = refused.first()
     if r is not None:
         raise ValueError(r["message"])

@@ -48,6 +48,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sluice-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
     return (spark.sparkContext.getCheckpointDir() or root).rstrip("/")

@@ -229,3 +229,14 @@ def test_vanished_and_replaced_files_are_rejected(spark, tmp_path):
     assert a["status"] == S.REJECTED and "no longer exists" in a["validation_message"]
     b = batch.validate_registered_upload(spark, store, c, swapped, NOW + dt.timedelta(seconds=3))
     assert b["status"] == S.REJECTED and "has changed since it was registered" in b["validation_message"]
+
+
+def test_lineage_wins_over_columns_of_the_file(spark):
+    from pyspark.sql import functions as F
+
+    from sluice.operators.bronze import attach_lineage
+
+    scanned = spark.createDataFrame([("f1", "own", "x", "late", "1")], "_file_path string, Upload_Id string, source_file_name string, ingested_at string, a string")
+    files = spark.createDataFrame([("f1", "u1", "a.csv")], "file_path string, upload_id string, source_file_name string")
+    row = attach_lineage(scanned, files, F.lit("now")).first()
+    assert row.asDict() == {"a": "1", "upload_id": "u1", "source_file_name": "a.csv", "ingested_at": "now"}
