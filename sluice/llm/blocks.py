@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import prepare
+from sluice.llm.common import giving_back_group, prepare
 
 #: Bytes of text in a block; also bounds what one task holds.
 BLOCK_BYTES = 4_000_000
@@ -86,7 +86,7 @@ def answers(asked: DataFrame, least: int) -> DataFrame:
             "__block": table.column("__block"), "__bucket": table.column("__bucket"),
             "__bits": packed[0], "__first": packed[1], "__keep": table.column("__keep")})
 
-    return asked.groupBy("__bucket").applyInArrow(bucket, ANSWER)
+    return asked.groupBy("__bucket").applyInArrow(giving_back_group(bucket), ANSWER)
 
 
 def answered(table: pa.Table, buckets: int, high: np.ndarray, column: str = "__bits") -> np.ndarray:

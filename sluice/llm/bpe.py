@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from sluice.llm.chunks import PieceCodes, groups, simple_pieces
-from sluice.llm.common import prepare
+from sluice.llm.common import giving_back, prepare
 
 _NONE = np.int32(2**31 - 1)
 _WIDTHS = (2, 4, 6, 8, 12, 16, 24, 32, 64, 128)
@@ -264,7 +264,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
                 yield pa.RecordBatch.from_arrays(columns, [*names, "ids", *["decoded"] * decoded])
 
     fields = [*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), *[T.StructField("decoded", T.BinaryType())] * decoded]
-    return docs.mapInArrow(run, T.StructType(fields))
+    return docs.mapInArrow(giving_back(run), T.StructType(fields))
 
 
 def decode(coded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
@@ -290,4 +290,4 @@ def decode(coded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids"
     import pyarrow.compute  # noqa: F401  (pa.compute in the tasks)
 
     schema = T.StructType([*coded.schema.fields, T.StructField("decoded", T.BinaryType())])
-    return coded.mapInArrow(run, schema)
+    return coded.mapInArrow(giving_back(run), schema)

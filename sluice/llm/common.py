@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from functools import wraps
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -129,3 +132,37 @@ def rows_in_batches(batches, size: int):
     for b in batches:
         for i in range(0, b.num_rows, size):
             yield b.slice(i, size)
+
+
+def _trim() -> None:
+    """Hand freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run):
+    """``run``, a function of record batches, with freed memory handed back after
+    it: Python workers outlive their task, beside the next stage's."""
+    @wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        _trim()
+    return wrapped
+
+
+def giving_back_group(run):
+    """The same for a function of the table of a group, or of the tables of a cogroup."""
+    if run.__code__.co_argcount == 2:
+        def wrapped(left, right):
+            out = run(left, right)
+            _trim()
+            return out
+        return wrapped
+
+    def wrapped(table):
+        out = run(table)
+        _trim()
+        return out
+    return wrapped

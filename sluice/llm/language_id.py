@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import prepare
+from sluice.llm.common import giving_back, prepare
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 UNDETERMINED = "und"
@@ -140,4 +140,4 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", min_margin:
     schema = T.StructType([
         *docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
         T.StructField("margin", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(giving_back(run), schema)

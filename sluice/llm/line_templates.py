@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.llm import blocks as B
-from sluice.llm.common import mix64, text_buffer, word_hashes, word_spans
+from sluice.llm.common import giving_back_group, mix64, text_buffer, word_hashes, word_spans
 
 _FIELD = np.uint64(0x5851F42D4C957F2D)
 _DIGIT = np.zeros(256, bool)
@@ -201,9 +201,9 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def cogrouped(left, right, fn, schema):
         def guarded(table, answer):  # a block always has documents; an empty side is an empty result
             return fn(table, answer) if table.num_rows else pa.table({})
-        return left.groupBy("__block").cogroup(right.groupBy("__block")).applyInArrow(guarded, schema)
+        return left.groupBy("__block").cogroup(right.groupBy("__block")).applyInArrow(giving_back_group(guarded), schema)
 
-    leaves = B.answers(held.groupBy("__block").applyInArrow(ask_leaves, B.ASKED), min_docs)
+    leaves = B.answers(held.groupBy("__block").applyInArrow(giving_back_group(ask_leaves), B.ASKED), min_docs)
     constants = B.answers(cogrouped(held, leaves, ask_constants, B.ASKED), min_docs)
     templates = B.answers(cogrouped(held, constants, ask_templates, B.ASKED), min_docs)
     return cogrouped(held, templates, drop, T.StructType([*docs.schema.fields, *OUTPUT]))

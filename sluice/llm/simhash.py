@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import materialise, prepare, text_buffer, word_spans
+from sluice.llm.common import giving_back, materialise, prepare, text_buffer, word_spans
 from sluice.llm.components import Forest, components
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -99,7 +99,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 4, seed
                 bits = _fingerprints(batch.column(names.index(text_col)), shingle, seed)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits.view(np.int64))], [*names, "fingerprint"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("fingerprint", T.LongType())]))
+    return docs.mapInArrow(giving_back(run), T.StructType([*docs.schema.fields, T.StructField("fingerprint", T.LongType())]))
 
 
 # ------------------------------------------------------------------- the join --
@@ -180,7 +180,7 @@ def links_within(prints: DataFrame, max_bits: int = 4, keyed: int = 2, piece: in
                 yield pa.RecordBatch.from_arrays([
                     pa.array(table.ravel().view(np.int64)), pa.array(np.repeat(part, table.shape[1]).view(np.int64))], ["key", "fingerprint"])
 
-    met = materialise(distinct.mapInArrow(keys, "key long, fingerprint long"), "pivot-keys")
+    met = materialise(distinct.mapInArrow(giving_back(keys), "key long, fingerprint long"), "pivot-keys")
     sizes = met.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     met = met.join(sizes, "key")
     # pieces of a large meeting: every pair of pieces has a task

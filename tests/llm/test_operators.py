@@ -80,6 +80,10 @@ def test_bpe_round_trip(docs, empty):
     for r in bpe.decode(bpe.encode(docs, path, P.PATTERN), path, P.PATTERN).collect():
         assert r.ids == enc.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode()
     assert bpe.encode(empty, path, P.PATTERN, decoded=True).count() == 0
+    many = docs.sparkSession.range(0, 2300, 1, 1).selectExpr("id AS doc_id", "concat('row ', id) AS text")  # one batch, several slices
+    rows = bpe.encode(many, path, P.PATTERN, decoded=True).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(2300))
+    assert all(bytes(r.decoded).decode() == r.text and r.ids == enc.encode_ordinary(r.text) for r in rows)
     own, rng = bpe.ByteBPE(ranks, P.PATTERN), random.Random(1)
     odd = ["a" * 5000, "ab" * 700 + "\n\n  x", "'s 't  don't'", "　a\x85b"] + ["".join(rng.choice("ab c\n.,é'") for _ in range(200)) for _ in range(200)]
     assert [x.tolist() for x in own.encode(odd)] == [enc.encode_ordinary(t) for t in odd]
