@@ -13,21 +13,3 @@ NOT_COMMA_SEPARATED = (
     "single column. Re-export it as a standard comma-delimited CSV."
 )
 BLANK_COLUMN_NAME = "The CSV header contains a blank column name."
-
-# File identity checks before validation / bronze.
-FILE_MISSING = "The registered file no longer exists at {path}."
-FILE_CHANGED_VALIDATION = (
-    "The file at {path} has changed since it was registered. "
-    "Register the new version as a new upload."
-)
-FILE_CHANGED_BRONZE = (
-    "The file at {path} has changed since it was validated. "
-    "Register the new version as a new upload."
-)
-
-# Bronze gate.
-NO_ROWS_READ = "The file produced no rows when read."
-CORRUPT_LIMIT = (
-    "{corrupt} of {total} rows ({pct}) could not be parsed, which exceeds the {limit} limit. "
-    "Check the file's delimiter and encoding."
-)

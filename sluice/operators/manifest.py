@@ -4,8 +4,8 @@ Plain Parquet has no row UPDATE, and a per-row update loop does not scale
 anyway. Every stage therefore appends sparse *events* (only the columns it
 sets, plus ``seq`` and ``event_at``) and the current manifest is a fold:
 per upload, each column takes its value from the latest event that set it.
-The fold is one hash aggregation on ``upload_id`` with partial (map-side)
-aggregation, so an upload with a huge number of events is combined before
+The fold is one aggregation on ``upload_id`` (sort-based, as texts and arrays
+are folded) with a partial, map-side step, so an upload with a huge number of events is combined before
 the shuffle.
 
 All decisions (register, claim, release) are set-based plans over the whole
@@ -97,23 +97,11 @@ def fold(events: DataFrame) -> DataFrame:
     aggs += [
         F.coalesce(F.min("created_at"), F.min("event_at")).alias("created_at"),
         F.max("event_at").alias("updated_at"),
-        (F.sum(F.coalesce(F.col("_weight"), F.lit(1))) if "_weight" in events.columns
-         else F.count(F.lit(1))).cast("long").alias("n_events"),
+        F.count(F.lit(1)).alias("n_events"),
     ]
     return events.groupBy("upload_id").agg(*aggs)
 
 
-def snapshot_events(state: DataFrame, seq: int) -> DataFrame:
-    """The folded state as one event per upload, ordered at ``seq`` (the last
-    event folded): folding it together with later events gives the same
-    state as folding the whole log. ``_weight`` keeps ``n_events`` exact."""
-    cols = [F.lit(seq).cast("long").alias("seq"), F.col("updated_at").alias("event_at")]
-    for f in event_schema(state.schema["updated_at"].dataType).fields[2:]:
-        cols.append(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in state.columns
-                    else F.lit(None).cast(f.dataType).alias(f.name))
-    return state.select(*cols, F.col("n_events").alias("_weight"))
-
-
 def lookup(manifest: DataFrame, requests: DataFrame, id_col: str = "upload_id") -> DataFrame:
     """Resolve requested upload ids; unknown ids are flagged with the error
     text instead of failing (the caller decides before any change)."""

@@ -11,11 +11,10 @@ from sluice.plans.batch import (
     run_links,
     run_silver,
     run_uploads,
-    snapshot_manifest,
     validate_registered_upload,
 )
 
 __all__ = [
     "Store", "current_manifest", "get_status", "load_upload_to_bronze", "register_uploaded_file", "run",
-    "run_links", "run_silver", "run_uploads", "snapshot_manifest", "validate_registered_upload",
+    "run_links", "run_silver", "run_uploads", "validate_registered_upload",
 ]

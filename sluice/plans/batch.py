@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from sluice.contracts import Contract, contracts_frame
 from sluice.functions import status as S
+from sluice.functions.columns import cap_message
 from sluice.functions.sizing import bounded_broadcast
 from sluice.operators import bronze as BR
 from sluice.operators import links as L
@@ -44,10 +46,6 @@ class Store:
     def manifest_events(self) -> str:
         return f"{self.root}/manifest_events"
 
-    @property
-    def manifest_snapshots(self) -> str:
-        return f"{self.root}/manifest_snapshots"
-
     def bronze(self, dataset: str) -> str:
         return f"{self.root}/bronze/{dataset}"
 
@@ -72,83 +70,71 @@ def persist(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Replace the table at ``path``: the new one is written whole beside it
+    first, so a build that fails leaves the old one as it was; the one replaced
+    is kept until the next replacement."""
+    new, old = f"{path}__next", f"{path}__previous"
+    df.write.mode("overwrite").parquet(new)
+    fs, target = LD._fs_path(spark, path)
+    _, hnew = LD._fs_path(spark, new)
+    _, hold = LD._fs_path(spark, old)
+    if fs.exists(target):
+        fs.delete(hold, True)
+        if not fs.rename(target, hold):
+            raise OSError(f"Could not set {path} aside")
+    if not fs.rename(hnew, target):
+        raise OSError(f"Could not put {new} in place")
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, hpath = LD._fs_path(spark, path)
     return fs.exists(hpath)
 
 
-def _latest_snapshot(spark: SparkSession, store: Store) -> tuple[int, str] | None:
-    """(seq, path) of the newest complete manifest snapshot, if any."""
-    fs, root = LD._fs_path(spark, store.manifest_snapshots)
-    if not fs.exists(root):
-        return None
-    best = None
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("seq=") and fs.exists(
-                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            seq = int(name[4:])
-            if best is None or seq > best[0]:
-                best = (seq, st.getPath().toString())
-    return best
-
-
 def read_events(spark: SparkSession, store: Store) -> DataFrame:
-    """The manifest event log: the newest snapshot (if any) plus every event
-    appended after it. Events are partitioned by day, so the days before the
-    snapshot are pruned without being read."""
+    """The whole manifest event log (empty before the first append)."""
     # Explicit schema: no inference job, and a log holding only empty appends
     # (no data files yet) still reads as an empty table.
     schema = T.StructType(MF.event_schema().fields + [T.StructField("event_day", T.DateType())])
-    events = (spark.read.schema(schema).parquet(store.manifest_events)
-              if _exists(spark, store.manifest_events) else None)
-    snap = _latest_snapshot(spark, store)
-    if snap is None:
-        return events.drop("event_day") if events is not None else MF.empty_events(spark)
-    seq, path = snap
-    base = spark.read.parquet(path)
-    if events is None:
-        return base
-    # Day of the snapshot, widened by a day either way of time-zone
-    # differences between this clock and the session's; ``seq`` is exact.
-    day = _dt.datetime.fromtimestamp(seq // 100 / 1_000_000).date() - _dt.timedelta(days=1)
-    newer = events.where((F.col("event_day") >= F.lit(day)) & (F.col("seq") > seq)).drop("event_day")
-    return base.unionByName(newer, allowMissingColumns=True)
-
-
-def snapshot_manifest(spark: SparkSession, store: Store) -> int | None:
-    """Maintenance: fold the log into a new snapshot (one row per upload) so
-    later reads skip the events before it. Returns the snapshot's seq. The
-    snapshot is written to a new folder and only used once complete."""
-    events = read_events(spark, store)
-    top = events.agg(F.max("seq")).first()[0]
-    if top is None:
-        return None
-    state = MF.fold(events)
-    MF.snapshot_events(state, top).hint("rebalance").write.mode("overwrite").parquet(
-        f"{store.manifest_snapshots}/seq={top}")
-    return top
+    if not _exists(spark, store.manifest_events):
+        return MF.empty_events(spark)
+    return spark.read.schema(schema).parquet(store.manifest_events).drop("event_day")
 
 
 def current_manifest(spark: SparkSession, store: Store) -> DataFrame:
     return MF.fold(read_events(spark, store))
 
 
-def append_events(df: DataFrame, store: Store, seq: int, now: Column) -> None:
-    """Append sparse manifest events; ``pipeline_run_id`` records the run
-    (the clock part of ``seq``) unless the events set it themselves."""
+_last_seq = 0
+
+
+def _append_seq() -> int:
+    """The place of an append in the log: the clock when it is appended (in
+    10 ns), and later than any earlier append of this driver. A run that began
+    first but appends last is last."""
+    global _last_seq
+    _last_seq = max(_last_seq + 1, time.time_ns() // 10)
+    return _last_seq
+
+
+def append_events(df: DataFrame, store: Store, run_seq: int, now: Column) -> None:
+    """Append sparse manifest events, placed after all earlier appends;
+    ``pipeline_run_id`` records the run (the clock part of ``run_seq``) unless
+    the events set it themselves."""
     if "pipeline_run_id" not in df.columns:
-        df = df.withColumn("pipeline_run_id", F.lit(str(seq // 100)))
+        df = df.withColumn("pipeline_run_id", F.lit(str(run_seq // 100)))
     # rebalance: AQE sizes the output (one small file for a typical run,
     # several for a big one) instead of one file per upstream task.
-    ev = MF.as_events(df, F.lit(seq), now)
+    ev = MF.as_events(df, F.lit(_append_seq()), now)
     (ev.withColumn("event_day", F.to_date("event_at")).hint("rebalance")
      .write.mode("append").partitionBy("event_day").parquet(store.manifest_events))
 
 
 def event_seq(now: _dt.datetime, step: int = 0) -> int:
-    """Ordering key of the events a run (or a single-upload call) appends:
-    its clock in microseconds, then the step within the run."""
+    """Names a run (or a single-upload call) and its step: the clock in
+    microseconds, then the step."""
     return int(now.timestamp() * 1_000_000) * 100 + step
 
 
@@ -180,16 +166,23 @@ def _paths(spark: SparkSession, df: DataFrame, col: str = "stored_file_path") ->
     return out
 
 
-def _files_with_content(spark: SparkSession, paths: list[str]) -> DataFrame:
+def _probed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Hash and structure of files, both taken in the stage that reads them:
+    contents never reach a shuffle."""
     if not paths:
-        return spark.createDataFrame([], "stored_file_path string, file_path string, file_hash string, content binary")
-    raw = LD.read_files(spark, paths, glob=None)
-    return raw.select(
-        F.col("path").alias("stored_file_path"),
-        F.col("file_path"),
-        F.sha2(F.col("content"), 256).alias("file_hash"),
-        "content",
-    )
+        raw = spark.createDataFrame([], "stored_file_path string, file_path string, file_hash string, content binary")
+    else:
+        raw = LD.read_files(spark, paths, glob=None).select(
+            F.col("path").alias("stored_file_path"), "file_path",
+            F.sha2(F.col("content"), 256).alias("file_hash"), "content")
+    return CSV.probe_structure(raw, keep=("stored_file_path", "file_path", "file_hash"))
+
+
+def _failed(uploads: DataFrame, status: str, error: Exception) -> DataFrame:
+    """Outcome rows of uploads whose stage raised ``error``."""
+    logger.error("Uploads end as %s: %s", status, error)
+    return uploads.select("upload_id", F.lit(status).alias("status"),
+                          cap_message(F.lit(str(error))).alias("validation_message"))
 
 
 def _claim(spark, store, contracts, froms, to, label, now, seq, run_dir, only=None) -> tuple[DataFrame, DataFrame]:
@@ -235,18 +228,20 @@ def validate_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Co
     Returns (validation outcomes, claim refusals)."""
     queue, refused = _claim(spark, store, contracts, S.CLAIMABLE_FOR_VALIDATION, S.VALIDATING, "validated",
                             now_c, seq, run_dir, only)
-    files = _files_with_content(spark, _paths(spark, queue))
-    checked = LD.change_check(queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash"),
-                              files, " has changed since it was registered. Register the new version as a new upload.")
-    probed = CSV.probe_structure(checked, keep=("upload_id", "dataset_name", "file_violation"))
-    probed = probed.select(
-        "upload_id", "dataset_name",
-        F.coalesce(F.col("header"), F.array().cast("array<string>")).alias("header"),
-        "row_count",
-        F.coalesce(F.col("file_violation"), F.col("violation")).alias("violation"),
-    )
-    validated = V.validation_outcome(V.check_columns(probed, contracts_frame(spark, contracts)))
-    validated = persist(spark, validated, f"{run_dir}/validate")
+    try:
+        files = _probed_files(spark, _paths(spark, queue))
+        probed = LD.change_check(queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash"),
+                                 files, " has changed since it was registered. Register the new version as a new upload.")
+        probed = probed.select(
+            "upload_id", "dataset_name",
+            F.coalesce(F.col("header"), F.array().cast("array<string>")).alias("header"),
+            "row_count",
+            F.coalesce(F.col("file_violation"), F.col("violation")).alias("violation"),
+        )
+        validated = V.validation_outcome(V.check_columns(probed, contracts_frame(spark, contracts)))
+        validated = persist(spark, validated, f"{run_dir}/validate")
+    except Exception as error:  # the claimed uploads fail with its message; the run goes on
+        validated = persist(spark, _failed(queue, S.FAILED, error), f"{run_dir}/validate")
     append_events(validated.drop("dataset_name", "header", "known_dataset", "reject_unexpected"),
                   store, seq + 1, now_c)
     return validated, refused
@@ -258,38 +253,54 @@ def bronze_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Cont
     ``only``). Returns (bronze outcomes, claim refusals)."""
     queue, refused = _claim(spark, store, contracts, S.CLAIMABLE_FOR_BRONZE, S.PROCESSING, "loaded to bronze",
                             now_c, seq, run_dir, only)
-    files = _files_with_content(spark, _paths(spark, queue))
-    checked = LD.change_check(
-        queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash", "original_file_name",
-                     "source_row_count"),
-        files, " has changed since it was validated. Register the new version as a new upload.")
-    probed = CSV.probe_structure(
-        checked, keep=("upload_id", "dataset_name", "stored_file_path", "file_path", "original_file_name",
-                       "source_row_count", "file_violation"))
-    probed = probed.withColumn("violation", F.coalesce(F.col("file_violation"), F.col("violation")))
-    probed = persist(spark, probed, f"{run_dir}/bronze_queue")
+    try:
+        probed = LD.change_check(
+            queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash", "original_file_name",
+                         "source_row_count"),
+            _probed_files(spark, _paths(spark, queue)),
+            " has changed since it was validated. Register the new version as a new upload.")
+        probed = probed.withColumn("violation", F.coalesce(F.col("file_violation"), F.col("violation")))
+        probed = persist(spark, probed, f"{run_dir}/bronze_queue")
+    except Exception as error:
+        results = persist(spark, _failed(queue, S.BRONZE_FAILED, error), f"{run_dir}/bronze")
+        append_events(results, store, seq + 1, now_c)
+        return results, refused
     # A file-level problem (gone, changed, unreadable) rejects with its own message.
     bad = probed.where(F.col("violation").isNotNull())
     ok = probed.where(F.col("violation").isNull())
     outcomes = [bad.select("upload_id", F.lit(0).alias("row_count"), F.lit(0).alias("corrupt_row_count"),
                            F.lit(False).alias("accepted"), F.col("violation").alias("message"),
                            "source_row_count", F.lit("").alias("_table"))]
-    datasets = [r[0] for r in ok.select("dataset_name").distinct().collect()]  # bounded: datasets
-    for dataset in datasets:
-        ds_files = ok.where(F.col("dataset_name") == dataset)
+    failures = []
+
+    def load(dataset: str, files: DataFrame, name: str) -> None:
         gated = BR.load_uploads(
             spark,
-            ds_files.select("upload_id", "stored_file_path", "file_path",
-                            F.col("original_file_name").alias("source_file_name"), "header", "multiline"),
-            store.bronze(dataset), f"{run_dir}/staging/{dataset}", now_c,
+            files.select("upload_id", "stored_file_path", "file_path",
+                         F.col("original_file_name").alias("source_file_name"), "header", "multiline"),
+            store.bronze(dataset), f"{run_dir}/staging/{name}", now_c,
         )
-        gated = persist(spark, gated, f"{run_dir}/gate/{dataset}").join(
-            ds_files.select("upload_id", "source_row_count"), "upload_id", "left")
+        gated = persist(spark, gated, f"{run_dir}/gate/{name}").join(
+            files.select("upload_id", "source_row_count"), "upload_id", "left")
         outcomes.append(gated.select("*", F.lit(store.bronze(dataset)).alias("_table")))
+
+    for dataset in [r[0] for r in ok.select("dataset_name").distinct().collect()]:  # bounded: datasets
+        ds_files = ok.where(F.col("dataset_name") == dataset)
+        try:
+            load(dataset, ds_files, dataset)
+        except Exception:  # again by header shape, so that only the shape at fault fails
+            logger.exception("Loading %s failed; its header shapes are loaded one by one", dataset)
+            for i, r in enumerate(ds_files.select("header", "multiline").distinct().collect()):
+                files = ds_files.where((F.col("header") == F.array(*[F.lit(h) for h in r["header"]]))
+                                       & F.col("multiline").eqNullSafe(F.lit(r["multiline"])))
+                try:
+                    load(dataset, files, f"{dataset}-shape-{i}")
+                except Exception as error:
+                    failures.append(_failed(files, S.BRONZE_FAILED, error))
     all_gated = BR.union_shapes(outcomes)
     results = BR.outcome(all_gated.drop("source_row_count"), F.col("_table"), now_c,
                          all_gated.select("upload_id", "source_row_count"))
-    results = persist(spark, results, f"{run_dir}/bronze")
+    results = persist(spark, BR.union_shapes([results, *failures]), f"{run_dir}/bronze")
     append_events(results.drop("source_row_count"), store, seq + 1, now_c)
     return results, refused
 
@@ -343,7 +354,7 @@ def run_uploads(
         "released": released.count(),
         "unknown_dataset": unknown,
         "errors": acts.get("CHANGED", 0) + acts.get("UNKNOWN_DATASET", 0) + acts.get("INVALID_METADATA", 0)
-        + unknown,
+        + unknown + v.get(S.FAILED, 0) + b.get(S.BRONZE_FAILED, 0),
     }
     logger.info("Upload run %s complete: %s", run_seq, summary)
     return summary
@@ -414,7 +425,9 @@ def _single_stage(stage, spark, store, contracts, upload_id, now) -> dict:
     if r is not None:
         raise ValueError(r["message"])
     row = out.where(F.col("upload_id") == upload_id).first()
-    return row.asDict() if row is not None else {}
+    if row is None:  # known and not refused: no contract covers it
+        raise ValueError(f"The dataset of upload {upload_id} has no contract. Expected one of: {list(contracts)}")
+    return row.asDict()
 
 
 def validate_registered_upload(spark: SparkSession, store: Store, contracts: Mapping[str, Contract],
@@ -471,9 +484,8 @@ def run_silver(
                 raise ValueError(err)
             obs = Observation(f"silver_{dataset}")
             silver = SV.build_silver(bronze, contract, F.lit(now), observation=obs)
-            silver.write.mode("overwrite").parquet(store.silver(dataset))
+            silver_rows = replace_table(spark, silver, store.silver(dataset)).count()
             metrics = obs.get
-            silver_rows = spark.read.parquet(store.silver(dataset)).count()
             bronze.select("upload_id").distinct().write.mode("overwrite").parquet(store.silver_seen(dataset))
             out.append({
                 "dataset": dataset,
@@ -495,8 +507,7 @@ def run_links(spark: SparkSession, store: Store, now: _dt.datetime) -> list[dict
         apps = spark.read.parquet(store.silver("applications"))
         projects = spark.read.parquet(store.silver("projects"))
         link = L.application_project_link(mapping, apps, projects, F.lit(now))
-        link.write.mode("overwrite").parquet(store.link("application_project"))
-        counts = L.reference_summary(spark.read.parquet(store.link("application_project")))
+        counts = L.reference_summary(replace_table(spark, link, store.link("application_project")))
         return [{"name": "application_project", "status": "built", **counts}]
     except Exception as error:
         return [{"name": "application_project", "status": "error", "error": str(error)[:500]}]
@@ -505,8 +516,13 @@ def run_links(spark: SparkSession, store: Store, now: _dt.datetime) -> list[dict
 def run(spark: SparkSession, store: Store, contracts: Mapping[str, Contract],
         dataset_dirs: Mapping[str, str], now: _dt.datetime, force: bool = False) -> dict:
     """Scheduled entry: all stages, then raise if anything failed."""
+    try:
+        uploads = run_uploads(spark, store, contracts, dataset_dirs, now)
+    except Exception as error:  # silver and links still run on what is there
+        logger.exception("Upload run failed")
+        uploads = {"errors": 1, "error": str(error)[:500]}
     summary = {
-        "uploads": run_uploads(spark, store, contracts, dataset_dirs, now),
+        "uploads": uploads,
         "silver": run_silver(spark, store, contracts, now, force),
         "links": run_links(spark, store, now),
     }

@@ -174,7 +174,7 @@ def header_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     # repeating the previous step's expression tree.
     h = F.col("h")
     steps = [
-        F.when(_mod(k, 5), F.concat(F.slice(h, 1, 1), F.slice(h, 3, 1000))).otherwise(h),
+        F.when(_mod(k, 5), F.concat(F.slice(h, 1, 1), F.slice(h, F.lit(3), F.size(h)))).otherwise(h),
         F.when(_mod(k, 7), F.concat(h, F.slice(h, 1, 1))).otherwise(h),
         F.when(_mod(k, 3), F.concat(h, F.array(F.concat(F.lit("extra_"), (k % 4).cast("string"))))).otherwise(h),
         F.when(_mod(k, 13), F.concat(h, F.array(F.lit("  ")))).otherwise(h),
@@ -336,25 +336,18 @@ def registered_manifest(files: DataFrame) -> DataFrame:
 LINE_HEADER = ("order_code", "order_status", "amount", "priority")
 
 
-# One upload per this many orders (at least 8 uploads), so the number of
+# Uploads per block of this many customer keys: a fixed rule, so the number of
 # upload files - and the tasks that write and read them - grows with the data.
-ORDERS_PER_UPLOAD = 1_000_000
-MIN_UPLOADS = 8
-
-
-def upload_count(orders: DataFrame) -> int:
-    """Uploads the orders are split into (a metadata-sized count job)."""
-    n = orders.count()
-    return max(MIN_UPLOADS, -(-n // ORDERS_PER_UPLOAD))
+UPLOADS_PER_BLOCK = 8
+CUSTOMERS_PER_BLOCK = 100_000
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders`` as CSV records of N uploads (L0..L<N-1> by k % N, N from
-    ``upload_count``; 8 up to 8M orders). Blank line when k % 71 = 0; an
-    extra field when k % N = 4 (that whole upload is bad), k % 53 = 0, or
-    k % 64 = 2 (~14 % of L2 at N = 8); a missing field when k % 61 = 0."""
+    """``orders`` as CSV records of uploads: eight (L0..L7 by k % 8) for each
+    100,000 customer keys, the next eight numbered on. Blank line when
+    k % 71 = 0; an extra field when k % 8 = 4 (those whole uploads are bad),
+    k % 53 = 0, or k % 64 = 2 (~14 % of L2); a missing field when k % 61 = 0."""
     o = table(spark, sf_dir, "orders")
-    n_up = upload_count(o)
     k = F.col("o_orderkey")
     fields = [
         F.concat(F.lit("O"), k.cast("string")),
@@ -364,12 +357,13 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     line = (
         F.when(_mod(k, 71), F.lit(""))
-        .when(((k % n_up) == 4) | _mod(k, 53) | ((k % 64) == 2), F.concat_ws(",", *fields, F.lit("extra")))
+        .when(((k % UPLOADS_PER_BLOCK) == 4) | _mod(k, 53) | ((k % 64) == 2), F.concat_ws(",", *fields, F.lit("extra")))
         .when(_mod(k, 61), F.concat_ws(",", *fields[:3]))
         .otherwise(F.concat_ws(",", *fields))
     )
+    number = F.floor(F.col("o_custkey") / CUSTOMERS_PER_BLOCK) * UPLOADS_PER_BLOCK + k % UPLOADS_PER_BLOCK
     return o.select(
-        F.concat(F.lit("L"), (k % n_up).cast("string")).alias("upload_id"),
+        F.concat(F.lit("L"), number.cast("string")).alias("upload_id"),
         k.alias("line_no"),
         line.alias("line"),
     )
@@ -430,8 +424,8 @@ def order_landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             continue
         upload = name.split("=", 1)[1]
         parts = [p for p in fs.listStatus(st.getPath()) if p.getPath().getName().startswith("part-")]
-        for p in parts:
-            fs.rename(p.getPath(), jvm.org.apache.hadoop.fs.Path(final_path, f"{upload}.csv"))
+        if len(parts) != 1 or not fs.rename(parts[0].getPath(), jvm.org.apache.hadoop.fs.Path(final_path, f"{upload}.csv")):
+            raise OSError(f"Upload {upload} was not written as one file: {len(parts)} parts")
     _LANDING_CACHE[key] = final
     return {"orders": final}
 

@@ -588,16 +588,15 @@ FROM documents"""
 # ------------------------------------------------------------- csv lines ----
 
 LINES_CTES = """
-params AS (SELECT greatest(8, CAST(ceil(count(*) / 1000000.0) AS BIGINT)) AS n_up FROM orders),
 lines AS (
-    SELECT 'L' || CAST(o_orderkey % n_up AS VARCHAR) AS upload_id, o_orderkey AS line_no,
+    SELECT 'L' || CAST(o_custkey // 100000 * 8 + o_orderkey % 8 AS VARCHAR) AS upload_id, o_orderkey AS line_no,
         CASE WHEN o_orderkey % 71 = 0 THEN 'blank'
-             WHEN o_orderkey % n_up = 4 OR o_orderkey % 53 = 0 OR o_orderkey % 64 = 2 THEN 'extra'
+             WHEN o_orderkey % 8 = 4 OR o_orderkey % 53 = 0 OR o_orderkey % 64 = 2 THEN 'extra'
              WHEN o_orderkey % 61 = 0 THEN 'short'
              ELSE 'ok' END AS kind,
         'O' || CAST(o_orderkey AS VARCHAR) AS f1, o_orderstatus AS f2,
         CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS f3, o_orderpriority AS f4
-    FROM orders, params
+    FROM orders
 ),
 parsed AS (
     SELECT upload_id, line_no, f1 AS order_code, f2 AS order_status, f3 AS amount,

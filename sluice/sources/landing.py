@@ -149,6 +149,10 @@ def inventory_from(raw: DataFrame, dirs: Mapping[str, str], now: Column | None =
     return out
 
 
+# What the change check hands on about a file.
+_CARRIED = ("content", "file_path", "header", "row_count", "violation", "multiline")
+
+
 def change_check(manifest: DataFrame, files: DataFrame, changed_text: str) -> DataFrame:
     """Registered file vs. what is on disk now, for the uploads in ``manifest``.
 
@@ -158,7 +162,7 @@ def change_check(manifest: DataFrame, files: DataFrame, changed_text: str) -> Da
     """
     disk = files.select(
         F.col("stored_file_path").alias("_p"), F.col("file_hash").alias("_disk_hash"),
-        *[c for c in files.columns if c in ("content", "file_path")],
+        *[c for c in files.columns if c in _CARRIED],
     )
     joined = manifest.join(disk, manifest["stored_file_path"] == disk["_p"], "left")
     path = F.col("stored_file_path")
@@ -173,5 +177,5 @@ def change_check(manifest: DataFrame, files: DataFrame, changed_text: str) -> Da
         .when(F.col("_disk_hash") != F.col("file_hash"), F.lit("CHANGED"))
         .otherwise(F.lit("UNCHANGED"))
     )
-    return joined.select(*manifest.columns, *[c for c in ("content", "file_path") if c in files.columns],
+    return joined.select(*manifest.columns, *[c for c in _CARRIED if c in files.columns],
                          violation.alias("file_violation"), state.alias("file_state"))

@@ -39,6 +39,7 @@ def landing_stream(spark: SparkSession, dataset_dirs: Mapping[str, str]) -> tupl
         .schema(BINARY_FILE_SCHEMA)
         .option("pathGlobFilter", LD.CSV_GLOB)
         .option("recursiveFileLookup", "false")
+        .option("maxFileAge", "36500d")  # a file copied with an old time is new all the same
         .load(d)
         .select("path", F.col("_metadata.file_path").alias("file_path"), "length", "modificationTime", "content")
         for d in dirs.values()
@@ -56,18 +57,37 @@ def run_available(
     dataset_dirs: Mapping[str, str],
     clock: Callable[[], _dt.datetime] | None = None,
     checkpoint: str | None = None,
+    min_age_seconds: int = LD.MIN_FILE_AGE_SECONDS,
 ) -> list[dict]:
     """Process every file available now, micro-batch by micro-batch, then stop.
-    Returns the run summaries of the batches."""
+    Returns the run summaries of the batches.
+
+    A stream sees a path once, but a file touched less than ``min_age_seconds``
+    ago may still be uploading: its path is noted in the store, and each call
+    first reads the noted files that are old enough by then and not registered."""
     if not LD.existing_dirs(spark, dataset_dirs):
         return []  # nothing to watch yet
     stream, dirs = landing_stream(spark, dataset_dirs)
     summaries: list[dict] = []
     now_fn = clock or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
 
+    noted = f"{store.root}/_stream_waiting"
+    gate = F.make_dt_interval(secs=F.lit(min_age_seconds))
+
+    if batch._exists(spark, noted):
+        known = batch.current_manifest(spark, store).select(F.col("stored_file_path").alias("path"))
+        waiting = spark.read.schema("path string").parquet(noted).distinct().join(known, "path", "left_anti")
+        paths = batch._paths(spark, waiting, "path")  # file names still waiting, never contents
+        if paths:
+            now = now_fn()
+            inv = LD.inventory_from(LD.read_files(spark, paths, glob=None), dirs, F.lit(now), min_age_seconds)
+            summaries.append(batch.run_uploads(spark, store, contracts, dataset_dirs, now, inventory=inv))
+
     def handle(batch_df: DataFrame, epoch_id: int) -> None:
         now = now_fn()
-        inv = LD.inventory_from(batch_df, dirs, F.lit(now), min_age_seconds=0)
+        young = batch_df.where(F.col("modificationTime") > F.lit(now) - gate).select("path")
+        young.write.mode("append").parquet(noted)
+        inv = LD.inventory_from(batch_df, dirs, F.lit(now), min_age_seconds)
         summaries.append(batch.run_uploads(spark, store, contracts, dataset_dirs, now, inventory=inv))
 
     query = (

@@ -103,23 +103,15 @@ def test_manual_update_sets_only_given_columns(spark):
     assert len(r.validation_message) == 1000 and r.validation_message.endswith("...")
 
 
-def test_snapshot_then_events_fold_like_the_whole_log(spark, tmp_path):
+def test_events_are_ordered_by_their_append(spark, tmp_path):
     from sluice.plans import batch
 
     store = batch.Store(str(tmp_path / "store"))
     t0 = dt.datetime(2030, 1, 1)
-    ids = ["a", "b"]
-    batch.append_events(MF.manual_update(spark, ids, {"status": "RECEIVED", "dataset_name": "d"}), store,
-                        batch.event_seq(t0, 1), F.lit(t0))
-    batch.append_events(MF.manual_update(spark, ["a"], {"status": "VALIDATED", "missing_columns": []}), store,
-                        batch.event_seq(t0 + dt.timedelta(days=1), 1), F.lit(t0 + dt.timedelta(days=1)))
-    before = {r.upload_id: r.asDict() for r in batch.current_manifest(spark, store).collect()}
-    seq = batch.snapshot_manifest(spark, store)
-    assert seq == batch.event_seq(t0 + dt.timedelta(days=1), 1)
-    t2 = t0 + dt.timedelta(days=2)
-    batch.append_events(MF.manual_update(spark, ["b"], {"status": "REJECTED"}), store,
-                        batch.event_seq(t2, 1), F.lit(t2))
-    after = {r.upload_id: r.asDict() for r in batch.current_manifest(spark, store).collect()}
-    assert after["a"] == before["a"]
-    assert after["b"]["status"] == "REJECTED" and after["b"]["dataset_name"] == "d"
-    assert after["b"]["n_events"] == 2 and after["b"]["created_at"] == before["b"]["created_at"]
+    for run, status in ((t0, "PROCESSING"), (t0 + dt.timedelta(days=1), "RECEIVED"), (t0, "PROCESSED")):
+        # the first run ends after a later run began: its last event is the newest
+        batch.append_events(MF.manual_update(spark, ["a"], {"status": status, "dataset_name": "d"}), store,
+                            batch.event_seq(run), F.lit(run))
+    row = batch.current_manifest(spark, store).first()
+    assert row.status == "PROCESSED" and row.n_events == 3
+    assert row.pipeline_run_id == str(batch.event_seq(t0) // 100)

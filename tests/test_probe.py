@@ -2,55 +2,47 @@
 
 import csv
 import io
+import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions import messages as M
-from sluice.sources.csv_files import encode_utf8, normalise_name_py, probe_bytes, probe_structure
+from sluice.sources.csv_files import encode_utf8, file_facts, probe_structure
 
 
-def test_clean_file():
-    assert probe_bytes(b"a,b,c\n1,2,3\n4,5,6\n") == (["a", "b", "c"], 2, None)
+CASES = {
+    "clean": (b"a,b,c\n1,2,3\n4,5,6\n", ["a", "b", "c"], 2, None),
+    "empty": (b"", None, None, M.EMPTY_FILE),
+    "header only": (b"a,b,c\n", None, 0, M.NO_DATA_ROWS),
+    "blank name": (b"a,,c\n1,2,3\n", ["a", "", "c"], 1, M.BLANK_COLUMN_NAME),
+    "blank first line": (b"\n1,2\n", None, 1, M.NO_HEADER),
+    "semicolon": (b"a;b\n1;2\n", ["a;b"], 1, M.NOT_COMMA_SEPARATED),
+    "tab": (b"a\tb\n1\t2\n", ["a\tb"], 1, M.NOT_COMMA_SEPARATED),
+    "pipe": (b"a|b\n1|2\n", ["a|b"], 1, M.NOT_COMMA_SEPARATED),
+    "not utf-8": ("a,b\nCaf\xe9,1\n".encode("cp1252"), None, None, M.NOT_UTF8),
+    "byte order mark": (b"\xef\xbb\xbfa,b\n1,2\n", ["a", "b"], 1, None),
+    "quoted line break": (b'a,b\n"x\ny",1\n', ["a", "b"], 1, None),
+    "repeated names": (b"a,b,a\n1,2,3\n", ["a", "b", "a"], 1, None),
+    # Python's csv counts blank lines; Spark's reader skips them (reported, not failed).
+    "blank lines": (b"a,b\n1,2\n\n3,4\n", ["a", "b"], 3, None),
+    "spreadsheet names": (b"Project ID, Start-Date \n1,2\n", ["project_id", "start_date"], 1, None),
+}
 
 
-def test_empty_file():
-    assert probe_bytes(b"")[2] == M.EMPTY_FILE
+def test_cases(spark):
+    files = spark.createDataFrame([(k, bytearray(v[0])) for k, v in CASES.items()], "path string, content binary")
+    got = {r.path: (r.header, r.row_count, r.violation) for r in probe_structure(files).collect()}
+    assert got == {k: v[1:] for k, v in CASES.items()}
 
 
-def test_header_only():
-    assert probe_bytes(b"a,b,c\n")[2] == M.NO_DATA_ROWS
+def test_line_breaks_inside_records():
+    assert file_facts(b'a,b\n"x\ny",1\n')[2] is True
+    assert file_facts(b'"a\nb",c\n1,2\n')[2] is True
+    assert file_facts(b"a,b\n1,2\n")[2] is False
 
 
-def test_blank_column_name():
-    assert probe_bytes(b"a,,c\n1,2,3\n")[2] == M.BLANK_COLUMN_NAME
-
-
-@pytest.mark.parametrize("sep", [b";", b"\t", b"|"])
-def test_not_comma_separated(sep):
-    assert probe_bytes(b"a" + sep + b"b\n1" + sep + b"2\n")[2] == M.NOT_COMMA_SEPARATED
-
-
-def test_not_utf8():
-    assert probe_bytes("a,b\nCaf\xe9,1\n".encode("cp1252"))[2] == M.NOT_UTF8
-
-
-def test_bom_is_tolerated():
-    header, rows, err = probe_bytes("﻿a,b\n1,2\n".encode("utf-8"))
-    assert header == ["a", "b"] and rows == 1 and err is None
-
-
-def test_quoted_newline_is_one_record():
-    assert probe_bytes(b'a,b\n"x\ny",1\n') == (["a", "b"], 1, None)
-
-
-def test_repeated_names_are_kept():
-    assert probe_bytes(b"a,b,a\n1,2,3\n")[0] == ["a", "b", "a"]
-
-
-def test_blank_lines_are_records():
-    # Python's csv counts them; Spark's reader skips them (reported, not failed).
-    assert probe_bytes(b"a,b\n1,2\n\n3,4\n")[1] == 3
+def own_name(name):
+    return "_".join(p for p in re.split(r"[ \-./_]+", name.strip().lower()) if p)
 
 
 def test_probe_query_matches_python_on_documents(spark):
@@ -61,7 +53,7 @@ def test_probe_query_matches_python_on_documents(spark):
                                     keep=("doc_id",)).collect()}
     for r in docs.select("doc_id", "text").collect():
         rows = list(csv.reader(io.StringIO(r["text"], newline="")))
-        header = [normalise_name_py(c) for c in rows[0]] if rows else None
+        header = [own_name(c) for c in rows[0]] if rows else None
         n = len(rows) - 1 if rows else None
         g = got[r["doc_id"]]
         if g[2] is None:

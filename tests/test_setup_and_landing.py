@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -11,7 +12,6 @@ from sluice.contracts import PRODUCTION_CONTRACTS, ColumnSpec, Contract, silver_
 from sluice.functions.columns import normalise_name
 from sluice.plans import batch
 from sluice.sources import landing as LD
-from sluice.sources.csv_files import normalise_name_py
 
 
 def test_silver_ddl_follows_contract():
@@ -83,10 +83,10 @@ def test_one_batch_equals_two_batches(spark, tmp_path):
 
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet=" _-./aAbZ\t", max_size=12), min_size=1, max_size=20))
-def test_spark_and_python_normalisers_agree(spark, names):
+def test_names_are_normalised_as_described(spark, names):
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [r[0] for r in df.select(normalise_name("n")).collect()]
-    assert got == [normalise_name_py(n) for n in names]
+    assert got == ["_".join(p for p in re.split(r"[ \-./_]+", n.strip().lower()) if p) for n in names]
 
 
 def test_run_finishes_every_stage_then_raises(spark, tmp_path):
@@ -119,3 +119,29 @@ def test_uploads_of_a_dropped_contract_are_reported_not_touched(spark, tmp_path)
     summary = batch.run_uploads(spark, store, other, {}, now + dt.timedelta(hours=1))
     assert summary["unknown_dataset"] == 1 and summary["errors"] == 1
     assert batch.get_status(spark, store, uid) == "RECEIVED"
+
+
+def test_run_builds_silver_though_uploads_raise(spark, tmp_path, monkeypatch):
+    import pytest
+
+    def boom(*args, **kwargs):
+        raise OSError("landing is away")
+
+    seen = []
+    monkeypatch.setattr(batch, "run_uploads", boom)
+    monkeypatch.setattr(batch, "run_silver", lambda *a, **k: seen.append("silver") or [])
+    monkeypatch.setattr(batch, "run_links", lambda *a, **k: seen.append("links") or [])
+    with pytest.raises(RuntimeError, match="landing is away"):
+        batch.run(spark, batch.Store(str(tmp_path / "store")), {}, {}, dt.datetime(2030, 1, 1))
+    assert seen == ["silver", "links"]
+
+
+def test_failed_build_keeps_the_old_table(spark, tmp_path):
+    import pytest
+
+    path = str(tmp_path / "table")
+    assert batch.replace_table(spark, spark.range(3), path).count() == 3
+    with pytest.raises(Exception):
+        batch.replace_table(spark, spark.range(5).select(F.raise_error(F.lit("no")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    assert batch.replace_table(spark, spark.range(7), path).count() == 7

@@ -24,3 +24,23 @@ def test_stream_registers_new_files_once(spark, tmp_path):
     assert sum(s["loaded"] for s in second) == 1  # only the new file
     m = {r.original_file_name: r.status for r in batch.current_manifest(spark, store).collect()}
     assert m == {"a.csv": S.PROCESSED, "b.csv": S.PROCESSED}
+
+
+def test_growing_and_old_files(spark, tmp_path):
+    land = tmp_path / "landing" / "items"
+    os.makedirs(land)
+    (land / "old.csv").write_text("item_id,qty\nI1,1\n")
+    (land / "young.csv").write_text("item_id,qty\nI2,")
+    real = dt.datetime.now()
+    at = real.timestamp()
+    os.utime(land / "old.csv", (at - 90 * 86400, at - 90 * 86400))
+    os.utime(land / "young.csv", (at, at))
+    store = batch.Store(str(tmp_path / "store"))
+    first = run_available(spark, store, C, {"items": str(land)}, clock=lambda: real + dt.timedelta(seconds=5))
+    assert sum(s["loaded"] for s in first) == 1  # the old one; the young one waits
+    (land / "young.csv").write_text("item_id,qty\nI2,2\nI3,3\n")
+    os.utime(land / "young.csv", (at, at))
+    second = run_available(spark, store, C, {"items": str(land)}, clock=lambda: real + dt.timedelta(seconds=90))
+    assert sum(s["loaded"] for s in second) == 1
+    assert run_available(spark, store, C, {"items": str(land)}, clock=lambda: real + dt.timedelta(seconds=99)) == []
+    assert sorted(r.item_id for r in batch.read_bronze(spark, store, "items").collect()) == ["I1", "I2", "I3"]
