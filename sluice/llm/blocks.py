@@ -55,10 +55,12 @@ def ask(block: int, buckets: int, high: np.ndarray, low: np.ndarray | None, coun
         ("__bucket", pa.int32()), ("__block", pa.int64()), ("__high", pa.binary()), ("__low", pa.binary()), ("__count", pa.binary()), ("__order", pa.binary()), ("__keep", pa.binary())]))
 
 
-def answers(asked: DataFrame, least: int) -> DataFrame:
+def answers(asked: DataFrame, least: int | tuple[int, int]) -> DataFrame:
     """For each row asked, a bit per hash: its counts over all blocks reach
-    ``least``; and a second one: this block has the least order of all (the
-    lowest block among equals)."""
+    ``least`` (of a pair, the first for even and the second for odd hashes);
+    and a second one: this block has the least order of all (the lowest block
+    among equals)."""
+    floor = np.broadcast_to(least, 2)
 
     def bucket(table):
         def joined(name, kind):
@@ -78,7 +80,7 @@ def answers(asked: DataFrame, least: int) -> DataFrame:
             if len(b):
                 new[1:] |= b[at][1:] != b[at][:-1]
             total = np.add.reduceat(count[at], np.flatnonzero(new))
-            bits[at] = total[np.cumsum(new) - 1] >= least
+            bits[at] = total[np.cumsum(new) - 1] >= floor[(a[at] & np.uint64(1)).astype(np.intp)]
             first[at] = new
         ends = np.cumsum(sizes)
         packed = [pa.array([np.packbits(x[e - n:e]).tobytes() for n, e in zip(sizes, ends)], pa.binary()) for x in (bits, first)]

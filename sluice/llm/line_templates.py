@@ -10,11 +10,17 @@ the words after the leading ones (fields with digits aside) is. Lines of
 recurring templates are dropped; the first document (least id) keeps the
 first of them, so no content leaves the corpus altogether.
 
+What is constant takes many documents to tell, but a line that stands again
+word for word (words with digits included) has nothing variable: it recurs
+from ``min_copies`` documents on, whatever its template, and is dropped by
+the same rule.
+
 Leaves, constants and templates are counted by ``sluice.llm.blocks``: a
 block reduces them to sorted sets of hashes with document counts, so a line
 that every document has costs one entry per block. The three questions go
-one after the other, each narrowing the next; texts are shuffled once and
-nothing depends on the order of lines or documents.
+one after the other, each narrowing the next, and whole lines are asked with
+the leaves; texts are shuffled once and nothing depends on the order of
+lines or documents.
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ from sluice.llm import blocks as B
 from sluice.llm.common import giving_back_group, mix64, text_buffer, word_hashes, word_spans
 
 _FIELD = np.uint64(0x5851F42D4C957F2D)
+_ODD = np.uint64(1)
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 
@@ -52,6 +59,15 @@ def _per_document(keys: np.ndarray, docs: np.ndarray, order: np.ndarray):
     return high, inverse, count, least
 
 
+def _surplus(inverse: np.ndarray, rows: np.ndarray, order: np.ndarray, least: np.ndarray, recurs: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The lines with recurring keys but for the one of each that stays: in the
+    block with the least id, the first line of the first row with that id."""
+    gone = recurs[inverse]
+    own = np.flatnonzero(gone & first[inverse] & (order[rows] == least[inverse]))
+    gone[own[np.unique(inverse[own], return_index=True)[1]]] = False
+    return gone
+
+
 class _Block:
     """The lines of a block's texts."""
 
@@ -76,8 +92,11 @@ class _Block:
         self.place = np.arange(len(starts)) - self.first_word[self.line_of]
         digits = np.concatenate([[0], np.cumsum(_DIGIT[self.raw], dtype=np.int32)])
         self.field = digits[ends] > digits[starts]
-        self.hash = np.where(self.field, _FIELD, word_hashes(self.raw, starts, ends))
+        hashes = word_hashes(self.raw, starts, ends)
+        self.hash = np.where(self.field, _FIELD, hashes)
         self.depth = depth
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(mix64(hashes ^ _salt(self.place)), dtype=np.uint64)])
+        self.whole = mix64(_salt(self.words) ^ (sums[self.first_word + self.words] - sums[self.first_word]))
         leaf = _salt(self.words)
         for k in range(depth):
             has = np.flatnonzero(self.words > k)
@@ -86,11 +105,13 @@ class _Block:
         self.filled = np.flatnonzero(self.words > 0)
 
     def leaves(self):
-        return _per_document(self.leaf[self.filled], self.line_row[self.filled], self.order)
+        """The leaves (odd keys) and whole lines (even keys) of the lines with words, one after the other."""
+        keys = np.concatenate([self.leaf[self.filled] | _ODD, self.whole[self.filled] & ~_ODD])
+        return _per_document(keys, np.tile(self.line_row[self.filled], 2), self.order)
 
     def narrowed(self, bits: np.ndarray, inverse: np.ndarray) -> None:
         """Go on with the lines of frequent leaves only."""
-        self.lines = self.filled[bits[inverse]]
+        self.lines = self.filled[bits[inverse[:len(self.filled)]]]
         hot = np.zeros(len(self.words), bool)
         hot[self.lines] = True
         self.inner = np.flatnonzero(hot[self.line_of] & (self.place >= self.depth) & ~self.field)
@@ -137,7 +158,7 @@ def _unpack(raw: bytes) -> list[np.ndarray]:
     return out
 
 
-def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, depth: int = 2, similarity: float = 0.7) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, depth: int = 2, similarity: float = 0.7, min_copies: int = 2) -> DataFrame:
     """``docs`` with the recurring lines gone from the text, and n_lines, n_dropped.
 
     Lines end at line feeds and are kept byte for byte. Lines without words
@@ -154,38 +175,38 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     names = docs.columns
 
     def ask_leaves(table):
-        high, _, count, _ = _Block(table, text_col, depth).leaves()
-        return B.ask(table.column("__block")[0].as_py(), n, high, None, count)
+        high, _, count, least = _Block(table, text_col, depth).leaves()
+        return B.ask(table.column("__block")[0].as_py(), n, high, None, count, order=least)
 
     def ask_constants(table, answer):
         block = _Block(table, text_col, depth)
         high, inverse, _, _ = block.leaves()
-        hot = B.answered(answer, n, high)
+        hot, early = B.answered(answer, n, high), B.answered(answer, n, high, "__first")
         block.narrowed(hot, inverse)
         high, _, count, _ = block.constants()
-        return B.ask(table.column("__block")[0].as_py(), n, high, None, count, keep=_pack(hot))
+        return B.ask(table.column("__block")[0].as_py(), n, high, None, count, keep=_pack(hot, early))
 
     def ask_templates(table, answer):
         block = _Block(table, text_col, depth)
-        hot, = _unpack(B.kept(answer))
+        hot, early = _unpack(B.kept(answer))
         block.narrowed(hot, block.leaves()[1])
         high, inverse, _, _ = block.constants()
         constant = B.answered(answer, n, high)
         _, high, _, count, least = block.templates(constant, inverse, similarity)
-        return B.ask(table.column("__block")[0].as_py(), n, high, None, count, order=least, keep=_pack(hot, constant))
+        return B.ask(table.column("__block")[0].as_py(), n, high, None, count, order=least, keep=_pack(hot, early, constant))
 
     def drop(table, answer):
         block = _Block(table, text_col, depth)
-        hot, constant = _unpack(B.kept(answer))
-        block.narrowed(hot, block.leaves()[1])
+        hot, early, constant = _unpack(B.kept(answer))
+        _, keys, _, earliest = block.leaves()
+        block.narrowed(hot, keys)
+        copies = _surplus(keys[len(block.filled):], block.line_row[block.filled], block.order, earliest, hot, early)
         lines, high, inverse, _, least = block.templates(constant, block.constants()[1], similarity)
         recurs, first = B.answered(answer, n, high), B.answered(answer, n, high, "__first")
-        # the line that stays: in the block with the least id, the first line of the first row with that id
-        gone = recurs[inverse]
-        own = np.flatnonzero(gone & first[inverse] & (block.order[block.line_row[lines]] == least[inverse]))
-        gone[own[np.unique(inverse[own], return_index=True)[1]]] = False
+        # the line of a template that stays is also the one that stays of its copies
         keep = np.ones(len(block.words), bool)
-        keep[lines[gone]] = False
+        keep[lines[_surplus(inverse, block.line_row[lines], block.order, least, recurs, first)]] = False
+        keep[block.filled[copies]] = False
         last = np.cumsum(block.row_lines)
         texts, dropped = [], []
         raw, start, end = block.raw.tobytes(), block.line_start.tolist(), block.line_end.tolist()
@@ -203,7 +224,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
             return fn(table, answer) if table.num_rows else pa.table({})
         return left.groupBy("__block").cogroup(right.groupBy("__block")).applyInArrow(giving_back_group(guarded), schema)
 
-    leaves = B.answers(held.groupBy("__block").applyInArrow(giving_back_group(ask_leaves), B.ASKED), min_docs)
+    leaves = B.answers(held.groupBy("__block").applyInArrow(giving_back_group(ask_leaves), B.ASKED), (min_copies, min_docs))
     constants = B.answers(cogrouped(held, leaves, ask_constants, B.ASKED), min_docs)
     templates = B.answers(cogrouped(held, constants, ask_templates, B.ASKED), min_docs)
     return cogrouped(held, templates, drop, T.StructType([*docs.schema.fields, *OUTPUT]))

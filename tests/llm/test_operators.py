@@ -237,6 +237,16 @@ def test_line_templates(spark, docs, empty):
     assert line_templates.drop_recurring_lines(docs).count() == docs.count() and line_templates.drop_recurring_lines(empty).count() == 0
 
 
+def test_lines_copied_in_few_documents(spark):
+    """Two documents are enough for a line that is the same word for word, digits included; like lines are no copies."""
+    rows = [
+        (1, "a passage of some words\nshared 7 times\nown one"), (2, "shared  7 times\nown two\na passage of some words"),
+        (3, "shared 8 times\ntwice in here\ntwice in here"), (4, "a passage of other words\n"), (5, "own two"), (None, "own two\n")]
+    got = line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in got} == {
+        1: (rows[0][1], 3, 0), 2: ("own two", 3, 2), 3: (rows[2][1], 3, 0), 4: (rows[3][1], 2, 0), 5: ("", 1, 1), None: ("", 2, 1)}
+
+
 def test_search(spark, docs, empty):
     rows = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).select("doc_id", "text")
     data = rows.collect()
