@@ -280,6 +280,25 @@ def test_language(spark, docs, empty):
     assert language_id.identify(empty, model).count() == 0
 
 
+def test_unlearned_languages_are_rejected(spark):
+    """Texts in an invented language and of random letters, of 25 words and more; clean documents stay."""
+    rng = random.Random(11)
+    data = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 50")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = language_id.fit(data.where(~held_out))
+    syllable = lambda: rng.choice("bcdfghklmnprstvz") + rng.choice("aeiou") + rng.choice(["", *"lnrst"])
+    vocab = ["".join(syllable() for _ in range(rng.randrange(1, 4))) for _ in range(2000)]
+    letters = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10)))
+    rows = [(f"{kind} {n}", " ".join(word() for _ in range(n))) for kind, word in (("invented", lambda: rng.choice(vocab)), ("letters", letters)) for n in (25, 100, 250, 1000) for _ in range(60)]
+    found = language_id.identify(spark.createDataFrame(rows, "kind string, text string"), model)
+    kept = {r.kind: r.kept for r in found.groupBy("kind").agg(F.avg((~F.col("rejected")).cast("int")).alias("kept")).collect()}
+    assert len(kept) == 8 and max(kept.values()) <= 0.1 and max(v for k, v in kept.items() if k.endswith("250") or k.endswith("1000")) <= 0.02
+    clean = language_id.identify(data.where(held_out), model).agg(F.avg(F.col("rejected").cast("int"))).first()[0]
+    assert clean <= 0.02
+    short = language_id.identify(spark.createDataFrame([("zu",), ("kral bo",)], "text string"), model, min_margin=0.0).collect()
+    assert all(r.rejected for r in short)
+
+
 def test_toxicity(spark, docs, empty):
     rng = random.Random(6)
     words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randrange(3, 8))) for _ in range(300)]
