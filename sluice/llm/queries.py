@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, embedding_dedup, language_id, line_templates, mixing, search, simhash, substring_dedup, token_codes, toxicity
+from sluice.llm import (
+    bpe, embedding_dedup, filter_audit, html_extract, language_id, line_templates, mixing, search, simhash, substring_dedup, token_codes, toxicity, vector_codes)
 from sluice.llm.common import crc32_of
 from sluice.plans.session import scratch_path
 
@@ -155,3 +156,93 @@ def op10_language_id(spark, sf_dir):
     model = language_id.fit(docs.where(~held_out))
     found = language_id.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+@register("op11_html_extraction", r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|\z)', 1) AS body FROM pages),
+b AS (SELECT page_id, url, regexp_split_to_array(body, '</?(?:p|h[1-6]|ul|ol|li|div|section)(?:\s[^>]*)?>') AS blocks FROM a),
+d AS (
+  SELECT page_id, url, list_filter(list_transform(blocks, lambda x: trim(regexp_replace(
+    replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'),
+    '\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM b),
+t AS (SELECT page_id, url, coalesce(array_to_string(lines, chr(10)), '') AS text FROM d)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+""")
+def op11_html_extraction(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@register("op12_filter_audit", r"""
+WITH l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (
+  SELECT d.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {
+    'A': len(w) < 50, 'B': 100 * len(list_distinct(w)) < 65 * len(w),
+    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), 'D': regexp_matches(t, '[#$%&*|]'),
+    'E': coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)} AS fails
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+g AS (
+  SELECT part, good, toxic, fails, [fails.A, fails.B, fails.C, fails.D, fails.E] AS bits, count(*) AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (
+  SELECT p.c || q.c || r.c || s.c || t.c AS filter_order FROM x p, x q, x r, x s, x t
+  WHERE len(list_distinct([p.c, q.c, r.c, s.c, t.c])) = 5),
+y AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+z AS (
+  SELECT part, filter_order, step, n, good, toxic, bits, substr(filter_order, step, 1) AS c,
+    bits[ascii(substr(filter_order, step, 1)) - 64] AS here,
+    len(list_filter(range(1, step), lambda i: bits[ascii(substr(filter_order, i, 1)) - 64])) > 0 AS gone
+  FROM g, y),
+u AS (
+  SELECT part, filter_order, step, c, coalesce(sum(n) FILTER (NOT here AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (here AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (here AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (here AND len(list_filter(bits, lambda b: b)) = 1), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (here AND NOT gone AND good), 0) AS good_lost, coalesce(sum(n) FILTER (here AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM z GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley FROM u
+""")
+def op12_filter_audit(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return filter_audit.audit(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+def _nearest(books: str) -> str:
+    """SQL: the nearest entry of every part, as entry and squared distance."""
+    return f"""
+  SELECT r, part, y, least // 64 AS apart, least % 64 AS entry FROM (
+    SELECT r, p.part, any_value(p.y) AS y, min(list_sum(list_transform(range(1, len(p.y) + 1), lambda i: (p.y[i] - e.y[i]) * (p.y[i] - e.y[i]))) * 64 + e.entry) AS least
+    FROM p JOIN {books} AS e ON p.part = e.part GROUP BY r, p.part)"""
+
+
+def _moved(books: str, assigned: str) -> str:
+    """SQL: every entry as the floored mean of its parts; unused ones stay."""
+    return f"""
+  SELECT e.part, e.entry, coalesce(m.y, e.y) AS y FROM {books} AS e LEFT JOIN (
+    SELECT part, entry, list(CAST(floor(CAST(total AS DOUBLE) / n) AS BIGINT) ORDER BY i) AS y FROM (
+      SELECT part, entry, i, sum(y[i]) AS total, count(*) AS n FROM (SELECT part, entry, y, unnest(range(1, len(y) + 1)) AS i FROM {assigned}) GROUP BY ALL) GROUP BY ALL
+  ) AS m ON e.part = m.part AND e.entry = m.entry"""
+
+
+@register("op13_vector_codes", f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS z
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT r, part, z[part * len(z) // 16 + 1:(part + 1) * len(z) // 16] AS y FROM (SELECT r, z, unnest(range(0, 16)) AS part FROM v)),
+b0 AS (SELECT part, r - 1 AS entry, y FROM p WHERE r <= 64),
+a0 AS ({_nearest("b0")}),
+b1 AS ({_moved("b0", "a0")}),
+a1 AS ({_nearest("b1")}),
+b2 AS ({_moved("b1", "a1")}),
+a2 AS ({_nearest("b2")}),
+h AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b2),
+c AS (SELECT r, string_agg(printf('%02x', CAST(entry AS BIGINT)), '' ORDER BY part) AS code, CAST(sum(apart) AS BIGINT) AS error FROM a2 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN c USING (r), h
+""")
+def op13_vector_codes(spark, sf_dir):
+    coded = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
