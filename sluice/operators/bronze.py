@@ -1,10 +1,10 @@
 """Bronze load: corrupt-row gate, lineage, idempotent publish, outcomes.
 
-Set-based: all validated uploads of a run are scanned together, one CSV scan
-per distinct header shape (the positional schema must match the file), the
-per-upload counts come from one aggregation, and the publish is a dynamic
-partition overwrite on ``upload_id`` that replaces exactly the uploads being
-loaded (a retry never doubles rows).
+Set-based: all validated uploads of a run are scanned together in one plan,
+however many headers they have: cells are read by position and named by a
+small table of headers. The per-upload counts come from one aggregation, and
+the publish is a dynamic partition overwrite on ``upload_id`` that replaces
+exactly the uploads being loaded (a retry never doubles rows).
 """
 
 from __future__ import annotations
@@ -105,16 +105,19 @@ def attach_lineage(scanned: DataFrame, files: DataFrame, ingested_at: Column,
     from the same reader on both sides) to the upload. It holds one row per
     file of the run (bounded by the number of uploads, never by their size),
     so it is broadcast after a size check. Lineage wins over columns of the
-    file with the same names (in any case).
+    file with the same names (in any case). Further columns of ``files`` are
+    carried along.
     """
-    lineage = files.select(
-        F.col("file_path").alias("__lineage_path"), F.col("upload_id").alias("__lineage_upload"), F.col("source_file_name").alias("__lineage_file"))
-    joined = scanned.join(bounded_broadcast(lineage), F.col(path_col) == F.col("__lineage_path"), "inner")
+    lineage = ("file_path", "upload_id", "source_file_name")
+    more = [c for c in files.columns if c not in lineage]
+    held = files.select(*[F.col(c).alias(f"__lineage_{c}") for c in lineage], *more)
+    joined = scanned.join(bounded_broadcast(held), F.col(path_col) == F.col("__lineage_file_path"), "inner")
     taken = {path_col.lower(), "upload_id", "source_file_name", "ingested_at"}
     return joined.select(
         *[c for c in scanned.columns if c.lower() not in taken],
-        F.col("__lineage_upload").alias("upload_id"),
-        F.col("__lineage_file").alias("source_file_name"),
+        *more,
+        F.col("__lineage_upload_id").alias("upload_id"),
+        F.col("__lineage_source_file_name").alias("source_file_name"),
         ingested_at.alias("ingested_at"),
     )
 
@@ -145,36 +148,40 @@ def union_shapes(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def scan_uploads(spark: SparkSession, files: DataFrame, ingested_at: Column) -> DataFrame:
-    """Bronze rows of many uploads: one permissive CSV scan per distinct
-    header shape (positional names must match the file), lineage attached,
-    shapes unioned by name.
+    """Bronze rows of many uploads in one plan, whatever their headers.
+
+    Records are read as text, cut into cells by position, and named by the
+    header of their file: the headers are a small table, joined by broadcast,
+    that says where each column stands in the file. A record whose number of
+    cells is not that of its header keeps its text in ``_corrupt_record``.
 
     ``files``: upload_id, stored_file_path (to read), file_path (reader's
     encoded form, to join), source_file_name, header, optional multiline -
-    a materialised (written) frame, since it is read once per shape. Only
-    the distinct headers and each shape's paths reach the driver: metadata
-    bounded by the number of uploads, never their rows.
+    a materialised (written) frame. Paths and headers reach the driver:
+    metadata bounded by the number of uploads, never their rows.
     """
     from sluice.sources import csv_files as CSV
+    from sluice.sources import lines as LN
 
     if "multiline" not in files.columns:
         files = files.withColumn("multiline", F.lit(True))
-    files = files.withColumn("multiline", F.coalesce(F.col("multiline"), F.lit(True)))
-    shapes = [(list(r["header"]), r["multiline"])
-              for r in files.select("header", "multiline").distinct().collect()]
-    frames = []
-    for header, multiline in shapes:
-        shape_files = files.where(
-            (F.col("header") == F.array(*[F.lit(h) for h in header])) & (F.col("multiline") == F.lit(multiline)))
-        paths = [r[0] for r in shape_files.select("stored_file_path").collect()]
-        # Files with no quoted line break are read splittably (a huge upload
-        # becomes many tasks); only files that need it use whole-file parsing.
-        scanned = CSV.read_permissive(spark, paths, header, multi_line=multiline)
-        frames.append(attach_lineage(scanned, shape_files.select("file_path", "upload_id", "source_file_name"),
-                                     ingested_at))
-    if not frames:
+    listed = files.select("stored_file_path", "header", F.coalesce("multiline", F.lit(True)).alias("multiline")).collect()
+    if not listed:
         return spark.createDataFrame([], "upload_id string, source_file_name string, ingested_at timestamp")
-    return union_shapes(frames)
+    names = list(dict.fromkeys(n for r in listed for n in r["header"]))
+    width = max(len(r["header"]) for r in listed)
+    spanning = {m: [r["stored_file_path"] for r in listed if r["multiline"] == m] for m in (True, False)}
+    scanned = CSV.read_records(spark, spanning[False], spanning[True])
+    headers = files.select(
+        "file_path", "upload_id", "source_file_name", F.size("header").alias("__width"),
+        F.array(*[F.array_position("header", n).cast("int") for n in names]).alias("__places"))
+    found = attach_lineage(scanned, headers, ingested_at)
+    found = found.withColumn("__cells", CSV.parse_cells(F.col("_text"), width))
+    taken = {"upload_id", "source_file_name", "ingested_at", CSV.CORRUPT_COLUMN}
+    return found.select(
+        *[F.get("__cells", F.get("__places", F.lit(i)) - 1).alias(n) for i, n in enumerate(names) if n.lower() not in taken],
+        F.when(LN.n_cells(F.col("_text")) != F.col("__width"), F.col("_text")).alias(CSV.CORRUPT_COLUMN),
+        "upload_id", "source_file_name", "ingested_at")
 
 
 def load_uploads(spark: SparkSession, files: DataFrame, target: str, staging: str,
@@ -183,30 +190,38 @@ def load_uploads(spark: SparkSession, files: DataFrame, target: str, staging: st
 
     The CSV is parsed exactly once, into a staging table partitioned by
     upload (shared storage). Counts come from the staged Parquet (two
-    columns), the gate decides per upload, and only accepted uploads are
-    published to ``target`` by dynamic partition overwrite, so re-running a
-    load replaces its partitions instead of appending twice. Returns the
-    gate result (upload_id, row_count, corrupt_row_count, accepted, message).
+    columns) and are written once beside it; the gate decides per upload, and
+    only accepted uploads are published to ``target`` by dynamic partition
+    overwrite, so re-running a load replaces its partitions instead of
+    appending twice. The staging table is dropped after the publish. Returns
+    the gate result (upload_id, row_count, corrupt_row_count, accepted, message).
     """
     staged = stage_uploads(spark, files, staging, ingested_at)
     counts = staged.groupBy("upload_id").agg(
         F.count(F.lit(1)).alias("row_count"), F.count("_corrupt_record").alias("corrupt_row_count"))
+    result = f"{staging}__gate"
     gated = gate(counts, files.select("upload_id"), limit)
+    gated.write.mode("overwrite").parquet(result)
+    gated = spark.read.schema(gated.schema).parquet(result)
     accepted = gated.where("accepted").select("upload_id")
     rows = staged.join(bounded_broadcast(accepted), "upload_id", "left_semi")
     publish(rows.select(*[c for c in staged.columns if c != "upload_id"], "upload_id"), target)
+    drop_folder(spark, staging)
     return gated
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a table's folder that this run wrote."""
+    from sluice.sources.landing import _fs_path
+
+    fs, folder = _fs_path(spark, path)
+    fs.delete(folder, True)
+
+
 def stage_uploads(spark: SparkSession, files: DataFrame, staging: str, ingested_at: Column) -> DataFrame:
     """Parse the uploads once into a staging table (partitioned by upload,
-    in shared storage) and return it read back.
-
-    Counting straight off a CSV scan is unsafe: when a query needs only a
-    few columns, Spark prunes the parse and a line with too many fields is
-    no longer seen as malformed. Writing every column forces the full parse,
-    and the staged Parquet is what all counts and the publish read.
-    """
-    (scan_uploads(spark, files, ingested_at).hint("rebalance", "upload_id")
-     .write.mode("overwrite").partitionBy("upload_id").parquet(staging))
-    return spark.read.option("mergeSchema", "true").parquet(staging)
+    in shared storage) and return it read back: all counts and the publish
+    read the staged Parquet, never the files again."""
+    staged = scan_uploads(spark, files, ingested_at)
+    staged.hint("rebalance", "upload_id").write.mode("overwrite").partitionBy("upload_id").parquet(staging)
+    return spark.read.schema(staged.schema).parquet(staging)

@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions import status as S
-from sluice.functions.columns import cap_message
+from sluice.functions.columns import cap_message, strip_whitespace
 
-# The manifest's columns and types.
+# The manifest's columns and types. The last one is our own: the
+# time of the file when it was hashed, so that later runs know it unread.
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("upload_id", T.StringType(), False),
     T.StructField("dataset_name", T.StringType(), True),
@@ -49,6 +50,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("source_row_count", T.LongType(), True),
     T.StructField("bronze_row_count", T.LongType(), True),
     T.StructField("bronze_corrupt_row_count", T.LongType(), True),
+    T.StructField("file_modified_at", T.TimestampType(), True),
 ])
 
 # Columns the fold derives itself rather than taking "last non-null".
@@ -201,13 +203,14 @@ def register_decisions(
     (deterministic candidate id) and the ordering columns.
     ``manifest``: current state (upload_id, dataset_name, stored_file_path,
     file_hash, created_at).
-    Actions, first match wins: UNKNOWN_DATASET; KNOWN (same path and
-    contents, returns the existing id); CHANGED (same path, new contents:
+    ``read_error`` (optional) says why a file could not be hashed.
+    Actions, first match wins: UNKNOWN_DATASET; UNREADABLE; KNOWN (same path
+    and contents, returns the existing id); CHANGED (same path, new contents:
     an error for a human); DUPLICATE (contents already registered in the
     dataset, or an earlier file of this batch); NEW.
     """
     datasets = list(known_datasets)
-    inv = inventory.withColumn("dataset_name", F.lower(F.trim(F.col("dataset_name"))))
+    inv = inventory.withColumn("dataset_name", F.lower(strip_whitespace("dataset_name")))
     by_path = manifest.groupBy("stored_file_path").agg(
         F.min(F.struct("created_at", "upload_id", "file_hash")).alias("_p")
     )
@@ -218,10 +221,11 @@ def register_decisions(
         registered, ["dataset_name", "file_hash"], "left"
     )
     meta_err = F.col("metadata_error") if "metadata_error" in inventory.columns else F.lit(None).cast("string")
+    read_err = F.col("read_error") if "read_error" in inventory.columns else F.lit(None).cast("string")
     # Earliest registrable file of this batch per (dataset, hash), for
     # same-batch copies (a file that will not be registered cannot be the
     # original of another).
-    registrable = F.col("_p").isNull() & F.col("dataset_name").isin(*datasets) & meta_err.isNull()
+    registrable = F.col("_p").isNull() & F.col("dataset_name").isin(*datasets) & meta_err.isNull() & read_err.isNull()
     batch_first = first_per_content(
         known_path.where(registrable), ["dataset_name", "file_hash"], list(order_cols)
     )
@@ -229,13 +233,14 @@ def register_decisions(
     action = (
         F.when(~F.col("dataset_name").isin(*datasets), F.lit("UNKNOWN_DATASET"))
         .when(meta_err.isNotNull(), F.lit("INVALID_METADATA"))
+        .when(read_err.isNotNull(), F.lit("UNREADABLE"))
         .when(F.col("_p").isNotNull() & (F.col("_p.file_hash") == F.col("file_hash")), F.lit("KNOWN"))
         .when(F.col("_p").isNotNull(), F.lit("CHANGED"))
         .when(F.col("registered_upload_id").isNotNull(), F.lit("DUPLICATE"))
         .when(F.col("first_upload_id") != F.col("upload_id"), F.lit("DUPLICATE"))
         .otherwise(F.lit("NEW"))
     )
-    keep = [c for c in inventory.columns if c not in ("dataset_name", "metadata_error")]
+    keep = [c for c in inventory.columns if c not in ("dataset_name", "metadata_error", "read_error")]
     return joined.select(
         "dataset_name",
         *keep,
@@ -246,8 +251,10 @@ def register_decisions(
         F.when(action == "DUPLICATE", F.coalesce(F.col("registered_upload_id"), F.col("first_upload_id")))
         .alias("duplicate_of_upload_id"),
         F.when(action == "UNKNOWN_DATASET",
-               F.concat(F.lit("Unknown dataset '"), F.col("dataset_name"), F.lit("'.")))
+               F.concat(F.lit("Unknown dataset '"), F.col("dataset_name"),
+                        F.lit("'. Expected one of: " + "[" + ", ".join(f"'{d}'" for d in datasets) + "]")))
         .when(action == "INVALID_METADATA", meta_err)
+        .when(action == "UNREADABLE", read_err)
         .when(action == "CHANGED",
               F.concat(F.lit("This path is already registered but the contents have changed: "),
                        F.col("stored_file_path"),
@@ -270,6 +277,7 @@ def registration_events(decisions: DataFrame, now, uploaded_by: Column | None =
         (uploaded_by if uploaded_by is not None else F.current_user()).alias("uploaded_by"),
         ts.alias("uploaded_at"),
         *[F.col(c) for c in ("source_system", "reporting_period") if c in decisions.columns],
+        *[F.col("modification_time").alias("file_modified_at") for c in ("modification_time",) if c in decisions.columns],
         F.when(F.col("action") == "DUPLICATE", F.lit(S.DUPLICATE)).otherwise(F.lit(S.RECEIVED)).alias("status"),
         "duplicate_of_upload_id",
         ts.alias("created_at"),

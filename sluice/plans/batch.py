@@ -166,23 +166,34 @@ def _paths(spark: SparkSession, df: DataFrame, col: str = "stored_file_path") ->
     return out
 
 
-def _probed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Hash and structure of files, both taken in the stage that reads them:
-    contents never reach a shuffle."""
-    if not paths:
-        raw = spark.createDataFrame([], "stored_file_path string, file_path string, file_hash string, content binary")
-    else:
-        raw = LD.read_files(spark, paths, glob=None).select(
-            F.col("path").alias("stored_file_path"), "file_path",
-            F.sha2(F.col("content"), 256).alias("file_hash"), "content")
-    return CSV.probe_structure(raw, keep=("stored_file_path", "file_path", "file_hash"))
-
-
-def _failed(uploads: DataFrame, status: str, error: Exception) -> DataFrame:
-    """Outcome rows of uploads whose stage raised ``error``."""
-    logger.error("Uploads end as %s: %s", status, error)
-    return uploads.select("upload_id", F.lit(status).alias("status"),
-                          cap_message(F.lit(str(error))).alias("validation_message"))
+def _checked_files(spark: SparkSession, queue: DataFrame, changed_text: str, path: str, rehash: bool = False) -> DataFrame:
+    """The queued uploads with the state of their files now (written to
+    ``path``): file_path, file_state, file_violation (gone, changed) and
+    read_error. Files that stand as they were registered are not read."""
+    listed = LD.list_files(spark, _paths(spark, queue), glob=None).select(
+        F.col("path").alias("stored_file_path"), "file_path", F.col("length").alias("file_size_bytes"),
+        F.col("modificationTime").alias("modification_time"))
+    files = LD.with_hashes(spark, listed, queue, rehash)
+    return persist(spark, LD.change_check(queue, files, changed_text), path)
+
+
+def _structure(spark: SparkSession, checked: DataFrame) -> DataFrame:
+    """header, row_count, violation, multiline and unreadable of the unchanged files of ``checked``, by upload."""
+    sound = checked.where("file_state = 'UNCHANGED'").select("upload_id", "stored_file_path", "file_path", "file_size_bytes")
+    paths = [r[0] for r in sound.where("file_size_bytes > 0").select("stored_file_path").distinct().collect()]
+    files = sound.select("stored_file_path", "file_path", "file_size_bytes").distinct()
+    found = CSV.file_structure(spark, files, paths).select(
+        "stored_file_path", "header", "row_count", "violation", "multiline", "unreadable")
+    return sound.select("upload_id", "stored_file_path").join(found, "stored_file_path").drop("stored_file_path")
+
+
+def _failed(uploads: DataFrame, status: str, error: Exception | Column) -> DataFrame:
+    """Outcome rows of uploads whose stage raised ``error``, or whose own
+    error is a column."""
+    if isinstance(error, Exception):
+        logger.error("Uploads end as %s: %s", status, error)
+        error = F.lit(str(error))
+    return uploads.select("upload_id", F.lit(status).alias("status"), cap_message(error).alias("validation_message"))
 
 
 def _claim(spark, store, contracts, froms, to, label, now, seq, run_dir, only=None) -> tuple[DataFrame, DataFrame]:
@@ -202,19 +213,25 @@ def _claim(spark, store, contracts, froms, to, label, now, seq, run_dir, only=No
 
 
 def register_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Contract], inv: DataFrame,
-                   now_c: Column, run_dir: str, seq: int) -> DataFrame:
+                   now_c: Column, run_dir: str, seq: int, rehash: bool = False) -> DataFrame:
     """Registration decisions for every inventoried file; NEW and DUPLICATE
-    files become manifest rows (events). Returns the decisions."""
+    files become manifest rows (events). Returns the decisions.
+
+    Files whose path, size and modification time a registered upload has are
+    known unread; ``rehash`` reads them all the same."""
+    listed = persist(spark, inv, f"{run_dir}/listing")
+    m = persist(spark, current_manifest(spark, store).select(
+        "upload_id", "dataset_name", "stored_file_path", "file_hash", "file_size_bytes", "file_modified_at", "created_at"),
+        f"{run_dir}/registered")
+    inv = LD.with_hashes(spark, listed, m, rehash)
     inv = inv.withColumn("upload_id", upload_id_for(F.col("stored_file_path"), F.col("file_hash")))
     # The decision plan reads the inventory on several branches; writing it
     # once (one row per file) keeps the landing bytes read and hashed once.
     inv = persist(spark, inv, f"{run_dir}/inventory")
-    m = current_manifest(spark, store).select("upload_id", "dataset_name", "stored_file_path", "file_hash",
-                                              "created_at")
     meta = [c for c in ("source_system", "reporting_period", "metadata_error") if c in inv.columns]
     decisions = MF.register_decisions(
         inv.select("dataset_name", "stored_file_path", "file_hash", "file_size_bytes", "upload_id",
-                   "modification_time", *meta),
+                   "modification_time", "read_error", *meta),
         m, contracts.keys(),
     )
     decisions = persist(spark, decisions, f"{run_dir}/register")
@@ -223,80 +240,100 @@ def register_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Co
 
 
 def validate_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Contract], now_c: Column,
-                   run_dir: str, seq: int, only: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                   run_dir: str, seq: int, only: list[str] | None = None,
+                   rehash: bool = False) -> tuple[DataFrame, DataFrame]:
     """Claim, re-check, probe and judge every claimable upload (or ``only``).
     Returns (validation outcomes, claim refusals)."""
     queue, refused = _claim(spark, store, contracts, S.CLAIMABLE_FOR_VALIDATION, S.VALIDATING, "validated",
                             now_c, seq, run_dir, only)
     try:
-        files = _probed_files(spark, _paths(spark, queue))
-        probed = LD.change_check(queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash"),
-                                 files, " has changed since it was registered. Register the new version as a new upload.")
-        probed = probed.select(
+        checked = _checked_files(
+            spark, queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash", "file_size_bytes", "file_modified_at", "created_at"),
+            " has changed since it was registered. Register the new version as a new upload.", f"{run_dir}/validate_files", rehash)
+        probed = checked.join(_structure(spark, checked), "upload_id", "left")
+        probed = persist(spark, probed.select(
             "upload_id", "dataset_name",
             F.coalesce(F.col("header"), F.array().cast("array<string>")).alias("header"),
-            "row_count",
+            "row_count", "multiline",
             F.coalesce(F.col("file_violation"), F.col("violation")).alias("violation"),
-        )
-        validated = V.validation_outcome(V.check_columns(probed, contracts_frame(spark, contracts)))
-        validated = persist(spark, validated, f"{run_dir}/validate")
+            F.coalesce(F.col("read_error"), F.col("unreadable")).alias("unreadable"),
+        ), f"{run_dir}/probe")
+        judged = V.validation_outcome(V.check_columns(probed.where("unreadable IS NULL").drop("unreadable"), contracts_frame(spark, contracts)))
+        # a file that cannot be read fails by itself: it is claimed again in a later run
+        unread = _failed(probed.where("unreadable IS NOT NULL"), S.FAILED, F.col("unreadable"))
+        validated = persist(spark, judged.unionByName(unread, allowMissingColumns=True), f"{run_dir}/validate")
     except Exception as error:  # the claimed uploads fail with its message; the run goes on
         validated = persist(spark, _failed(queue, S.FAILED, error), f"{run_dir}/validate")
-    append_events(validated.drop("dataset_name", "header", "known_dataset", "reject_unexpected"),
+    append_events(validated.drop("dataset_name", "header", "multiline", "known_dataset", "reject_unexpected"),
                   store, seq + 1, now_c)
     return validated, refused
 
 
 def bronze_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Contract], now_c: Column,
-                 run_dir: str, seq: int, only: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                 run_dir: str, seq: int, only: list[str] | None = None, rehash: bool = False,
+                 validated: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Claim, re-check, scan, gate and publish every loadable upload (or
-    ``only``). Returns (bronze outcomes, claim refusals)."""
+    ``only``). Returns (bronze outcomes, claim refusals). Headers of uploads
+    that this run validated come from ``validated``."""
     queue, refused = _claim(spark, store, contracts, S.CLAIMABLE_FOR_BRONZE, S.PROCESSING, "loaded to bronze",
                             now_c, seq, run_dir, only)
     try:
-        probed = LD.change_check(
-            queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash", "original_file_name",
-                         "source_row_count"),
-            _probed_files(spark, _paths(spark, queue)),
-            " has changed since it was validated. Register the new version as a new upload.")
-        probed = probed.withColumn("violation", F.coalesce(F.col("file_violation"), F.col("violation")))
+        checked = _checked_files(
+            spark, queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash", "file_size_bytes", "file_modified_at", "created_at",
+                                "original_file_name", "source_row_count"),
+            " has changed since it was validated. Register the new version as a new upload.", f"{run_dir}/bronze_files", rehash)
+        seen = spark.createDataFrame([], "upload_id string, header array<string>, multiline boolean")
+        if validated is not None and "header" in validated.columns:
+            seen = validated.where(F.col("status") == S.VALIDATED).select("upload_id", "header", "multiline")
+        fresh = _structure(spark, checked.join(seen, "upload_id", "left_anti"))
+        structure = fresh.unionByName(seen, allowMissingColumns=True)
+        probed = checked.join(structure.drop("row_count"), "upload_id", "left").withColumn(
+            "violation", F.coalesce(F.col("file_violation"), F.col("violation"))).withColumn(
+            "unreadable", F.coalesce(F.col("read_error"), F.col("unreadable")))
         probed = persist(spark, probed, f"{run_dir}/bronze_queue")
     except Exception as error:
         results = persist(spark, _failed(queue, S.BRONZE_FAILED, error), f"{run_dir}/bronze")
         append_events(results, store, seq + 1, now_c)
         return results, refused
-    # A file-level problem (gone, changed, unreadable) rejects with its own message.
-    bad = probed.where(F.col("violation").isNotNull())
-    ok = probed.where(F.col("violation").isNull())
+    # A file-level problem (gone, changed, not CSV) rejects with its own message; a file that cannot be read fails.
+    failures = [_failed(probed.where("unreadable IS NOT NULL"), S.BRONZE_FAILED, F.col("unreadable"))]
+    bad = probed.where("unreadable IS NULL AND violation IS NOT NULL")
+    ok = probed.where("unreadable IS NULL AND violation IS NULL")
     outcomes = [bad.select("upload_id", F.lit(0).alias("row_count"), F.lit(0).alias("corrupt_row_count"),
                            F.lit(False).alias("accepted"), F.col("violation").alias("message"),
                            "source_row_count", F.lit("").alias("_table"))]
-    failures = []
-
-    def load(dataset: str, files: DataFrame, name: str) -> None:
-        gated = BR.load_uploads(
-            spark,
-            files.select("upload_id", "stored_file_path", "file_path",
-                         F.col("original_file_name").alias("source_file_name"), "header", "multiline"),
-            store.bronze(dataset), f"{run_dir}/staging/{name}", now_c,
-        )
-        gated = persist(spark, gated, f"{run_dir}/gate/{name}").join(
-            files.select("upload_id", "source_row_count"), "upload_id", "left")
-        outcomes.append(gated.select("*", F.lit(store.bronze(dataset)).alias("_table")))
-
-    for dataset in [r[0] for r in ok.select("dataset_name").distinct().collect()]:  # bounded: datasets
-        ds_files = ok.where(F.col("dataset_name") == dataset)
+    loads = 0
+
+    def load(dataset: str, uploads: list[str]) -> None:
+        """Load the uploads together. If that fails, by halves: the uploads at
+        fault fail with their error, the others are loaded."""
+        nonlocal loads
+        loads += 1
+        files = ok.where(F.col("upload_id").isin(uploads))
         try:
-            load(dataset, ds_files, dataset)
-        except Exception:  # again by header shape, so that only the shape at fault fails
-            logger.exception("Loading %s failed; its header shapes are loaded one by one", dataset)
-            for i, r in enumerate(ds_files.select("header", "multiline").distinct().collect()):
-                files = ds_files.where((F.col("header") == F.array(*[F.lit(h) for h in r["header"]]))
-                                       & F.col("multiline").eqNullSafe(F.lit(r["multiline"])))
-                try:
-                    load(dataset, files, f"{dataset}-shape-{i}")
-                except Exception as error:
-                    failures.append(_failed(files, S.BRONZE_FAILED, error))
+            gated = BR.load_uploads(
+                spark,
+                files.select("upload_id", "stored_file_path", "file_path",
+                             F.col("original_file_name").alias("source_file_name"), "header", "multiline"),
+                store.bronze(dataset), f"{run_dir}/staging/{dataset}-{loads}", now_c,
+            )
+        except Exception as error:
+            if len(uploads) == 1:
+                failures.append(_failed(files, S.BRONZE_FAILED, error))
+                return
+            logger.exception("Loading %d uploads of %s failed; they are loaded by halves", len(uploads), dataset)
+            half = len(uploads) // 2
+            load(dataset, uploads[:half])
+            load(dataset, uploads[half:])
+            return
+        outcomes.append(gated.join(files.select("upload_id", "source_row_count"), "upload_id", "left")
+                        .select("*", F.lit(store.bronze(dataset)).alias("_table")))
+
+    by_dataset: dict[str, list[str]] = {}
+    for r in ok.select("dataset_name", "upload_id").orderBy("dataset_name", "upload_id").collect():  # ids of the queue
+        by_dataset.setdefault(r["dataset_name"], []).append(r["upload_id"])
+    for dataset, uploads in by_dataset.items():
+        load(dataset, uploads)
     all_gated = BR.union_shapes(outcomes)
     results = BR.outcome(all_gated.drop("source_row_count"), F.col("_table"), now_c,
                          all_gated.select("upload_id", "source_row_count"))
@@ -313,11 +350,13 @@ def run_uploads(
     now: _dt.datetime,
     min_age_seconds: int = LD.MIN_FILE_AGE_SECONDS,
     inventory: DataFrame | None = None,
+    rehash: bool = False,
 ) -> dict:
     """One upload run: release stale claims, register, validate, load bronze.
 
     ``inventory`` (optional) replaces the landing scan, e.g. with the files a
-    streaming micro-batch discovered."""
+    streaming micro-batch discovered. ``rehash``: read and hash every file at
+    every stage, even if its size and time are as registered."""
     now_c, run_seq, run_dir = _run(store, now)
 
     # 0. Stale claims back to their failed status.
@@ -328,9 +367,9 @@ def run_uploads(
 
     # 1-3. Register every landing file, validate and load everything claimable.
     inv = inventory if inventory is not None else LD.inventory(spark, dataset_dirs, now_c, min_age_seconds)
-    decisions = register_stage(spark, store, contracts, inv, now_c, run_dir, run_seq * 100 + 1)
-    validated, _ = validate_stage(spark, store, contracts, now_c, run_dir, run_seq * 100 + 2)
-    results, _ = bronze_stage(spark, store, contracts, now_c, run_dir, run_seq * 100 + 4)
+    decisions = register_stage(spark, store, contracts, inv, now_c, run_dir, run_seq * 100 + 1, rehash)
+    validated, _ = validate_stage(spark, store, contracts, now_c, run_dir, run_seq * 100 + 2, rehash=rehash)
+    results, _ = bronze_stage(spark, store, contracts, now_c, run_dir, run_seq * 100 + 4, rehash=rehash, validated=validated)
 
     # Uploads waiting for validation whose dataset has no contract (any more)
     # stay as they are; they are reported, and counted as errors, every run.
@@ -354,7 +393,7 @@ def run_uploads(
         "released": released.count(),
         "unknown_dataset": unknown,
         "errors": acts.get("CHANGED", 0) + acts.get("UNKNOWN_DATASET", 0) + acts.get("INVALID_METADATA", 0)
-        + unknown + v.get(S.FAILED, 0) + b.get(S.BRONZE_FAILED, 0),
+        + acts.get("UNREADABLE", 0) + unknown + v.get(S.FAILED, 0) + b.get(S.BRONZE_FAILED, 0),
     }
     logger.info("Upload run %s complete: %s", run_seq, summary)
     return summary
@@ -401,8 +440,8 @@ def register_uploaded_file(
     if not fs.getFileStatus(hpath).isFile():
         raise ValueError(f"The supplied path is not a file: {path}")
     now_c, run_seq, run_dir = _run(store, now)
-    raw = LD.read_files(spark, [path], glob=None)
-    inv = LD.inventory_from(raw, {dataset: path.rsplit("/", 1)[0]}, now_c, min_age_seconds=0)
+    listed = LD.list_files(spark, [path], glob=None)
+    inv = LD.inventory_from(listed, {dataset: path.rsplit("/", 1)[0]}, now_c, min_age_seconds=0)
     inv = inv.select(
         "*",
         clean_upper(F.lit(source_system).cast("string")).alias("source_system"),

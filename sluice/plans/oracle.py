@@ -563,7 +563,7 @@ SELECT dataset_name, stored_file_path, file_hash, action,
            AS result_upload_id,
        CASE WHEN action = 'DUPLICATE' THEN coalesce(registered_upload_id, first_upload_id) END
            AS duplicate_of_upload_id,
-       CASE WHEN action = 'UNKNOWN_DATASET' THEN 'Unknown dataset ''' || dataset_name || '''.'
+       CASE WHEN action = 'UNKNOWN_DATASET' THEN 'Unknown dataset ''' || dataset_name || '''. Expected one of: [''' || 'en'', ''de'', ''fr' || ''']'
             WHEN action = 'INVALID_METADATA' THEN metadata_error
             WHEN action = 'CHANGED' THEN 'This path is already registered but the contents have changed: '
                  || stored_file_path

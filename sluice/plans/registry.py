@@ -402,8 +402,7 @@ def bronze_outcome(spark, sf_dir):
 
 @register("csv_structure_probe")
 def csv_structure_probe(spark, sf_dir):
-    docs = FX.table(spark, sf_dir, "documents").select("doc_id", CSV.encode_utf8(F.col("text")).alias("content"))
-    probed = CSV.probe_structure(docs, keep=("doc_id",))
+    probed = CSV.text_structure(FX.table(spark, sf_dir, "documents"), "doc_id", "text")
     return probed.select("doc_id", _joined("header"), "row_count", "violation")
 
 
@@ -418,15 +417,13 @@ def _landing_files(spark, sf_dir):
     (shapes, paths, lineage) and must not re-run the probe each time."""
     from sluice.plans.session import scratch_path
 
-    dirs = FX.order_landing(spark, sf_dir)
-    inv = LD.inventory(spark, dirs, min_age_seconds=0, with_content=True)
-    probed = CSV.probe_structure(
-        inv, keep=("dataset_name", "stored_file_path", "file_path", "original_file_name", "file_hash"))
+    inv = LD.inventory(spark, FX.order_landing(spark, sf_dir), min_age_seconds=0)
+    paths = [r[0] for r in inv.where("file_size_bytes > 0").select("stored_file_path").collect()]
     out = scratch_path(spark, "probe")
-    probed.select(
+    CSV.file_structure(spark, inv, paths).select(
         F.regexp_extract("original_file_name", r"^(.*)\.csv$", 1).alias("upload_id"),
         "stored_file_path", "file_path", F.col("original_file_name").alias("source_file_name"), "header",
-        "row_count", "file_hash", "multiline",
+        "row_count", "multiline", "violation",
     ).write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
@@ -441,14 +438,14 @@ def _landing_bronze(spark, sf_dir):
 
 @register("landing_inventory")
 def landing_inventory(spark, sf_dir):
-    inv = LD.inventory(spark, FX.order_landing(spark, sf_dir), min_age_seconds=0)
+    inv = LD.hash_files(spark, LD.inventory(spark, FX.order_landing(spark, sf_dir), min_age_seconds=0))
     return inv.select("dataset_name", "original_file_name", "file_size_bytes", "file_hash")
 
 
 @register("change_detection")
 def change_detection(spark, sf_dir):
     dirs = FX.order_landing(spark, sf_dir)
-    files = LD.inventory(spark, dirs, min_age_seconds=0)
+    files = LD.hash_files(spark, LD.inventory(spark, dirs, min_age_seconds=0))
     up = F.regexp_extract("original_file_name", r"^(.*)\.csv$", 1)
     # What registration recorded: L5 with older contents, L6 at a path that is gone.
     registered = files.select(

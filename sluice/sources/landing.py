@@ -1,29 +1,48 @@
-"""Landing inventory: every CSV in the per-dataset landing folders, with size,
-modification time and content hash, as one distributed ``binaryFile`` scan.
+"""Landing inventory: every CSV in the per-dataset landing folders, with size
+and modification time, and the content hash of the files that need one.
 
-Bytes are hashed on the executors that read them (``sha2`` over the content
-column), so the driver only ever sees the folder list.
+A listing reads no bytes. Files are hashed in executor tasks: those up to
+``WHOLE_FILE_BYTES`` by Spark's ``binaryFile`` scan, larger ones in chunks
+carried through one SHA-256, so no size is too large and no task holds more
+than one small file. A file that cannot be read gets an error, not its run.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from urllib.parse import unquote, urlsplit
+
+import pandas as pd
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.plans.ship import ship_package
+
 logger = logging.getLogger(__name__)
 
 # Fixed value: files touched more recently than this may still be uploading.
 MIN_FILE_AGE_SECONDS = 60
 CSV_GLOB = "*.[cC][sS][vV]"
 
-INVENTORY_COLUMNS = (
-    "dataset_name", "stored_file_path", "file_path", "original_file_name",
-    "file_size_bytes", "modification_time", "file_hash",
-)
+# Files above this many bytes are hashed in chunks of ``CHUNK_BYTES``.
+WHOLE_FILE_BYTES = 64 << 20
+CHUNK_BYTES = 8 << 20
+# Fixed value: what one cell of a table can hold.
+_LARGEST_CELL = 2**31 - 1
+
+LISTING_SCHEMA = "path string, file_path string, length long, modificationTime timestamp"
+INVENTORY_SCHEMA = T.StructType([
+    T.StructField("dataset_name", T.StringType()),
+    T.StructField("stored_file_path", T.StringType()),
+    T.StructField("file_path", T.StringType()),
+    T.StructField("original_file_name", T.StringType()),
+    T.StructField("file_size_bytes", T.LongType()),
+    T.StructField("modification_time", T.TimestampType()),
+])
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -79,19 +98,21 @@ def empty_files(spark: SparkSession, locations: list[str], glob: str | None = CS
         "path", "file_path",
         F.lit(0).cast("long").alias("length"),
         F.timestamp_millis("mtime_ms").alias("modificationTime"),
-        F.lit(b"").cast("binary").alias("content"),
     )
 
 
-def read_files(spark: SparkSession, locations: list[str], glob: str | None = CSV_GLOB) -> DataFrame:
-    """binaryFile rows (path, file_path, length, modificationTime, content)
-    of every matching file, empty files included."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
+def list_files(spark: SparkSession, locations: list[str], glob: str | None = CSV_GLOB) -> DataFrame:
+    """Rows (path, file_path, length, modificationTime) of every matching
+    file, empty files included. No file is opened: the scan's content column
+    is left out."""
+    if not locations:
+        return spark.createDataFrame([], LISTING_SCHEMA)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false").option("ignoreMissingFiles", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    raw = reader.load(locations).select(
-        "path", F.col("_metadata.file_path").alias("file_path"), "length", "modificationTime", "content")
-    return raw.unionByName(empty_files(spark, locations, glob))
+    listed = reader.load(locations).select(
+        "path", F.col("_metadata.file_path").alias("file_path"), "length", "modificationTime")
+    return listed.where("length > 0").unionByName(empty_files(spark, locations, glob))
 
 
 def inventory(
@@ -99,9 +120,8 @@ def inventory(
     dataset_dirs: Mapping[str, str],
     now: Column | None = None,
     min_age_seconds: int = MIN_FILE_AGE_SECONDS,
-    with_content: bool = False,
 ) -> DataFrame:
-    """One row per landing CSV: dataset, path, size, mtime, SHA-256.
+    """One row per landing CSV: dataset, path, size and modification time.
 
     Non-recursive (files directly in each dataset folder), case-insensitive
     ``.csv`` suffix, files younger than ``min_age_seconds`` skipped. The
@@ -110,55 +130,127 @@ def inventory(
     reader's percent-encoded form, the join key for lineage.
     """
     dirs = existing_dirs(spark, dataset_dirs)
-    schema = T.StructType(
-        [T.StructField(c, T.StringType()) for c in INVENTORY_COLUMNS[:4]]
-        + [T.StructField("file_size_bytes", T.LongType()),
-           T.StructField("modification_time", T.TimestampType()),
-           T.StructField("file_hash", T.StringType())]
-        + ([T.StructField("content", T.BinaryType())] if with_content else [])
-    )
     if not dirs:
-        return spark.createDataFrame([], schema)
-    raw = read_files(spark, list(dirs.values()))
-    return inventory_from(raw, dirs, now, min_age_seconds, with_content)
+        return spark.createDataFrame([], INVENTORY_SCHEMA)
+    return inventory_from(list_files(spark, list(dirs.values())), dirs, now, min_age_seconds)
 
 
-def inventory_from(raw: DataFrame, dirs: Mapping[str, str], now: Column | None = None,
-                   min_age_seconds: int = MIN_FILE_AGE_SECONDS, with_content: bool = False) -> DataFrame:
-    """Inventory columns from binaryFile-shaped rows (batch or stream batch);
+def inventory_from(listed: DataFrame, dirs: Mapping[str, str], now: Column | None = None,
+                   min_age_seconds: int = MIN_FILE_AGE_SECONDS) -> DataFrame:
+    """Inventory columns from listed files (batch or stream batch);
     ``dirs`` maps dataset -> qualified folder."""
-    if "file_path" not in raw.columns:
-        raw = raw.withColumn("file_path", F.col("_metadata.file_path"))
     parent = F.regexp_extract(F.col("path"), r"^(.*)/[^/]+$", 1)
     folder_map = F.create_map(*[x for name, d in dirs.items() for x in (F.lit(d), F.lit(name))])
-    cols = [
+    out = listed.select(
         F.try_element_at(folder_map, parent).alias("dataset_name"),
         F.col("path").alias("stored_file_path"),
         F.col("file_path"),
         F.element_at(F.split(F.col("path"), "/"), -1).alias("original_file_name"),
         F.col("length").alias("file_size_bytes"),
         F.col("modificationTime").alias("modification_time"),
-        F.sha2(F.col("content"), 256).alias("file_hash"),
-    ]
-    if with_content:
-        cols.append(F.col("content"))
-    out = raw.select(*cols).where(F.col("dataset_name").isNotNull())
+    ).where(F.col("dataset_name").isNotNull())
     if min_age_seconds and min_age_seconds > 0:
         ts = now if now is not None else F.current_timestamp()
         out = out.where(F.col("modification_time") <= ts - F.make_dt_interval(secs=F.lit(min_age_seconds)))
     return out
 
 
+def open_for_reading(path: str):
+    """A stream over a file's bytes in an executor: local and mounted files
+    by their path, others through pyarrow's file systems."""
+    parts = urlsplit(path)
+    if parts.scheme in ("", "file"):
+        return open(unquote(parts.path) if parts.scheme else path, "rb")
+    from pyarrow import fs
+
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
+    system, inside = fs.FileSystem.from_uri(parts._replace(scheme=scheme).geturl())
+    return system.open_input_stream(inside)
+
+
+def sha256_of(stream, chunk: int = CHUNK_BYTES) -> str:
+    """SHA-256 of a stream, read in chunks."""
+    digest = hashlib.sha256()
+    while data := stream.read(chunk):
+        digest.update(data)
+    return digest.hexdigest()
+
+
+def _hash_in_chunks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for files in batches:
+        out = []
+        for path, encoded in zip(files["path"], files["file_path"]):
+            try:
+                with open_for_reading(encoded) as stream:
+                    out.append((path, sha256_of(stream), None))
+            except Exception as error:  # of this file: it becomes its row
+                out.append((path, None, f"{type(error).__name__}: {error}"))
+        yield pd.DataFrame(out, columns=["path", "file_hash", "read_error"])
+
+
+def hash_files(spark: SparkSession, files: DataFrame, whole: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """``files`` (stored_file_path, file_path, file_size_bytes, ...) with
+    file_hash and read_error, exactly one of them set.
+
+    The paths of the files to hash reach the driver (names, never contents).
+    Files in a store that only Spark reads are hashed whole up to what a cell
+    can hold; larger ones there need pyarrow to know the store.
+    """
+    names = files.select("stored_file_path", "file_path", "file_size_bytes").collect()
+    limit = {r["stored_file_path"]: whole if urlsplit(r["file_path"]).scheme in ("", "file") else _LARGEST_CELL for r in names}
+    small = [r["stored_file_path"] for r in names if 0 < r["file_size_bytes"] <= limit[r["stored_file_path"]]]
+    large = [(r["stored_file_path"], r["file_path"]) for r in names if r["file_size_bytes"] > limit[r["stored_file_path"]]]
+    empty = [(r["stored_file_path"],) for r in names if r["file_size_bytes"] == 0]
+    hashed = spark.createDataFrame(empty, "path string").select(
+        "path", F.sha2(F.lit(b""), 256).alias("file_hash"), F.lit(None).cast("string").alias("read_error"))
+    if small:
+        # a file that fails gives no row
+        read = (spark.read.format("binaryFile").option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+                .load(small).select("path", F.sha2("content", 256).alias("file_hash"), F.lit(None).cast("string").alias("read_error")))
+        hashed = hashed.unionByName(read)
+    if large:
+        ship_package(spark)
+        listed = spark.createDataFrame(large, "path string, file_path string").repartition(len(large))
+        hashed = hashed.unionByName(listed.mapInPandas(_hash_in_chunks, "path string, file_hash string, read_error string"))
+    out = files.join(hashed.withColumnRenamed("path", "stored_file_path"), "stored_file_path", "left")
+    failed = F.when(F.col("file_hash").isNull(), F.concat(
+        F.lit("The file could not be read: "), F.coalesce("read_error", F.lit("its bytes were not returned")), F.lit(".")))
+    return out.withColumn("read_error", failed)
+
+
+def unchanged(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The files (stored_file_path, file_size_bytes, modification_time) that a
+    registered upload recorded with this path, size and modification time:
+    (stored_file_path, file_hash). Nothing is read to tell."""
+    known = manifest.where(F.col("file_modified_at").isNotNull()).groupBy("stored_file_path", "file_size_bytes", "file_modified_at").agg(
+        F.min(F.struct("created_at", "upload_id", "file_hash")).alias("_first"))
+    j = files.alias("f").join(known.alias("k"), "stored_file_path")
+    same = (F.col("f.file_size_bytes") == F.col("k.file_size_bytes")) & (F.col("f.modification_time") == F.col("k.file_modified_at"))
+    return j.where(same).select("stored_file_path", F.col("_first.file_hash").alias("file_hash"))
+
+
+def with_hashes(spark: SparkSession, files: DataFrame, manifest: DataFrame, rehash: bool = False) -> DataFrame:
+    """``files`` with file_hash and read_error. Files that stand as a
+    registered upload recorded them keep its hash unread, unless ``rehash``."""
+    if rehash:
+        return hash_files(spark, files)
+    known = unchanged(files, manifest)
+    new = files.join(known, "stored_file_path", "left_anti")
+    kept = files.join(known, "stored_file_path").withColumn("read_error", F.lit(None).cast("string"))
+    return kept.unionByName(hash_files(spark, new))
+
+
 # What the change check hands on about a file.
-_CARRIED = ("content", "file_path", "header", "row_count", "violation", "multiline")
+_CARRIED = ("file_path", "header", "row_count", "violation", "multiline", "read_error")
 
 
 def change_check(manifest: DataFrame, files: DataFrame, changed_text: str) -> DataFrame:
     """Registered file vs. what is on disk now, for the uploads in ``manifest``.
 
     Left join on the stored path: a path no longer present means the file is
-    gone; a different hash means it changed since registration. Returns the
-    manifest rows with ``file_violation`` (NULL when the file is unchanged).
+    gone; a different hash means it changed since registration, none that it
+    could not be read. Returns the manifest rows with ``file_violation`` (NULL
+    when the file is unchanged or unreadable) and ``file_state``.
     """
     disk = files.select(
         F.col("stored_file_path").alias("_p"), F.col("file_hash").alias("_disk_hash"),
@@ -174,6 +266,7 @@ def change_check(manifest: DataFrame, files: DataFrame, changed_text: str) -> Da
     )
     state = (
         F.when(F.col("_p").isNull(), F.lit("MISSING"))
+        .when(F.col("_disk_hash").isNull(), F.lit("UNREADABLE"))
         .when(F.col("_disk_hash") != F.col("file_hash"), F.lit("CHANGED"))
         .otherwise(F.lit("UNCHANGED"))
     )

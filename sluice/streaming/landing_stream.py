@@ -1,6 +1,6 @@
 """Incremental discovery of landing files with Structured Streaming.
 
-A file stream over the dataset folders (``binaryFile`` rows) run with
+A file stream over the dataset folders (``binaryFile`` rows without their content) run with
 ``trigger(availableNow=True)``: each micro-batch holds the files that
 appeared since the last checkpoint, and ``foreachBatch`` runs the ordinary
 upload stages with that batch as the inventory. The stream only decides
@@ -41,7 +41,7 @@ def landing_stream(spark: SparkSession, dataset_dirs: Mapping[str, str]) -> tupl
         .option("recursiveFileLookup", "false")
         .option("maxFileAge", "36500d")  # a file copied with an old time is new all the same
         .load(d)
-        .select("path", F.col("_metadata.file_path").alias("file_path"), "length", "modificationTime", "content")
+        .select("path", F.col("_metadata.file_path").alias("file_path"), "length", "modificationTime")
         for d in dirs.values()
     ]
     out = streams[0]
@@ -80,7 +80,7 @@ def run_available(
         paths = batch._paths(spark, waiting, "path")  # file names still waiting, never contents
         if paths:
             now = now_fn()
-            inv = LD.inventory_from(LD.read_files(spark, paths, glob=None), dirs, F.lit(now), min_age_seconds)
+            inv = LD.inventory_from(LD.list_files(spark, paths, glob=None), dirs, F.lit(now), min_age_seconds)
             summaries.append(batch.run_uploads(spark, store, contracts, dataset_dirs, now, inventory=inv))
 
     def handle(batch_df: DataFrame, epoch_id: int) -> None:
