@@ -177,10 +177,16 @@ def _checked_files(spark: SparkSession, queue: DataFrame, changed_text: str, pat
     return persist(spark, LD.change_check(queue, files, changed_text), path)
 
 
+STRUCTURE_SCHEMA = "upload_id string, header array<string>, row_count long, violation string, multiline boolean, unreadable string"
+
+
 def _structure(spark: SparkSession, checked: DataFrame) -> DataFrame:
     """header, row_count, violation, multiline and unreadable of the unchanged files of ``checked``, by upload."""
     sound = checked.where("file_state = 'UNCHANGED'").select("upload_id", "stored_file_path", "file_path", "file_size_bytes")
-    paths = [r[0] for r in sound.where("file_size_bytes > 0").select("stored_file_path").distinct().collect()]
+    listed = sound.select("stored_file_path", "file_size_bytes").distinct().collect()  # names of the queue's files
+    if not listed:
+        return spark.createDataFrame([], STRUCTURE_SCHEMA)
+    paths = [r[0] for r in listed if r[1]]
     files = sound.select("stored_file_path", "file_path", "file_size_bytes").distinct()
     found = CSV.file_structure(spark, files, paths).select(
         "stored_file_path", "header", "row_count", "violation", "multiline", "unreadable")

@@ -372,29 +372,13 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------- landing on disk ----
 
 WIDE_UPLOADS = ("L1", "L3")
-_LANDING_CACHE: dict[tuple[int, str], str] = {}
+_LANDING_CACHE: dict[tuple[int, str, str], str] = {}
 
 
 def order_landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Write the ``order_lines`` uploads as real CSV files, one per upload,
-    into a fresh folder under the shared checkpoint root, and return the
-    dataset -> folder map. L1 and L3 carry a fifth column ``channel`` (their
-    header differs), so a load sees two header shapes.
-
-    Spark writes the files (each upload's lines in key order, uploads spread
-    over the shuffle partitions); the driver only renames one part file per
-    upload to ``<upload>.csv``. Written once per session and table folder.
-    """
-    from sluice.plans.session import scratch_path
-    from sluice.sources.landing import _fs_path
-
-    key = (id(spark), sf_dir)
-    if key in _LANDING_CACHE:
-        fs, hp = _fs_path(spark, _LANDING_CACHE[key])
-        if fs.exists(hp):
-            return {"orders": _LANDING_CACHE[key]}
-    root = scratch_path(spark, "landing")
-    tmp, final = f"{root}/_write", f"{root}/orders"
+    """The ``order_lines`` uploads as real CSV files, one per upload; returns
+    the dataset -> folder map. L1 and L3 carry a fifth column ``channel``
+    (their header differs), so a load sees two header shapes."""
     lines = order_lines(spark, sf_dir)
     wide = F.col("upload_id").isin(*WIDE_UPLOADS)
     body = lines.select(
@@ -407,8 +391,40 @@ def order_landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         "upload_id", F.lit(-1).cast("long").alias("line_no"),
         F.when(wide, F.lit(base + ",channel")).otherwise(F.lit(base)).alias("line"),
     )
+    return {"orders": _landing_folder(spark, sf_dir, "orders", body.unionByName(headers))}
+
+
+def document_csv(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """``documents`` as four CSV files (doc_id modulo 4): id, language and the
+    text with a quoted remark on a line of its own, as one quoted cell."""
+    d = table(spark, sf_dir, "documents")
+    said = F.concat(F.coalesce("text", F.lit("")), F.lit('\nin "'), F.coalesce("lang", F.lit("")), F.lit('"'))
+    upload = F.concat(F.lit("D"), (F.col("doc_id") % 4).cast("string"))
+    body = d.select(upload.alias("upload_id"), F.col("doc_id").alias("line_no"), F.concat(
+        F.col("doc_id").cast("string"), F.lit(","), F.col("lang"), F.lit(',"'), F.replace(said, F.lit('"'), F.lit('""')), F.lit('"')).alias("line"))
+    headers = d.select(upload.alias("upload_id")).distinct().select(
+        "upload_id", F.lit(-1).cast("long").alias("line_no"), F.lit("doc_id,lang,body").alias("line"))
+    return {"texts": _landing_folder(spark, sf_dir, "texts", body.unionByName(headers))}
+
+
+def _landing_folder(spark: SparkSession, sf_dir: str, dataset: str, lines: DataFrame) -> str:
+    """Write ``lines`` (upload_id, line_no, line) as one file per upload under
+    a fresh folder of the shared checkpoint root, once per session and table
+    folder. Spark writes the files (each upload's lines in order, uploads
+    spread over the shuffle partitions); the driver only renames one part
+    file per upload to ``<upload>.csv``."""
+    from sluice.plans.session import scratch_path
+    from sluice.sources.landing import _fs_path
+
+    key = (id(spark), sf_dir, dataset)
+    if key in _LANDING_CACHE:
+        fs, hp = _fs_path(spark, _LANDING_CACHE[key])
+        if fs.exists(hp):
+            return _LANDING_CACHE[key]
+    root = scratch_path(spark, "landing")
+    tmp, final = f"{root}/_write", f"{root}/{dataset}"
     (
-        body.unionByName(headers)
+        lines
         .repartition("upload_id")
         .sortWithinPartitions("upload_id", "line_no")
         .select("upload_id", "line")
@@ -427,7 +443,56 @@ def order_landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         if len(parts) != 1 or not fs.rename(parts[0].getPath(), jvm.org.apache.hadoop.fs.Path(final_path, f"{upload}.csv")):
             raise OSError(f"Upload {upload} was not written as one file: {len(parts)} parts")
     _LANDING_CACHE[key] = final
-    return {"orders": final}
+    return final
+
+
+def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as the contents of CSV files (doc_id, content), one kind
+    of file for each remainder of doc_id by 8: the text as it is, a sound file
+    with the text as a quoted cell, and one for each rejection."""
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id") % 8
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    return d.select("doc_id", (
+        F.when(k == 1, F.concat(F.lit('Doc ID,"the ""Text"""\r\n'), F.col("doc_id").cast("string"), F.lit(","), quoted, F.lit("\r\n")))
+        .when(k == 2, "").when(k == 3, "id,lang\n").when(k == 4, F.concat(F.lit("\n"), F.col("text")))
+        .when(k == 5, F.concat(F.lit("id;lang\n1;"), F.col("lang"), F.lit("\n")))
+        .when(k == 6, F.concat(F.lit("id,,lang\n1,2,"), quoted))
+        .when(k == 7, F.concat(F.col("text"), F.unhex(F.lit("0AE9")).cast("string")))
+        .otherwise(F.col("text"))).alias("content"))
+
+
+def split_landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Copies of the landing files in two dataset folders: L0 to L3 are
+    ``orders``, the others ``returns``."""
+    from sluice.plans.session import scratch_path
+    from sluice.sources.landing import _fs_path
+
+    source = order_landing(spark, sf_dir)["orders"]
+    root = scratch_path(spark, "landing")
+    dirs = {"orders": f"{root}/orders", "returns": f"{root}/returns"}
+    fs, folder = _fs_path(spark, source)
+    jvm = spark.sparkContext._jvm
+    for d in dirs.values():
+        fs.mkdirs(_fs_path(spark, d)[1])
+    for st in fs.listStatus(folder):
+        name = st.getPath().getName()
+        target = dirs["orders" if name[:2] in ("L0", "L1", "L2", "L3") else "returns"]
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, st.getPath(), fs, _fs_path(spark, f"{target}/{name}")[1], False,
+                                               spark.sparkContext._jsc.hadoopConfiguration())
+    return dirs
+
+
+def make_unreadable(spark: SparkSession, path: str) -> None:
+    """Spoil a file's checksums, as a bad disk would: size and time stay,
+    reading it raises (file systems with checksum files, such as local ones)."""
+    from sluice.sources.landing import _fs_path
+
+    fs, target = _fs_path(spark, path)
+    chunks = -(-fs.getFileStatus(target).getLen() // 512)
+    out = fs.getRawFileSystem().create(fs.getChecksumFile(target), True)
+    out.write(b"crc\x00" + (512).to_bytes(4, "big") + b"\x00" * 4 * chunks)
+    out.close()
 
 
 # Contract of the "orders" landing dataset written by ``order_landing``.

@@ -739,3 +739,67 @@ SELECT g.upload_id,
        CASE WHEN message IS NULL THEN corrupt_row_count ELSE 0 END AS bronze_corrupt_row_count,
        CASE WHEN message IS NULL THEN coalesce(v.silver_rows, 0) ELSE 0 END AS silver_rows
 FROM gated2 g JOIN src s ON s.upload_id = g.upload_id LEFT JOIN sil v ON v.upload_id = g.upload_id"""
+
+# L2 has become unreadable after it was registered: it fails, nothing else does.
+ORACLE["upload_run_failures"] = "WITH " + FILES_CTES + """
+, src AS (SELECT upload_id, count(*) AS source_row_count FROM body GROUP BY 1)
+SELECT g.upload_id, CASE WHEN g.upload_id[1:2] IN ('L0', 'L1', 'L2', 'L3') THEN 'orders' ELSE 'returns' END AS dataset_name,
+       CASE WHEN g.upload_id = 'L2' THEN 'FAILED' WHEN message IS NULL THEN 'PROCESSED' ELSE 'BRONZE_REJECTED' END AS status,
+       CASE WHEN g.upload_id <> 'L2' THEN s.source_row_count END AS source_row_count,
+       CASE WHEN g.upload_id = 'L2' THEN NULL WHEN message IS NULL THEN row_count ELSE 0 END AS bronze_row_count,
+       CASE WHEN g.upload_id = 'L2' THEN NULL WHEN message IS NULL THEN corrupt_row_count ELSE 0 END AS bronze_corrupt_row_count
+FROM gated2 g JOIN src s ON s.upload_id = g.upload_id"""
+
+ORACLE["landing_structure"] = "WITH " + FILES_CTES + """
+SELECT upload_id, (SELECT line FROM hdr h WHERE h.upload_id = body.upload_id) AS header, count(*) AS row_count,
+       false AS multiline, CAST(NULL AS VARCHAR) AS violation
+FROM body GROUP BY upload_id"""
+
+ORACLE["bronze_spanning_records"] = """
+WITH b AS (
+    SELECT 'D' || CAST(doc_id % 4 AS VARCHAR) AS upload_id, coalesce(text, '') || chr(10) || 'in "' || coalesce(lang, '') || '"' AS body FROM documents
+)
+SELECT upload_id, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_corrupt, CAST(sum(length(body)) AS BIGINT) AS n_chars,
+       CAST(sum(CAST('0x' || md5(body)[1:8] AS BIGINT)) AS BIGINT) AS sum_digest
+FROM b GROUP BY 1"""
+
+
+def _structure_sql() -> str:
+    """Records by taking the quoted cells out and counting breaks; the header by a pattern of a first record."""
+    from sluice.functions import messages as M
+
+    text = lambda s: "'" + s.replace("'", "''") + "'"
+    quoted = """'"' || replace(text, '"', '""') || '"' """
+    opened = """'(?s)^"((?:[^"]|"")*)"(.*)$'"""
+    unquoted = f"""CASE WHEN c LIKE '"%' THEN replace(regexp_extract(c, {opened}, 1), '""', '"') || regexp_extract(c, {opened}, 2) ELSE c END"""
+    cell = r'(?:"(?:[^"]|"")*"[^,\r\n]*|[^",\r\n][^,\r\n]*|)'
+    return f'''
+WITH t AS (
+    SELECT doc_id, doc_id % 8 AS k, CASE doc_id % 8
+        WHEN 1 THEN 'Doc ID,"the ""Text"""' || chr(13) || chr(10) || doc_id || ',' || {quoted} || chr(13) || chr(10)
+        WHEN 2 THEN '' WHEN 3 THEN 'id,lang' || chr(10) WHEN 4 THEN chr(10) || text
+        WHEN 5 THEN 'id;lang' || chr(10) || '1;' || lang || chr(10) WHEN 6 THEN 'id,,lang' || chr(10) || '1,2,' || {quoted}
+        ELSE text END AS t
+    FROM documents
+),
+u AS (
+    SELECT *, regexp_replace(t, '(^|[,\r\n])"(?:[^"]|"")*(?:"|$)', '\\1', 'g') AS plain, regexp_extract(t, '^(?:{cell},)*{cell}') AS first FROM t
+),
+r AS (
+    SELECT *, len(regexp_extract_all(plain, '\r\n|\r|\n')) + CASE WHEN regexp_matches(t, '[\r\n]$') THEN 0 ELSE 1 END - 1 AS after,
+        CASE WHEN first = '' THEN [] ELSE regexp_extract_all(',' || first, ',("(?:[^"]|"")*"[^,]*|[^,]*)', 1) END AS cells
+    FROM u
+),
+n AS (
+    SELECT *, list_transform(cells, lambda c: {NORM.format(x=unquoted)}) AS names
+    FROM r
+)
+SELECT doc_id, CASE WHEN k NOT IN (2, 7) AND after > 0 AND len(names) > 0 THEN array_to_string(names, ',') END AS header,
+    CASE WHEN k NOT IN (2, 7) THEN after END AS row_count,
+    CASE WHEN t = '' THEN {text(M.EMPTY_FILE)} WHEN k = 7 THEN {text(M.NOT_UTF8)} WHEN after = 0 THEN {text(M.NO_DATA_ROWS)}
+         WHEN len(names) = 0 THEN {text(M.NO_HEADER)} WHEN len(names) = 1 AND regexp_matches(names[1], '[;\t|]') THEN {text(M.NOT_COMMA_SEPARATED)}
+         WHEN list_contains(names, '') THEN {text(M.BLANK_COLUMN_NAME)} END AS violation
+FROM n'''
+
+
+ORACLE["csv_structure_probe"] = _structure_sql()

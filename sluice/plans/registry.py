@@ -402,7 +402,7 @@ def bronze_outcome(spark, sf_dir):
 
 @register("csv_structure_probe")
 def csv_structure_probe(spark, sf_dir):
-    probed = CSV.text_structure(FX.table(spark, sf_dir, "documents"), "doc_id", "text")
+    probed = CSV.text_structure(FX.csv_texts(spark, sf_dir), "doc_id", "content")
     return probed.select("doc_id", _joined("header"), "row_count", "violation")
 
 
@@ -530,3 +530,53 @@ def upload_run_status(spark, sf_dir):
         "status", "source_row_count", "bronze_row_count", "bronze_corrupt_row_count",
         F.coalesce(F.col("silver_rows"), F.lit(0)).alias("silver_rows"),
     )
+
+
+@register("upload_run_failures")
+def upload_run_failures(spark, sf_dir):
+    """An upload run over two datasets in which one registered file has become
+    unreadable: that upload fails, all others go their way."""
+    import datetime as dt
+
+    from sluice.plans import batch
+    from sluice.plans.session import scratch_path
+
+    dirs = FX.split_landing(spark, sf_dir)
+    store = batch.Store(scratch_path(spark, "store"))
+    contracts = {name: FX.LANDING_CONTRACT for name in dirs}
+    first = dt.datetime(2030, 1, 1)
+    now_c, run_seq, run_dir = batch._run(store, first)
+    batch.register_stage(spark, store, contracts, LD.inventory(spark, dirs, now_c, 0), now_c, run_dir, run_seq * 100)
+    FX.make_unreadable(spark, f"{dirs['orders']}/L2.csv")
+    batch.run_uploads(spark, store, contracts, dirs, first + dt.timedelta(minutes=15), min_age_seconds=0)
+    return batch.current_manifest(spark, store).select(
+        F.regexp_extract("original_file_name", r"^(.*)\.csv$", 1).alias("upload_id"), "dataset_name", "status",
+        "source_row_count", "bronze_row_count", "bronze_corrupt_row_count")
+
+
+@register("landing_structure")
+def landing_structure(spark, sf_dir):
+    """What the structure check says of the landing files."""
+    return _landing_files(spark, sf_dir).select("upload_id", _joined("header"), "row_count", "multiline", "violation")
+
+
+@register("bronze_spanning_records")
+def bronze_spanning_records(spark, sf_dir):
+    """Documents as cells of CSV files, line breaks and quotes included: files
+    whose records span lines, read in splits. Per file the rows and a digest
+    of the cells."""
+    from sluice.plans.session import scratch_path
+
+    files = FX.document_csv(spark, sf_dir)
+    inv = LD.inventory(spark, files, min_age_seconds=0)
+    paths = [r[0] for r in inv.where("file_size_bytes > 0").select("stored_file_path").collect()]
+    out = scratch_path(spark, "probe")
+    CSV.file_structure(spark, inv, paths).select(
+        F.regexp_extract("original_file_name", r"^(.*)\.csv$", 1).alias("upload_id"), "stored_file_path", "file_path",
+        F.col("original_file_name").alias("source_file_name"), "header", "row_count", "multiline").write.parquet(out)
+    rows = BR.stage_uploads(spark, spark.read.parquet(out), scratch_path(spark, "staging"),
+                            F.lit(FX.MANIFEST_NOW).cast("timestamp_ntz"))
+    return rows.groupBy("upload_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("_corrupt_record").alias("n_corrupt"),
+        F.sum(F.length("body")).alias("n_chars"),
+        F.sum(F.conv(F.substring(F.md5(F.encode("body", "UTF-8")), 1, 8), 16, 10).cast("long")).alias("sum_digest"))

@@ -14,13 +14,13 @@ import logging
 from collections.abc import Iterable, Iterator, Mapping
 from urllib.parse import unquote, urlsplit
 
-import pandas as pd
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.plans.ship import ship_package
+from sluice.sources.hashing import hash_in_chunks
 
 logger = logging.getLogger(__name__)
 
@@ -28,9 +28,8 @@ logger = logging.getLogger(__name__)
 MIN_FILE_AGE_SECONDS = 60
 CSV_GLOB = "*.[cC][sS][vV]"
 
-# Files above this many bytes are hashed in chunks of ``CHUNK_BYTES``.
+# Files above this many bytes are hashed in chunks.
 WHOLE_FILE_BYTES = 64 << 20
-CHUNK_BYTES = 8 << 20
 # Fixed value: what one cell of a table can hold.
 _LARGEST_CELL = 2**31 - 1
 
@@ -155,89 +154,57 @@ def inventory_from(listed: DataFrame, dirs: Mapping[str, str], now: Column | Non
     return out
 
 
-def open_for_reading(path: str):
-    """A stream over a file's bytes in an executor: local and mounted files
-    by their path, others through pyarrow's file systems."""
-    parts = urlsplit(path)
-    if parts.scheme in ("", "file"):
-        return open(unquote(parts.path) if parts.scheme else path, "rb")
-    from pyarrow import fs
-
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
-    system, inside = fs.FileSystem.from_uri(parts._replace(scheme=scheme).geturl())
-    return system.open_input_stream(inside)
-
-
-def sha256_of(stream, chunk: int = CHUNK_BYTES) -> str:
-    """SHA-256 of a stream, read in chunks."""
-    digest = hashlib.sha256()
-    while data := stream.read(chunk):
-        digest.update(data)
-    return digest.hexdigest()
-
-
-def _hash_in_chunks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for files in batches:
-        out = []
-        for path, encoded in zip(files["path"], files["file_path"]):
-            try:
-                with open_for_reading(encoded) as stream:
-                    out.append((path, sha256_of(stream), None))
-            except Exception as error:  # of this file: it becomes its row
-                out.append((path, None, f"{type(error).__name__}: {error}"))
-        yield pd.DataFrame(out, columns=["path", "file_hash", "read_error"])
-
-
 def hash_files(spark: SparkSession, files: DataFrame, whole: int = WHOLE_FILE_BYTES) -> DataFrame:
     """``files`` (stored_file_path, file_path, file_size_bytes, ...) with
-    file_hash and read_error, exactly one of them set.
+    file_hash and read_error, exactly one of them set. Files that have a
+    file_hash already keep it, unread.
 
     The paths of the files to hash reach the driver (names, never contents).
     Files in a store that only Spark reads are hashed whole up to what a cell
     can hold; larger ones there need pyarrow to know the store.
     """
-    names = files.select("stored_file_path", "file_path", "file_size_bytes").collect()
+    if "file_hash" not in files.columns:
+        files = files.withColumn("file_hash", F.lit(None).cast("string"))
+    names = files.where("file_hash IS NULL").select("stored_file_path", "file_path", "file_size_bytes").collect()
+    none = F.lit(None).cast("string")
+    if not names:
+        return files.withColumn("read_error", none)
     limit = {r["stored_file_path"]: whole if urlsplit(r["file_path"]).scheme in ("", "file") else _LARGEST_CELL for r in names}
     small = [r["stored_file_path"] for r in names if 0 < r["file_size_bytes"] <= limit[r["stored_file_path"]]]
     large = [(r["stored_file_path"], r["file_path"]) for r in names if r["file_size_bytes"] > limit[r["stored_file_path"]]]
-    empty = [(r["stored_file_path"],) for r in names if r["file_size_bytes"] == 0]
-    hashed = spark.createDataFrame(empty, "path string").select(
-        "path", F.sha2(F.lit(b""), 256).alias("file_hash"), F.lit(None).cast("string").alias("read_error"))
+    found = []
     if small:
         # a file that fails gives no row
-        read = (spark.read.format("binaryFile").option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-                .load(small).select("path", F.sha2("content", 256).alias("file_hash"), F.lit(None).cast("string").alias("read_error")))
-        hashed = hashed.unionByName(read)
+        found.append(spark.read.format("binaryFile").option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+                     .load(small).select("path", F.sha2("content", 256).alias("_hash"), none.alias("read_error")))
     if large:
+        from sluice.plans.ship import ship_package
+
         ship_package(spark)
         listed = spark.createDataFrame(large, "path string, file_path string").repartition(len(large))
-        hashed = hashed.unionByName(listed.mapInPandas(_hash_in_chunks, "path string, file_hash string, read_error string"))
+        found.append(listed.mapInArrow(hash_in_chunks, "path string, _hash string, read_error string"))
+    if not found:
+        found.append(spark.createDataFrame([], "path string, _hash string, read_error string"))
+    hashed = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     out = files.join(hashed.withColumnRenamed("path", "stored_file_path"), "stored_file_path", "left")
-    failed = F.when(F.col("file_hash").isNull(), F.concat(
-        F.lit("The file could not be read: "), F.coalesce("read_error", F.lit("its bytes were not returned")), F.lit(".")))
-    return out.withColumn("read_error", failed)
-
-
-def unchanged(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """The files (stored_file_path, file_size_bytes, modification_time) that a
-    registered upload recorded with this path, size and modification time:
-    (stored_file_path, file_hash). Nothing is read to tell."""
-    known = manifest.where(F.col("file_modified_at").isNotNull()).groupBy("stored_file_path", "file_size_bytes", "file_modified_at").agg(
-        F.min(F.struct("created_at", "upload_id", "file_hash")).alias("_first"))
-    j = files.alias("f").join(known.alias("k"), "stored_file_path")
-    same = (F.col("f.file_size_bytes") == F.col("k.file_size_bytes")) & (F.col("f.modification_time") == F.col("k.file_modified_at"))
-    return j.where(same).select("stored_file_path", F.col("_first.file_hash").alias("file_hash"))
+    empty = F.when(F.col("file_size_bytes") == 0, F.sha2(F.lit(b""), 256))
+    failed = F.concat(F.lit("The file could not be read: "), F.coalesce("read_error", F.lit("its bytes were not returned")), F.lit("."))
+    return out.withColumn("file_hash", F.coalesce("file_hash", "_hash", empty)).drop("_hash").withColumn(
+        "read_error", F.when(F.col("file_hash").isNull(), failed))
 
 
 def with_hashes(spark: SparkSession, files: DataFrame, manifest: DataFrame, rehash: bool = False) -> DataFrame:
-    """``files`` with file_hash and read_error. Files that stand as a
-    registered upload recorded them keep its hash unread, unless ``rehash``."""
+    """``files`` with file_hash and read_error. A file whose path, size and
+    modification time a registered upload recorded keeps that upload's hash
+    unread, unless ``rehash``."""
     if rehash:
         return hash_files(spark, files)
-    known = unchanged(files, manifest)
-    new = files.join(known, "stored_file_path", "left_anti")
-    kept = files.join(known, "stored_file_path").withColumn("read_error", F.lit(None).cast("string"))
-    return kept.unionByName(hash_files(spark, new))
+    known = manifest.where(F.col("file_modified_at").isNotNull()).select(
+        "stored_file_path", "file_size_bytes", F.col("file_modified_at").alias("modification_time"),
+        F.struct("created_at", "upload_id", "file_hash").alias("_upload"))
+    keys = ["stored_file_path", "file_size_bytes", "modification_time"]
+    first = known.groupBy(*keys).agg(F.min("_upload")["file_hash"].alias("file_hash"))
+    return hash_files(spark, files.join(first, keys, "left"))
 
 
 # What the change check hands on about a file.

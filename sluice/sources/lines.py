@@ -26,7 +26,10 @@ _OPENS = rf'^{_CELLS}"{_INSIDE}\z'                 # a line that begins outside
 _STAYS = rf'^{_INSIDE}(?:\z|"[^,]*+,{_CELLS}"{_INSIDE}\z)'  # a line that begins inside ends inside
 _CELL = rf',("{_INSIDE}"?+[^,]*+|[^,]*+)'         # of a record with a comma before it
 
-LINES_SCHEMA = "file string, block long, line string, line_break string, n_bytes long"
+# A line of more bytes is not held in memory: its file counts as unreadable.
+LONGEST_LINE = 128 << 20
+
+LINES_SCHEMA = "file string, block long, line string, line_break string, n_bytes long, utf8 boolean"
 
 
 def _pieces(value: Column) -> Column:
@@ -41,37 +44,40 @@ def _pieces(value: Column) -> Column:
 
 
 def _numbered(raw: DataFrame) -> DataFrame:
-    """Lines with ``id``, which grows along a block (and by one within a task)."""
-    cut = raw.select("file", "block", "n_bytes", F.posexplode(_pieces(F.col("value"))).alias("_i", "_piece"))
+    """Lines with ``id``, which grows along a block (and by one within a task).
+    Bytes are judged (n_bytes, utf8) before a text function sees them."""
+    cut = raw.select("file", "block", "n_bytes", "utf8", F.posexplode(_pieces(F.col("value"))).alias("_i", "_piece"))
     return cut.select(
         "file", "block", F.col("_piece.line").alias("line"), F.col("_piece.line_break").alias("line_break"),
-        F.when(F.col("_i") == 0, F.col("n_bytes")).otherwise(0).alias("n_bytes")).withColumn("id", F.monotonically_increasing_id())
+        F.when(F.col("_i") == 0, F.col("n_bytes")).otherwise(0).alias("n_bytes"), "utf8").withColumn("id", F.monotonically_increasing_id())
 
 
 def file_lines(spark: SparkSession, paths: Sequence[str], keep_going: bool = False) -> DataFrame:
-    """Every line of the files (file, block, line, line_break, n_bytes, id).
+    """Every line of the files (file, block, line, line_break, n_bytes, utf8, id).
 
     ``keep_going``: a file that cannot be read, or not to its end, gives the
     lines before the failure instead of failing the job; the bytes of its
-    lines then fall short of its length, which the caller checks.
+    lines then fall short of its length, which the caller checks. So do those
+    of a file with a line of more than ``LONGEST_LINE`` bytes, which is left out.
     """
     if not paths:
         return spark.createDataFrame([], LINES_SCHEMA).withColumn("id", F.lit(0).cast("long"))
     skip = str(keep_going).lower()
     raw = (spark.read.option("lineSep", "\n").option("ignoreCorruptFiles", skip).option("ignoreMissingFiles", skip)
-           .text(list(paths)))
+           .option("mapreduce.input.linerecordreader.line.maxlength", str(LONGEST_LINE)).text(list(paths)))
     return _numbered(raw.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
-        (F.octet_length("value") + 1).cast("long").alias("n_bytes")))
+        (F.octet_length("value") + 1).cast("long").alias("n_bytes"), F.is_valid_utf8("value").alias("utf8")))
 
 
 def text_lines(texts: DataFrame, key: str, text_col: str) -> DataFrame:
     """The same for texts in a column, each a file of one block named by ``key``."""
     parts = F.split(F.col(text_col), "\n", -1)
     parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    raw = texts.select(F.col(key).alias("file"), F.explode(parts).alias("value"))
+    raw = texts.select(
+        F.col(key).alias("file"), F.octet_length(text_col).alias("_size"), F.is_valid_utf8(text_col).alias("utf8"), F.posexplode(parts).alias("_i", "value"))
     return _numbered(raw.select(
-        "file", F.lit(0).cast("long").alias("block"), "value", (F.octet_length("value") + 1).cast("long").alias("n_bytes")))
+        "file", F.lit(0).cast("long").alias("block"), "value", F.when(F.col("_i") == 0, F.col("_size")).otherwise(0).cast("long").alias("n_bytes"), "utf8"))
 
 
 def _maps(line: Column) -> tuple[Column, Column]:
@@ -91,9 +97,9 @@ def blocks(lines: DataFrame) -> DataFrame:
     """
     begins_out, begins_in = _maps(F.col("line"))
     code = F.when(F.instr("line", '"') > 0, F.col("id") * 4 + begins_out * 2 + begins_in)
-    per_block = lines.select("file", "block", "id", "n_bytes", "line", code.alias("code")).groupBy("file", "block").agg(
+    per_block = lines.select("file", "block", "id", "n_bytes", "utf8", "line", code.alias("code")).groupBy("file", "block").agg(
         F.min("id").alias("_first"), F.count("*").alias("n"), F.sum("n_bytes").alias("n_bytes"),
-        F.every(F.is_valid_utf8("line")).alias("utf8"), F.sort_array(F.collect_list("code")).alias("_codes"),
+        F.every("utf8").alias("utf8"), F.sort_array(F.collect_list("code")).alias("_codes"),
         F.min_by(F.when(F.col("block") == 0, F.col("line")), F.col("id")).alias("first_line"))
 
     zero, never = F.lit(0).cast("long"), F.lit(None).cast("long")

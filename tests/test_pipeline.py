@@ -300,3 +300,74 @@ def test_validate_without_a_contract_raises(spark, tmp_path):
     batch.validate_registered_upload(spark, store, CONTRACTS, uid, NOW)
     batch.load_upload_to_bronze(spark, store, CONTRACTS, uid, NOW)
     assert batch.get_status(spark, store, uid) == S.PROCESSED
+
+
+def test_unreadable_upload_fails_alone(spark, tmp_path):
+    """One file of two datasets cannot be read any more: FAILED, the rest
+    PROCESSED; once it can be read again it is validated and loaded."""
+    from sluice.plans.fixtures import make_unreadable
+
+    land = tmp_path / "landing"
+    for d in CONTRACTS:
+        for i in range(3):
+            _write(str(land / d / f"{d}{i}.csv"), HEADER + f"P{i},A,Active\n" * (i + 1))
+    dirs = {d: str(land / d) for d in CONTRACTS}
+    store = batch.Store(str(tmp_path / "store"))
+    for d in CONTRACTS:
+        for i in range(3):
+            batch.register_uploaded_file(spark, store, CONTRACTS, dirs, str(land / d / f"{d}{i}.csv"), d, NOW)
+    make_unreadable(spark, str(land / "strict" / "strict1.csv"))
+    summary = batch.run_uploads(spark, store, CONTRACTS, dirs, NOW)
+    st = _status(spark, store)
+    bad = st.pop("strict1.csv")
+    assert bad["status"] == S.FAILED and "could not be read to its end" in bad["validation_message"]
+    assert {r["status"] for r in st.values()} == {S.PROCESSED}
+    assert (summary["loaded"], summary["errors"]) == (5, 1)
+
+    os.remove(land / "strict" / ".strict1.csv.crc")
+    again = batch.run_uploads(spark, store, CONTRACTS, dirs, NOW + dt.timedelta(minutes=15))
+    assert (again["validated"], again["loaded"], again["errors"]) == (1, 1, 0)
+
+    # Unreadable from the start: not registered, counted, and tried again next time.
+    _write(str(land / "lenient" / "new.csv"), HEADER + "N1,A,Active\n")
+    make_unreadable(spark, str(land / "lenient" / "new.csv"))
+    third = batch.run_uploads(spark, store, CONTRACTS, dirs, NOW + dt.timedelta(minutes=30))
+    assert (third["registered"], third["errors"]) == (0, 1)
+    os.remove(land / "lenient" / ".new.csv.crc")
+    fourth = batch.run_uploads(spark, store, CONTRACTS, dirs, NOW + dt.timedelta(minutes=45))
+    assert (fourth["registered"], fourth["loaded"], fourth["errors"]) == (1, 1, 0)
+
+
+def test_known_files_are_not_read_again(spark, tmp_path, monkeypatch):
+    from sluice.sources import landing as LD
+
+    c = {"lenient": CONTRACTS["lenient"]}
+    land = tmp_path / "landing"
+    for n in ("a", "b", "c"):
+        _write(str(land / f"{n}.csv"), HEADER + f"{n},A,Active\n")
+    store = batch.Store(str(tmp_path / "store"))
+    read: list[str] = []
+    hash_files = LD.hash_files
+
+    def noted(spark, files, *more):
+        unread = files.where("file_hash IS NULL") if "file_hash" in files.columns else files
+        read.extend(r.stored_file_path.rsplit("/", 1)[1] for r in unread.collect())
+        return hash_files(spark, files, *more)
+
+    monkeypatch.setattr(LD, "hash_files", noted)
+
+    def run(minutes, **more):
+        read.clear()
+        summary = batch.run_uploads(spark, store, c, {"lenient": str(land)}, NOW + dt.timedelta(minutes=minutes), **more)
+        return sorted(read), summary["registered"], summary["errors"]
+
+    assert run(0) == (["a.csv", "b.csv", "c.csv"], 3, 0)  # once each, though three stages check them
+    assert run(15) == ([], 0, 0)
+    _write(str(land / "b.csv"), HEADER + "b,B,Active\n")  # same size, other contents and time
+    os.utime(land / "b.csv", (1_700_000_000, 1_700_000_000))
+    assert run(30) == (["b.csv"], 0, 1)  # CHANGED
+    stat = os.stat(land / "c.csv")
+    _write(str(land / "c.csv"), HEADER + "c,C,Active\n")  # same size and time: seen only by a full hash
+    os.utime(land / "c.csv", ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert run(45) == (["b.csv"], 0, 1)
+    assert run(60, rehash=True) == (["a.csv", "b.csv", "c.csv"], 0, 2)

@@ -27,6 +27,7 @@ CASES = {
     "tab": (b"a\tb\n1\t2\n", ["a\tb"], 1, M.NOT_COMMA_SEPARATED),
     "pipe": (b"a|b\n1|2\n", ["a|b"], 1, M.NOT_COMMA_SEPARATED),
     "not utf-8": ("a,b\nCaf\xe9,1\n".encode("cp1252"), None, None, M.NOT_UTF8),
+    "not utf-8, both breaks": ("a,b\r\nCaf\xe9,1\r\n".encode("cp1252"), None, None, M.NOT_UTF8),
     "byte order mark": (b"\xef\xbb\xbfa,b\n1,2\n", ["a", "b"], 1, None),
     "mark, no last break": (b"\xef\xbb\xbfa,b\n1,2", ["a", "b"], 1, None),
     "quoted line break": (b'a,b\n"x\ny",1\n', ["a", "b"], 1, None),
@@ -145,3 +146,40 @@ def test_check_matches_python_on_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = {r["doc_id"]: (r["row_count"], r["header"]) for r in CSV.text_structure(docs, "doc_id", "text").collect()}
     assert got == {r["doc_id"]: expected(r["text"]) for r in docs.select("doc_id", "text").collect()}
+
+
+def test_file_of_any_size_is_hashed(spark, tmp_path):
+    """A sparse file of more bytes than a cell can hold, beside a small one."""
+    import hashlib
+
+    (tmp_path / "good.csv").write_text("a,b\n1,2\n")
+    size = 2**31 + 5
+    with open(tmp_path / "huge.csv", "wb") as f:
+        f.truncate(size)
+    hashed = {r.original_file_name: r for r in LD.hash_files(spark, LD.inventory(spark, {"d": str(tmp_path)}, min_age_seconds=0)).collect()}
+    digest = hashlib.sha256()
+    for _ in range(size >> 20):
+        digest.update(bytes(1 << 20))
+    digest.update(bytes(size & (1 << 20) - 1))
+    assert (hashed["huge.csv"].file_hash, hashed["huge.csv"].read_error) == (digest.hexdigest(), None)
+    assert hashed["good.csv"].file_hash == hashlib.sha256(b"a,b\n1,2\n").hexdigest()
+
+
+def test_line_too_long_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(LN, "LONGEST_LINE", 1 << 20)
+    (tmp_path / "good.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "long.csv").write_bytes(b"a,b\n" + bytes(20 << 20))
+    got = file_structure(spark, tmp_path)
+    assert "could not be read to its end" in got["long"].unreadable
+    assert (got["good"].unreadable, got["good"].row_count) == (None, 1)
+
+
+def test_chunked_hash_of_files_that_cannot_be_read(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "gone.csv").write_text("a,b\n")
+    files = LD.inventory(spark, {"d": str(tmp_path)}, min_age_seconds=0)
+    rows = spark.createDataFrame(files.collect(), files.schema)
+    os.remove(tmp_path / "gone.csv")
+    got = {r.original_file_name: r for r in LD.hash_files(spark, rows, whole=0).collect()}
+    assert len(got["a b.csv"].file_hash) == 64 and got["a b.csv"].read_error is None
+    assert got["gone.csv"].file_hash is None and "FileNotFoundError" in got["gone.csv"].read_error
