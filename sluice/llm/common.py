@@ -22,7 +22,6 @@ _NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 # Rolling hashes over the ring of 64-bit integers: an odd base has an inverse.
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-_BYTE_VALUE = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PIECE = 1 << 20
 
 
@@ -115,14 +114,36 @@ def window_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base
     return mix64(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word's bytes, in pieces so that temporaries stay small."""
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of every word's bytes, in pieces so that temporaries stay small.
+
+    A word is cut into blocks of eight bytes; each is scrambled with its place
+    and the seed before they are summed, so words of up to eight bytes never
+    collide with one of their length, and no regular sequence of longer ones
+    cancels out. Hashes of different seeds are independent.
+    """
     out = np.empty(len(starts), np.uint64)
+    salt = np.uint64((seed + 1) * 0xA0761D6478BD642F & (1 << 64) - 1)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + _PIECE, side="right")))
-        lo, hi = starts[i], ends[j - 1]
-        out[i:j] = window_hashes(_BYTE_VALUE[raw[lo:hi]], starts[i:j] - lo, ends[i:j] - lo)
+        lo, hi = int(starts[i]), int(ends[j - 1])
+        padded = np.zeros(hi - lo + 8, np.uint8)
+        padded[:hi - lo] = raw[lo:hi]
+        eight = np.ndarray((hi - lo + 1,), "<u8", padded, strides=(1,))
+        begin, size = starts[i:j] - lo, ends[i:j] - starts[i:j]
+        blocks = (size + 7) >> 3
+        first = np.cumsum(blocks) - blocks
+        nth = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+        value = eight[np.repeat(begin, blocks) + 8 * nth].astype(np.uint64, copy=False)
+        left = np.repeat(size, blocks) - 8 * nth
+        short = left < 8
+        value[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
+        nth = nth.astype(np.uint64)
+        nth *= np.uint64(0x9E3779B97F4A7C15)
+        nth += salt
+        value = mix64(value ^ mix64(nth))
+        out[i:j] = mix64(np.add.reduceat(value, first) + size.astype(np.uint64) * (salt | np.uint64(1)))
         i = j
     return out
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from sluice.llm import blocks as B
-from sluice.llm.common import mix64, text_buffer, window_hashes, word_hashes, word_spans
+from sluice.llm.common import text_buffer, window_hashes, word_hashes, word_spans
 
 #: Fixed value: a perfect difference set modulo 21 (every residue but 0 is a difference exactly once).
 PERIOD, COVER = 21, (3, 6, 7, 12, 14)
@@ -58,8 +58,9 @@ class _Block:
         return np.flatnonzero((np.cumsum(change[:-1]) > 0) & (self.left >= self.window))
 
     def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent hashes of the windows at some starts."""
-        return window_hashes(self.hash, at, at + self.window), window_hashes(mix64(self.hash), at, at + self.window, _SECOND)
+        """Two hashes of the windows at some starts, from independent hashes of their words."""
+        second = word_hashes(self.raw, self.starts, self.ends, seed=1)
+        return window_hashes(self.hash, at, at + self.window), window_hashes(second, at, at + self.window, _SECOND)
 
 
 def _distinct(high: np.ndarray, low: np.ndarray | None = None):
