@@ -491,14 +491,63 @@ def processed_uploads(spark: SparkSession, store: Store) -> DataFrame:
     return current_manifest(spark, store).where(F.col("status") == S.PROCESSED).select("upload_id", "dataset_name")
 
 
-def read_bronze(spark: SparkSession, store: Store, dataset: str) -> DataFrame:
+def read_bronze(spark: SparkSession, store: Store, dataset: str, uploads: list[str] | None = None) -> DataFrame:
     """Bronze rows of PROCESSED uploads only (rows of an unrecorded or
-    rejected attempt are never visible); the id list is bounded by uploads."""
-    bronze = spark.read.option("mergeSchema", "true").parquet(store.bronze(dataset))
+    rejected attempt are never visible); the id list is bounded by uploads.
+    ``uploads``: of these uploads, whose folders alone are listed and read."""
+    path = store.bronze(dataset)
+    if uploads is not None:
+        folders = [f"{path}/upload_id={u}" for u in uploads]
+        return spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*folders)
+    bronze = spark.read.option("mergeSchema", "true").parquet(path)
     done = processed_uploads(spark, store).where(F.col("dataset_name") == dataset).select("upload_id")
     return bronze.join(bounded_broadcast(done), "upload_id", "left_semi")
 
 
+def _silver_changes(spark: SparkSession, store: Store, dataset: str, contract: Contract,
+                    processed: DataFrame) -> tuple[list[str], bool]:
+    """The PROCESSED uploads that the last build has not seen, and whether the
+    table must be built from all of them: there is none yet, its contract was
+    another one, or an upload that it holds is not PROCESSED any more."""
+    if not (_exists(spark, store.silver_seen(dataset)) and _exists(spark, store.silver(dataset))):
+        return [], True
+    current = processed.where(F.col("dataset_name") == dataset).select("upload_id", F.lit(str(contract)).alias("contract"))
+    seen = spark.read.schema("upload_id string, contract string").parquet(store.silver_seen(dataset)).withColumn("_seen", F.lit(True))
+    both = current.withColumn("_current", F.lit(True)).join(seen, ["upload_id", "contract"], "full_outer")
+    changed = both.where("_seen IS NULL OR _current IS NULL").select("upload_id", "_seen").collect()  # of the change only
+    return [r["upload_id"] for r in changed if not r["_seen"]], any(r["_seen"] for r in changed)
+
+
+def _silver_counts(metrics: dict, before: int, after: int) -> dict:
+    return {
+        "bronze_rows": metrics["bronze_rows"],
+        "dropped_corrupt_or_keyless": metrics["bronze_rows"] - metrics["keyed_rows"],
+        "deduplicated_away": before + metrics["keyed_rows"] - after,
+        "silver_rows": after,
+    }
+
+
+def _build_silver(spark: SparkSession, store: Store, dataset: str, contract: Contract, now: _dt.datetime,
+                  new: list[str], full: bool) -> dict:
+    """Build one dataset's silver table from all its uploads, or add the new
+    ones to it; either way the table is replaced whole."""
+    before = 0
+    obs = Observation(f"silver_{dataset}_{_append_seq()}")
+    if full:
+        bronze = read_bronze(spark, store, dataset)
+        err = SV.drift_error(dataset, bronze.columns, contract)
+        if err:
+            raise ValueError(err)
+        silver = SV.build_silver(bronze, contract, F.lit(now), observation=obs)
+    else:
+        old = spark.read.parquet(store.silver(dataset))
+        before = old.count()
+        added = SV.build_silver(read_bronze(spark, store, dataset, new), contract, F.lit(now), observation=obs)
+        silver = SV.merge_silver(old, added, contract, F.lit(now))
+    rows = replace_table(spark, silver, store.silver(dataset)).count()
+    return {"dataset": dataset, "incremental": not full, **_silver_counts(obs.get, before, rows)}
+
+
 def run_silver(
     spark: SparkSession,
     store: Store,
@@ -506,39 +555,27 @@ def run_silver(
     now: _dt.datetime,
     force: bool = False,
 ) -> list[dict]:
-    """Rebuild each dataset's silver table; skip unchanged ones; a failing
-    dataset is recorded and the rest continue."""
+    """Bring each dataset's silver table up to date; skip unchanged ones; a
+    failing dataset is recorded and the rest continue.
+
+    What changed is told by upload ids: uploads that the manifest calls
+    PROCESSED against those of the last build. New uploads are added to the
+    table (only their rows are read); ``force``, a lost upload or another
+    contract builds it from all uploads. Counters are of the rows read."""
     out = []
+    processed = persist(spark, processed_uploads(spark, store), f"{store.run_dir(event_seq(now) // 100)}/processed")
     for dataset, contract in contracts.items():
         try:
             if not _exists(spark, store.bronze(dataset)):
                 raise ValueError(f"Bronze table for '{dataset}' does not exist: {store.bronze(dataset)}")
-            bronze = read_bronze(spark, store, dataset)
-            if not force and _exists(spark, store.silver_seen(dataset)):
-                # Rebuild when the set of PROCESSED uploads changed either way
-                # (new ones, or ones reset since the last build).
-                seen = spark.read.parquet(store.silver_seen(dataset))
-                current = bronze.select("upload_id").distinct()
-                new = current.join(seen, "upload_id", "left_anti")
-                gone = seen.join(current, "upload_id", "left_anti")
-                if new.limit(1).count() == 0 and gone.limit(1).count() == 0:
-                    out.append({"dataset": dataset, "skipped": True})
-                    continue
-            err = SV.drift_error(dataset, bronze.columns, contract)
-            if err:
-                raise ValueError(err)
-            obs = Observation(f"silver_{dataset}")
-            silver = SV.build_silver(bronze, contract, F.lit(now), observation=obs)
-            silver_rows = replace_table(spark, silver, store.silver(dataset)).count()
-            metrics = obs.get
-            bronze.select("upload_id").distinct().write.mode("overwrite").parquet(store.silver_seen(dataset))
-            out.append({
-                "dataset": dataset,
-                "bronze_rows": metrics["bronze_rows"],
-                "dropped_corrupt_or_keyless": metrics["bronze_rows"] - metrics["keyed_rows"],
-                "deduplicated_away": metrics["keyed_rows"] - silver_rows,
-                "silver_rows": silver_rows,
-            })
+            new, full = _silver_changes(spark, store, dataset, contract, processed)
+            if not (force or full or new):
+                out.append({"dataset": dataset, "skipped": True})
+                continue
+            counts = _build_silver(spark, store, dataset, contract, now, new, force or full)
+            seen = processed.where(F.col("dataset_name") == dataset).select("upload_id", F.lit(str(contract)).alias("contract"))
+            seen.coalesce(1).write.mode("overwrite").parquet(store.silver_seen(dataset))
+            out.append(counts)
         except Exception as error:  # isolate datasets from each other
             logger.exception("Silver build failed for %s", dataset)
             out.append({"dataset": dataset, "error": str(error)[:500]})

@@ -105,6 +105,8 @@ ORACLE["silver_build"] = (
     + f"\nSELECT {SILVER_OUT}, upload_id, CAST(ingested_at AS VARCHAR) AS ingested_at FROM silver"
 )
 
+ORACLE["silver_incremental"] = ORACLE["silver_build"]
+
 ORACLE["silver_optional_nulls"] = (
     _with(BRONZE_ORDERS, TYPED_ORDERS, SILVER_ORDERS)
     + """

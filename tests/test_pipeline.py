@@ -371,3 +371,45 @@ def test_known_files_are_not_read_again(spark, tmp_path, monkeypatch):
     os.utime(land / "c.csv", ns=(stat.st_atime_ns, stat.st_mtime_ns))
     assert run(45) == (["b.csv"], 0, 1)
     assert run(60, rehash=True) == (["a.csv", "b.csv", "c.csv"], 0, 2)
+
+
+def test_silver_takes_up_new_uploads_only(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from sluice.operators import manifest as MF
+
+    c = {"lenient": CONTRACTS["lenient"]}
+    land = tmp_path / "landing"
+    _write(str(land / "a.csv"), HEADER + "P1,A,Active\nP2,B,Active\n")
+    store = batch.Store(str(tmp_path / "store"))
+    wanted: list = []
+    read_bronze = batch.read_bronze
+    monkeypatch.setattr(batch, "read_bronze", lambda s, st, d, uploads=None: wanted.append(uploads) or read_bronze(s, st, d, uploads))
+
+    def run(hours, **more):
+        wanted.clear()
+        now = NOW + dt.timedelta(hours=hours)
+        batch.run_uploads(spark, store, c, {"lenient": str(land)}, now)
+        out = batch.run_silver(spark, store, more.pop("contracts", c), now, **more)[0]
+        names = {r.project_id: r.project_name for r in spark.read.parquet(store.silver("lenient")).collect()}
+        return out, names
+
+    assert run(0)[0]["incremental"] is False
+    _write(str(land / "b.csv"), HEADER + "P2,Newer,Closed\nP3,C,Active\n,keyless,x\n")
+    out, names = run(1)
+    b = batch.current_manifest(spark, store).where("original_file_name = 'b.csv'").first().upload_id
+    assert wanted == [[b]]  # the earlier upload is not read
+    assert names == {"P1": "A", "P2": "Newer", "P3": "C"}
+    assert out == {"dataset": "lenient", "incremental": True, "bronze_rows": 3, "dropped_corrupt_or_keyless": 1, "deduplicated_away": 1, "silver_rows": 3}
+    assert run(2)[0] == {"dataset": "lenient", "skipped": True}
+
+    full, same = run(3, force=True)
+    assert full["incremental"] is False and same == names
+    # An upload that is no longer PROCESSED leaves the table; another contract builds it anew.
+    now = NOW + dt.timedelta(hours=4)
+    batch.append_events(MF.manual_update(spark, [b], {"status": S.REJECTED}), store, batch.event_seq(now), F.lit(now))
+    out, names = run(4)
+    assert out["incremental"] is False and names == {"P1": "A", "P2": "B"}
+    other = {"lenient": Contract(("project_id",), (*COLS, ColumnSpec("project_region", "string")))}
+    out, names = run(5, contracts=other)
+    assert out["incremental"] is False and "project_region" in spark.read.parquet(store.silver("lenient")).columns
