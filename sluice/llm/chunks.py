@@ -9,6 +9,8 @@ it) is coded alone. Any other text is cut by its caller's general path.
 
 from __future__ import annotations
 
+from operator import itemgetter
+
 #: White space for str.split but not for the pattern.
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -24,6 +26,10 @@ def simple_pieces(text: str) -> list[str] | None:
     return text.split(" ")
 
 
+def _values(codes: dict[str, bytes], pieces: list[str]):
+    return itemgetter(*pieces)(codes) if len(pieces) > 1 else [codes[w] for w in pieces]
+
+
 class PieceCodes:
     """Codes of pieces seen lately, as bytes of little-endian 32-bit ids.
 
@@ -47,12 +53,13 @@ class PieceCodes:
             self._old = self._first, self._later
             self._first, self._later = {}, {}
         first, later, old = self._first, self._later, self._old
-        unseen = [p[0] for p in texts if p and p[0] not in first], [w for p in texts for w in p[1:] if w not in later]
+        tails = [p[1:] for p in texts]
+        unseen = {p[0] for p in texts if p}.difference(first), set().union(*tails).difference(later)
         todo, composed = [], []
         for kept, before, pieces in zip((first, later), old, unseen):
-            pieces = set(pieces)
-            kept.update((w, before[w]) for w in pieces if w in before)
-            pieces = {w for w in pieces if w not in before}
+            again = pieces.intersection(before)
+            kept.update((w, before[w]) for w in again)
+            pieces = pieces - again
             marked = [w for w in pieces if w[-1:] in self._marks and w[-2:-1].isalnum()]
             composed.append(marked)
             pieces.difference_update(marked)
@@ -63,7 +70,7 @@ class PieceCodes:
         later.update(zip(todo[1], codes[len(todo[0]):]))
         for kept, marked in zip((first, later), composed):
             kept.update((w, kept[w[:-1]] + self._marks[w[-1]]) for w in marked)
-        out = [first[p[0]] + b"".join(map(later.__getitem__, p[1:])) if p else b"" for p in texts]
+        out = [first[p[0]] + b"".join(_values(later, tail)) if p else b"" for p, tail in zip(texts, tails)]
         for kept, pieces in zip((first, later, first, later), (*todo, *composed)):
             for w in pieces:
                 if len(w) > self._longest:

@@ -106,8 +106,7 @@ def _tokenizer(content: bytes):
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_buffer(content)
-        tok.encode_special_tokens = True
-
+        added = tuple(t.content for t in tok.get_added_tokens_decoder().values())
         lengths = np.zeros(tok.get_vocab_size(), np.int64)  # bytes of each token: its characters stand for one byte each
         for token, i in tok.get_vocab().items():
             lengths[i] = len(token)
@@ -129,15 +128,17 @@ def _tokenizer(content: bytes):
             return out
 
         _LOADED.clear()
-        _LOADED[key] = whole, PieceCodes(pieces)
+        _LOADED[key] = whole, PieceCodes(pieces), added
     return _LOADED[key]
 
 
 def _encode_texts(texts: list[str], content: bytes) -> list[np.ndarray]:
-    whole, pieces = _tokenizer(content)
+    """The ids of each text as the library gives them; texts that hold the
+    string of an added token are left to it whole, as it codes that string by itself."""
+    whole, pieces, added = _tokenizer(content)
     out = []
     for i, j in groups(texts):
-        cut = [simple_pieces(t) for t in texts[i:j]]
+        cut = [None if any(a in t for a in added) else simple_pieces(t) for t in texts[i:j]]
         for text, p, c in zip(texts[i:j], cut, pieces.code([p or [] for p in cut])):
             out.append(np.frombuffer(c if p is not None else whole([text])[0], "<i4"))
     return out

@@ -30,7 +30,7 @@ def texts(seed=3, n=60):
     for i in range(n):
         t = " ".join(rng.choice(words) + str(rng.randrange(40)) for _ in range(rng.randrange(1, 90)))
         out.append(t + ("\n" + passage + " " + t[:20] if i % 4 == 0 else ""))
-    out += [out[7], out[7], out[12] + "  end", "word " * 3000]
+    out += [out[7], out[7], out[12] + "  end", "word " * 3000, "a <|endoftext|> b", "<|endoftext|>", "x, <|endoftext|>. y <|endofte xt|>"]
     return out
 
 
@@ -93,7 +93,7 @@ def test_token_codes(spark, docs, empty):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
+    assert tok.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
     path = scratch_path(spark, "codes")
     token_codes.write_tokens(docs, path, P.path("byte_bpe_50k.json"), end_id=2, shard_tokens=500)
     rows = sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id))
