@@ -34,16 +34,14 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near-duplicates. Rows that
-    repeat this id are near-duplicates of it too unless their texts are far
-    apart: of rows with one id and fingerprint one stays. Rows with a null id stay."""
-    kept = simhash.near_duplicates(docs, shingle=4, max_bits=4).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
-    alone = docs.join(kept, F.col("doc_id") == F.col("_id"))
-    once = alone.where("_rows = 1").select(*docs.columns)
-    repeated = alone.where("_rows > 1").select(*docs.columns)
-    one = simhash.fingerprints(repeated).dropDuplicates(["doc_id", "fingerprint"]).select(*docs.columns)
-    return once.unionByName(one).unionByName(docs.where("doc_id IS NULL"))
+    """One row of each group of near-duplicates: that of the least id, null
+    ids last; of rows that share it, one. Rows are told apart by a number of
+    their own, so repeated and null ids are documents like any other."""
+    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
+    found = simhash.near_duplicates(rows.select(place.alias("doc_id"), "text"), shingle=4, max_bits=4)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id.__row")
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
