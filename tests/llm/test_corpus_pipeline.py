@@ -31,6 +31,16 @@ def test_empty_and_odd_rows(spark):
         data.count()
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(None, a, "en", "s", 1), (None, a, "en", "t", 1), (None, b, "en", "s", 1), (7, b, "en", "s", 1),
+            (5, c, "en", "s", 1), (5, c, "en", "s", 1), (5, a + " z", "en", "s", 1), (9, None, None, None, None), (8, "", None, None, None)]
+    kept = C.drop_near_duplicates(spark, spark.createDataFrame(rows, docs.schema), "").collect()
+    # a: the row with an id, near to the two without one; b: likewise; c: one of two equal rows; one of the empty texts
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(5, a + " z"), (7, b), (5, c), (8, "")])
+
+
+@pytest.mark.parametrize("n", range(1, 14))
 def test_registered(n):
     assert sum(k.startswith(f"op{n}_") for k in E.queries()) == 1
