@@ -15,7 +15,7 @@ work queue that emit new events; nothing loops over uploads on the driver.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,6 +124,15 @@ def work_queue(manifest: DataFrame, statuses: Sequence[str]) -> DataFrame:
     return manifest.where(F.col("status").isin(*statuses)).orderBy("created_at", "upload_id")
 
 
+def work_queues(manifest: DataFrame, stages: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The uploads that wait for each of several stages (``stage`` -> the
+    statuses it takes), each stage's oldest first: one scan, one sort."""
+    rules = F.array(*[F.struct(F.lit(i).alias("_place"), F.lit(name).alias("stage"), F.col("status").isin(*statuses).alias("_waits"))
+                      for i, (name, statuses) in enumerate(stages.items())])
+    waiting = manifest.select("*", F.inline(rules)).where("_waits")
+    return waiting.orderBy("_place", "created_at", "upload_id").drop("_place", "_waits")
+
+
 def _ts(now) -> Column:
     if isinstance(now, Column):
         return now
@@ -284,14 +293,6 @@ def registration_events(decisions: DataFrame, now, uploaded_by: Column | None =
     )
 
 
-def status_event(df: DataFrame, status: Column | str, message: Column | None = None) -> DataFrame:
-    """Sparse event setting a status (and optionally a capped message)."""
-    cols = [F.col("upload_id"), (F.lit(status) if isinstance(status, str) else status).alias("status")]
-    if message is not None:
-        cols.append(cap_message(message).alias("validation_message"))
-    return df.select(*cols)
-
-
 def to_column(value) -> Column:
     """A Python value as a typed manifest column: lists become
     ``array<string>``, text is capped, anything else a literal."""

@@ -23,10 +23,10 @@ def status_health(manifest: DataFrame) -> DataFrame:
 
 
 def unfinished_uploads(manifest: DataFrame) -> DataFrame:
-    """Everything not PROCESSED or DUPLICATE (caller sorts newest first)."""
+    """Everything not PROCESSED or DUPLICATE, newest first."""
     return manifest.where(~F.col("status").isin(S.PROCESSED, S.DUPLICATE)).select(
         "upload_id", "original_file_name", "status", "validation_message", "uploaded_by", "updated_at"
-    )
+    ).orderBy(F.desc("updated_at"), "upload_id")
 
 
 def row_reconciliation(manifest: DataFrame) -> DataFrame:

@@ -123,30 +123,33 @@ def drift_guard(bronze_columns: DataFrame, rules: DataFrame) -> DataFrame:
     """Per dataset: required contract columns absent from bronze.
 
     ``bronze_columns``: (dataset_name, column_name) rows, e.g. the exploded
-    headers of every loaded upload. The column union is an aggregate per
-    dataset (bounded by the width of the files, not their length).
+    headers of every loaded upload. They are made distinct first, so what is
+    gathered per dataset is its column names (bounded by the width of the
+    files, not their number); what is required and not among them is an anti
+    join.
     """
-    names = rules.select("dataset_name")
-    available = (
-        bronze_columns.join(F.broadcast(names), "dataset_name", "left_semi")
-        .groupBy("dataset_name")
-        .agg(F.array_sort(F.collect_set("column_name")).alias("available_columns"))
-    )
-    # One row per configured dataset on both sides: broadcast is config-bounded.
-    joined = rules.join(F.broadcast(available), "dataset_name", "left")
-    avail = F.coalesce(F.col("available_columns"), F.array().cast("array<string>"))
-    missing = F.array_sort(F.array_except(F.col("required_columns"), avail))
-    return joined.select(
-        "dataset_name",
-        missing.alias("required_missing"),
-        avail.alias("available_columns"),
-        F.when(
-            F.size(missing) > 0,
-            F.concat(
-                F.lit("The contract for '"), F.col("dataset_name"),
-                F.lit("' requires columns that do not exist in bronze: "),
-                F.array_join(missing, ", "),
-                F.lit(". Bronze currently has: "), F.array_join(avail, ", "),
-            ),
-        ).alias("drift_message"),
-    )
+    names = bronze_columns.select("dataset_name", "column_name").distinct()
+    required = rules.select("dataset_name", F.explode("required_columns").alias("column_name"))
+    absent = required.join(names, ["dataset_name", "column_name"], "left_anti")
+    none = F.array().cast("array<string>")
+
+    def listed(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("dataset_name").agg(F.array_sort(F.collect_list("column_name")).alias(name))
+
+    # One row per configured dataset on all sides: broadcast is config-bounded.
+    known = listed(names.join(F.broadcast(rules.select("dataset_name")), "dataset_name", "left_semi"), "available_columns")
+    out = rules.select("dataset_name").join(F.broadcast(listed(absent, "required_missing")), "dataset_name", "left").join(
+        F.broadcast(known), "dataset_name", "left")
+    out = out.select("dataset_name", F.coalesce("required_missing", none).alias("required_missing"),
+                     F.coalesce("available_columns", none).alias("available_columns"))
+    return out.withColumn("drift_message", F.when(F.size("required_missing") > 0, F.concat(
+        F.lit("The contract for '"), F.col("dataset_name"),
+        F.lit("' requires columns that do not exist in bronze: "), F.array_join("required_missing", ", "),
+        F.lit(". Bronze currently has: "), F.array_join("available_columns", ", "))))
+
+
+def drift_message(bronze: DataFrame, dataset: str, contract: Contract) -> str | None:
+    """The drift guard's message for one bronze table, or None."""
+    spark = bronze.sparkSession
+    columns = spark.createDataFrame([(dataset, c) for c in bronze.columns], "dataset_name string, column_name string")
+    return drift_guard(columns, contracts_frame(spark, {dataset: contract})).first()["drift_message"]

@@ -534,15 +534,11 @@ def _build_silver(spark: SparkSession, store: Store, dataset: str, contract: Con
     before = 0
     obs = Observation(f"silver_{dataset}_{_append_seq()}")
     if full:
-        bronze = read_bronze(spark, store, dataset)
-        err = SV.drift_error(dataset, bronze.columns, contract)
-        if err:
-            raise ValueError(err)
-        silver = SV.build_silver(bronze, contract, F.lit(now), observation=obs)
+        silver = SV.build_silver(read_bronze(spark, store, dataset), contract, F.lit(now), observation=obs, dataset=dataset)
     else:
         old = spark.read.parquet(store.silver(dataset))
         before = old.count()
-        added = SV.build_silver(read_bronze(spark, store, dataset, new), contract, F.lit(now), observation=obs)
+        added = SV.build_silver(read_bronze(spark, store, dataset, new), contract, F.lit(now), observation=obs, dataset=dataset)
         silver = SV.merge_silver(old, added, contract, F.lit(now))
     rows = replace_table(spark, silver, store.silver(dataset)).count()
     return {"dataset": dataset, "incremental": not full, **_silver_counts(obs.get, before, rows)}

@@ -216,24 +216,33 @@ def _list(items) -> str:
     return "[" + ", ".join("'" + s + "'" for s in items) + "]::VARCHAR[]"
 
 
-def _rules_values(contracts, with_base: bool) -> str:
-    from sluice.plans.fixtures import HEADER_DATASETS
+# Expected values, written out: dataset, columns as declared (optional ones
+# end in ?), whether unexpected columns are rejected.
+HEADER_RULES = (
+    ("projects", "project_code project_name status planned_start_date planned_end_date actual_start_date actual_end_date", False),
+    ("contracts", "contract_code contract_name vendor_name total_contract_value start_date end_date", False),
+    ("applications", "application_code application_name lifecycle_status", False),
+    ("application_project_map", "application_code project_code asserted_by? asserted_at? notes?", False),
+    ("strict", "project_id project_name project_status start_date? end_date?", True),
+    ("lenient", "project_id project_name project_status start_date? end_date?", False),
+)
+# The same contracts once two of them require a column that no file has.
+DRIFT_RULES = tuple(
+    (name, columns + " reviewed_by" if name in ("contracts", "strict") else columns, reject) for name, columns, reject in HEADER_RULES)
+
 
+def _rules_values(rules, with_base: bool) -> str:
     rows = []
-    for i, name in enumerate(HEADER_DATASETS):
-        c = contracts[name]
-        parts = [f"'{name}'", str(i)]
-        if with_base:
-            parts.append(_list([s.name for s in c.columns]))
-        parts += [_list(sorted(c.required)), _list(sorted(c.allowed)), "TRUE" if c.reject_unexpected else "FALSE"]
+    for i, (name, columns, reject) in enumerate(rules):
+        names = columns.replace("?", "").split()
+        required = [c for c in columns.split() if not c.endswith("?")]
+        parts = [f"'{name}'", str(i), *([_list(names)] if with_base else []), _list(sorted(required)), _list(sorted(names)), str(reject).upper()]
         rows.append("(" + ", ".join(parts) + ")")
     return ",\n        ".join(rows)
 
 
 def _header_ctes() -> str:
-    from sluice.plans.fixtures import validation_contracts
-
-    values = _rules_values(validation_contracts(), with_base=True)
+    values = _rules_values(HEADER_RULES, with_base=True)
     return f"""
 rules(dataset_name, ds_idx, base, required_columns, allowed_columns, reject_unexpected) AS (
     VALUES {values}
@@ -313,9 +322,7 @@ FROM outcome WHERE len(unexpected_columns) > 0 GROUP BY 1, 2"""
 
 
 def _drift_sql() -> str:
-    from sluice.plans.fixtures import drift_contracts
-
-    values = _rules_values(drift_contracts(), with_base=False)
+    values = _rules_values(DRIFT_RULES, with_base=False)
     return "WITH " + _header_ctes() + f""",
 drift_rules(dataset_name, ds_idx, required_columns, allowed_columns, reject_unexpected) AS (
     VALUES {values}
@@ -707,22 +714,35 @@ FROM (SELECT dataset_name, unnest(unexpected_columns) AS column_name FROM outcom
 GROUP BY 1, 2"""
 
 
-def _contract_schema_sql() -> str:
-    from sluice.plans.fixtures import HEADER_DATASETS, validation_contracts
+# Expected values, written out: the silver columns of every dataset before its
+# lineage; a type stands for a value with its text and validity beside it.
+SILVER_COLUMNS = {
+    "projects": "project_code project_name status planned_start_date:date planned_end_date:date actual_start_date:date actual_end_date:date",
+    "contracts": "contract_code contract_name vendor_name total_contract_value:decimal(18,2) start_date:date end_date:date",
+    "applications": "application_code application_name lifecycle_status",
+    "application_project_map": "application_code project_code asserted_by asserted_at:date notes",
+    "strict": "project_id project_name project_status start_date:date end_date:date",
+    "lenient": "project_id project_name project_status start_date:date end_date:date",
+}
+LINEAGE = "upload_id:string ingested_at:timestamp silver_processed_at:timestamp"
+
 
-    contracts = validation_contracts()
+def _contract_schema_sql() -> str:
     rows = []
-    for name in HEADER_DATASETS:
-        for i, f in enumerate(contracts[name].silver_schema().fields):
-            rows.append(f"('{name}', {i}, '{f.name}', '{f.dataType.simpleString()}')")
+    for dataset, columns in SILVER_COLUMNS.items():
+        fields: list[tuple[str, str]] = []
+        for name, _, kind in (c.partition(":") for c in columns.split()):
+            fields += [(name, kind), (f"{name}_raw", "string"), (f"{name}_is_valid", "boolean")] if kind else [(name, "string")]
+        fields += [tuple(c.split(":")) for c in LINEAGE.split()]
+        rows += [f"('{dataset}', {i}, '{name}', '{kind}')" for i, (name, kind) in enumerate(fields)]
     values = ",\n        ".join(rows)
-    names = ", ".join(f"'{n}'" for n in HEADER_DATASETS)
+    names = ", ".join(f"'{n}'" for n in SILVER_COLUMNS)
     return f"""
 WITH cols(dataset_name, ordinal, column_name, data_type) AS (
     VALUES {values}
 ),
 uploads AS (
-    SELECT ([{names}])[c_custkey % {len(HEADER_DATASETS)} + 1] AS dataset_name, count(*) AS n_uploads
+    SELECT ([{names}])[c_custkey % {len(SILVER_COLUMNS)} + 1] AS dataset_name, count(*) AS n_uploads
     FROM customer GROUP BY 1
 )
 SELECT c.dataset_name, CAST(c.ordinal AS INTEGER) AS ordinal, c.column_name, c.data_type, u.n_uploads

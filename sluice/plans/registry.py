@@ -255,9 +255,8 @@ def manifest_lookup(spark, sf_dir):
 @register("work_queue")
 def work_queue(spark, sf_dir):
     m = FX.manifest_state(spark, sf_dir)
-    v = MF.work_queue(m, S.CLAIMABLE_FOR_VALIDATION).select(F.lit("validate").alias("stage"), "*")
-    b = MF.work_queue(m, S.CLAIMABLE_FOR_BRONZE).select(F.lit("bronze").alias("stage"), "*")
-    return v.unionByName(b).select("stage", "upload_id", "status", _ts_text("created_at"))
+    stages = {"validate": S.CLAIMABLE_FOR_VALIDATION, "bronze": S.CLAIMABLE_FOR_BRONZE}
+    return MF.work_queues(m, stages).select("stage", "upload_id", "status", _ts_text("created_at"))
 
 
 @register("claim_transition")
@@ -283,7 +282,7 @@ def status_health(spark, sf_dir):
 @register("unfinished_uploads")
 def unfinished_uploads(spark, sf_dir):
     out = Q.unfinished_uploads(FX.manifest_state(spark, sf_dir))
-    return out.orderBy(F.col("updated_at").desc()).select(
+    return out.select(
         "upload_id", "original_file_name", "status", "validation_message", "uploaded_by", _ts_text("updated_at"))
 
 
