@@ -104,6 +104,32 @@ def fold(events: DataFrame) -> DataFrame:
     return events.groupBy("upload_id").agg(*aggs)
 
 
+def state_of(events: DataFrame) -> DataFrame:
+    """What some events say, in a form that can be merged with what others
+    say: per upload and column the newest set value with its seq, and the
+    bounds of the event times."""
+    newest = [F.max(F.when(F.col(c).isNotNull(), F.struct("seq", F.col(c).alias("value")))).alias(c)
+              for c in VALUE_COLUMNS if c in events.columns]
+    return events.groupBy("upload_id").agg(
+        *newest, F.min("created_at").alias("created_at"), F.min("event_at").alias("first_at"), F.max("event_at").alias("updated_at"),
+        F.count(F.lit(1)).alias("n_events"))
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state from several of disjoint events (any order): every part is a maximum, minimum or sum."""
+    newest = [F.max(c).alias(c) for c in VALUE_COLUMNS if c in states.columns]
+    return states.groupBy("upload_id").agg(
+        *newest, F.min("created_at").alias("created_at"), F.min("first_at").alias("first_at"), F.max("updated_at").alias("updated_at"),
+        F.sum("n_events").alias("n_events"))
+
+
+def manifest_of(state: DataFrame) -> DataFrame:
+    """The manifest that a state stands for: equals ``fold`` of its events."""
+    return state.select(
+        "upload_id", *[F.col(c)["value"].alias(c) for c in VALUE_COLUMNS if c in state.columns],
+        F.coalesce("created_at", "first_at").alias("created_at"), "updated_at", "n_events")
+
+
 def lookup(manifest: DataFrame, requests: DataFrame, id_col: str = "upload_id") -> DataFrame:
     """Resolve requested upload ids; unknown ids are flagged with the error
     text instead of failing (the caller decides before any change)."""

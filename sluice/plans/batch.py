@@ -38,14 +38,30 @@ logger = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class Store:
-    """Where every table of the engine lives (Parquet folders)."""
+    """Where every table of the engine lives (Parquet folders).
+
+    ``database``: silver and link tables are also named in this database of
+    Spark's catalog: every build writes a table of its own, and a view is then
+    replaced to name it, so readers of the view see the old table until the
+    new one is whole. ``strict``: the manifest must have been set up
+    (``create_manifest``); without, the first run does it.
+    ``incremental_manifest``: the manifest is kept by a stream over its events
+    (``sluice.streaming.manifest_state``) instead of folding all of them.
+    """
 
     root: str
+    database: str | None = None
+    strict: bool = False
+    incremental_manifest: bool = False
 
     @property
     def manifest_events(self) -> str:
         return f"{self.root}/manifest_events"
 
+    @property
+    def manifest_state(self) -> str:
+        return f"{self.root}/manifest_state"
+
     def bronze(self, dataset: str) -> str:
         return f"{self.root}/bronze/{dataset}"
 
@@ -61,6 +77,12 @@ class Store:
     def run_dir(self, run_seq: int) -> str:
         return f"{self.root}/_runs/{run_seq}"
 
+    def view(self, path: str) -> str | None:
+        """The name of a table's view in the catalog."""
+        if not self.database:
+            return None
+        return f"{self.database}.{path.removeprefix(self.root + '/').replace('/', '_')}"
+
 
 def persist(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate result to shared storage and continue from the
@@ -70,41 +92,95 @@ def persist(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path``: the new one is written whole beside it
-    first, so a build that fails leaves the old one as it was; the one replaced
-    is kept until the next replacement."""
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, there = LD._fs_path(spark, source)
+    if not fs.rename(there, LD._fs_path(spark, target)[1]):
+        raise OSError(f"Could not rename {source} to {target}")
+
+
+def _recover(spark: SparkSession, path: str) -> None:
+    """Put the replaced table back where a replacement was broken off between its two renames."""
+    if not _exists(spark, path) and _exists(spark, f"{path}__previous"):
+        _rename(spark, f"{path}__previous", path)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str, view: str | None = None) -> DataFrame:
+    """Replace the table at ``path``, or what ``view`` names. The new one is
+    written whole beside the old one first, so a build that fails leaves that
+    as it was; the one replaced is kept until the next replacement.
+
+    Folders change places by two renames, and ``read_table`` puts the old one
+    back if only the first was made. A view is replaced in one step, without
+    any rename."""
+    if view:
+        name = f"{view}__{_append_seq()}"
+        older = sorted(t.name for t in spark.catalog.listTables(view.split(".")[0]) if t.name.startswith(f"{view.split('.')[1].lower()}__"))
+        df.write.option("path", f"{path}__{name.rsplit('__', 1)[1]}").saveAsTable(name)
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {name}")
+        for old in older[:-1]:
+            spark.sql(f"DROP TABLE IF EXISTS {view.split('.')[0]}.{old}")
+            BR.drop_folder(spark, f"{path}__{old.rsplit('__', 1)[1]}")
+        return spark.table(view)
     new, old = f"{path}__next", f"{path}__previous"
+    _recover(spark, path)
     df.write.mode("overwrite").parquet(new)
-    fs, target = LD._fs_path(spark, path)
-    _, hnew = LD._fs_path(spark, new)
-    _, hold = LD._fs_path(spark, old)
-    if fs.exists(target):
-        fs.delete(hold, True)
-        if not fs.rename(target, hold):
-            raise OSError(f"Could not set {path} aside")
-    if not fs.rename(hnew, target):
-        raise OSError(f"Could not put {new} in place")
+    if _exists(spark, path):
+        BR.drop_folder(spark, old)
+        _rename(spark, path, old)
+    _rename(spark, new, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def table_exists(spark: SparkSession, store: Store, path: str) -> bool:
+    view = store.view(path)
+    if view:
+        return spark.catalog.tableExists(view)
+    _recover(spark, path)
+    return _exists(spark, path)
+
+
+def read_table(spark: SparkSession, store: Store, path: str) -> DataFrame:
+    """A silver or link table of the store."""
+    view = store.view(path)
+    if view:
+        return spark.table(view)
+    _recover(spark, path)
+    return spark.read.parquet(path)
+
+
+def create_manifest(spark: SparkSession, store: Store) -> bool:
+    """Set-up step: an empty event log (an existing one is left alone)."""
+    if _exists(spark, store.manifest_events):
+        return False
+    MF.empty_events(spark).withColumn("event_day", F.to_date("event_at")).write.partitionBy("event_day").parquet(store.manifest_events)
+    return True
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, hpath = LD._fs_path(spark, path)
     return fs.exists(hpath)
 
 
 def read_events(spark: SparkSession, store: Store) -> DataFrame:
-    """The whole manifest event log (empty before the first append)."""
+    """The whole manifest event log. Before it is set up it is empty, or an error in a strict store."""
     # Explicit schema: no inference job, and a log holding only empty appends
     # (no data files yet) still reads as an empty table.
     schema = T.StructType(MF.event_schema().fields + [T.StructField("event_day", T.DateType())])
     if not _exists(spark, store.manifest_events):
+        if store.strict:
+            raise FileNotFoundError(f"The manifest does not exist: {store.manifest_events}. Set it up with create_manifest.")
         return MF.empty_events(spark)
     return spark.read.schema(schema).parquet(store.manifest_events).drop("event_day")
 
 
 def current_manifest(spark: SparkSession, store: Store) -> DataFrame:
-    return MF.fold(read_events(spark, store))
+    """The current state of every upload."""
+    events = read_events(spark, store)
+    if store.incremental_manifest and _exists(spark, store.manifest_events):
+        from sluice.streaming import manifest_state
+
+        return manifest_state.current(spark, store.manifest_events, store.manifest_state)
+    return MF.fold(events)
 
 
 _last_seq = 0
@@ -509,7 +585,7 @@ def _silver_changes(spark: SparkSession, store: Store, dataset: str, contract: C
     """The PROCESSED uploads that the last build has not seen, and whether the
     table must be built from all of them: there is none yet, its contract was
     another one, or an upload that it holds is not PROCESSED any more."""
-    if not (_exists(spark, store.silver_seen(dataset)) and _exists(spark, store.silver(dataset))):
+    if not (_exists(spark, store.silver_seen(dataset)) and table_exists(spark, store, store.silver(dataset))):
         return [], True
     current = processed.where(F.col("dataset_name") == dataset).select("upload_id", F.lit(str(contract)).alias("contract"))
     seen = spark.read.schema("upload_id string, contract string").parquet(store.silver_seen(dataset)).withColumn("_seen", F.lit(True))
@@ -536,11 +612,11 @@ def _build_silver(spark: SparkSession, store: Store, dataset: str, contract: Con
     if full:
         silver = SV.build_silver(read_bronze(spark, store, dataset), contract, F.lit(now), observation=obs, dataset=dataset)
     else:
-        old = spark.read.parquet(store.silver(dataset))
+        old = read_table(spark, store, store.silver(dataset))
         before = old.count()
         added = SV.build_silver(read_bronze(spark, store, dataset, new), contract, F.lit(now), observation=obs, dataset=dataset)
         silver = SV.merge_silver(old, added, contract, F.lit(now))
-    rows = replace_table(spark, silver, store.silver(dataset)).count()
+    rows = replace_table(spark, silver, store.silver(dataset), store.view(store.silver(dataset))).count()
     return {"dataset": dataset, "incremental": not full, **_silver_counts(obs.get, before, rows)}
 
 
@@ -581,11 +657,11 @@ def run_silver(
 def run_links(spark: SparkSession, store: Store, now: _dt.datetime) -> list[dict]:
     """Build the application-project link table from silver."""
     try:
-        mapping = spark.read.parquet(store.silver("application_project_map"))
-        apps = spark.read.parquet(store.silver("applications"))
-        projects = spark.read.parquet(store.silver("projects"))
+        mapping, apps, projects = (
+            read_table(spark, store, store.silver(d)) for d in ("application_project_map", "applications", "projects"))
         link = L.application_project_link(mapping, apps, projects, F.lit(now))
-        counts = L.reference_summary(replace_table(spark, link, store.link("application_project")))
+        counts = L.reference_summary(replace_table(
+            spark, link, store.link("application_project"), store.view(store.link("application_project"))))
         return [{"name": "application_project", "status": "built", **counts}]
     except Exception as error:
         return [{"name": "application_project", "status": "error", "error": str(error)[:500]}]
@@ -616,7 +692,7 @@ def create_silver_tables(spark: SparkSession, store: Store, contracts: Mapping[s
     made = []
     for dataset, contract in contracts.items():
         path = store.silver(dataset)
-        if not _exists(spark, path):
-            spark.createDataFrame([], contract.silver_schema()).write.parquet(path)
+        if not table_exists(spark, store, path):
+            replace_table(spark, spark.createDataFrame([], contract.silver_schema()), path, store.view(path))
             made.append(dataset)
     return made

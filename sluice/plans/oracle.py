@@ -406,6 +406,8 @@ SELECT upload_id, status, dataset_name, original_file_name, uploaded_by, validat
        CAST(created_at AS VARCHAR) AS created_at, CAST(updated_at AS VARCHAR) AS updated_at, n_events
 FROM m"""
 
+ORACLE["manifest_state"] = ORACLE["manifest_fold"]
+
 ORACLE["manifest_lookup"] = "WITH " + MANIFEST_CTES + """
 , req AS (SELECT DISTINCT 'U' || CAST(c_custkey AS VARCHAR) AS upload_id FROM customer)
 SELECT r.upload_id, m.upload_id IS NOT NULL AS known, m.status,

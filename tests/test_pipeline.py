@@ -413,3 +413,95 @@ def test_silver_takes_up_new_uploads_only(spark, tmp_path, monkeypatch):
     other = {"lenient": Contract(("project_id",), (*COLS, ColumnSpec("project_region", "string")))}
     out, names = run(5, contracts=other)
     assert out["incremental"] is False and "project_region" in spark.read.parquet(store.silver("lenient")).columns
+
+
+def test_interrupted_replacement_is_put_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    store = batch.Store(str(tmp_path))
+    batch.replace_table(spark, spark.range(3), path)
+
+    rename = batch._rename
+    calls = []
+
+    def dies_at_the_second(s, a, b):
+        calls.append(a)
+        if len(calls) == 2:
+            raise OSError("lost")
+        rename(s, a, b)
+
+    monkeypatch.setattr(batch, "_rename", dies_at_the_second)
+    with pytest.raises(OSError, match="lost"):
+        batch.replace_table(spark, spark.range(5), path)
+    monkeypatch.undo()
+    assert batch.table_exists(spark, store, path) and batch.read_table(spark, store, path).count() == 3
+    assert batch.replace_table(spark, spark.range(5), path).count() == 5
+    assert batch.read_table(spark, store, path).count() == 5
+
+
+def test_views_name_the_old_table_until_the_new_one_is_whole(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS curation")
+    store = batch.Store(str(tmp_path / "store"), database="curation")
+    path = store.silver("orders")
+    view = store.view(path)
+    assert view == "curation.silver_orders" and not batch.table_exists(spark, store, path)
+    try:
+        for n in (2, 3, 4):
+            batch.replace_table(spark, spark.range(n), path, view)
+            assert batch.read_table(spark, store, path).count() == n
+        broken = spark.range(9).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+        with pytest.raises(Exception, match="no"):
+            batch.replace_table(spark, broken, path, view)
+        assert batch.read_table(spark, store, path).count() == 4
+        versions = [x.name for x in spark.catalog.listTables("curation") if x.name.startswith("silver_orders__")]
+        assert 2 <= len(versions) <= 3
+    finally:
+        spark.sql("DROP DATABASE curation CASCADE")
+
+
+def test_strict_store_needs_its_manifest(spark, tmp_path):
+    store = batch.Store(str(tmp_path / "store"), strict=True)
+    with pytest.raises(FileNotFoundError, match="create_manifest"):
+        batch.get_status(spark, store, "x")
+    with pytest.raises(FileNotFoundError, match="create_manifest"):
+        batch.run_uploads(spark, store, CONTRACTS, {}, NOW)
+    assert batch.create_manifest(spark, store) and not batch.create_manifest(spark, store)
+    assert batch.get_status(spark, store, "x") is None
+
+
+def test_manifest_state_reads_new_events_only(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from sluice.operators import manifest as MF
+    from sluice.streaming import manifest_state as MS
+
+    store = batch.Store(str(tmp_path / "store"), incremental_manifest=True)
+    fields = "upload_id string, status string, validation_message string, missing_columns array<string>, source_row_count long"
+    steps = [
+        [("a", "RECEIVED", None, None, None), ("b", "RECEIVED", None, None, None)],
+        [("a", "VALIDATED", "fine", [], 5)],
+        [("b", "FAILED", "broken", None, None), ("c", "RECEIVED", None, None, None)],
+        [("a", "PROCESSED", None, None, None), ("b", "RECEIVED", None, ["x"], None)],
+    ]
+    root = store.manifest_state
+    for i, rows in enumerate(steps):
+        now = NOW + dt.timedelta(days=i)
+        batch.append_events(spark.createDataFrame(rows, fields), store, batch.event_seq(now), F.lit(now))
+        if i == 1:  # taken up with the next append
+            continue
+        assert MS.advance(spark, store.manifest_events, root) == len(rows) + (len(steps[1]) if i == 2 else 0)
+        now_known = batch.current_manifest(spark, store)
+        folded = MF.fold(batch.read_events(spark, store))
+        assert sorted(map(repr, now_known.select(*folded.columns).collect())) == sorted(map(repr, folded.collect()))
+    assert MS.advance(spark, store.manifest_events, root) == 0
+
+
+def test_run_with_an_incremental_manifest(spark, tmp_path):
+    c = {"lenient": CONTRACTS["lenient"]}
+    land = tmp_path / "landing"
+    _write(str(land / "a.csv"), HEADER + "P1,A,Active\n")
+    store = batch.Store(str(tmp_path / "store"), incremental_manifest=True, strict=True)
+    batch.create_manifest(spark, store)
+    assert batch.run_uploads(spark, store, c, {"lenient": str(land)}, NOW)["loaded"] == 1
+    assert {r["status"] for r in _status(spark, store).values()} == {S.PROCESSED}
