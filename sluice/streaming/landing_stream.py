@@ -9,8 +9,8 @@ the status lifecycle still come from the manifest join, exactly as in a
 batch run. The checkpoint lives in the shared store, so a lost driver
 resumes where it stopped.
 
-Difference to the batch scan: Spark's file source plans no split for a
-zero-byte file, so empty uploads are only seen by a batch run.
+Spark's file source plans no split for a zero-byte file, so empty uploads
+that are not registered yet are taken from a listing at each call.
 """
 
 from __future__ import annotations
@@ -74,14 +74,15 @@ def run_available(
     noted = f"{store.root}/_stream_waiting"
     gate = F.make_dt_interval(secs=F.lit(min_age_seconds))
 
+    waiting = LD.empty_files(spark, list(dirs.values())).select("path")
     if batch._exists(spark, noted):
-        known = batch.current_manifest(spark, store).select(F.col("stored_file_path").alias("path"))
-        waiting = spark.read.schema("path string").parquet(noted).distinct().join(known, "path", "left_anti")
-        paths = batch._paths(spark, waiting, "path")  # file names still waiting, never contents
-        if paths:
-            now = now_fn()
-            inv = LD.inventory_from(LD.list_files(spark, paths, glob=None), dirs, F.lit(now), min_age_seconds)
-            summaries.append(batch.run_uploads(spark, store, contracts, dataset_dirs, now, inventory=inv))
+        waiting = waiting.unionByName(spark.read.schema("path string").parquet(noted)).distinct()
+    known = batch.current_manifest(spark, store).select(F.col("stored_file_path").alias("path"))
+    paths = batch._paths(spark, waiting.join(known, "path", "left_anti"), "path")  # file names still waiting, never contents
+    if paths:
+        now = now_fn()
+        inv = LD.inventory_from(LD.list_files(spark, paths, glob=None), dirs, F.lit(now), min_age_seconds)
+        summaries.append(batch.run_uploads(spark, store, contracts, dataset_dirs, now, inventory=inv))
 
     def handle(batch_df: DataFrame, epoch_id: int) -> None:
         now = now_fn()

@@ -115,3 +115,34 @@ def test_events_are_ordered_by_their_append(spark, tmp_path):
     row = batch.current_manifest(spark, store).first()
     assert row.status == "PROCESSED" and row.n_events == 3
     assert row.pipeline_run_id == str(batch.event_seq(t0) // 100)
+
+
+def test_queues_and_reports_are_ordered(spark):
+    import datetime as dt
+
+    from sluice.operators import manifest as MF
+    from sluice.operators import quality as Q
+
+    t0 = dt.datetime(2030, 1, 1)
+    rows = [(f"u{i}", ["RECEIVED", "VALIDATED", "FAILED", "PROCESSED"][i % 4], t0 + dt.timedelta(hours=(i * 7) % 10), t0 + dt.timedelta(hours=(i * 3) % 11))
+            for i in range(20)]
+    m = spark.createDataFrame(rows, "upload_id string, status string, created_at timestamp, updated_at timestamp").selectExpr(
+        "*", "'f' AS original_file_name", "'' AS validation_message", "'me' AS uploaded_by")
+    queue = MF.work_queues(m, {"validate": ("RECEIVED", "FAILED"), "bronze": ("VALIDATED",)}).collect()
+    got = [(r.stage, r.created_at, r.upload_id) for r in queue]
+    wanted = [("validate", c, u) for u, s, c, _ in rows if s in ("RECEIVED", "FAILED")], [("bronze", c, u) for u, s, c, _ in rows if s == "VALIDATED"]
+    assert got == sorted(wanted[0]) + sorted(wanted[1])
+    report = [(r.updated_at, r.upload_id) for r in Q.unfinished_uploads(m).collect()]
+    assert report == sorted(((x, u) for u, s, _, x in rows if s != "PROCESSED"), key=lambda r: (-r[0].timestamp(), r[1]))
+
+
+def test_dataset_names_lose_all_white_space(spark):
+    from sluice.operators import manifest as MF
+
+    inv = spark.createDataFrame([("\tProjects\n", "/l/a.csv", "h", 1, "id")],
+                                "dataset_name string, stored_file_path string, file_hash string, file_size_bytes long, upload_id string")
+    empty = spark.createDataFrame([], "upload_id string, dataset_name string, stored_file_path string, file_hash string, created_at timestamp")
+    row = MF.register_decisions(inv, empty, ["projects"]).first()
+    assert (row.dataset_name, row.action) == ("projects", "NEW")
+    assert MF.register_decisions(inv, empty, ["contracts", "applications"]).first().message == (
+        "Unknown dataset 'projects'. Expected one of: ['contracts', 'applications']")

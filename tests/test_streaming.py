@@ -22,8 +22,12 @@ def test_stream_registers_new_files_once(spark, tmp_path):
     (land / "b.csv").write_text("item_id,qty\nI3,3\n")
     second = run_available(spark, store, C, {"items": str(land)}, clock=lambda: next(clock))
     assert sum(s["loaded"] for s in second) == 1  # only the new file
+    (land / "empty.csv").write_text("")  # no stream plans a split for it
+    third = run_available(spark, store, C, {"items": str(land)}, clock=lambda: next(clock), min_age_seconds=0)
+    assert sum(s["rejected"] for s in third) == 1
+    assert run_available(spark, store, C, {"items": str(land)}, clock=lambda: next(clock), min_age_seconds=0) == []
     m = {r.original_file_name: r.status for r in batch.current_manifest(spark, store).collect()}
-    assert m == {"a.csv": S.PROCESSED, "b.csv": S.PROCESSED}
+    assert m == {"a.csv": S.PROCESSED, "b.csv": S.PROCESSED, "empty.csv": S.REJECTED}
 
 
 def test_growing_and_old_files(spark, tmp_path):
