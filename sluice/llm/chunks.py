@@ -13,6 +13,8 @@ from operator import itemgetter
 
 #: White space for str.split but not for the pattern.
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: All white space of str.split but the space and the line feed.
+_OTHER = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 
 
 def simple_pieces(text: str) -> list[str] | None:
@@ -20,6 +22,11 @@ def simple_pieces(text: str) -> list[str] | None:
 
     All pieces but the first have a space before them.
     """
+    if not any(c in text for c in _OTHER):  # spaces and line feeds only
+        if not text or text[0] in " \n" or text[-1] in " \n" or "\n\n" in text or " \n" in text or "\n " in text:
+            return None
+        pieces = text.split(" ")
+        return None if "" in pieces else pieces
     words = text.split()
     if not words or len(text) - sum(map(len, words)) != len(words) - 1 or any(c in text for c in _ODD):
         return None
