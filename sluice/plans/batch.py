@@ -278,20 +278,27 @@ def _failed(uploads: DataFrame, status: str, error: Exception | Column) -> DataF
     return uploads.select("upload_id", F.lit(status).alias("status"), cap_message(error).alias("validation_message"))
 
 
-def _claim(spark, store, contracts, froms, to, label, now, seq, run_dir, only=None) -> tuple[DataFrame, DataFrame]:
+def _claim(spark, store, contracts, froms, to, label, now, seq, run_dir, only=None) -> tuple[DataFrame | None, DataFrame]:
     """Claim every eligible upload (or only the ids in ``only``) for a stage.
-    Returns (claimed manifest rows, refusals with their messages)."""
+    Returns (claimed manifest rows or None without any, refusals with their messages)."""
     # The fold feeds the claim, the queue and the file check: fold once.
     m = persist(spark, current_manifest(spark, store), f"{run_dir}/manifest_{to.lower()}")
     candidates = m.where(F.col("dataset_name").isin(*contracts.keys()))
     if only is not None:
         candidates = candidates.where(F.col("upload_id").isin(*only))
     decided = MF.claim(candidates, froms, to, label, now)
-    decided = persist(spark, decided, f"{run_dir}/claim_{to.lower()}")
+    refused = decided.where(~F.col("claimed"))
     claimed = decided.where("claimed").select("upload_id")
-    run_claims = m.join(claimed, "upload_id", "left_semi")
-    append_events(claimed.select("upload_id", F.lit(to).alias("status")), store, seq, now)
-    return run_claims, decided.where(~F.col("claimed"))
+    if claimed.isEmpty():
+        return None, refused
+    run_claims = persist(spark, m.join(claimed, "upload_id", "left_semi"), f"{run_dir}/claim_{to.lower()}")
+    append_events(run_claims.select("upload_id", F.lit(to).alias("status")), store, seq, now)
+    return run_claims, refused
+
+
+def _no_outcomes(spark: SparkSession) -> DataFrame:
+    """The outcomes of a stage that had nothing to do."""
+    return spark.createDataFrame([], "upload_id string, status string, validation_message string")
 
 
 def register_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Contract], inv: DataFrame,
@@ -317,7 +324,8 @@ def register_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Co
         m, contracts.keys(),
     )
     decisions = persist(spark, decisions, f"{run_dir}/register")
-    append_events(MF.registration_events(decisions, now_c), store, seq, now_c)
+    if not decisions.where(F.col("action").isin("NEW", "DUPLICATE")).isEmpty():
+        append_events(MF.registration_events(decisions, now_c), store, seq, now_c)
     return decisions
 
 
@@ -328,6 +336,8 @@ def validate_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Co
     Returns (validation outcomes, claim refusals)."""
     queue, refused = _claim(spark, store, contracts, S.CLAIMABLE_FOR_VALIDATION, S.VALIDATING, "validated",
                             now_c, seq, run_dir, only)
+    if queue is None:
+        return _no_outcomes(spark), refused
     try:
         checked = _checked_files(
             spark, queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash", "file_size_bytes", "file_modified_at", "created_at"),
@@ -359,6 +369,8 @@ def bronze_stage(spark: SparkSession, store: Store, contracts: Mapping[str, Cont
     that this run validated come from ``validated``."""
     queue, refused = _claim(spark, store, contracts, S.CLAIMABLE_FOR_BRONZE, S.PROCESSING, "loaded to bronze",
                             now_c, seq, run_dir, only)
+    if queue is None:
+        return _no_outcomes(spark), refused
     try:
         checked = _checked_files(
             spark, queue.select("upload_id", "dataset_name", "stored_file_path", "file_hash", "file_size_bytes", "file_modified_at", "created_at",
@@ -444,8 +456,10 @@ def run_uploads(
     # 0. Stale claims back to their failed status.
     released = MF.release_stale(current_manifest(spark, store), now_c)
     released = persist(spark, released, f"{run_dir}/released")
-    append_events(released.select("upload_id", F.col("new_status").alias("status"), "validation_message"),
-                  store, run_seq * 100, now_c)
+    n_released = released.count()
+    if n_released:
+        append_events(released.select("upload_id", F.col("new_status").alias("status"), "validation_message"),
+                      store, run_seq * 100, now_c)
 
     # 1-3. Register every landing file, validate and load everything claimable.
     inv = inventory if inventory is not None else LD.inventory(spark, dataset_dirs, now_c, min_age_seconds)
@@ -455,7 +469,9 @@ def run_uploads(
 
     # Uploads waiting for validation whose dataset has no contract (any more)
     # stay as they are; they are reported, and counted as errors, every run.
-    unknown = current_manifest(spark, store).where(
+    # (no stage of this run moves them: the manifest that validation read has them)
+    waiting = spark.read.schema(MF.MANIFEST_SCHEMA).parquet(f"{run_dir}/manifest_{S.VALIDATING.lower()}")
+    unknown = waiting.where(
         F.col("status").isin(*S.CLAIMABLE_FOR_VALIDATION) & ~F.col("dataset_name").isin(*contracts.keys())
     ).count()
     if unknown:
@@ -472,7 +488,7 @@ def run_uploads(
         "validated": v.get(S.VALIDATED, 0),
         "rejected": v.get(S.REJECTED, 0) + b.get(S.BRONZE_REJECTED, 0),
         "loaded": b.get(S.PROCESSED, 0),
-        "released": released.count(),
+        "released": n_released,
         "unknown_dataset": unknown,
         "errors": acts.get("CHANGED", 0) + acts.get("UNKNOWN_DATASET", 0) + acts.get("INVALID_METADATA", 0)
         + acts.get("UNREADABLE", 0) + unknown + v.get(S.FAILED, 0) + b.get(S.BRONZE_FAILED, 0),

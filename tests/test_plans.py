@@ -4,6 +4,7 @@ before the shuffle, no Python outside the probe."""
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
@@ -48,3 +49,11 @@ def test_python_runs_only_in_the_probe(spark):
             continue
         p = plan(spark, name)
         assert not re.search(r"MapInPandas|ArrowEvalPython|BatchEvalPython", p), name
+
+
+def test_bounded_broadcast(spark):
+    from sluice.functions.sizing import bounded_broadcast
+
+    df = spark.range(100).selectExpr("id AS `a b`", "repeat('x', 50) AS t", "array('y', null) AS l")
+    assert bounded_broadcast(df, 4_000) is df
+    assert "BroadcastHashJoin" in spark.range(10**9).join(bounded_broadcast(df), F.col("id") == F.col("a b"))._jdf.queryExecution().executedPlan().toString()
