@@ -306,6 +306,7 @@ def test_unreadable_upload_fails_alone(spark, tmp_path):
     """One file of two datasets cannot be read any more: FAILED, the rest
     PROCESSED; once it can be read again it is validated and loaded."""
     from sluice.plans.fixtures import make_unreadable
+    from sluice.sources import landing as LD
 
     land = tmp_path / "landing"
     for d in CONTRACTS:
@@ -313,9 +314,8 @@ def test_unreadable_upload_fails_alone(spark, tmp_path):
             _write(str(land / d / f"{d}{i}.csv"), HEADER + f"P{i},A,Active\n" * (i + 1))
     dirs = {d: str(land / d) for d in CONTRACTS}
     store = batch.Store(str(tmp_path / "store"))
-    for d in CONTRACTS:
-        for i in range(3):
-            batch.register_uploaded_file(spark, store, CONTRACTS, dirs, str(land / d / f"{d}{i}.csv"), d, NOW)
+    now_c, run_seq, run_dir = batch._run(store, NOW - dt.timedelta(minutes=15))
+    batch.register_stage(spark, store, CONTRACTS, LD.inventory(spark, dirs, now_c, 0), now_c, run_dir, run_seq * 100)
     make_unreadable(spark, str(land / "strict" / "strict1.csv"))
     summary = batch.run_uploads(spark, store, CONTRACTS, dirs, NOW)
     st = _status(spark, store)
@@ -386,17 +386,18 @@ def test_silver_takes_up_new_uploads_only(spark, tmp_path, monkeypatch):
     read_bronze = batch.read_bronze
     monkeypatch.setattr(batch, "read_bronze", lambda s, st, d, uploads=None: wanted.append(uploads) or read_bronze(s, st, d, uploads))
 
-    def run(hours, **more):
+    def run(hours, uploads=False, **more):
         wanted.clear()
         now = NOW + dt.timedelta(hours=hours)
-        batch.run_uploads(spark, store, c, {"lenient": str(land)}, now)
+        if uploads:
+            batch.run_uploads(spark, store, c, {"lenient": str(land)}, now)
         out = batch.run_silver(spark, store, more.pop("contracts", c), now, **more)[0]
         names = {r.project_id: r.project_name for r in spark.read.parquet(store.silver("lenient")).collect()}
         return out, names
 
-    assert run(0)[0]["incremental"] is False
+    assert run(0, uploads=True)[0]["incremental"] is False
     _write(str(land / "b.csv"), HEADER + "P2,Newer,Closed\nP3,C,Active\n,keyless,x\n")
-    out, names = run(1)
+    out, names = run(1, uploads=True)
     b = batch.current_manifest(spark, store).where("original_file_name = 'b.csv'").first().upload_id
     assert wanted == [[b]]  # the earlier upload is not read
     assert names == {"P1": "A", "P2": "Newer", "P3": "C"}
