@@ -30,13 +30,13 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def materialise(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str | None = None, partition: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it
     back: cuts lineage and survives lost executors. ``compression`` "none" is
     for values that are compressed already: codecs hold whole pages of large
-    values outside the heap."""
+    values outside the heap. ``partition`` names a column that becomes folders."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path, compression=compression)
+    df.write.parquet(path, compression=compression, partitionBy=partition)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,4 +1,4 @@
-"""Exact top-k search: BM25 over inverted indexes per shard with block-max pruning.
+"""Exact top-k search: BM25 over inverted indexes per shard with block-max WAND.
 
 A shard is a block of documents of bounded size with an inverted index of
 its own: for each term its postings by document, and for each run of
@@ -7,13 +7,23 @@ give there. Shards are rows of a table in the shared folder; nothing of the
 postings is shuffled. Document frequencies, document count and average
 length are global, so a score does not depend on the sharding.
 
-In a shard a query first adds up its terms' block maxima. Blocks are
-evaluated from the highest sum down; a block whose sum cannot reach the k-th
-best score so far is skipped, as WAND skips documents by its pivot. Within a
-shard, documents are ordered by their most frequent term so that blocks hold
-similar documents. Shards' top k are merged by query: exact, as every score
-is. Queries go to the shards as broadcasts of bounded size, one pass over
-the shards for each; their number is not bounded.
+A query comes with the score that a document must reach, its k-th best so
+far. Its terms are put in order of the most they can give in the shard; the
+pivot is the one at which these bounds, added up, first reach that score.
+Documents that have only terms before the pivot are never looked at: the
+postings of those, the most frequent ones, are skipped. Of the terms from
+the pivot on, blocks whose maxima cannot reach the score are skipped as
+well; the documents left get the other terms one by one, largest bound
+first, and go as soon as what is open cannot lift them. Within a shard,
+documents are ordered by their most frequent term so that blocks hold
+similar documents.
+
+The shards are searched in waves, each four times the one before. Shards of
+one task share the k-th best score of a query, and a wave starts with those
+that all waves before have found, so what a shard returns falls as more is
+known, and rows grow with the queries, not with queries times shards. The
+results are merged by query: exact, as every score is. Queries go to the
+shards as broadcasts of bounded size; their number is not bounded.
 """
 
 from __future__ import annotations
@@ -27,11 +37,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import blocks as B
-from sluice.llm.common import materialise, prepare, text_buffer, word_hashes, word_spans
+from sluice.llm.common import giving_back, materialise, prepare, text_buffer, word_hashes, word_spans
 from sluice.llm.mixing import size_of
 from sluice.plans.session import scratch_path
 
 SHARD_BYTES, BLOCK_DOCS, QUERY_BYTES = 4_000_000, 32, 32_000_000
+#: Shards of the first wave at most, and how much larger the shards seen are after each further wave.
+FIRST_WAVE, WAVE_GROWTH = 16, 4
+#: Postings and queries that are searched at a time, and more than any sum's rounding.
+_POSTS, _QUERIES, _SLACK = 500_000, 64, 1e-5
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -105,36 +119,125 @@ def _open(raw) -> dict:
         null = np.isnan(ix["ids"])
         ix["ids"] = np.where(null, 0, ix["ids"]).astype(np.int64)
         ix["part"] = np.where(null[ix["doc"]], 0.0, ix["part"])
+    first = ix["entry_post"][ix["term_entry"]].astype(np.int64)
+    ix["key"] = np.repeat(np.arange(len(ix["terms"])) * ix["n"], np.diff(first)) + ix["doc"]
+    ix["term_max"] = np.maximum.reduceat(ix["entry_max"], ix["term_entry"][:-1]) if len(ix["terms"]) else np.zeros(0)
     return ix
 
 
-def _best(ix: dict, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Place and rounded score of a shard's k best documents for one query, whose terms are places in the index."""
-    start, stop = ix["term_entry"][terms].astype(np.int64), ix["term_entry"][terms + 1].astype(np.int64)
-    entry = _ranges(start, stop)
-    weight = np.repeat(weights, stop - start)
-    block = ix["entry_block"][entry]
-    bound = np.bincount(block, weight * ix["entry_max"][entry])
-    order = np.argsort(-bound, kind="stable")
-    docs, scores, least, done, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, 8
-    while done < len(order) and bound[order[done]] > 0 and bound[order[done]] + 1e-5 >= least:
-        open_ = order[done:done + step]
-        open_ = open_[(bound[open_] > 0) & (bound[open_] + 1e-5 >= least)]
-        done, step = done + step, step * 4
-        chosen = np.zeros(len(bound), bool)
-        chosen[open_] = True
-        at = chosen[block]
-        e = entry[at]
-        a, z = ix["entry_post"][e].astype(np.int64), ix["entry_post"][e + 1].astype(np.int64)
-        post = _ranges(a, z)
-        total = np.bincount(ix["doc"][post], np.repeat(weight[at], z - a) * ix["part"][post])
-        hit = np.flatnonzero(total)
-        docs = np.concatenate([docs, hit])
-        scores = np.concatenate([scores, np.round(total[hit], 6)])
-        keep = np.lexsort((ix["ids"][docs], -scores))[:k]
-        docs, scores = docs[keep], scores[keep]
-        least = scores[-1] if len(scores) == k else 0.0
-    return docs, scores
+class _Queries:
+    """Queries and what a document must reach for each: the terms of all as places in a sorted list."""
+
+    def __init__(self, ids, hashes, terms, weights):
+        self.ids, self.hashes = np.array(ids, np.int64), np.array(hashes, np.int64)
+        self.number = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+        self.terms, self.inverse = np.unique(np.concatenate(terms), return_inverse=True)
+        self.weights = np.concatenate(weights)
+        self.least = np.zeros(len(terms))
+
+    def hits(self, ix: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, place in the index and weight of the terms that a shard has."""
+        at = np.minimum(np.searchsorted(self.terms, ix["terms"]), len(self.terms) - 1)
+        ok = np.flatnonzero(self.terms[at] == ix["terms"])
+        place = np.full(len(self.terms), -1)
+        place[at[ok]] = ok
+        place = place[self.inverse]
+        hit = place >= 0
+        return self.number[hit], place[hit], self.weights[hit]
+
+
+class _Best:
+    """The k best documents of each query so far, and the score that a further one must reach."""
+
+    def __init__(self, least: np.ndarray, k: int):
+        self.least, self.k = least.copy(), k
+        self.q, self.ids, self.scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def add(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        if not len(q):
+            return
+        q, ids, scores = np.concatenate([self.q, q]), np.concatenate([self.ids, ids]), np.concatenate([self.scores, scores])
+        at = np.lexsort((ids, -scores, q))
+        q, ids, scores = q[at], ids[at], scores[at]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        last = rank == self.k - 1
+        self.least[q[last]] = np.maximum(self.least[q[last]], scores[last])
+        keep = rank < self.k
+        self.q, self.ids, self.scores = q[keep], ids[keep], scores[keep]
+
+
+def _search(ix: dict, queries: _Queries, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, id and rounded score of every document of a shard that may be among the k best of a query."""
+    q, term, weight = queries.hits(ix)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    if not len(q):
+        return found[0]
+    most = weight * ix["term_max"][term]
+    at = np.lexsort((most, q))
+    q, term, weight, most = q[at], term[at], weight[at], most[at]
+    start = np.searchsorted(q, np.arange(len(least) + 1))
+    total = np.concatenate([[0.0], np.cumsum(most)])
+    upto = total[1:] - total[start[q]]  # what a query's terms up to each can give together
+    before = upto + _SLACK < least[q]  # before the pivot
+    skipped = np.bincount(q[before], minlength=len(least))
+    rest = np.where(skipped > 0, upto[np.maximum(start[:-1] + skipped - 1, 0)], 0.0)
+    from_, to = ix["term_entry"][term].astype(np.int64), ix["term_entry"][term + 1].astype(np.int64)
+    posts = np.where(before, 0, ix["entry_post"][to].astype(np.int64) - ix["entry_post"][from_])
+    posts = np.concatenate([[0], np.cumsum(posts)])[start]
+    a, n, blocks = 0, ix["n"], -(-ix["n"] // BLOCK_DOCS)
+    most_queries = max(1, min(_QUERIES, 2_000_000 // n))
+    while a < len(least):
+        z = min(a + most_queries, max(a + 1, int(np.searchsorted(posts, posts[a] + _POSTS, "right")) - 1), len(least))
+        rows = np.arange(start[a], start[z])
+        rows = rows[~before[rows]]
+        if len(rows):
+            found.append(_search_some(ix, a, z, q, term, weight, upto, start, skipped, rest, least, k, rows, from_[rows], to[rows], n, blocks))
+        a = z
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _search_some(ix, a, z, q, term, weight, upto, start, skipped, rest, least, k, rows, from_, to, n, blocks):
+    """The same for queries a to z; ``rows`` are their terms from the pivot on."""
+    entry = _ranges(from_, to)
+    own, w = np.repeat(q[rows] - a, to - from_), np.repeat(weight[rows], to - from_)
+    place = own * blocks + ix["entry_block"][entry]
+    bound = np.bincount(place, w * ix["entry_max"][entry], (z - a) * blocks).reshape(z - a, blocks) + rest[a:z, None]
+    open_ = (bound + _SLACK >= least[a:z, None]).ravel()[place]
+    entry, own, w = entry[open_], own[open_], w[open_]
+    s, e = ix["entry_post"][entry].astype(np.int64), ix["entry_post"][entry + 1].astype(np.int64)
+    post = _ranges(s, e)
+    own = np.repeat(own, e - s)
+    part = np.bincount(own * n + ix["doc"][post], np.repeat(w, e - s) * ix["part"][post], (z - a) * n).reshape(z - a, n)
+    floor = least[a:z]
+    if n >= k:  # what is open can only add
+        floor = np.maximum(floor, np.partition(part, n - k, axis=1)[:, n - k] - _SLACK)
+    own, doc = np.nonzero((part > 0) & (part + rest[a:z, None] + _SLACK >= floor[:, None]))
+    score = part[own, doc]
+    # the terms before the pivot, largest bound first
+    left, step = skipped[a:z][own], 4
+    while left.any():
+        low = np.maximum(left - step, 0)
+        begin = start[a:z][own]
+        row = _ranges(begin + low, begin + left)
+        whose = np.repeat(np.arange(len(own)), left - low)
+        key = term[row] * n + doc[whose]
+        at = np.minimum(np.searchsorted(ix["key"], key), len(ix["key"]) - 1)
+        hit = ix["key"][at] == key
+        score = score + np.bincount(whose[hit], weight[row[hit]] * ix["part"][at[hit]], len(own))
+        still = np.where(low > 0, upto[np.maximum(begin + low - 1, 0)], 0.0)
+        keep = score + still + _SLACK >= floor[own]
+        own, doc, score, left, step = own[keep], doc[keep], score[keep], low[keep], step * 2
+    score = np.round(score, 6)
+    keep = score >= least[a:z][own]
+    return own[keep] + a, ix["ids"][doc[keep]], score[keep]
+
+
+def _waves(shards: int) -> list[int]:
+    """The first shard of every wave, and their number."""
+    ends = [shards]
+    while ends[-1] > FIRST_WAVE:
+        ends.append(-(-ends[-1] // WAVE_GROWTH))
+    return [0, *reversed(ends)]
 
 
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
@@ -158,12 +261,15 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     if not words:
         return spark.createDataFrame([], out)
     average = words / count
-    held = B.dealt(rows, max(1, -(-(size or 0) // SHARD_BYTES)), "doc_id")
+    n = max(1, -(-(size or 0) // SHARD_BYTES))
+    held = B.dealt(rows, n, "doc_id")
+    ends = _waves(n)
 
     def build(table):
-        return pa.table({"shard": pa.array([_pack(_index(table, average, k1, b))], pa.binary())})
+        wave = int(np.searchsorted(ends, table.column("__block")[0].as_py(), "right")) - 1
+        return pa.table({"shard": pa.array([_pack(_index(table, average, k1, b))], pa.binary()), "wave": pa.array([wave], pa.int32())})
 
-    shards = materialise(held.groupBy("__block").applyInArrow(build, "shard binary"), "search-shards", compression="none")
+    shards = materialise(held.groupBy("__block").applyInArrow(build, "shard binary, wave int"), "search-shards", compression="none", partition="wave")
 
     def frequencies(batches):
         for batch in batches:
@@ -186,7 +292,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     asked = queries.select(F.col(query_id_col).cast("long").alias("query_id"), F.xxhash64(query_text_col).alias("h"), F.col(query_text_col).alias("text"))
     asked = asked.where("query_id IS NOT NULL AND text IS NOT NULL").mapInArrow(query_terms, "query_id long, h long, term long, n long")
     asked = asked.dropDuplicates(["query_id", "h", "term"])
-    df = shards.mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    df = shards.select("shard").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     weight = F.col("n") * F.log(1 + (F.lit(count) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = asked.join(df, "term").select("query_id", "h", F.struct("term", weight.alias("weight")).alias("t"))
     # one row per query; a query has at most as many terms as its text
@@ -194,45 +300,49 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     weighed = materialise(weighed.select("query_id", "h", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights")), "queries")
 
     path = scratch_path(spark, "search-results")
+    result = "chunk int, query_id long, h long, doc_id long, score double"
+    best = Window.partitionBy("query_id", "h").orderBy(F.desc("score"), "doc_id")
 
-    def search(packed: bytes) -> None:
-        held_queries = spark.sparkContext.broadcast(packed)
+    def search(chunk: int, wave: int, asked_now: _Queries) -> None:
+        packed = spark.sparkContext.broadcast(pickle.dumps(asked_now))
 
         def run(batches):
-            ids, hashes, ends, terms, weights = pickle.loads(held_queries.value)
-            starts = np.concatenate([[0], ends[:-1]])
+            own = pickle.loads(packed.value)
+            found = _Best(own.least, k)
             for batch in batches:
                 for held_shard in batch.column(0):
-                    ix = _open(held_shard.as_buffer())
-                    place = np.searchsorted(ix["terms"], terms)
-                    hit = ix["terms"][np.minimum(place, len(ix["terms"]) - 1)] == terms if len(ix["terms"]) else np.zeros(len(terms), bool)
-                    found = []
-                    for q, (s, e) in enumerate(zip(starts.tolist(), ends.tolist())):
-                        h = hit[s:e]
-                        d, score = _best(ix, place[s:e][h], weights[s:e][h], k) if h.any() else (np.zeros(0, np.int64), np.zeros(0))
-                        found.append((np.full(len(d), q), ix["ids"][d], score))
-                    q, d, score = (np.concatenate(x) for x in zip(*found))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(hashes[q]), pa.array(d), pa.array(score)], ["query_id", "h", "doc_id", "score"])
-
-        shards.mapInArrow(run, "query_id long, h long, doc_id long, score double").write.mode("append").parquet(path)
-        held_queries.unpersist()
-
-    chunk, held_bytes = [], 0
-
-    def packed() -> bytes:
-        ids, hashes, terms, weights = zip(*chunk)
-        return pickle.dumps((np.array(ids, np.int64), np.array(hashes, np.int64), np.cumsum([len(t) for t in terms]), np.concatenate(terms), np.concatenate(weights)))
-
+                    found.add(*_search(_open(held_shard.as_buffer()), own, found.least, k))
+            for i in range(0, len(found.q), 100_000):
+                q = found.q[i:i + 100_000]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(q), chunk, np.int32)), pa.array(own.ids[q]), pa.array(own.hashes[q]),
+                    pa.array(found.ids[i:i + 100_000]), pa.array(found.scores[i:i + 100_000])], ["chunk", "query_id", "h", "doc_id", "score"])
+
+        shards.where(F.col("wave") == wave).select("shard").mapInArrow(giving_back(run), result).write.mode("append").parquet(path)
+        packed.unpersist()
+
+    def search_all(chunk: int, rows: list) -> None:
+        """All waves for the queries of a chunk, whose k-th best scores (one number per query) carry over."""
+        ids, hashes, terms, weights = zip(*rows)
+        asked_now = _Queries(ids, hashes, terms, weights)
+        place = {x: i for i, x in enumerate(zip(ids, hashes))}
+        for wave in range(len(ends) - 1):
+            if wave:
+                so_far = spark.read.schema(result).parquet(path).where(F.col("chunk") == chunk)
+                for r in so_far.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).collect():
+                    asked_now.least[place[r.query_id, r.h]] = r.score
+            search(chunk, wave, asked_now)
+
+    chunk, held_rows, held_bytes = 0, [], 0
     for row in weighed.toLocalIterator():
-        if chunk and held_bytes + 16 * len(row.terms) > QUERY_BYTES:
-            search(packed())
-            chunk, held_bytes = [], 0
-        chunk.append((row.query_id, row.h, np.array(row.terms, np.int64).view(np.uint64), np.array(row.weights, np.float64)))
+        if held_rows and held_bytes + 16 * len(row.terms) > QUERY_BYTES:
+            search_all(chunk, held_rows)
+            chunk, held_rows, held_bytes = chunk + 1, [], 0
+        held_rows.append((row.query_id, row.h, np.array(row.terms, np.int64).view(np.uint64), np.array(row.weights, np.float64)))
         held_bytes += 16 * len(row.terms)
-    if not chunk:
+    if not held_rows:
         return spark.createDataFrame([], out)
-    search(packed())
+    search_all(chunk, held_rows)
 
-    best = Window.partitionBy("query_id", "h").orderBy(F.desc("score"), "doc_id")
-    results = spark.read.schema("query_id long, h long, doc_id long, score double").parquet(path)
+    results = spark.read.schema(result).parquet(path)
     return results.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

@@ -266,6 +266,27 @@ def test_search(spark, docs, empty):
     assert search.top_k(empty, empty).count() == 0 and search.top_k(docs, empty).count() == 0 and search.top_k(docs, docs).count() > 0
 
 
+def test_search_in_waves(spark, monkeypatch):
+    """Many shards, searched in waves with carried scores: as one shard does, ties and repeated documents included."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(400)], k=rng.randint(0, 60))) for _ in range(600)]
+    rows = [(i, texts[i % 500], "x") for i in range(600)] + [(None, texts[3], "x"), (7000, None, "x"), (7001, " ".join(words * 20), "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    asked = docs.where("doc_id % 20 = 0 OR doc_id = 7001")
+
+    def result(k):
+        return sorted((r.query_id, r.rank, r.doc_id, round(r.score, 5)) for r in search.top_k(docs, asked, k=k).collect())
+
+    whole = {k: result(k) for k in (1, 10)}
+    assert len(whole[10]) > 300 and all(r[2] is not None for r in whole[10])
+    monkeypatch.setattr(search, "SHARD_BYTES", 4000)
+    monkeypatch.setattr(search, "FIRST_WAVE", 2)
+    monkeypatch.setattr(search, "QUERY_BYTES", 6000)
+    assert len(search._waves(30)) == 4 and search._waves(1) == [0, 1]
+    assert {k: result(k) for k in (1, 10)} == whole
+
+
 def test_language(spark, docs, empty):
     rng = random.Random(5)
     vocab = {"aa": ["der", "und", "nicht", "ein", "haus", "strasse"], "bb": ["the", "and", "house", "street", "with", "for"]}
