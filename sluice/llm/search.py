@@ -8,15 +8,14 @@ postings is shuffled. Document frequencies, document count and average
 length are global, so a score does not depend on the sharding.
 
 A query comes with the score that a document must reach, its k-th best so
-far. Its terms are put in order of the most they can give in the shard; the
-pivot is the one at which these bounds, added up, first reach that score.
-Documents that have only terms before the pivot are never looked at: the
-postings of those, the most frequent ones, are skipped. Of the terms from
-the pivot on, blocks whose maxima cannot reach the score are skipped as
-well; the documents left get the other terms one by one, largest bound
-first, and go as soon as what is open cannot lift them. Within a shard,
-documents are ordered by their most frequent term so that blocks hold
-similar documents.
+far. Its terms' block maxima are added up, and blocks whose sum falls short
+are skipped with all their postings. In the others the terms that few
+documents have are added up, by postings. The pivot then is each document
+whose sum, with what the frequent terms can give in its block at most,
+reaches the score; only queries with such documents get the frequent terms'
+parts, which are rows of a matrix and not lists, for all documents at once.
+Within a shard, documents are ordered by their most frequent term so that
+blocks hold similar documents.
 
 The shards are searched in waves, each four times the one before. Shards of
 one task share the k-th best score of a query, and a wave starts with those
@@ -46,6 +45,8 @@ SHARD_BYTES, BLOCK_DOCS, QUERY_BYTES = 4_000_000, 32, 32_000_000
 FIRST_WAVE, WAVE_GROWTH = 16, 4
 #: Postings and queries that are searched at a time, and more than any sum's rounding.
 _POSTS, _QUERIES, _SLACK = 500_000, 64, 1e-5
+#: A term is frequent in a shard if one of so many documents has it.
+FREQUENT = 16
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -119,9 +120,19 @@ def _open(raw) -> dict:
         null = np.isnan(ix["ids"])
         ix["ids"] = np.where(null, 0, ix["ids"]).astype(np.int64)
         ix["part"] = np.where(null[ix["doc"]], 0.0, ix["part"])
-    first = ix["entry_post"][ix["term_entry"]].astype(np.int64)
-    ix["key"] = np.repeat(np.arange(len(ix["terms"])) * ix["n"], np.diff(first)) + ix["doc"]
-    ix["term_max"] = np.maximum.reduceat(ix["entry_max"], ix["term_entry"][:-1]) if len(ix["terms"]) else np.zeros(0)
+    # frequent terms as rows with a place for every document, and for every block: at most FREQUENT numbers for each posting
+    df = np.diff(ix["entry_post"][ix["term_entry"]].astype(np.int64))
+    ix["frequent"] = df * FREQUENT >= max(1, ix["n"])
+    ix["row"], rows = np.cumsum(ix["frequent"]) - 1, int(ix["frequent"].sum())
+    ix["blocks"] = -(-ix["n"] // BLOCK_DOCS)
+
+    def dense(width, sizes, column, value):
+        out, held = np.zeros((rows, width)), np.repeat(ix["frequent"], sizes)
+        out[np.repeat(ix["row"], sizes)[held], column[held]] = value[held]
+        return out
+
+    ix["by_doc"] = dense(ix["n"], df, ix["doc"], ix["part"])
+    ix["by_block"] = dense(ix["blocks"], np.diff(ix["term_entry"]), ix["entry_block"], ix["entry_max"])
     return ix
 
 
@@ -170,66 +181,52 @@ def _search(ix: dict, queries: _Queries, least: np.ndarray, k: int) -> tuple[np.
     """Query, id and rounded score of every document of a shard that may be among the k best of a query."""
     q, term, weight = queries.hits(ix)
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-    if not len(q):
-        return found[0]
-    most = weight * ix["term_max"][term]
-    at = np.lexsort((most, q))
-    q, term, weight, most = q[at], term[at], weight[at], most[at]
     start = np.searchsorted(q, np.arange(len(least) + 1))
-    total = np.concatenate([[0.0], np.cumsum(most)])
-    upto = total[1:] - total[start[q]]  # what a query's terms up to each can give together
-    before = upto + _SLACK < least[q]  # before the pivot
-    skipped = np.bincount(q[before], minlength=len(least))
-    rest = np.where(skipped > 0, upto[np.maximum(start[:-1] + skipped - 1, 0)], 0.0)
-    from_, to = ix["term_entry"][term].astype(np.int64), ix["term_entry"][term + 1].astype(np.int64)
-    posts = np.where(before, 0, ix["entry_post"][to].astype(np.int64) - ix["entry_post"][from_])
+    posts = np.where(ix["frequent"][term], 0, np.diff(ix["entry_post"][ix["term_entry"]])[term])
     posts = np.concatenate([[0], np.cumsum(posts)])[start]
-    a, n, blocks = 0, ix["n"], -(-ix["n"] // BLOCK_DOCS)
-    most_queries = max(1, min(_QUERIES, 2_000_000 // n))
-    while a < len(least):
-        z = min(a + most_queries, max(a + 1, int(np.searchsorted(posts, posts[a] + _POSTS, "right")) - 1), len(least))
-        rows = np.arange(start[a], start[z])
-        rows = rows[~before[rows]]
-        if len(rows):
-            found.append(_search_some(ix, a, z, q, term, weight, upto, start, skipped, rest, least, k, rows, from_[rows], to[rows], n, blocks))
+    wide = max(1, min(_QUERIES, 2_000_000 // max(1, ix["n"], len(ix["by_doc"]))))
+    a = 0
+    while a < len(least) and len(q):
+        z = min(a + wide, max(a + 1, int(np.searchsorted(posts, posts[a] + _POSTS, "right")) - 1), len(least))
+        mine = slice(start[a], start[z])
+        own, doc, score = _search_some(ix, q[mine] - a, term[mine], weight[mine], least[a:z], k)
+        found.append((own + a, ix["ids"][doc], score))
         a = z
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _search_some(ix, a, z, q, term, weight, upto, start, skipped, rest, least, k, rows, from_, to, n, blocks):
-    """The same for queries a to z; ``rows`` are their terms from the pivot on."""
-    entry = _ranges(from_, to)
-    own, w = np.repeat(q[rows] - a, to - from_), np.repeat(weight[rows], to - from_)
-    place = own * blocks + ix["entry_block"][entry]
-    bound = np.bincount(place, w * ix["entry_max"][entry], (z - a) * blocks).reshape(z - a, blocks) + rest[a:z, None]
-    open_ = (bound + _SLACK >= least[a:z, None]).ravel()[place]
-    entry, own, w = entry[open_], own[open_], w[open_]
-    s, e = ix["entry_post"][entry].astype(np.int64), ix["entry_post"][entry + 1].astype(np.int64)
-    post = _ranges(s, e)
-    own = np.repeat(own, e - s)
-    part = np.bincount(own * n + ix["doc"][post], np.repeat(w, e - s) * ix["part"][post], (z - a) * n).reshape(z - a, n)
-    floor = least[a:z]
-    if n >= k:  # what is open can only add
-        floor = np.maximum(floor, np.partition(part, n - k, axis=1)[:, n - k] - _SLACK)
-    own, doc = np.nonzero((part > 0) & (part + rest[a:z, None] + _SLACK >= floor[:, None]))
-    score = part[own, doc]
-    # the terms before the pivot, largest bound first
-    left, step = skipped[a:z][own], 4
-    while left.any():
-        low = np.maximum(left - step, 0)
-        begin = start[a:z][own]
-        row = _ranges(begin + low, begin + left)
-        whose = np.repeat(np.arange(len(own)), left - low)
-        key = term[row] * n + doc[whose]
-        at = np.minimum(np.searchsorted(ix["key"], key), len(ix["key"]) - 1)
-        hit = ix["key"][at] == key
-        score = score + np.bincount(whose[hit], weight[row[hit]] * ix["part"][at[hit]], len(own))
-        still = np.where(low > 0, upto[np.maximum(begin + low - 1, 0)], 0.0)
-        keep = score + still + _SLACK >= floor[own]
-        own, doc, score, left, step = own[keep], doc[keep], score[keep], low[keep], step * 2
-    score = np.round(score, 6)
-    keep = score >= least[a:z][own]
-    return own[keep] + a, ix["ids"][doc[keep]], score[keep]
+def _search_some(ix: dict, q: np.ndarray, term: np.ndarray, weight: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, with places of documents, for a few queries numbered from 0."""
+    shape = len(least), ix["n"]
+    often = ix["frequent"][term]
+    weights = np.zeros((len(least), len(ix["by_doc"])))
+    weights[q[often], ix["row"][term[often]]] = weight[often]
+    q, term, weight = q[~often], term[~often], weight[~often]
+    # what the terms can give in each block; blocks that cannot reach the score are closed
+    a, z = ix["term_entry"][term].astype(np.int64), ix["term_entry"][term + 1].astype(np.int64)
+    entry, own, weight = _ranges(a, z), np.repeat(q, z - a), np.repeat(weight, z - a)
+    place = own * ix["blocks"] + ix["entry_block"][entry]
+    often_most = weights @ ix["by_block"]
+    most = often_most + np.bincount(place, weight * ix["entry_max"][entry], often_most.size).reshape(often_most.shape)
+    open_ = most + _SLACK >= least[:, None]
+    if not open_.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    # the terms that are not frequent, in open blocks
+    at = open_.ravel()[place]
+    entry, own, weight = entry[at], own[at], weight[at]
+    a, z = ix["entry_post"][entry].astype(np.int64), ix["entry_post"][entry + 1].astype(np.int64)
+    post, own, weight = _ranges(a, z), np.repeat(own, z - a), np.repeat(weight, z - a)
+    part = np.bincount(own * ix["n"] + ix["doc"][post], weight * ix["part"][post], shape[0] * shape[1]).reshape(shape)
+    # the pivot: documents whose terms can reach the score with all that the frequent ones can give
+    reach = np.repeat(np.where(open_, often_most, -np.inf), BLOCK_DOCS, axis=1)[:, :ix["n"]]
+    reach += part + _SLACK
+    asked = np.flatnonzero((reach >= least[:, None]).any(axis=1))
+    score = np.round(part[asked] + weights[asked] @ ix["by_doc"], 6)
+    floor = least[asked]
+    if ix["n"] > k:
+        floor = np.maximum(floor, np.partition(score, ix["n"] - k, axis=1)[:, ix["n"] - k])
+    own, doc = np.nonzero((score > 0) & (score >= floor[:, None]))
+    return asked[own], doc, score[own, doc]
 
 
 def _waves(shards: int) -> list[int]:
