@@ -5,8 +5,8 @@ order, decay ** (span in one + span in the other), spans at most ``SPAN``,
 scaled by the words' lengths: gaps and inserted letters cost a little, not
 the match. A Nyström map on landmark words makes it linear, and because the
 kernel is an inner product over triples, the trained machine folds into one
-weight per triple of the landmarks' alphabet: a word is scored by looking up
-its triples. A sentence scores as its strongest word, a text as its
+weight per triple of the landmarks, whatever their letters: a word is scored
+by looking up its triples. A sentence scores as its strongest word, a text as its
 strongest sentence, squashed to 0..1 by a fitted logistic.
 
 Words are reduced to lower-case letters, so marks put between letters fall
@@ -68,17 +68,34 @@ def tokens(text: str) -> set[str]:
     """Different words of a text, and its runs of single letters."""
     text = text.lower()
     words = text.split()
-    out = set(words)
-    if sum(len(w) <= 2 for w in words) > 2:
-        out.update(_SINGLES.findall(text))
-    return out
+    return {*words, *_SINGLES.findall(text)}
 
 
 class _Letters:
-    def __init__(self, words):
+    """Codes of every letter of some words, and the triples that these have."""
+
+    def __init__(self, words: list[str]):
         count = Counter(c for w in words for c in w)
-        self.code = {c: i + 1 for i, (c, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], x[0]))[:47])}
+        self.code = {c: i + 1 for i, (c, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], x[0])))}
         self.size = len(self.code) + 1
+        self.keys = np.unique(np.concatenate([self.triples(w)[0] for w in words] or [np.zeros(0, np.int64)]))
+        self.cube = None
+        if self.size <= 128:  # a place for every triple of the alphabet; of larger ones only those that occur
+            self.cube = np.zeros(self.size ** 3, np.int32)
+            self.cube[self.keys] = np.arange(len(self.keys)) + 1
+
+    def triples(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of a word's triples and their weights."""
+        codes = np.array([self.code[c] for c in word], np.int64)
+        i, j, k, w = (np.array(x) for x in zip(*_triples(len(word))))
+        return (codes[i] * self.size + codes[j]) * self.size + codes[k], w
+
+    def rows(self, key: np.ndarray) -> np.ndarray:
+        """The places of triples in a table of weights; 0 for those that no word has."""
+        if self.cube is not None:
+            return self.cube[key]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, at + 1, 0)
 
     def matrix(self, words: list[str], width: int) -> np.ndarray:
         """Letter codes, one row per word; 0 for letters that no landmark has, and padding."""
@@ -89,10 +106,11 @@ class _Letters:
 
 
 def _sums(letters: _Letters, weights: np.ndarray, words: list[str]) -> np.ndarray:
-    """Scaled sums of triple weights; ``weights`` has a row per triple and any number of columns."""
+    """Scaled sums of triple weights; ``weights`` has a row per triple, after one of zeros, and any number of columns."""
     out = np.zeros((len(words), weights.shape[1]), np.float32)
     lengths = np.array([len(w) for w in words], np.int64)
     low, a = 2, letters.size
+    whole = weights[letters.cube] if letters.cube is not None and weights.shape[1] == 1 else None
     for width in _WIDTHS:
         rows = np.flatnonzero((lengths > low) & (lengths <= width))
         low = width
@@ -101,20 +119,18 @@ def _sums(letters: _Letters, weights: np.ndarray, words: list[str]) -> np.ndarra
             codes = letters.matrix([words[r] for r in part], width)
             total = np.zeros((len(part), weights.shape[1]), np.float32)
             for i, j, k, w in _triples(width):
-                total += np.float32(w) * weights[(codes[:, i] * a + codes[:, j]) * a + codes[:, k]]
+                key = (codes[:, i] * a + codes[:, j]) * a + codes[:, k]
+                total += np.float32(w) * (weights[letters.rows(key)] if whole is None else whole[key])
             out[part] = total / _SCALE[lengths[part]][:, None]
     return out
 
 
 def _triple_table(letters: _Letters, words: list[str]) -> np.ndarray:
     """For each landmark (column) the scaled weights of its triples."""
-    a = letters.size
-    table = np.zeros((a ** 3, len(words)), np.float32)
+    table = np.zeros((len(letters.keys) + 1, len(words)), np.float32)
     for c, word in enumerate(words):
-        codes = letters.matrix([word], len(word))[0]
-        for i, j, k, w in _triples(len(word)):
-            if codes[i] and codes[j] and codes[k]:
-                table[(codes[i] * a + codes[j]) * a + codes[k], c] += w / _SCALE[len(word)]
+        key, w = letters.triples(word)
+        np.add.at(table[:, c], letters.rows(key), (w / _SCALE[len(word)]).astype(np.float32))
     return table
 
 

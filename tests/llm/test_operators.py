@@ -287,6 +287,22 @@ def test_search_in_waves(spark, monkeypatch):
     assert {k: result(k) for k in (1, 10)} == whole
 
 
+def test_toxicity_of_any_letters():
+    """Landmarks of hundreds of different letters are learnt; insults may be spelled out with any marks."""
+    rng = random.Random(4)
+    clean = ["".join(chr(0x4E00 + rng.randrange(400)) for _ in range(rng.randint(3, 6))) for _ in range(300)]
+    bad = ["".join(chr(0x3041 + 7 * i + j) for j in range(6)) for i in range(8)]
+    texts = [" ".join(rng.choices(clean, k=12)) for _ in range(160)]
+    texts = [t + " " + rng.choice(bad) if i % 2 else t for i, t in enumerate(texts)]
+    model = toxicity.train(texts, [i % 2 for i in range(160)])
+    assert model.letters.size > 128 and len(model.letters.code) == model.letters.size - 1
+    asked = [" ".join(rng.choices(clean, k=12)) for _ in range(20)]
+    assert all(model.scores(asked) < 0.5)
+    assert all(model.scores([a + " " + b[:3] + "x" + b[3:] for a, b in zip(asked, bad)]) >= 0.5)
+    assert all(model.scores([a + " " + ".. ".join(b) for a, b in zip(asked, bad)]) >= 0.5)
+    assert toxicity.tokens("v.. o.. z.. z") >= {"v.. o.. z.. z"}
+
+
 def test_language(spark, docs, empty):
     rng = random.Random(5)
     vocab = {"aa": ["der", "und", "nicht", "ein", "haus", "strasse"], "bb": ["the", "and", "house", "street", "with", "for"]}
