@@ -11,10 +11,25 @@ from __future__ import annotations
 
 from operator import itemgetter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: White space for str.split but not for the pattern.
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 #: All white space of str.split but the space and the line feed.
 _OTHER = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+_OTHER_ASCII = tuple(c for c in _OTHER if c.isascii())
+#: ASCII marks that the pattern cuts from letters and numbers before them (an apostrophe may begin a contraction).
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+
+
+def single_spaced(text: str) -> bool:
+    """Whether the text's white space is single characters between words."""
+    if not any(c in text for c in (_OTHER_ASCII if text.isascii() else _OTHER)):  # spaces and line feeds only
+        return not (not text or text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text)
+    words = text.split()
+    return bool(words) and len(text) - sum(map(len, words)) == len(words) - 1 and not any(c in text for c in _ODD)
 
 
 def simple_pieces(text: str) -> list[str] | None:
@@ -22,15 +37,7 @@ def simple_pieces(text: str) -> list[str] | None:
 
     All pieces but the first have a space before them.
     """
-    if not any(c in text for c in _OTHER):  # spaces and line feeds only
-        if not text or text[0] in " \n" or text[-1] in " \n" or "\n\n" in text or " \n" in text or "\n " in text:
-            return None
-        pieces = text.split(" ")
-        return None if "" in pieces else pieces
-    words = text.split()
-    if not words or len(text) - sum(map(len, words)) != len(words) - 1 or any(c in text for c in _ODD):
-        return None
-    return text.split(" ")
+    return text.split(" ") if single_spaced(text) else None
 
 
 def _values(codes: dict[str, bytes], pieces: list[str]):
@@ -85,6 +92,96 @@ class PieceCodes:
         return out
 
 
+class TextCodes:
+    """Codes of whole texts, put together from those of their distinct pieces.
+
+    A run of texts is cut and its distinct pieces are found in Arrow; only
+    those are looked up among the pieces seen lately (two generations, as in
+    ``PieceCodes``), and the ids of all pieces are gathered at once. Pieces
+    also begin at line feeds, which the pattern codes alone between words: a
+    piece is a line feed and what follows it, or stands for a space and
+    itself. The first of a text gets a line feed, whose codes are dropped
+    again. Marks at the end of a piece, after a letter or number, are coded
+    alone, so such a piece is composed of what comes before them and them.
+    """
+
+    def __init__(self, whole, sizes: np.ndarray, limit: int = 400_000, longest: int = 64):
+        self._whole = whole  # list of strings -> list of bytes, little-endian 32-bit ids
+        self._sizes = sizes  # bytes of each token
+        self._limit, self._longest = limit, longest
+        self._codes: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._marks: dict[str, bytes] = {}
+        self._feed = len(whole(["\n"])[0]) // 4
+
+    def code(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; all are ``single_spaced``."""
+        if not texts:
+            return []
+        cut = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") for t in texts], pa.large_string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        found = self._find(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        flat, starts = np.frombuffer(b"".join(found), "<i4"), np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(starts[at] - ends[:-1], n) + np.arange(ends[-1])]
+        bounds = ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        return [ids[a + self._feed:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _find(self, pieces: list[str]) -> list[bytes]:
+        """The codes of distinct pieces."""
+        if len(self._codes) > self._limit:
+            self._old, self._codes = self._codes, {}
+        codes, old = self._codes, self._old
+        found = list(map(codes.get, pieces))
+        places = [i for i, c in enumerate(found) if c is None]
+        if not places:
+            return found
+        todo, composed, heads, marks = {}, [], [], []
+        for w in map(pieces.__getitem__, places):
+            if w in old:
+                codes[w] = old[w]
+                continue
+            head = w.rstrip(_MARKS)
+            if head == w or not head[-1:].isalnum():
+                todo[w] = None
+                continue
+            composed.append(w)
+            heads.append(head)
+            marks.append(w[len(head):])
+            if head in old:
+                codes[head] = old[head]
+            elif head not in codes:
+                todo[head] = None
+        self._encode(list(todo))
+        if len(self._marks) > self._limit:
+            self._marks = {}
+        new = list(set(marks).difference(self._marks))
+        self._marks.update(zip(new, self._whole(new)))
+        for w, head, mark in zip(composed, heads, marks):
+            codes[w] = codes[head] + self._marks[mark]
+        for i in places:
+            found[i] = codes[pieces[i]]
+        for kept, seen in ((codes, todo), (codes, composed), (codes, heads), (self._marks, new)):
+            for w in seen:
+                if len(w) > self._longest:
+                    kept.pop(w, None)
+        return found
+
+    def _encode(self, pieces: list[str]) -> None:
+        """Take up the codes of pieces: encoded as one text and cut apart again by the bytes of their tokens."""
+        if not pieces:
+            return
+        text = "".join([w if w[0] == "\n" else " " + w for w in pieces])
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ids = self._whole([text])[0]
+        ends = np.append(np.flatnonzero((raw == 32) | (raw == 10))[1:], len(raw))
+        cuts = (4 * np.searchsorted(np.cumsum(self._sizes[np.frombuffer(ids, "<i4")]), ends, side="left") + 4).tolist()
+        self._codes.update(zip(pieces, [ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]))
+
+
 def groups(texts: list[str], size: int = 2_000_000):
     """Consecutive runs of texts of about ``size`` characters."""
     i = 0

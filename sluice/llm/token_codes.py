@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.chunks import PieceCodes, groups, simple_pieces
+from sluice.llm.chunks import TextCodes, groups, single_spaced
 from sluice.llm.common import prepare, rows_in_batches
 
 RANK_STEP = 512
@@ -99,7 +99,7 @@ _LOADED: dict[int, tuple] = {}
 
 
 def _tokenizer(content: bytes):
-    """The tokenizer and its codes by piece, once per worker."""
+    """The tokenizer and its codes of texts, once per worker."""
     key = hash(content)
     if key not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -114,33 +114,20 @@ def _tokenizer(content: bytes):
         def whole(texts: list[str]) -> list[bytes]:
             return [np.array(e.ids, "<i4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-        def pieces(texts: list[str]) -> list[bytes]:
-            # Pieces with a space before them are coded alone wherever they stand, so they are
-            # encoded as one text and cut apart again by the bytes of their tokens.
-            n = next((i for i, t in enumerate(texts) if t[:1] == " "), len(texts))
-            out = whole(texts[:n])
-            if n < len(texts):
-                ids = np.array(tok.encode_batch_fast(["".join(texts[n:])], add_special_tokens=False)[0].ids, "<i4")
-                ends = np.cumsum([len(t) if t.isascii() else len(t.encode()) for t in texts[n:]])
-                cuts = (4 * np.searchsorted(np.cumsum(lengths[ids]), ends, side="left") + 4).tolist()
-                raw = ids.tobytes()
-                out += [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
-            return out
-
         _LOADED.clear()
-        _LOADED[key] = whole, PieceCodes(pieces), added
+        _LOADED[key] = whole, TextCodes(whole, lengths), added
     return _LOADED[key]
 
 
 def _encode_texts(texts: list[str], content: bytes) -> list[np.ndarray]:
     """The ids of each text as the library gives them; texts that hold the
     string of an added token are left to it whole, as it codes that string by itself."""
-    whole, pieces, added = _tokenizer(content)
+    whole, codes, added = _tokenizer(content)
     out = []
-    for i, j in groups(texts):
-        cut = [None if any(a in t for a in added) else simple_pieces(t) for t in texts[i:j]]
-        for text, p, c in zip(texts[i:j], cut, pieces.code([p or [] for p in cut])):
-            out.append(np.frombuffer(c if p is not None else whole([text])[0], "<i4"))
+    for i, j in groups(texts, 4_000_000):  # the more at once, the fewer distinct pieces to look up
+        simple = [single_spaced(t) and not any(a in t for a in added) for t in texts[i:j]]
+        found = iter(codes.code([t for t, s in zip(texts[i:j], simple) if s]))
+        out += [next(found) if s else np.frombuffer(whole([t])[0], "<i4") for t, s in zip(texts[i:j], simple)]
     return out
 
 
@@ -172,7 +159,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
             names, ids, held, seq, before = [], [], 0, seq + 1, before + len(flat)
             return pa.RecordBatch.from_pylist([row], schema=arrow)
 
-        for batch in rows_in_batches(batches, 1000):
+        for batch in rows_in_batches(batches, 2000):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for name, codes in zip(batch.column(0).to_pylist(), _encode_texts(texts, content.value)):
                 if ids and held + len(codes) + 1 > shard_tokens:
