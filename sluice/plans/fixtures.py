@@ -394,25 +394,43 @@ def order_landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return {"orders": _landing_folder(spark, sf_dir, "orders", body.unionByName(headers))}
 
 
+# Bytes of texts in one CSV file of documents: an upload of more is as many
+# files, so the tasks that write them grow in number, not in size.
+DOCUMENT_FILE_BYTES = 160 << 20
+
+
 def document_csv(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """``documents`` as four CSV files (doc_id modulo 4): id, language and the
-    text with a quoted remark on a line of its own, as one quoted cell."""
+    """``documents`` as CSV files of four uploads (doc_id modulo 4): id, language
+    and the text with a quoted remark on a line of its own, as one quoted cell.
+    An upload of more than ``DOCUMENT_FILE_BYTES`` is several files of about
+    that size (``D0.csv``, ``D0.1.csv``, ...; ``document_upload`` names their upload)."""
     d = table(spark, sf_dir, "documents")
-    said = F.concat(F.coalesce("text", F.lit("")), F.lit('\nin "'), F.coalesce("lang", F.lit("")), F.lit('"'))
     upload = F.concat(F.lit("D"), (F.col("doc_id") % 4).cast("string"))
-    body = d.select(upload.alias("upload_id"), F.col("doc_id").alias("line_no"), F.concat(
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)  # and the rest of a line
+    n_files = d.groupBy(upload.alias("_upload")).agg(F.ceil(size / DOCUMENT_FILE_BYTES).alias("_files"))  # a row per upload
+    number = F.pmod(F.xxhash64("doc_id", "text"), F.coalesce("_files", F.lit(1)))
+    d = d.withColumn("_upload", upload).join(F.broadcast(n_files), "_upload", "left")
+    d = d.withColumn("upload_id", F.when(number > 0, F.concat("_upload", F.lit("."), number.cast("string"))).otherwise(F.col("_upload")))
+    said = F.concat(F.coalesce("text", F.lit("")), F.lit('\nin "'), F.coalesce("lang", F.lit("")), F.lit('"'))
+    body = d.select("upload_id", F.col("doc_id").alias("line_no"), F.concat(
         F.col("doc_id").cast("string"), F.lit(","), F.col("lang"), F.lit(',"'), F.replace(said, F.lit('"'), F.lit('""')), F.lit('"')).alias("line"))
-    headers = d.select(upload.alias("upload_id")).distinct().select(
+    headers = d.select("upload_id").distinct().select(
         "upload_id", F.lit(-1).cast("long").alias("line_no"), F.lit("doc_id,lang,body").alias("line"))
     return {"texts": _landing_folder(spark, sf_dir, "texts", body.unionByName(headers))}
 
 
+def document_upload(file_id: Column) -> Column:
+    """The upload that a file of ``document_csv`` belongs to."""
+    return F.regexp_extract(file_id, r"^([^.]*)", 1)
+
+
 def _landing_folder(spark: SparkSession, sf_dir: str, dataset: str, lines: DataFrame) -> str:
     """Write ``lines`` (upload_id, line_no, line) as one file per upload under
     a fresh folder of the shared checkpoint root, once per session and table
     folder. Spark writes the files (each upload's lines in order, uploads
     spread over the shuffle partitions); the driver only renames one part
-    file per upload to ``<upload>.csv``."""
+    file per upload to ``<upload>.csv``. By range, uploads never share a task
+    while there are partitions left."""
     from sluice.plans.session import scratch_path
     from sluice.sources.landing import _fs_path
 
@@ -425,7 +443,7 @@ def _landing_folder(spark: SparkSession, sf_dir: str, dataset: str, lines: DataF
     tmp, final = f"{root}/_write", f"{root}/{dataset}"
     (
         lines
-        .repartition("upload_id")
+        .repartitionByRange("upload_id")
         .sortWithinPartitions("upload_id", "line_no")
         .select("upload_id", "line")
         .write.mode("overwrite").partitionBy("upload_id").text(tmp)

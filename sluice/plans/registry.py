@@ -598,8 +598,8 @@ def landing_structure(spark, sf_dir):
 @register("bronze_spanning_records")
 def bronze_spanning_records(spark, sf_dir):
     """Documents as cells of CSV files, line breaks and quotes included: files
-    whose records span lines, read in splits. Per file the rows and a digest
-    of the cells."""
+    whose records span lines, read in splits. Per upload (of one file, or of
+    several where it is large) the rows and a digest of the cells."""
     from sluice.plans.session import scratch_path
 
     files = FX.document_csv(spark, sf_dir)
@@ -611,7 +611,7 @@ def bronze_spanning_records(spark, sf_dir):
         F.col("original_file_name").alias("source_file_name"), "header", "row_count", "multiline").write.parquet(out)
     rows = BR.stage_uploads(spark, spark.read.parquet(out), scratch_path(spark, "staging"),
                             F.lit(FX.MANIFEST_NOW).cast("timestamp_ntz"))
-    return rows.groupBy("upload_id").agg(
+    return rows.groupBy(FX.document_upload(F.col("upload_id")).alias("upload_id")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("_corrupt_record").alias("n_corrupt"),
         F.sum(F.length("body")).alias("n_chars"),
         F.sum(F.conv(F.substring(F.md5(F.encode("body", "UTF-8")), 1, 8), 16, 10).cast("long")).alias("sum_digest"))

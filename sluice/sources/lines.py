@@ -29,6 +29,9 @@ _CELL = rf',("{_INSIDE}"?+[^,]*+|[^,]*+)'         # of a record with a comma bef
 # A line of more bytes is not held in memory: its file counts as unreadable.
 LONGEST_LINE = 128 << 20
 
+# Lines of a task that are put in order together: 2 to the power of this.
+PART_BITS = 13
+
 LINES_SCHEMA = "file string, block long, line string, line_break string, n_bytes long, utf8 boolean"
 
 
@@ -86,8 +89,9 @@ def _maps(line: Column) -> tuple[Column, Column]:
     return F.when(quoted & line.rlike(_OPENS), 1).otherwise(0), F.when(~quoted | line.rlike(_STAYS), 1).otherwise(0)
 
 
-def blocks(lines: DataFrame) -> DataFrame:
-    """One row per block of a file: n (lines), n_bytes, utf8, and for both
+def blocks(lines: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """One row per block of a file (or per part of it, by columns ``within``
+    that grow along it): n (lines), n_bytes, utf8, and for both
     states it may begin in: the state it ends in (end0, end1) and how many of
     its lines begin inside a cell (inside0, inside1). Of a file's first block
     also its first line and the number of the line where the first record ends.
@@ -97,7 +101,7 @@ def blocks(lines: DataFrame) -> DataFrame:
     """
     begins_out, begins_in = _maps(F.col("line"))
     code = F.when(F.instr("line", '"') > 0, F.col("id") * 4 + begins_out * 2 + begins_in)
-    per_block = lines.select("file", "block", "id", "n_bytes", "utf8", "line", code.alias("code")).groupBy("file", "block").agg(
+    per_block = lines.select("file", "block", "id", "n_bytes", "utf8", "line", code.alias("code"), *within).groupBy("file", "block", *within).agg(
         F.min("id").alias("_first"), F.count("*").alias("n"), F.sum("n_bytes").alias("n_bytes"),
         F.every("utf8").alias("utf8"), F.sort_array(F.collect_list("code")).alias("_codes"),
         F.min_by(F.when(F.col("block") == 0, F.col("line")), F.col("id")).alias("first_line"))
@@ -124,7 +128,7 @@ def blocks(lines: DataFrame) -> DataFrame:
                         F.when(s["opened"], s["closed"]).otherwise(zero).alias("first_record_ends"))
 
     folded = per_block.withColumn("_s", F.aggregate("_codes", start, step, finish))
-    return folded.select("file", "block", "n", "n_bytes", "utf8", "first_line", "_s.*")
+    return folded.select("file", "block", *within, "n", "n_bytes", "utf8", "first_line", "_s.*")
 
 
 def _state_before(ends_if_out: Column, ends_if_in: Column, start: Column, window) -> tuple[Column, Column, Column]:
@@ -138,11 +142,12 @@ def _state_before(ends_if_out: Column, ends_if_in: Column, start: Column, window
     return flips, last, state
 
 
-def placed(per_block: DataFrame) -> DataFrame:
+def placed(per_block: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Blocks with the state they begin in (``begins_inside``) and the number
     of records that begin before them (``records_before``), by a window over
-    the blocks of a file (its length over that of a block)."""
-    window = Window.partitionBy("file").orderBy("block")
+    the blocks of a file (its length over that of a block), or their parts
+    as ``blocks`` gives them."""
+    window = Window.partitionBy("file").orderBy("block", *within)
     flips, last, state = _state_before(F.col("end0"), F.col("end1"), F.lit(0), window)
     out = per_block.withColumn("_flips", flips).withColumn("_last", last).withColumn("begins_inside", state)
     inside = F.when(F.col("begins_inside") == 1, F.col("inside1")).otherwise(F.col("inside0"))
@@ -182,19 +187,24 @@ def records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The records of files after their first one (file, record, record_no),
     each one text, line breaks in cells included.
 
-    The files are read twice: for the state every block begins in (a small
-    table, joined to the lines by file and block), then for the lines, which
-    are put in order per block. A record that spans blocks is joined like any
-    other, by its number in the file.
+    The files are read twice: for the state every part of a block begins in
+    (a small table, joined to the lines by file, block and part), then for the
+    lines, which are put in order per part: blocks are few and large, and some
+    would meet in one task. A record that spans parts or blocks is joined like
+    any other, by its number in the file.
     """
-    lines = file_lines(spark, paths)
-    begins = placed(blocks(lines)).select("file", "block", "begins_inside", "records_before")
-    window = Window.partitionBy("file", "block").orderBy("id")
+    lines = file_lines(spark, paths).withColumn("part", F.shiftright("id", PART_BITS))  # ids are those of one listing's splits
+    place = ["file", "block", "part"]
+    begins = placed(blocks(lines, ["part"]), ["part"]).select(*place, "begins_inside", "records_before", F.col("n").alias("_n"))
+    window = Window.partitionBy(*place).orderBy("id")
     begins_out, begins_in = _maps(F.col("line"))
-    held = lines.join(begins, ["file", "block"]).withColumn("_out", begins_out).withColumn("_in", begins_in)
+    held = lines.join(begins, place, "left").withColumn("_out", begins_out).withColumn("_in", begins_in)
     flips, last, state = _state_before(F.col("_out"), F.col("_in"), F.col("begins_inside"), window)
     held = held.withColumn("_flips", flips).withColumn("_last", last).withColumn("_state", state)
     number = F.col("records_before") + F.sum(1 - F.col("_state")).over(window.rowsBetween(Window.unboundedPreceding, 0)) - 1
+    # both reads must have cut the files alike (a cluster that grows meanwhile may not)
+    alike = F.col("_n") == F.count("*").over(Window.partitionBy(*place))
+    number = F.when(alike, number).otherwise(F.raise_error(F.lit("The files were split otherwise when they were read again.")).cast("long"))
     held = held.select("file", "block", "id", "line", "line_break", number.alias("record_no")).where("record_no > 0")
     return held.groupBy("file", "record_no").agg(_joined(F.struct("block", "id", "line", "line_break")).alias("record"))
 
