@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import Row
@@ -287,6 +288,59 @@ def test_search_in_waves(spark, monkeypatch):
     assert {k: result(k) for k in (1, 10)} == whole
 
 
+def test_search_skips_segments_and_scores_exactly(monkeypatch):
+    """Segments hold like documents and those that cannot reach a query's score are not computed; sums of single precision decide nothing."""
+    rng = random.Random(11)
+    kinds = [[f"{c}{i}" for i in range(300)] for c in "ab"]
+    texts = [" ".join(rng.choices(kinds[i % 2], [1 / (j + 1) for j in range(300)], k=rng.randint(40, 90))) + " common" for i in range(600)]
+    texts[50] = texts[52] = " ".join(f"a{i} " * 300 for i in range(60)) + "a7"  # large counts, equal but for one word
+    texts[54] = texts[50] + " a299"
+    texts[56] = texts[58] = texts[60]
+    texts += [None, texts[50]]
+    ids = [*range(601), None]
+    asked = [0, 1, 50, 54, 60, 77, 301]
+    counts = [collections.Counter((t or "").split()) for t in texts]
+    df = collections.Counter(t for c in counts for t in c)
+    average = sum(sum(c.values()) for c in counts) / len(texts)
+    idf = {t: np.log(1 + (len(texts) - f + 0.5) / (f + 0.5)) for t, f in df.items()}
+
+    def brute(q, k):
+        found = []
+        for i, c in zip(ids[:600], counts):
+            score = sum(n * idf[t] * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * sum(c.values()) / average)) for t, n in counts[q].items() if t in c)
+            found.append((-round(float(score), 6), i))
+        return [(i, -s) for s, i in sorted(x for x in found if x[0])[:k]]
+
+    hashes = {t: search.word_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0]), np.array([len(t)]))[0] for t in df}
+    terms, weights = zip(*[(np.array([hashes[t] for t in counts[q]], np.uint64), np.array([n * idf[t] for t, n in counts[q].items()])) for q in asked])
+    queries = search._Queries(asked, asked, terms, weights)
+    packed = search._pack(search._index(pa.table({"doc_id": pa.array(ids, pa.int64()), "text": texts})))
+    for shared, frequent in ((128, 32), (1, 1), (10 ** 6, 10 ** 6)):  # by matrices and postings, only postings, only matrices
+        monkeypatch.setattr(search, "SHARED", shared)
+        monkeypatch.setattr(search, "FREQUENT", frequent)
+        for k in (1, 7):
+            best = search._Best(queries.least, k)
+            ix = search._open(packed, queries, average, 1.2, 0.75)
+            best.add(*search._search(ix, queries, best.least, k))
+            q, found, score = best.found()
+            assert [(asked[a], b, c) for a, b, c in zip(q, found.tolist(), score.tolist())] == [(x, *y) for x in asked for y in brute(x, k)]
+            # with the scores known, segments of the other kind may hold anything: they are not taken up
+            first = np.array([i is not None and i % 2 for i in ix["ids"].tolist()])
+            other = {x % 2: search._open(packed, queries, average, 1.2, 0.75) for x in asked}
+            for kind, spoilt in other.items():
+                segments = spoilt["segments"]
+                mixed = [len(set(first[a:z].tolist())) > 1 for a, z, _, _ in segments]
+                assert len(segments) > 3 and sum(mixed) <= 1
+                for (a, z, _, matrix), unlike in zip(segments, mixed):
+                    if not unlike and first[a] != kind:
+                        matrix[:] = 1e20
+                mine = [i for i, x in enumerate(asked) if x % 2 == kind]
+                for least, same in ((best.least, True), (queries.least, not sum(m.size for *_, m in segments))):
+                    again = search._Best(least, k)
+                    again.add(*search._search(spoilt, queries, least, k))
+                    assert same == ((again.ids[mine] == best.ids[mine]).all() and (again.scores[mine] == best.scores[mine]).all())
+
+
 def test_toxicity_of_any_letters():
     """Landmarks of hundreds of different letters are learnt; insults may be spelled out with any marks."""
     rng = random.Random(4)
